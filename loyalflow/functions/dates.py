@@ -24,7 +24,7 @@ def day_diff(end, start) -> Column:
 
 def parse_date_key(key) -> Column:
     """``yyyyMMdd`` integer/string key -> DATE; zero-filled to 8 digits, invalid -> NULL."""
-    return F.try_to_date(F.lpad(_c(key).cast("string"), 8, "0"), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.lpad(_c(key).cast("string"), 8, "0"), "yyyyMMdd")
 
 
 def to_date_key(d) -> Column:

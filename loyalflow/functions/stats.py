@@ -62,3 +62,13 @@ def round_int_even(x) -> Column:
 def money(x) -> Column:
     """Exact money output: decimal(38,2) for strings; double for statistics."""
     return _c(x).cast("decimal(38,2)")
+
+
+def money_ratio_2dp(num, den) -> Column:
+    """``num / den`` rounded half away from zero to 2 decimals, exactly (integer
+    arithmetic on cents), as decimal(38,2). ``num`` is money, ``den`` a count."""
+    cents = (_c(num).cast("decimal(38,2)") * F.lit(100)).cast("long")
+    n = _c(den).cast("long")
+    r = F.signum(cents).cast("long") * F.floor((F.abs(cents) * F.lit(2) + n) / (n * F.lit(2))).cast("long")
+    r = F.when(cents == 0, F.lit(0).cast("long")).otherwise(r)
+    return F.when(n > 0, r.cast("decimal(36,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(38,2)")

@@ -192,3 +192,161 @@ def all_data_frame(spark, sf_dir):
           rnd={**{c: 6 for c in PROFILE_DOUBLES}, **{c: 4 for c in RATIO_COLS}})
 def all_data(spark, sf_dir):
     return all_data_frame(spark, sf_dir)
+
+
+# ----------------------------------------------------------------- segmentation
+from ..functions.dates import parse_date_key  # noqa: E402
+from ..operators import reshape  # noqa: E402
+from ..operators import segments as seg_ops  # noqa: E402
+from . import customer as cust_plan  # noqa: E402
+
+SEG = O.segments_ctes()
+
+
+def seg_rows(spark, sf_dir):
+    return cust_plan.segmented_rows(dom(spark, sf_dir), P)
+
+
+ROW_KEYS = "firm_id, unique_customer_id, kart_tip_detay"
+ROW_KEY_COLS = ["firm_id", "unique_customer_id", "kart_tip_detay"]
+DATE_KEY_EXPR_SQL = ("CASE transaction_id % 3 WHEN 0 THEN timed_id_transaction "
+                     "WHEN 1 THEN timed_id_transaction + cast(transaction_id % 40 AS INTEGER) "
+                     "ELSE timed_id_transaction % 10000000 END")
+
+
+@register("date_key_parse", O.with_domain(body=f"""
+SELECT cast(year(d) AS INTEGER) AS parsed_year, count(*) AS n_rows FROM (
+  SELECT {O._parse_key('k')} AS d FROM (SELECT {DATE_KEY_EXPR_SQL} AS k FROM trx) s) p
+WHERE d IS NOT NULL GROUP BY year(d)"""))
+def date_key_parse(spark, sf_dir):
+    """Zero-filled ``yyyyMMdd`` parse of valid, shifted (often invalid) and 7-digit keys;
+    unparseable keys are dropped."""
+    t = dom(spark, sf_dir).trx
+    tid, key = F.col("transaction_id"), F.col("timed_id_transaction")
+    k = (F.when(tid % 3 == 0, key).when(tid % 3 == 1, key + (tid % 40).cast("int"))
+         .otherwise(key % 10000000))
+    parsed = t.select(parse_date_key(k).alias("d")).dropna(subset=["d"])
+    return parsed.groupBy(F.year("d").alias("parsed_year")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("recency_segment", O.with_domain(*SEG, body=f"SELECT {ROW_KEYS}, recency_segment FROM seg"))
+def recency_segment(spark, sf_dir):
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "recency_segment")
+
+
+@register("minmax_scaled", O.with_domain(*SEG, body=f"""
+SELECT {ROW_KEYS}, monetary_scaled, frequency_scaled, monetary_sqrt, frequency_sqrt FROM seg"""),
+          rnd={"monetary_scaled": 6, "frequency_scaled": 6, "monetary_sqrt": 4, "frequency_sqrt": 4})
+def minmax_scaled(spark, sf_dir):
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "monetary_scaled", "frequency_scaled",
+                                          "monetary_sqrt", "frequency_sqrt")
+
+
+@register("monetary_segment", O.with_domain(*SEG, body="""
+SELECT firm_id, monetary_segment, count(*) AS n_rows FROM seg GROUP BY firm_id, monetary_segment"""))
+def monetary_segment(spark, sf_dir):
+    return seg_rows(spark, sf_dir).groupBy("firm_id", "monetary_segment").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("frequency_segment", O.with_domain(*SEG, body="""
+SELECT firm_id, frequency_segment, count(*) AS n_rows FROM seg GROUP BY firm_id, frequency_segment"""))
+def frequency_segment(spark, sf_dir):
+    return seg_rows(spark, sf_dir).groupBy("firm_id", "frequency_segment").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("discount_segments", O.with_domain(*SEG, body=f"""
+SELECT {ROW_KEYS}, indirim_duyarli_segment, indirim_beklentisi_segment FROM seg"""))
+def discount_segments(spark, sf_dir):
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "indirim_duyarli_segment", "indirim_beklentisi_segment")
+
+
+@register("clv_value", O.with_domain(*SEG, body=f"""
+SELECT {ROW_KEYS}, customer_lifespan, avg_purchase_value, avg_purchase_frequency_rate, clv FROM seg"""),
+          rnd={"avg_purchase_value": 6})
+def clv_value(spark, sf_dir):
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "customer_lifespan", "avg_purchase_value",
+                                          "avg_purchase_frequency_rate", "clv")
+
+
+CLV_Q_COLS = [f"{m}_{q}" for m in ("clv", "aov", "freq", "life") for q in ("q30", "q50", "q80")]
+
+
+@register("clv_thresholds", O.with_domain(*SEG, body="SELECT * FROM clv_q"), rnd={c: 4 for c in CLV_Q_COLS})
+def clv_thresholds(spark, sf_dir):
+    rows = seg_ops.clv_values(seg_ops.rfm_segments(cust_plan.segmentation_input(dom(spark, sf_dir), P), P))
+    return seg_ops.clv_thresholds(rows)
+
+
+@register("clv_segment", O.with_domain(*SEG, body=f"SELECT {ROW_KEYS}, clv_segment FROM seg"))
+def clv_segment(spark, sf_dir):
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "clv_segment")
+
+
+@register("rfm_scores", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, unique_customer_id, kart_tip_detay, r_score, f_score, m_score,
+  concat(cast(r_score AS VARCHAR), cast(f_score AS VARCHAR), cast(m_score AS VARCHAR)) AS rfm_score
+FROM (SELECT firm_id, unique_customer_id, kart_tip_detay,
+  cast(ntile(5) OVER (PARTITION BY firm_id ORDER BY recency DESC, unique_customer_id, kart_tip_detay) AS INTEGER) AS r_score,
+  cast(ntile(5) OVER (PARTITION BY firm_id ORDER BY frequency, unique_customer_id, kart_tip_detay) AS INTEGER) AS f_score,
+  cast(ntile(5) OVER (PARTITION BY firm_id ORDER BY cast(monetary AS DOUBLE), unique_customer_id, kart_tip_detay) AS INTEGER) AS m_score
+  FROM rfm) s"""))
+def rfm_scores(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    return seg_ops.rfm_scores(rfm_ops.rfm_aggregate(d.trx, d.cust, d.prog, P))
+
+
+@register("customer_collapse", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, unique_customer_id, min(kart_tip_detay) AS kart_tip_detay,
+  arg_min(monetary, kart_tip_detay) AS monetary, arg_min(frequency, kart_tip_detay) AS frequency,
+  arg_min(recency, kart_tip_detay) AS recency
+FROM rfm GROUP BY firm_id, unique_customer_id"""), money=["monetary"])
+def customer_collapse(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    r = rfm_ops.rfm_aggregate(d.trx, d.cust, d.prog, P)
+    return reshape.collapse_first(r, ["firm_id", "unique_customer_id"], "kart_tip_detay",
+                                  ["monetary", "frequency", "recency"])
+
+
+LONG_METRICS = {"recency": "P3", "frequency": "P4", "recency_segment": "P6", "customer_lifespan": "P11",
+                "clv_segment": "P15"}
+
+
+def _long_sql():
+    vals = " UNION ALL ".join(
+        f"SELECT {ROW_KEYS}, '{m}' AS metric_name, cast({m} AS VARCHAR) AS value FROM seg" for m in LONG_METRICS)
+    defs = ", ".join(f"('{m}', '{c}')" for m, c in LONG_METRICS.items())
+    return (f"lng AS ({vals}), defs AS (SELECT * FROM (VALUES {defs}) v(metric_name, p_code)), "
+            f"coded AS (SELECT l.*, d.p_code FROM lng l JOIN defs d ON l.metric_name = d.metric_name)")
+
+
+def long_frame(spark, sf_dir):
+    rows = seg_rows(spark, sf_dir)
+    lng = reshape.melt(rows, ROW_KEY_COLS, list(LONG_METRICS))
+    return reshape.attach_codes(lng, reshape.definitions(spark, LONG_METRICS))
+
+
+@register("p_code_long", O.with_domain(*SEG, _long_sql(), body=f"""
+SELECT {ROW_KEYS}, metric_name, p_code, value FROM coded"""))
+def p_code_long(spark, sf_dir):
+    return long_frame(spark, sf_dir).select(*ROW_KEY_COLS, "metric_name", "p_code", "value")
+
+
+@register("p_code_wide", O.with_domain(*SEG, _long_sql(), body="SELECT firm_id, unique_customer_id, " + ", ".join(
+    f"arg_min(CASE WHEN p_code = '{c}' THEN value END, CASE WHEN p_code = '{c}' AND value IS NOT NULL "
+    f"THEN kart_tip_detay END) AS {c}" for c in LONG_METRICS.values())
+    + " FROM coded GROUP BY firm_id, unique_customer_id"))
+def p_code_wide(spark, sf_dir):
+    return reshape.pivot_first(long_frame(spark, sf_dir), ["firm_id", "unique_customer_id"], "kart_tip_detay",
+                               list(LONG_METRICS.values()))
+
+
+AC_CODES = list(reshape.SEGMENT_P_CODES.values())
+
+
+@register("analytic_customer", O.with_domain(*SEG, O.analytic_customer_cte(), body=f"""
+SELECT firm_id, unique_customer_id, {', '.join(AC_CODES)}, '{P.created_by}' AS created_by,
+  '{P.created_by}' AS updated_by, {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date
+FROM ac"""))
+def analytic_customer(spark, sf_dir):
+    return cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)

@@ -205,3 +205,117 @@ def all_data_cte(name: str = "all_data") -> str:
     r.kazanilan_harcanan_tutar_oran, r.kazanilan_trx_cnt, r.harcanilan_trx_cnt
   FROM rfm r JOIN profile pf ON r.unique_customer_id = pf.unique_customer_id
 )"""
+
+
+# ---------------------------------------------------------------- segments
+def _parse_key(col: str) -> str:
+    return f"cast(try_strptime(lpad(cast({col} AS VARCHAR), 8, '0'), '%Y%m%d') AS DATE)"
+
+
+def segments_ctes(p: RunParams = P) -> list[str]:
+    from datetime import timedelta
+    act = ts(p.as_of - timedelta(days=p.active_days))
+    risk = ts(p.as_of - timedelta(days=p.risk_days))
+    new = ts(p.as_of - timedelta(days=p.new_days))
+
+    def sq(x):
+        return f"CASE WHEN {x} >= 0 THEN sqrt({x}) END"
+
+    def ebin(x, lo, hi, k):
+        mid = (k + 1) // 2
+        return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {hi} = {lo} THEN {mid} "
+                f"ELSE least(greatest(1, cast(ceil(({x} - {lo}) * {float(k)} / ({hi} - {lo})) AS INTEGER)), {k}) END")
+
+    mon, frq = "cast(b.monetary AS DOUBLE)", "cast(b.frequency AS DOUBLE)"
+    seg_base = f"""seg_base AS (
+  SELECT * FROM (SELECT a.*, {_parse_key('son_alv_tarih')} AS son_alv_dt, {_parse_key('ilk_odeme_tarih')} AS ilk_odeme_dt
+                 FROM all_data a) WHERE son_alv_dt IS NOT NULL AND ilk_odeme_dt IS NOT NULL
+)"""
+    seg_stats = f"""seg_stats AS (
+  SELECT firm_id,
+    min(cast(monetary AS DOUBLE)) AS mon_min, max(cast(monetary AS DOUBLE)) AS mon_max,
+    min(cast(frequency AS DOUBLE)) AS frq_min, max(cast(frequency AS DOUBLE)) AS frq_max,
+    min(CASE WHEN frequency > 1 THEN cast(frequency AS DOUBLE) END) AS frq2_min,
+    max(CASE WHEN frequency > 1 THEN cast(frequency AS DOUBLE) END) AS frq2_max,
+    avg({sq('cast(monetary AS DOUBLE)')}) AS mon_sqrt_mean, stddev_samp({sq('cast(monetary AS DOUBLE)')}) AS mon_sqrt_std,
+    avg({sq('cast(frequency AS DOUBLE)')}) AS frq_sqrt_mean, stddev_samp({sq('cast(frequency AS DOUBLE)')}) AS frq_sqrt_std,
+    quantile_cont(cast(ind_alv_orani AS DOUBLE), 0.5) AS ind_med,
+    quantile_cont(cast(ort_indirim_orani AS DOUBLE), 0.5) AS ort_med
+  FROM seg_base GROUP BY firm_id
+)"""
+    mlabels = "['low', 'modest', 'middle', 'high', 'very high']"
+    flabels = "['rare', 'medium', 'frequent']"
+    seg1 = f"""seg1 AS (
+  SELECT b.*,
+    CASE WHEN cast(b.ilk_odeme_dt AS TIMESTAMP) >= {new} THEN 'New Customer'
+         WHEN cast(b.son_alv_dt AS TIMESTAMP) >= {risk} AND cast(b.son_alv_dt AS TIMESTAMP) < {act} THEN 'Active - at risk'
+         WHEN cast(b.son_alv_dt AS TIMESTAMP) >= {act} THEN 'Active Customer'
+         ELSE 'Passive Customer' END AS recency_segment,
+    CASE WHEN {sq(mon)} > s.mon_sqrt_mean + 3.0 * s.mon_sqrt_std THEN s.mon_sqrt_mean + 3.0 * s.mon_sqrt_std
+         ELSE {sq(mon)} END AS monetary_sqrt,
+    CASE WHEN {sq(frq)} > s.frq_sqrt_mean + 3.0 * s.frq_sqrt_std THEN s.frq_sqrt_mean + 3.0 * s.frq_sqrt_std
+         ELSE {sq(frq)} END AS frequency_sqrt,
+    CASE WHEN s.mon_max - s.mon_min = 0 THEN 0.0 ELSE ({mon} - s.mon_min) / (s.mon_max - s.mon_min) END AS monetary_scaled,
+    CASE WHEN s.frq_max - s.frq_min = 0 THEN 0.0 ELSE ({frq} - s.frq_min) / (s.frq_max - s.frq_min) END AS frequency_scaled,
+    {mlabels}[{ebin(mon, 's.mon_min', 's.mon_max', 5)}] AS monetary_segment,
+    CASE WHEN b.frequency = 1 THEN 'single purchase'
+         WHEN b.frequency > 1 THEN {flabels}[{ebin(frq, 's.frq2_min', 's.frq2_max', 3)}] END AS frequency_segment,
+    CASE WHEN b.ind_alv_orani > s.ind_med THEN 'discount sensitive' ELSE 'discount insensitive' END AS indirim_duyarli_segment,
+    CASE WHEN b.ort_indirim_orani > s.ort_med THEN 'high expectation' ELSE 'standard expectation' END AS indirim_beklentisi_segment,
+    greatest(cast(date_diff('day', b.ilk_odeme_dt, b.son_alv_dt) AS INTEGER), 1) AS customer_lifespan,
+    cast(b.musteri_toplam_ciro AS DOUBLE) / cast(b.alisveris_adedi AS DOUBLE) AS avg_purchase_value,
+    cast(b.alisveris_adedi AS DOUBLE) AS avg_purchase_frequency_rate
+  FROM seg_base b JOIN seg_stats s ON b.firm_id = s.firm_id
+)"""
+    seg2 = """seg2 AS (
+  SELECT *, round_even(avg_purchase_value * avg_purchase_frequency_rate * (cast(customer_lifespan AS DOUBLE) / 365.0), 0) AS clv
+  FROM seg1
+)"""
+    clv_q = """clv_q AS (
+  SELECT firm_id,
+    quantile_cont(clv, 0.3) AS clv_q30, quantile_cont(clv, 0.5) AS clv_q50, quantile_cont(clv, 0.8) AS clv_q80,
+    quantile_cont(avg_purchase_value, 0.3) AS aov_q30, quantile_cont(avg_purchase_value, 0.5) AS aov_q50,
+    quantile_cont(avg_purchase_value, 0.8) AS aov_q80,
+    quantile_cont(avg_purchase_frequency_rate, 0.3) AS freq_q30, quantile_cont(avg_purchase_frequency_rate, 0.5) AS freq_q50,
+    quantile_cont(avg_purchase_frequency_rate, 0.8) AS freq_q80,
+    quantile_cont(cast(customer_lifespan AS DOUBLE), 0.3) AS life_q30, quantile_cont(cast(customer_lifespan AS DOUBLE), 0.5) AS life_q50,
+    quantile_cont(cast(customer_lifespan AS DOUBLE), 0.8) AS life_q80
+  FROM seg2 GROUP BY firm_id
+)"""
+    seg = """seg AS (
+  SELECT s.*,
+    CASE WHEN s.avg_purchase_frequency_rate = 1 THEN 'One-time Buyer'
+         WHEN s.clv > q.clv_q80 AND s.avg_purchase_value > q.aov_q80 THEN 'VIP Customer'
+         WHEN s.clv > q.clv_q50 AND s.avg_purchase_frequency_rate > q.freq_q50 THEN 'Loyal Customer'
+         WHEN s.clv >= q.clv_q50 AND s.customer_lifespan >= q.life_q50 THEN 'Potential Growth Customer'
+         ELSE 'at Risk' END AS clv_segment
+  FROM seg2 s JOIN clv_q q ON s.firm_id = q.firm_id
+)"""
+    return [rfm_cte(p), profile_cte(p), all_data_cte(), seg_base, seg_stats, seg1, seg2, clv_q, seg]
+
+
+def money_ratio_2dp_sql(num: str, den: str) -> str:
+    cents = f"cast(cast({num} AS decimal(38,2)) * 100 AS BIGINT)"
+    n = f"cast({den} AS BIGINT)"
+    r = f"(sign({cents}) * ((abs({cents}) * 2 + {n}) // ({n} * 2)))"
+    return f"cast(CASE WHEN {n} > 0 THEN cast({r} AS decimal(36,0)) * 0.01 END AS decimal(38,2))"
+
+
+def analytic_customer_cte(p: RunParams = P, name: str = "ac") -> str:
+    """One row per customer: first non-NULL value per P-code by program name."""
+    codes = {
+        "P1": "strftime(ilk_odeme_dt, '%Y%m%d')", "P2": "cast(son_odeme_tarih AS VARCHAR)",
+        "P3": "cast(recency AS VARCHAR)", "P4": "cast(frequency AS VARCHAR)",
+        "P5": "cast(cast(monetary AS decimal(38,2)) AS VARCHAR)", "P6": "recency_segment",
+        "P7": "monetary_segment", "P8": "frequency_segment", "P9": "indirim_duyarli_segment",
+        "P10": "indirim_beklentisi_segment", "P11": "cast(customer_lifespan AS VARCHAR)",
+        "P12": "cast(" + money_ratio_2dp_sql("musteri_toplam_ciro", "alisveris_adedi") + " AS VARCHAR)",
+        "P14": "cast(cast(clv AS BIGINT) AS VARCHAR)", "P15": "clv_segment",
+    }
+    inner = ", ".join(f"{e} AS {c}" for c, e in codes.items())
+    outer = ", ".join(f"arg_min({c}, CASE WHEN {c} IS NOT NULL THEN kart_tip_detay END) AS {c}" for c in codes)
+    return f"""{name} AS (
+  SELECT firm_id, unique_customer_id, {outer}
+  FROM (SELECT firm_id, unique_customer_id, kart_tip_detay, {inner} FROM seg) x
+  GROUP BY firm_id, unique_customer_id
+)"""
