@@ -350,3 +350,86 @@ SELECT firm_id, unique_customer_id, {', '.join(AC_CODES)}, '{P.created_by}' AS c
 FROM ac"""))
 def analytic_customer(spark, sf_dir):
     return cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)
+
+
+# ----------------------------------------------------------------- churn features
+from ..operators import churn_features as cf  # noqa: E402
+
+CH_TRAIN = O.churn_ctes(P, "train")
+CH_PRED = O.churn_ctes(P, "predict")
+CH_MONEY = ["total_spent", "max_spent", "min_spent", "avg_spent", "total_discount_earned", "total_used_point",
+            "total_earned_point"]
+CH_RND = {"days_since_last_transaction": 6, "customer_lifetime": 6,
+          "avg_days_between_transactions": 6, "median_basket_size": 6, "basket_size_stddev": 4}
+CH_KEYS = ["unique_customer_id", "program_id"]
+
+
+def churn_x(spark, sf_dir, mode="train"):
+    d = dom(spark, sf_dir)
+    return d, cf.feature_transactions(d.trx, d.cust, P, mode)
+
+
+@register("interpurchase_gap", O.with_domain(*CH_TRAIN, body="""
+SELECT unique_customer_id, program_id, avg_days_between_transactions FROM feats"""),
+          rnd={"avg_days_between_transactions": 6})
+def interpurchase_gap(spark, sf_dir):
+    _, x = churn_x(spark, sf_dir)
+    return cf.transaction_features(x).select(*CH_KEYS, "avg_days_between_transactions")
+
+
+@register("median_basket", O.with_domain(*CH_TRAIN, body="""
+SELECT unique_customer_id, program_id, median_basket_size FROM feats"""), rnd={"median_basket_size": 6})
+def median_basket(spark, sf_dir):
+    _, x = churn_x(spark, sf_dir)
+    return cf.transaction_features(x).select(*CH_KEYS, "median_basket_size")
+
+
+@register("basket_stddev", O.with_domain(*CH_TRAIN, body="""
+SELECT unique_customer_id, program_id, basket_size_stddev FROM feats"""), rnd={"basket_size_stddev": 4})
+def basket_stddev(spark, sf_dir):
+    _, x = churn_x(spark, sf_dir)
+    return cf.transaction_features(x).select(*CH_KEYS, "basket_size_stddev")
+
+
+@register("churn_customer_base", O.with_domain(*CH_TRAIN, body="SELECT * FROM cbase"),
+          money=CH_MONEY[:4], rnd={k: v for k, v in CH_RND.items() if k in cf.BASE_COLS})
+def churn_customer_base(spark, sf_dir):
+    d, x = churn_x(spark, sf_dir)
+    return cf.customer_base(x, d.prog, P, "train")
+
+
+@register("churn_label", O.with_domain(*CH_TRAIN, body="""
+SELECT unique_customer_id, program_id, transactions_after_cutoff, is_churn FROM ds"""))
+def churn_label(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    return cf.churn_dataset(d.trx, d.cust, d.prog, P).select(*CH_KEYS, "transactions_after_cutoff", "is_churn")
+
+
+def training_frame(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    return cf.churn_training_set(d.trx, d.cust, d.prog, P)
+
+
+@register("churn_training_set", O.with_domain(*CH_TRAIN, body="SELECT * FROM train"), money=CH_MONEY, rnd=CH_RND)
+def churn_training_set(spark, sf_dir):
+    """Whole training set; the 500,000-row random cap exceeds the rows here, so all rows stay."""
+    return training_frame(spark, sf_dir).drop("rnd")
+
+
+@register("churn_prediction_set", O.with_domain(*CH_PRED, body="SELECT * FROM pred"), money=CH_MONEY, rnd=CH_RND)
+def churn_prediction_set(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    return cf.churn_prediction_set(d.trx, d.cust, d.prog, P)
+
+
+@register("capped_sample")
+def capped_sample(spark, sf_dir):
+    """The random cap as the feature: exactly 500 rows drawn uniformly (reproducible key)."""
+    d = dom(spark, sf_dir)
+    return cf.churn_training_set(d.trx, d.cust, d.prog, P, max_rows=500).select(*CH_KEYS, "is_churn", "rnd")
+
+
+@register("target_distribution", O.with_domain(*CH_TRAIN, body="""
+SELECT is_churn, count(*) AS n_rows FROM train GROUP BY is_churn"""))
+def target_distribution(spark, sf_dir):
+    return training_frame(spark, sf_dir).groupBy("is_churn").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -319,3 +319,90 @@ def analytic_customer_cte(p: RunParams = P, name: str = "ac") -> str:
   FROM (SELECT firm_id, unique_customer_id, kart_tip_detay, {inner} FROM seg) x
   GROUP BY firm_id, unique_customer_id
 )"""
+
+
+# ---------------------------------------------------------------- churn
+def exact_avg(x: str) -> str:
+    """AVG of a decimal(18,2) column rounded half-up to 6 decimals, exactly (Spark's decimal AVG)."""
+    s = f"cast(sum({x}) * 100 AS HUGEINT)"
+    n = f"cast(count({x}) AS HUGEINT)"
+    q = f"(sign({s}) * ((abs({s}) * 20000 + {n}) // ({n} * 2)))"
+    return f"cast(cast({q} AS DECIMAL(38,0)) * 0.000001 AS DECIMAL(38,6))"
+
+
+def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str]:
+    ref = ts(p.churn_cutoff if mode == "train" else p.as_of)
+    cmp = "<" if mode == "train" else "<="
+    fx = f"""fx{sfx} AS (
+  SELECT t.*, c.unique_customer_id, c.firm_id FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+  WHERE t.amount_after_discount IS NOT NULL AND t.transaction_date {cmp} {ref} AND c.is_deleted = 0
+)"""
+    cbase = f"""cbase{sfx} AS (
+  SELECT unique_customer_id, program_id, program_name, firm_id, first_transaction_date, last_transaction_date,
+    total_transactions, total_spent, avg_spent, max_spent, min_spent,
+    {fdays(ref, 'last_transaction_date')} AS days_since_last_transaction,
+    {fdays('last_transaction_date', 'first_transaction_date')} AS customer_lifetime
+  FROM (
+    SELECT x.unique_customer_id, x.firm_id, x.program_id, pr.program_name,
+      min(x.transaction_date) AS first_transaction_date, max(x.transaction_date) AS last_transaction_date,
+      count(x.transaction_id) AS total_transactions, sum(x.amount_after_discount) AS total_spent,
+      {exact_avg('x.amount_after_discount')} AS avg_spent, max(x.amount_after_discount) AS max_spent,
+      min(x.amount_after_discount) AS min_spent
+    FROM fx{sfx} x LEFT JOIN prog pr ON x.program_id = pr.program_id
+    GROUP BY x.unique_customer_id, x.firm_id, x.program_id, pr.program_name
+    HAVING count(x.transaction_id) > {p.churn_min_transactions} AND sum(x.amount_after_discount) > {p.churn_min_spend}
+  ) g
+)"""
+    lagged = f"""lagged{sfx} AS (
+  SELECT *, lag(transaction_date) OVER (PARTITION BY unique_customer_id ORDER BY transaction_date, transaction_id,
+    amount_after_discount, program_id, amount_discount NULLS FIRST, amount_used_point NULLS FIRST,
+    amount_earned_point NULLS FIRST) AS previous_transaction_date
+  FROM fx{sfx}
+)"""
+    feats = f"""feats{sfx} AS (
+  SELECT unique_customer_id, program_id, count(transaction_date) AS distinct_transactions,
+    avg({fdays('transaction_date', 'previous_transaction_date')}) AS avg_days_between_transactions,
+    quantile_cont(cast(amount_after_discount AS DOUBLE), 0.5) AS median_basket_size,
+    coalesce(stddev_samp(cast(amount_after_discount AS DOUBLE)),
+             CASE WHEN count(amount_after_discount) = 1 THEN 0.0 END) AS basket_size_stddev,
+    sum(CASE WHEN amount_discount > 0 THEN amount_discount ELSE 0 END) AS total_discount_earned,
+    count(CASE WHEN amount_discount > 0 THEN 1 END) AS discounted_transactions,
+    sum(CASE WHEN amount_used_point > 0 THEN amount_used_point ELSE 0 END) AS total_used_point,
+    sum(CASE WHEN amount_earned_point > 0 THEN amount_earned_point ELSE 0 END) AS total_earned_point,
+    count(CASE WHEN amount_used_point > 0 THEN 1 END) AS point_used_transactions
+  FROM lagged{sfx} GROUP BY unique_customer_id, program_id
+)"""
+    out = [fx, cbase, lagged, feats]
+    if mode == "train":
+        post = f"""post AS (
+  SELECT c.unique_customer_id, t.program_id, count(t.transaction_id) AS transactions_after_cutoff
+  FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+  WHERE t.transaction_date >= {ref} GROUP BY c.unique_customer_id, t.program_id
+)"""
+        ds = f"""ds AS (
+  SELECT b.unique_customer_id, b.program_id, b.program_name, b.firm_id, b.first_transaction_date,
+    b.last_transaction_date AS last_transaction_before_cutoff, b.total_transactions, b.total_spent, b.avg_spent,
+    b.max_spent, b.min_spent, b.days_since_last_transaction, b.customer_lifetime,
+    coalesce(po.transactions_after_cutoff, 0) AS transactions_after_cutoff,
+    CASE WHEN coalesce(po.transactions_after_cutoff, 0) = 0 THEN 1 ELSE 0 END AS is_churn,
+    f.distinct_transactions, f.avg_days_between_transactions, f.median_basket_size, f.basket_size_stddev,
+    f.total_discount_earned, f.discounted_transactions, f.total_used_point, f.total_earned_point,
+    f.point_used_transactions
+  FROM cbase{sfx} b
+  LEFT JOIN post po ON b.unique_customer_id = po.unique_customer_id AND b.program_id = po.program_id
+  LEFT JOIN feats{sfx} f ON b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
+)"""
+        train = f"""train AS (
+  SELECT * FROM ds WHERE is_churn = 0 OR (is_churn = 1 AND days_since_last_transaction <= {p.churn_threshold})
+)"""
+        out += [post, ds, train]
+    else:
+        pred = f"""pred AS (
+  SELECT b.*, f.distinct_transactions, f.avg_days_between_transactions, f.median_basket_size,
+    f.basket_size_stddev, f.total_discount_earned, f.discounted_transactions, f.total_used_point,
+    f.total_earned_point, f.point_used_transactions, 0 AS is_churn
+  FROM cbase{sfx} b
+  LEFT JOIN feats{sfx} f ON b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
+)"""
+        out += [pred]
+    return out
