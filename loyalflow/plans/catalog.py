@@ -433,3 +433,133 @@ def capped_sample(spark, sf_dir):
 SELECT is_churn, count(*) AS n_rows FROM train GROUP BY is_churn"""))
 def target_distribution(spark, sf_dir):
     return training_frame(spark, sf_dir).groupBy("is_churn").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ----------------------------------------------------------------- churn model
+from ..operators import churn_model as cm  # noqa: E402
+
+OUT_RND = {"q1": 6, "q3": 6, "outlier_ratio": 6}
+
+
+def training_rows(spark, sf_dir):
+    return training_frame(spark, sf_dir).drop("rnd")
+
+
+@register("outlier_columns", O.with_domain(*CH_TRAIN, *O.outlier_ctes(), body="SELECT * FROM oflag"), rnd=OUT_RND)
+def outlier_columns(spark, sf_dir):
+    return cm.outlier_columns(training_rows(spark, sf_dir))
+
+
+@register("winsorized_training", O.with_domain(*CH_TRAIN, *O.outlier_ctes(), body="SELECT * FROM wins"),
+          rnd={c: 6 for c in cm.ROUND_COLS})
+def winsorized_training(spark, sf_dir):
+    t = training_rows(spark, sf_dir)
+    w = cm.winsorize(t, cm.outlier_columns(t))
+    return w.select("unique_customer_id", "program_id", "firm_id", "is_churn", *cm.ROUND_COLS)
+
+
+@register("rounded_features", O.with_domain(*CH_PRED, body="SELECT unique_customer_id, program_id, " + ", ".join(
+    f"{O.round_even_int(c)} AS {c}" for c in cm.ROUND_COLS) + " FROM pred"))
+def rounded_features(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    pr = cf.churn_prediction_set(d.trx, d.cust, d.prog, P)
+    return cm.round_features(pr).select(*CH_KEYS, *cm.ROUND_COLS)
+
+
+@register("stratified_split", O.with_domain(*CH_TRAIN, body="""
+SELECT is_churn, n - cast(ceil(0.2 * n) AS BIGINT) AS n_train, cast(ceil(0.2 * n) AS BIGINT) AS n_val
+FROM (SELECT is_churn, count(*) AS n FROM train GROUP BY is_churn) c"""))
+def stratified_split(spark, sf_dir):
+    s = cm.stratified_split(training_rows(spark, sf_dir), seed=P.seed)
+    return s.groupBy("is_churn").agg(F.count_if(~F.col("is_val")).alias("n_train"),
+                                     F.count_if(F.col("is_val")).alias("n_val"))
+
+
+def scored_stand_in(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
+    return cm.postprocess(cm.stand_in_score(pr), P)
+
+
+@register("risk_class", O.with_domain(*CH_PRED, O.scored_pred_cte(), body="""
+SELECT unique_customer_id, program_id, churn_prob, is_churn_label, churn_class FROM spred"""))
+def risk_class(spark, sf_dir):
+    return scored_stand_in(spark, sf_dir).select(*CH_KEYS, "churn_prob", "is_churn_label", "churn_class")
+
+
+METRIC_RND = {"accuracy": 6, "precision": 6, "recall": 6, "f1_score": 6}
+
+
+@register("confusion_metrics", O.with_domain(*CH_TRAIN, body=f"""
+SELECT firm_id, tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy, prec AS precision, rec AS recall,
+  CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END AS f1_score
+FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS prec,
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rec
+  FROM (SELECT firm_id,
+    count(CASE WHEN is_churn <> 1 AND s < {P.validation_threshold} THEN 1 END) AS tn,
+    count(CASE WHEN is_churn <> 1 AND s >= {P.validation_threshold} THEN 1 END) AS fp,
+    count(CASE WHEN is_churn = 1 AND s < {P.validation_threshold} THEN 1 END) AS fn,
+    count(CASE WHEN is_churn = 1 AND s >= {P.validation_threshold} THEN 1 END) AS tp
+    FROM (SELECT *, {O.stand_in()} AS s FROM train) x GROUP BY firm_id) c) m"""), rnd=METRIC_RND)
+def confusion_metrics(spark, sf_dir):
+    t = cm.stand_in_score(training_rows(spark, sf_dir))
+    return cm.binary_metrics(t, "is_churn", "churn_prob", P.validation_threshold)
+
+
+@register("auc_rank", O.with_domain(*CH_TRAIN, body=f"""
+SELECT firm_id, (sum(p * (st + (c + 1) / 2.0)) - sum(p) * (sum(p) + 1) / 2.0) / (sum(p) * sum(c - p)) AS auc
+FROM (SELECT firm_id, s, c, p, sum(c) OVER (PARTITION BY firm_id ORDER BY s ROWS UNBOUNDED PRECEDING) - c AS st
+  FROM (SELECT firm_id, {O.stand_in()} AS s, count(*) AS c, count(CASE WHEN is_churn = 1 THEN 1 END) AS p
+        FROM train GROUP BY firm_id, s) g) r
+GROUP BY firm_id"""), rnd={"auc": 6})
+def auc_rank(spark, sf_dir):
+    return cm.auc(cm.stand_in_score(training_rows(spark, sf_dir)), "is_churn", "churn_prob")
+
+
+@register("churn_summary", O.with_domain(*CH_PRED, O.scored_pred_cte(), body="""
+SELECT firm_id, is_churn_label, churn_class, program_id, count(unique_customer_id) AS customer_count, """ + ", ".join(
+    f"quantile_cont(cast({c} AS DOUBLE), 0.5) AS {c}" for c in cm.SUMMARY_COLS) + """
+FROM spred GROUP BY firm_id, is_churn_label, churn_class, program_id"""), rnd={c: 4 for c in cm.SUMMARY_COLS})
+def churn_summary(spark, sf_dir):
+    return cm.churn_summary(scored_stand_in(spark, sf_dir))
+
+
+@register("churn_risk_distribution", O.with_domain(*CH_PRED, O.scored_pred_cte(), body="""
+SELECT firm_id, n_customers, n_low, n_medium, n_high, """ + ", ".join(
+    f"CASE WHEN n_customers = 0 THEN NULL ELSE floor((2000 * n_{c} + n_customers) / (2 * n_customers)) / 10.0 END AS pct_{c}"
+    for c in ("low", "medium", "high")) + """
+FROM (SELECT firm_id, count(*) AS n_customers, count(CASE WHEN churn_class = 'low' THEN 1 END) AS n_low,
+  count(CASE WHEN churn_class = 'medium' THEN 1 END) AS n_medium, count(CASE WHEN churn_class = 'high' THEN 1 END) AS n_high
+  FROM spred GROUP BY firm_id) g"""))
+def churn_risk_distribution(spark, sf_dir):
+    return cm.risk_distribution(scored_stand_in(spark, sf_dir))
+
+
+@register("revenue_at_risk", O.with_domain(*CH_PRED, O.scored_pred_cte(), body="""
+SELECT firm_id, n_high, avg_spent_high, round(n_high * avg_spent_high, 2) AS revenue_at_risk
+FROM (SELECT firm_id, count(CASE WHEN churn_class = 'high' THEN 1 END) AS n_high,
+  avg(CASE WHEN churn_class = 'high' THEN cast(avg_spent AS DOUBLE) END) AS avg_spent_high
+  FROM spred GROUP BY firm_id) g"""), rnd={"avg_spent_high": 6, "revenue_at_risk": 2})
+def revenue_at_risk(spark, sf_dir):
+    return cm.revenue_at_risk(scored_stand_in(spark, sf_dir))
+
+
+def fitted(spark, sf_dir, max_iter=100):
+    d = dom(spark, sf_dir)
+    train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P)
+    return d, cm.fit_churn(train, P, max_iter)
+
+
+@register("churn_scores")
+def churn_scores(spark, sf_dir):
+    """Fitted gradient-boosted model applied to the prediction set (rows-only check)."""
+    d, model = fitted(spark, sf_dir)
+    pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
+    out = cm.postprocess(cm.churn_probability(model, pr), P)
+    return out.select("firm_id", *CH_KEYS, "churn_prob", "is_churn_pred", "is_churn_label", "churn_class", "model_id")
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    _, model = fitted(spark, sf_dir)
+    return cm.feature_importances(model, spark, P.run_id)

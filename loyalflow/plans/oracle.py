@@ -406,3 +406,80 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
 )"""
         out += [pred]
     return out
+
+
+# ---------------------------------------------------------------- churn model
+ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "min_spent",
+              "days_since_last_transaction", "customer_lifetime", "distinct_transactions",
+              "avg_days_between_transactions", "median_basket_size", "basket_size_stddev",
+              "total_discount_earned", "discounted_transactions", "total_used_point", "total_earned_point",
+              "point_used_transactions"]
+
+
+def outlier_ctes(k: float = 3.0, ratio: float = 0.01) -> list[str]:
+    casts = ", ".join(f"cast({c} AS DOUBLE) AS {c}" for c in ROUND_COLS)
+    lng = f"""olong AS (
+  UNPIVOT (SELECT firm_id, program_id, is_churn, {casts} FROM train)
+  ON {', '.join(ROUND_COLS)} INTO NAME "column" VALUE value
+)"""
+    oq = """oq AS (
+  SELECT firm_id, program_id, is_churn, "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+  FROM olong WHERE NOT isnan(value) GROUP BY firm_id, program_id, is_churn, "column"
+)"""
+    oflag = f"""oflag AS (
+  SELECT l.firm_id, l.program_id, l.is_churn, l."column", first(q.q1) AS q1, first(q.q3) AS q3,
+    avg(CASE WHEN l.value < q.q1 - {k} * (q.q3 - q.q1) OR l.value > q.q3 + {k} * (q.q3 - q.q1) THEN 1.0 ELSE 0.0 END) AS outlier_ratio,
+    count(*) AS n_values,
+    avg(CASE WHEN l.value < q.q1 - {k} * (q.q3 - q.q1) OR l.value > q.q3 + {k} * (q.q3 - q.q1) THEN 1.0 ELSE 0.0 END) > {ratio} AS flagged
+  FROM olong l JOIN oq q ON l.firm_id = q.firm_id AND l.program_id = q.program_id AND l.is_churn = q.is_churn
+    AND l."column" = q."column"
+  GROUP BY l.firm_id, l.program_id, l.is_churn, l."column"
+)"""
+    ostat = """ostat AS (
+  SELECT l.firm_id, l.program_id, l.is_churn, l."column",
+    avg(CASE WHEN l.value >= 0 THEN sqrt(l.value) END) + 3.0 * stddev_samp(CASE WHEN l.value >= 0 THEN sqrt(l.value) END) AS cap
+  FROM olong l GROUP BY l.firm_id, l.program_id, l.is_churn, l."column"
+)"""
+    caps = ", ".join(
+        f"bool_or(s.\"column\" = '{c}') AS f_{c}, max(CASE WHEN s.\"column\" = '{c}' THEN s.cap END) AS t_{c}"
+        for c in ROUND_COLS)
+    owide = f"""owide AS (
+  SELECT s.firm_id, s.program_id, s.is_churn, {caps}
+  FROM ostat s JOIN oflag f ON s.firm_id = f.firm_id AND s.program_id = f.program_id AND s.is_churn = f.is_churn
+    AND s."column" = f."column" AND f.outlier_ratio > {ratio}
+  GROUP BY s.firm_id, s.program_id, s.is_churn
+)"""
+
+    def repl(c):
+        v = f"cast(t.{c} AS DOUBLE)"
+        sq = f"(CASE WHEN {v} >= 0 THEN sqrt({v}) END)"
+        return f"CASE WHEN w.f_{c} THEN (CASE WHEN {sq} > w.t_{c} THEN w.t_{c} ELSE {sq} END) ELSE {v} END AS {c}"
+
+    wins = f"""wins AS (
+  SELECT t.unique_customer_id, t.program_id, t.firm_id, t.is_churn, {', '.join(repl(c) for c in ROUND_COLS)}
+  FROM train t LEFT JOIN owide w ON t.firm_id = w.firm_id AND t.program_id = w.program_id AND t.is_churn = w.is_churn
+)"""
+    return [lng, oq, oflag, ostat, owide, wins]
+
+
+def round_even_int(x: str) -> str:
+    return f"cast(round_even(coalesce(cast({x} AS DOUBLE), 0.0), 0) AS INTEGER)"
+
+
+def stand_in(x: str = "unique_customer_id") -> str:
+    return f"(cast({x} * 7919 % 1000 AS DOUBLE) / 1000.0)"
+
+
+def risk_sql(prob: str, p: RunParams = P) -> str:
+    return (f"CASE WHEN {prob} < {p.risk_medium} THEN 'low' WHEN {prob} >= {p.risk_medium} AND {prob} < {p.risk_high} "
+            f"THEN 'medium' WHEN {prob} >= {p.risk_high} THEN 'high' ELSE 'unknown' END")
+
+
+def scored_pred_cte(p: RunParams = P) -> str:
+    rounded = ", ".join(f"{round_even_int(c)} AS {c}" for c in ROUND_COLS)
+    return f"""spred AS (
+  SELECT unique_customer_id, program_id, firm_id, {rounded}, churn_prob,
+    CASE WHEN churn_prob >= {p.score_threshold} THEN 'CHURN' ELSE 'CHURN RİSKİ YOK' END AS is_churn_label,
+    {risk_sql('churn_prob', p)} AS churn_class
+  FROM (SELECT *, {stand_in()} AS churn_prob FROM pred) x
+)"""
