@@ -38,14 +38,13 @@ def equal_width_bin(x, lo, hi, bins: int) -> Column:
 
 
 def pct_half_up(n, total, decimals: int = 1) -> Column:
-    """``ROUND(100 * n / total, decimals)`` computed in exact integer arithmetic
-    (half away from zero for n >= 0); NULL when total is 0."""
+    """``ROUND(100 * n / total, decimals)`` in exact integer arithmetic, half away
+    from zero (SQL ``ROUND`` on exact numbers); NULL when total is 0 or NULL."""
     scale = 10 ** decimals
     nn, tt = _c(n).cast("long"), _c(total).cast("long")
-    num = F.lit(2 * 100 * scale) * nn + tt
+    mag = F.floor((F.lit(2 * 100 * scale) * F.abs(nn) + tt) / (F.lit(2) * tt)).cast("long")
     return F.when(tt == 0, F.lit(None).cast("double")).otherwise(
-        F.floor(num / (F.lit(2) * tt)).cast("double") / F.lit(float(scale))
-    )
+        (F.signum(nn) * mag).cast("double") / F.lit(float(scale)))
 
 
 def nan_to_null(x) -> Column:

@@ -563,3 +563,99 @@ def churn_scores(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
     return cm.feature_importances(model, spark, P.run_id)
+
+
+# ----------------------------------------------------------------- firm KPIs and narrative
+from ..operators import insight as ins  # noqa: E402
+
+KPI = [*SEG, O.analytic_customer_cte(), *O.kpi_ctes(P)]
+MED_NAMES = list(ins.MEDIAN_CODES)
+KPI_MONEY = MED_NAMES + ["lost_revenue_from_churn_risk", "projected_revenue_from_active_customers"]
+
+
+def ac_frame(spark, sf_dir):
+    return cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)
+
+
+TOTAL_COLS = ["firm_id", "earliest_trn_year", "earliest_trn_month", "total_customers", "total_vip_customer_count",
+              "total_vip_customer_pct", "total_loyal_customer_count", "total_loyal_customer_pct",
+              "total_one_time_customer_count", "total_one_time_customer_pct"]
+
+
+@register("firm_totals", O.with_domain(*KPI, body=f"SELECT {', '.join(TOTAL_COLS)} FROM ktot"))
+def firm_totals(spark, sf_dir):
+    return ins.firm_totals(ac_frame(spark, sf_dir)).select(*TOTAL_COLS)
+
+
+LY_COLS = ["firm_id", "customer_count"] + [f"{n}_{s}" for n, _, _ in O.LY_COUNTS for s in ("count", "pct")]
+
+
+@register("firm_last_year", O.with_domain(*KPI, body=f"SELECT {', '.join(LY_COLS)} FROM kly"))
+def firm_last_year(spark, sf_dir):
+    return ins.firm_last_year(ac_frame(spark, sf_dir), P).select(*LY_COLS)
+
+
+@register("firm_medians", O.with_domain(*KPI, body=f"SELECT firm_id, {', '.join(MED_NAMES)} FROM kly"),
+          money=MED_NAMES)
+def firm_medians(spark, sf_dir):
+    return ins.firm_medians(ac_frame(spark, sf_dir), P)
+
+
+def kpi_frame(spark, sf_dir):
+    return ins.firm_kpis(ac_frame(spark, sf_dir), P)
+
+
+@register("firm_kpis", O.with_domain(*KPI, body="SELECT * FROM kpis"), money=KPI_MONEY)
+def firm_kpis(spark, sf_dir):
+    return kpi_frame(spark, sf_dir)
+
+
+DERIVED = ["churned_customer_count", "total_churn_risk_customer_pct", "actual_churn_rate", "median_monetary_value_int",
+           "median_avg_purchase_value_int", "lost_revenue_int", "projected_revenue_int",
+           "new_customer_contribution_pct_1", "retention_ratio_1"]
+
+
+@register("firm_kpi_derived", O.with_domain(*KPI, body=f"SELECT firm_id, {', '.join(DERIVED)} FROM kder"))
+def firm_kpi_derived(spark, sf_dir):
+    return ins.derive_kpis(kpi_frame(spark, sf_dir)).select("firm_id", *DERIVED)
+
+
+RULES = ["rule_retention", "rule_vip", "rule_conversion", "rule_growth"]
+
+
+@register("insight_rules", O.with_domain(*KPI, body=f"SELECT firm_id, {', '.join(RULES)} FROM krules"))
+def insight_rules(spark, sf_dir):
+    return ins.insight_rules(ins.derive_kpis(kpi_frame(spark, sf_dir))).select("firm_id", *RULES)
+
+
+def insight_frame(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    ac = cust_plan.analytic_customer(cust_plan.segmented_rows(d, P), P)
+    return ins.firm_insight(ac, ins.tenants_from(d.cust), P)
+
+
+@register("insight_text", O.with_domain(*KPI, body=f"""
+SELECT firm_id, {O.insight_sql_expr()} AS smart_insight
+FROM (SELECT *, concat('FIRM_', cast(firm_id AS VARCHAR)) AS firm_name FROM krules) k"""))
+def insight_text(spark, sf_dir):
+    return insight_frame(spark, sf_dir).select("firm_id", "smart_insight")
+
+
+def _segment_text_sql():
+    sent = O.fill_sql(ins.T_SEGMENT_SENTENCE, segment="segment_name", count=O.thousands_sql("n"),
+                      monetary="concat(" + O.thousands_sql("mon_int") + ", '.0')",
+                      frequency="printf('%d.%02d', frq100 // 100, frq100 % 100)")
+    return f"""
+SELECT firm_id, string_agg(sentence, ' ' ORDER BY segment_name) AS segment_insight FROM (
+  SELECT firm_id, segment_name, {sent} AS sentence FROM (
+    SELECT firm_id, segment_name, n,
+      cast(sign(mon) * floor((abs(mon) * 2 + n) / (n * 2)) AS BIGINT) AS mon_int,
+      cast(floor((frq * 200 + n) / (n * 2)) AS BIGINT) AS frq100
+    FROM (SELECT firm_id, P15 AS segment_name, count(*) AS n, sum(cast(P5 AS DECIMAL(38,2))) AS mon,
+            sum(cast(P4 AS BIGINT)) AS frq FROM ac GROUP BY firm_id, P15) g) s) t
+GROUP BY firm_id"""
+
+
+@register("segment_text", O.with_domain(*SEG, O.analytic_customer_cte(), body=_segment_text_sql()))
+def segment_text(spark, sf_dir):
+    return ins.segment_text(ac_frame(spark, sf_dir))

@@ -483,3 +483,152 @@ def scored_pred_cte(p: RunParams = P) -> str:
     {risk_sql('churn_prob', p)} AS churn_class
   FROM (SELECT *, {stand_in()} AS churn_prob FROM pred) x
 )"""
+
+
+# ---------------------------------------------------------------- firm KPIs / insight
+def pct_sql(n: str, t: str, d: int = 1) -> str:
+    s = 10 ** d
+    return (f"CASE WHEN ({t}) = 0 THEN NULL ELSE sign({n}) * floor((200 * {s} * abs({n}) + ({t})) / (2.0 * ({t}))) "
+            f"/ {float(s)} END")
+
+
+LY_COUNTS = [("new_customer", "P6", "New Customer"), ("active_customer", "P6", "Active Customer"),
+             ("one_time_customer", "P15", "One-time Buyer"), ("vip_customer", "P15", "VIP Customer"),
+             ("loyal_customer", "P15", "Loyal Customer"),
+             ("potential_growth_customer", "P15", "Potential Growth Customer"),
+             ("at_risk_customer", "P6", "Active - at risk"), ("churn_risk_customer", "P15", "at Risk")]
+MEDIANS = [("median_recency", "P3"), ("median_frequency", "P4"), ("median_monetary_value", "P5"),
+           ("median_customer_lifespan_value", "P11"), ("median_avg_purchase_value", "P12"),
+           ("median_clv_value", "P14")]
+
+
+def kpi_ctes(p: RunParams = P) -> list[str]:
+    ly_cut = ts(p.months_back(12))
+    tot = f"""ktot AS (
+  SELECT firm_id, cast(year(min_p1) AS INTEGER) AS earliest_trn_year, cast(month(min_p1) AS INTEGER) AS earliest_trn_month,
+    total_customers, total_vip_customer_count, total_loyal_customer_count, total_one_time_customer_count, _total_at_risk,
+    {pct_sql('total_vip_customer_count', 'total_customers')} AS total_vip_customer_pct,
+    {pct_sql('total_loyal_customer_count', 'total_customers')} AS total_loyal_customer_pct,
+    {pct_sql('total_one_time_customer_count', 'total_customers')} AS total_one_time_customer_pct
+  FROM (SELECT firm_id, try_strptime(min(P1), '%Y%m%d') AS min_p1, count(*) AS total_customers,
+      count(CASE WHEN P15 = 'VIP Customer' THEN 1 END) AS total_vip_customer_count,
+      count(CASE WHEN P15 = 'Loyal Customer' THEN 1 END) AS total_loyal_customer_count,
+      count(CASE WHEN P15 = 'One-time Buyer' THEN 1 END) AS total_one_time_customer_count,
+      count(CASE WHEN P15 = 'at Risk' THEN 1 END) AS _total_at_risk
+    FROM ac GROUP BY firm_id) g
+)"""
+    ly_rows = f"""lyc AS (
+  SELECT * FROM ac WHERE cast(try_strptime(P2, '%Y%m%d') AS TIMESTAMP) >= {ly_cut}
+)"""
+    cnts = ", ".join(f"count(CASE WHEN {c} = '{lab}' THEN 1 END) AS {n}_count" for n, c, lab in LY_COUNTS)
+    pcts = ", ".join(f"{pct_sql(n + '_count', 'customer_count')} AS {n}_pct" for n, _, _ in LY_COUNTS)
+    meds = ", ".join(f"cast(round(quantile_cont(try_cast({c} AS DOUBLE), 0.5), 3) AS DECIMAL(38,3)) AS {n}"
+                     for n, c in MEDIANS)
+    ly = f"""kly AS (
+  SELECT *, {pcts} FROM (SELECT firm_id, count(*) AS customer_count, {cnts}, {meds} FROM lyc GROUP BY firm_id) g
+)"""
+    kpis = f"""kpis AS (
+  SELECT t.firm_id, t.earliest_trn_year, t.earliest_trn_month, t.total_customers, t.total_vip_customer_count,
+    t.total_vip_customer_pct, t.total_loyal_customer_count, t.total_loyal_customer_pct,
+    t.total_one_time_customer_count, t.total_one_time_customer_pct,
+    l.churn_risk_customer_count AS total_churn_risk_customer_count,
+    t._total_at_risk - l.churn_risk_customer_count AS total_churned_customer_count,
+    l.customer_count AS last_year_customer_count,
+    {', '.join('l.' + n for n, _ in MEDIANS)},
+    {', '.join(f'l.{n}_count, l.{n}_pct' for n, _, _ in LY_COUNTS)},
+    {pct_sql('l.active_customer_count - l.one_time_customer_count', 'l.active_customer_count', 2)} AS one_time_to_active_conversion_rate,
+    {pct_sql('l.active_customer_count', 'l.customer_count', 2)} AS retention_ratio,
+    {pct_sql('l.new_customer_count', 'l.active_customer_count', 2)} AS new_customer_contribution_pct,
+    round(cast(l.churn_risk_customer_count AS DECIMAL(20,0)) * l.median_avg_purchase_value, 2) AS lost_revenue_from_churn_risk,
+    round(cast(l.active_customer_count AS DECIMAL(20,0)) * l.median_avg_purchase_value, 2) AS projected_revenue_from_active_customers
+  FROM ktot t LEFT JOIN kly l ON t.firm_id = l.firm_id
+)"""
+    derived = """kder AS (
+  SELECT *, total_churned_customer_count AS churned_customer_count,
+    round_even(cast(total_churn_risk_customer_count AS DOUBLE) / last_year_customer_count * 100, 1) AS total_churn_risk_customer_pct,
+    round_even(cast(total_churned_customer_count AS DOUBLE) / total_customers * 100, 1) AS actual_churn_rate,
+    cast(round_even(cast(median_monetary_value AS DOUBLE), 0) AS BIGINT) AS median_monetary_value_int,
+    cast(round_even(cast(median_avg_purchase_value AS DOUBLE), 0) AS BIGINT) AS median_avg_purchase_value_int,
+    cast(round_even(cast(lost_revenue_from_churn_risk AS DOUBLE), 0) AS BIGINT) AS lost_revenue_int,
+    cast(round_even(cast(projected_revenue_from_active_customers AS DOUBLE), 0) AS BIGINT) AS projected_revenue_int,
+    round_even(cast(new_customer_contribution_pct AS DOUBLE), 1) AS new_customer_contribution_pct_1,
+    round_even(cast(retention_ratio AS DOUBLE), 1) AS retention_ratio_1
+  FROM kpis
+)"""
+    rules = """krules AS (
+  SELECT *,
+    CASE WHEN retention_ratio_1 > 80 THEN 'strong' WHEN retention_ratio_1 < 50 THEN 'weak' ELSE 'none' END AS rule_retention,
+    CASE WHEN vip_customer_pct < 10 THEN 'low' ELSE 'high' END AS rule_vip,
+    CASE WHEN one_time_to_active_conversion_rate > 50 THEN 'high' ELSE 'low' END AS rule_conversion,
+    CASE WHEN potential_growth_customer_pct > total_churn_risk_customer_pct THEN 'growth' ELSE 'risk' END AS rule_growth
+  FROM kder
+)"""
+    return [ly_rows, tot, ly, kpis, derived, rules]
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def fill_sql(template: str, **exprs: str) -> str:
+    import re
+    parts, pos = [], 0
+    for m in re.finditer(r"\{(\w+)\}", template):
+        if m.start() > pos:
+            parts.append(_lit(template[pos:m.start()]))
+        parts.append(f"coalesce(cast({exprs[m.group(1)]} AS VARCHAR), 'nan')")
+        pos = m.end()
+    if pos < len(template):
+        parts.append(_lit(template[pos:]))
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def thousands_sql(x: str) -> str:
+    return f"format('{{:,}}', cast({x} AS BIGINT))"
+
+
+def num_text_sql(x: str, d: int = 2) -> str:
+    s = f"format('{{:.{d}f}}', cast({x} AS DOUBLE))"
+    return f"regexp_replace(regexp_replace({s}, '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '')"
+
+
+def suffix_sql(t: str) -> str:
+    from ..functions.text import SUFFIX_BY_DIGIT, SUFFIX_BY_TENS, SUFFIX_OTHER
+    d = " ".join(f"WHEN {_lit(str(k))} THEN {_lit(v)}" for k, v in SUFFIX_BY_DIGIT.items())
+    tens = " ".join(f"WHEN {_lit(str(k))} THEN {_lit(v)}" for k, v in SUFFIX_BY_TENS.items())
+    return (f"CASE WHEN right({t}, 1) <> '0' THEN (CASE right({t}, 1) {d} END) "
+            f"ELSE coalesce(CASE {t} {tens} END, {_lit(SUFFIX_OTHER)}) END")
+
+
+def pct_suffix_sql(x: str) -> str:
+    t = num_text_sql(x)
+    return f"concat('%', {t}, {suffix_sql(t)})"
+
+
+def insight_sql_expr() -> str:
+    from ..functions.text import MONTHS_TR
+    from ..operators import insight as I
+    months = "[" + ", ".join(_lit(m) for m in MONTHS_TR) + "]"
+    firm = "firm_name"
+    intro = fill_sql(I.T_INTRO, firm=firm, year="earliest_trn_year", month=f"{months}[earliest_trn_month]",
+                     total=thousands_sql("total_customers"), ly=thousands_sql("last_year_customer_count"),
+                     active_pct=pct_suffix_sql("active_customer_pct"), projected=thousands_sql("projected_revenue_int"),
+                     retention_pct=pct_suffix_sql("retention_ratio_1"))
+    ret = (f"CASE WHEN rule_retention = 'strong' THEN {_lit(I.T_RET_STRONG)} WHEN rule_retention = 'weak' "
+           f"THEN {_lit(I.T_RET_WEAK)} ELSE '' END")
+    rfm = fill_sql(I.T_RFM, recency=num_text_sql("median_recency"), frequency=num_text_sql("median_frequency"),
+                   monetary=thousands_sql("median_monetary_value_int"))
+    segs = fill_sql(I.T_SEGMENTS, firm=firm, vip_pct=pct_suffix_sql("vip_customer_pct"))
+    vip = f"CASE WHEN rule_vip = 'low' THEN {_lit(I.T_VIP_LOW)} ELSE {_lit(I.T_VIP_HIGH)} END"
+    loyal = fill_sql(I.T_LOYAL, loyal_pct=pct_suffix_sql("loyal_customer_pct"))
+    one = fill_sql(I.T_ONE_TIME, firm=firm, one_time_pct=pct_suffix_sql("one_time_customer_pct"))
+    conv_t = num_text_sql("one_time_to_active_conversion_rate")
+    conv = (f"CASE WHEN rule_conversion = 'high' THEN {fill_sql(I.T_CONV_HIGH, conversion=conv_t)} "
+            f"ELSE {fill_sql(I.T_CONV_LOW, conversion=conv_t)} END")
+    risk = fill_sql(I.T_CHURN_RISK, churn_risk_pct=pct_suffix_sql("total_churn_risk_customer_pct"),
+                    lost=thousands_sql("lost_revenue_int"))
+    churned = fill_sql(I.T_CHURNED, churned=thousands_sql("churned_customer_count"),
+                       churned_pct=num_text_sql("actual_churn_rate"))
+    growth = fill_sql(I.T_GROWTH, growth_pct=pct_suffix_sql("potential_growth_customer_pct"))
+    g2 = f"CASE WHEN rule_growth = 'growth' THEN {fill_sql(I.T_GROWTH_UP, firm=firm)} ELSE {_lit(I.T_GROWTH_DOWN)} END"
+    return f"concat({intro}, {ret}, {rfm}, {segs}, {vip}, {loyal}, {one}, {conv}, {risk}, {churned}, {growth}, {g2})"
