@@ -659,3 +659,158 @@ GROUP BY firm_id"""
 @register("segment_text", O.with_domain(*SEG, O.analytic_customer_cte(), body=_segment_text_sql()))
 def segment_text(spark, sf_dir):
     return ins.segment_text(ac_frame(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- registry, sinks, run log
+from ..operators import sinks  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import registry as reg  # noqa: E402
+from ..streaming import incremental as inc  # noqa: E402
+
+
+@register("tenant_registry", O.with_domain(body="""
+SELECT DISTINCT cast(firm_id AS INTEGER) AS "ID", concat('FIRM_', cast(firm_id AS VARCHAR)) AS "FIRM_NAME",
+  concat('T', cast(firm_id AS VARCHAR), '_ELT') AS "CONN_DATA_USER_ELT",
+  concat('T', cast(firm_id AS VARCHAR), '_CDP') AS "CONN_DATA_USER_CDP" FROM cust"""))
+def tenant_registry(spark, sf_dir):
+    return reg.tenants(dom(spark, sf_dir).cust)
+
+
+def _metrics_values():
+    return ", ".join(f"({m}, '{n}', {p})" for m, n, p in reg.METRICS)
+
+
+@register("tenant_task_matrix", O.with_domain(body=f"""
+SELECT a.firm_id, m.metric_id, m.display_name, m.working_day_period
+FROM (SELECT DISTINCT c.firm_id FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+      WHERE t.transaction_date >= {O.ts(P.months_back(12))}) a
+CROSS JOIN (SELECT * FROM (VALUES {_metrics_values()}) v(metric_id, display_name, working_day_period)
+            WHERE working_day_period > 0) m"""))
+def tenant_task_matrix(spark, sf_dir):
+    d = dom(spark, sf_dir)
+    return reg.task_matrix(d.trx, d.cust, P)
+
+
+@register("parquet_roundtrip", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, count(*) AS n_rows, sum(monetary) AS monetary, sum(frequency) AS frequency
+FROM rfm GROUP BY firm_id"""), money=["monetary"])
+def parquet_roundtrip(spark, sf_dir):
+    """RFM rows written to Parquet (partitioned by tenant) under the shared folder and read back."""
+    path = scratch_path(spark, "rfm_stg")
+    sinks.write_parquet(rfm_frame(spark, sf_dir), path)
+    back = spark.read.parquet(path).withColumn("firm_id", F.col("firm_id").cast("long"))
+    return back.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("monetary").alias("monetary"),
+                                       F.sum("frequency").alias("frequency"))
+
+
+@register("overwrite_sink", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, count(*) AS n_rows FROM rfm WHERE firm_id <> 1 OR frequency_iade > 0 GROUP BY firm_id"""))
+def overwrite_sink(spark, sf_dir):
+    """Full write, then a rebuild of tenant 1 only (dynamic partition overwrite)."""
+    path = scratch_path(spark, "rfm_rebuild")
+    r = rfm_frame(spark, sf_dir)
+    sinks.write_parquet(r, path)
+    sinks.rebuild_tenants(r.where((F.col("firm_id") == 1) & (F.col("frequency_iade") > 0)), path)
+    back = spark.read.parquet(path).withColumn("firm_id", F.col("firm_id").cast("long"))
+    return back.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("schema_aligned_append", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, count(*) AS n_rows, count(frequency) AS n_frequency, sum(monetary) AS monetary
+FROM (SELECT firm_id, unique_customer_id, kart_tip_detay, monetary, frequency FROM rfm
+      UNION ALL SELECT firm_id, unique_customer_id, kart_tip_detay, monetary, NULL FROM rfm WHERE recency_iade IS NOT NULL) u
+GROUP BY firm_id"""), money=["monetary"])
+def schema_aligned_append(spark, sf_dir):
+    """Append frames with extra and missing columns to a fixed target schema."""
+    path = scratch_path(spark, "rfm_target")
+    r = rfm_frame(spark, sf_dir)
+    r.select("firm_id", "unique_customer_id", "kart_tip_detay", "monetary", "frequency").limit(0) \
+        .write.mode("overwrite").parquet(path)
+    sinks.append_aligned(r, path)  # extra columns dropped
+    sinks.append_aligned(r.where(F.col("recency_iade").isNotNull())
+                         .select("unique_customer_id", "monetary", "firm_id", "kart_tip_detay", "recency"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.count("frequency").alias("n_frequency"),
+                                       F.sum("monetary").alias("monetary"))
+
+
+@register("parameterized_query", O.with_domain(body=f"""
+SELECT trx_state_id, count(*) AS n_rows FROM valid
+WHERE transaction_date >= {O.ts(P.churn_cutoff)} AND amount_after_discount > {P.min_spend}
+GROUP BY trx_state_id"""))
+def parameterized_query(spark, sf_dir):
+    """Named parameters bound by ``spark.sql(args=...)`` (no text substitution)."""
+    t = rfm_ops.valid_transactions(dom(spark, sf_dir).trx)
+    return spark.sql(
+        "SELECT trx_state_id, count(*) AS n_rows FROM {t} "
+        "WHERE transaction_date >= :cutoff AND amount_after_discount > :min_spend GROUP BY trx_state_id",
+        args={"cutoff": P.churn_cutoff.strftime("%Y-%m-%d %H:%M:%S"), "min_spend": P.min_spend}, t=t)
+
+
+@register("audit_columns", O.with_domain(O.rfm_cte(), body=f"""
+SELECT firm_id, unique_customer_id, kart_tip_detay, '{P.created_by}' AS created_by, '{P.created_by}' AS updated_by,
+  {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date, cast({P.run_id} AS BIGINT) AS model_id
+FROM rfm"""))
+def audit_columns(spark, sf_dir):
+    r = rfm_frame(spark, sf_dir).select("firm_id", "unique_customer_id", "kart_tip_detay")
+    return sinks.with_audit(r, P.created_by, P.as_of_date_col, P.run_id)
+
+
+def _run_log_sql():
+    metrics = "[" + ", ".join(str(m) for m, _, _ in reg.METRICS) + "]"
+    jt = " ".join(f"WHEN {k} THEN '{v}'" for k, v in reg.JOB_TYPES.items())
+    return f"""
+SELECT firm_id, metric_id, status, job_type, last_ts, n_events FROM (
+  SELECT *, row_number() OVER (PARTITION BY firm_id, metric_id ORDER BY ts DESC, event_id DESC) AS rn,
+    max(ts) OVER (PARTITION BY firm_id, metric_id) AS last_ts,
+    count(*) OVER (PARTITION BY firm_id, metric_id) AS n_events
+  FROM (SELECT event_id, ts, user_id % 3 + 1 AS firm_id, {metrics}[cast(event_id % 3 + 1 AS INTEGER)] AS metric_id,
+          CASE {metrics}[cast(event_id % 3 + 1 AS INTEGER)] {jt} END AS job_type,
+          CASE WHEN event_type = 'error' THEN 'FAIL' WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE 'PENDING' END AS status
+        FROM events) e) r
+WHERE rn = 1"""
+
+
+@register("run_log_latest", _run_log_sql())
+def run_log_latest(spark, sf_dir):
+    log = sinks.validate_status(reg.run_log_events(spark, sf_dir))
+    return sinks.latest_status(log)
+
+
+UPSERT_COLS = ["kart_tip_detay", "monetary", "frequency", "recency"]
+
+
+@register("customer_upsert", O.with_domain(O.rfm_cte(), body=f"""
+SELECT coalesce(n.unique_customer_id, o.unique_customer_id) AS unique_customer_id, """ + ", ".join(
+    f"CASE WHEN n.unique_customer_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in UPSERT_COLS) + """
+FROM (SELECT unique_customer_id, min(kart_tip_detay) AS kart_tip_detay, arg_min(monetary, kart_tip_detay) AS monetary,
+        arg_min(frequency, kart_tip_detay) AS frequency, arg_min(recency, kart_tip_detay) AS recency
+      FROM rfm WHERE firm_id IN (1, 2) GROUP BY unique_customer_id) o
+FULL OUTER JOIN (SELECT unique_customer_id, max(kart_tip_detay) AS kart_tip_detay,
+        arg_max(monetary, kart_tip_detay) AS monetary, arg_max(frequency, kart_tip_detay) AS frequency,
+        arg_max(recency, kart_tip_detay) AS recency
+      FROM rfm WHERE firm_id IN (2, 3) GROUP BY unique_customer_id) n
+ON o.unique_customer_id = n.unique_customer_id"""), money=["monetary"])
+def customer_upsert(spark, sf_dir):
+    """Upsert on the unique customer: an earlier load (firms 1-2, first program) merged with a
+    newer one (firms 2-3, last program); overlapping customers take the newer row."""
+    r = rfm_frame(spark, sf_dir)
+    old = reshape.collapse_first(r.where(F.col("firm_id").isin(1, 2)), ["unique_customer_id"], "kart_tip_detay",
+                                 UPSERT_COLS[1:])
+    last = F.max_by(F.struct(*[F.col(c) for c in UPSERT_COLS]), F.col("kart_tip_detay")).alias("_r")
+    new = r.where(F.col("firm_id").isin(2, 3)).groupBy("unique_customer_id").agg(last) \
+        .select("unique_customer_id", *[F.col(f"_r.{c}").alias(c) for c in UPSERT_COLS])
+    return sinks.upsert(old, new, ["unique_customer_id"])
+
+
+@register("incremental_totals", O.with_domain(body="""
+SELECT c.firm_id, c.unique_customer_id, count(*) AS n_transactions, sum(t.amount_after_discount) AS spend,
+  min(t.transaction_date) AS first_date, max(t.transaction_date) AS last_date
+FROM valid t JOIN cust c ON t.customer_id = c.customer_id GROUP BY c.firm_id, c.unique_customer_id"""),
+          money=["spend"])
+def incremental_totals(spark, sf_dir):
+    """Structured Streaming: line items stream in, per-batch partials are stored idempotently,
+    the running totals are the merge of all partials."""
+    table = inc.run_incremental(spark, sf_dir, scratch_path(spark, "incremental"))
+    return inc.merge_partials(spark.read.parquet(table))
