@@ -44,13 +44,10 @@ def feature_transactions(trx: DataFrame, cust: DataFrame, params: RunParams = DE
     return t.join(c, "customer_id").where(F.col("_cust_deleted") == 0).drop("_cust_deleted")
 
 
-def customer_base(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
-    """CUSTOMER_BASE: eligible (customer, program) with spend and recency measures."""
-    ref = ts_lit(_reference(params, mode))
-    p = broadcast_checked(prog, DIM_ROWS)
+def _base_aggs():
     aad = F.col("amount_after_discount")
     d = F.col("transaction_date")
-    g = x.join(p, "program_id", "left").groupBy("unique_customer_id", "firm_id", "program_id", "program_name").agg(
+    return [
         F.min(d).alias("first_transaction_date"),
         F.max(d).alias("last_transaction_date"),
         F.count("transaction_id").alias("total_transactions"),
@@ -58,29 +55,26 @@ def customer_base(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mo
         F.avg(aad).alias("avg_spent"),
         F.max(aad).alias("max_spent"),
         F.min(aad).alias("min_spent"),
-    ).where((F.col("total_transactions") > params.churn_min_transactions)
+    ]
+
+
+def _base_filter(params: RunParams):
+    return ((F.col("total_transactions") > params.churn_min_transactions)
             & (F.col("total_spent") > F.lit(params.churn_min_spend)))
-    return g.withColumns({
-        "days_since_last_transaction": frac_days(ref, F.col("last_transaction_date")),
-        "customer_lifetime": frac_days(F.col("last_transaction_date"), F.col("first_transaction_date")),
-    }).select(*BASE_COLS)
 
 
-def with_previous_date(x: DataFrame) -> DataFrame:
-    """Previous purchase date of the same customer (any program), skew-safe lag."""
-    cols = ["unique_customer_id", "transaction_date", "transaction_id", "amount_after_discount", "program_id",
-            "amount_discount", "amount_used_point", "amount_earned_point"]
-    return lag_in_order(x.select(*cols), ["unique_customer_id"],
-                        ["transaction_date", "transaction_id", "amount_after_discount"],
-                        "transaction_date", "previous_transaction_date")
+def _base_derived(params: RunParams, mode: str) -> dict:
+    ref = ts_lit(_reference(params, mode))
+    return {
+        "days_since_last_transaction": frac_days(ref, F.col("last_transaction_date")),
+        "customer_lifetime": frac_days(F.col("last_transaction_date"), F.col("first_transaction_date")),
+    }
 
 
-def transaction_features(x: DataFrame) -> DataFrame:
-    """TRANSACTION_FEATURES per (customer, program)."""
-    lagged = with_previous_date(x)
+def _feature_aggs():
     ad, used, earned = F.col("amount_discount"), F.col("amount_used_point"), F.col("amount_earned_point")
     zero = F.lit(0).cast("decimal(18,2)")
-    agg = lagged.groupBy(*KEYS).agg(
+    return [
         F.count("transaction_date").alias("distinct_transactions"),
         F.avg(frac_days(F.col("transaction_date"), F.col("previous_transaction_date")))
         .alias("avg_days_between_transactions"),
@@ -90,11 +84,50 @@ def transaction_features(x: DataFrame) -> DataFrame:
         F.sum(F.when(used > 0, used).otherwise(zero)).alias("total_used_point"),
         F.sum(F.when(earned > 0, earned).otherwise(zero)).alias("total_earned_point"),
         F.count(F.when(used > 0, F.lit(1))).alias("point_used_transactions"),
-    )
-    med = median(x, KEYS, "amount_after_discount", "median_basket_size")
+    ]
+
+
+def customer_base(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
+    """CUSTOMER_BASE: eligible (customer, program) with spend and recency measures."""
+    p = broadcast_checked(prog, DIM_ROWS)
+    g = x.groupBy("unique_customer_id", "firm_id", "program_id").agg(*_base_aggs()).where(_base_filter(params))
+    return g.join(p, "program_id", "left").withColumns(_base_derived(params, mode)).select(*BASE_COLS)
+
+
+LAG_COLS = ["unique_customer_id", "firm_id", "transaction_date", "transaction_id", "amount_after_discount",
+            "program_id", "amount_discount", "amount_used_point", "amount_earned_point"]
+
+
+def with_previous_date(x: DataFrame) -> DataFrame:
+    """Previous purchase date of the same customer (any program), skew-safe lag.
+    The lagged frame is checkpointed inside the operator, so every later aggregate
+    reads it instead of re-scanning and re-joining the transactions."""
+    return lag_in_order(x.select(*LAG_COLS), ["unique_customer_id"],
+                        ["transaction_date", "transaction_id", "amount_after_discount"],
+                        "transaction_date", "previous_transaction_date")
+
+
+def transaction_features(x: DataFrame) -> DataFrame:
+    """TRANSACTION_FEATURES per (customer, program)."""
+    lagged = with_previous_date(x)
+    agg = lagged.groupBy(*KEYS).agg(*_feature_aggs())
+    med = median(lagged, KEYS, "amount_after_discount", "median_basket_size")
     return agg.join(med, KEYS, "left").select(*KEYS, *FEATURE_COLS)
 
 
+def customer_features(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
+    """CUSTOMER_BASE joined with TRANSACTION_FEATURES, computed in one pass: base measures
+    and features aggregate the same rows, so a single aggregate over the lagged frame
+    gives both (the reference's left join of features onto the base)."""
+    lagged = with_previous_date(x)
+    keys = ["unique_customer_id", "firm_id", "program_id"]
+    g = lagged.groupBy(*keys).agg(*_base_aggs(), *_feature_aggs()).where(_base_filter(params))
+    med = median(lagged, keys, "amount_after_discount", "median_basket_size")
+    p = broadcast_checked(prog, DIM_ROWS)
+    out = g.join(med, keys, "left").join(p, "program_id", "left").withColumns(_base_derived(params, mode))
+    return out.select(*BASE_COLS, *FEATURE_COLS)
+
+
 def post_cutoff_activity(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Valid transactions at/after the cut-off per (customer, program) - the outcome."""
     t = cutoff_filter(valid_transactions(trx), params.churn_cutoff, "after")
@@ -104,17 +137,16 @@ def post_cutoff_activity(trx: DataFrame, cust: DataFrame, params: RunParams = DE
 
 
 def churn_dataset(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """CHURN_DATASET: base + label + features (before the training filter)."""
+    """CHURN_DATASET: base + features + outcome label (before the training filter)."""
     x = feature_transactions(trx, cust, params, "train")
-    base = customer_base(x, prog, params, "train").withColumnRenamed(
+    cf = customer_features(x, prog, params, "train").withColumnRenamed(
         "last_transaction_date", "last_transaction_before_cutoff")
     post = post_cutoff_activity(trx, cust, params)
     n_after = F.coalesce(F.col("transactions_after_cutoff"), F.lit(0).cast("long"))
-    lab = base.join(post, KEYS, "left").withColumns({
+    return cf.join(post, KEYS, "left").withColumns({
         "transactions_after_cutoff": n_after,
         "is_churn": F.when(n_after == 0, 1).otherwise(0),
     })
-    return lab.join(transaction_features(x), KEYS, "left")
 
 
 def random_key(seed: int):
@@ -147,5 +179,4 @@ def churn_training_set(trx: DataFrame, cust: DataFrame, prog: DataFrame, params:
 def churn_prediction_set(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Prediction set: the same features up to as-of, label unknown (0)."""
     x = feature_transactions(trx, cust, params, "predict")
-    base = customer_base(x, prog, params, "predict")
-    return base.join(transaction_features(x), KEYS, "left").withColumn("is_churn", F.lit(0))
+    return customer_features(x, prog, params, "predict").withColumn("is_churn", F.lit(0))

@@ -19,11 +19,8 @@ from ..functions.stats import pct_half_up, round_int_even
 from ..params import DEFAULT, RunParams
 from ..session import cut_lineage
 from .churn_features import random_key
-from .joins import broadcast_checked
 from .ranking import percentiles, positions, row_positions
 
-GROUP_ROWS = 1_000_000  # bound for broadcasting per-group statistics
-
 # Numeric columns that are null-filled, rounded and cast to int before modelling.
 ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "min_spent",
               "days_since_last_transaction", "customer_lifetime", "distinct_transactions",
@@ -55,8 +52,9 @@ def outlier_columns(df: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COLS, ratio: fl
     ``flagged`` when the share exceeds ``ratio``."""
     keys = list(keys)
     long = _long(df, keys, cols)
+    # quartiles: one row per (group, column); joined back by adaptive execution
+    # (broadcast from the measured size, shuffle join beyond the threshold)
     q = percentiles(long, keys + ["column"], "value", {"q1": 0.25, "q3": 0.75})
-    q = broadcast_checked(q, GROUP_ROWS)
     iqr = F.col("q3") - F.col("q1")
     outside = (F.col("value") < F.col("q1") - F.lit(k) * iqr) | (F.col("value") > F.col("q3") + F.lit(k) * iqr)
     j = long.join(q, keys + ["column"])
@@ -87,7 +85,7 @@ def winsorize(df: DataFrame, flags: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COL
     """Replace each flagged column by sqrt(value) capped at mean + 3 std (of the sqrt, per group);
     other columns are kept. All listed columns come back as double."""
     keys = list(keys)
-    st = broadcast_checked(suppression_stats(df, flags, keys, cols), GROUP_ROWS)
+    st = suppression_stats(df, flags, keys, cols)
     j = df.join(st, keys, "left")
     repl = {}
     for c in cols:

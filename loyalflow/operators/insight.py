@@ -16,11 +16,9 @@ from ..functions.stats import pct_half_up
 from ..functions.text import month_name_tr, thousands, tr_suffix
 from ..params import DEFAULT, RunParams, ts_lit
 from . import segments as S
-from .joins import broadcast_checked
+from ..session import cut_lineage
 from .ranking import percentiles
 
-FIRM_ROWS = 1_000_000
-
 MEDIAN_CODES = {"median_recency": "P3", "median_frequency": "P4", "median_monetary_value": "P5",
                 "median_customer_lifespan_value": "P11", "median_avg_purchase_value": "P12",
                 "median_clv_value": "P14"}
@@ -96,6 +94,7 @@ def _pct2(n, d) -> Column:
 def firm_kpis(ac: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """The firm KPI row: totals left-joined with last-year counts and medians, plus
     conversion, retention, new-customer contribution, lost and projected revenue."""
+    ac = cut_lineage(ac)  # read by three aggregates
     tot = firm_totals(ac)
     ly = firm_last_year(ac, params).join(firm_medians(ac, params), "firm_id", "left")
     j = tot.join(ly, "firm_id", "left")
@@ -276,7 +275,7 @@ def tenants_from(cust: DataFrame) -> DataFrame:
 def firm_insight(ac: DataFrame, firms: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """KPIs -> derivations -> rules -> narrative, one row per firm."""
     k = insight_rules(derive_kpis(firm_kpis(ac, params)))
-    names = broadcast_checked(firms.select(F.col("id").cast("long").alias("firm_id"), "firm_name"), FIRM_ROWS)
+    names = firms.select(F.col("id").cast("long").alias("firm_id"), "firm_name")
     return insight_text(k.join(names, "firm_id", "left"))
 
 

@@ -17,11 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date_key
 from ..functions.stats import equal_width_bin
 from ..params import DEFAULT, RunParams, ts_lit
-from .joins import broadcast_checked
+from ..session import cut_lineage
 from .ranking import percentiles, row_positions
 
-FIRM_ROWS = 1_000_000  # bound for broadcasting per-firm statistics
-
 # --- fixed values: segment labels (canonical codes used by the firm KPIs) ---
 RECENCY_PASSIVE = "Passive Customer"
 RECENCY_ACTIVE = "Active Customer"
@@ -110,9 +108,14 @@ def firm_stats(d: DataFrame) -> DataFrame:
 
 
 def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Recency / monetary / frequency / discount segments per (customer, program) row."""
-    d = with_dates(all_data)
-    stats = broadcast_checked(firm_stats(d), FIRM_ROWS)
+    """Recency / monetary / frequency / discount segments per (customer, program) row.
+
+    The per-(customer, program) input is materialized once (reliable checkpoint in the
+    shared folder) because the statistics and the rows both read it. The per-firm
+    statistics join is left to adaptive execution, which broadcasts it from its
+    measured size (one row per firm) and keeps a shuffle join beyond the threshold."""
+    d = cut_lineage(with_dates(all_data))
+    stats = firm_stats(d)
     x = d.join(stats, "firm_id")
     mon = F.col("monetary").cast("double")
     frq = F.col("frequency").cast("double")
@@ -172,7 +175,7 @@ def clv_thresholds(d: DataFrame) -> DataFrame:
 def clv_segments(d: DataFrame) -> DataFrame:
     """Decision list: one-timer, VIP, loyal, potential growth, else at risk."""
     d = clv_values(d)
-    th = broadcast_checked(clv_thresholds(d), FIRM_ROWS)
+    th = clv_thresholds(d)
     x = d.join(th, "firm_id")
     clv, aov = F.col("clv"), F.col("avg_purchase_value")
     freq, life = F.col("avg_purchase_frequency_rate"), F.col("customer_lifespan")

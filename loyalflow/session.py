@@ -30,6 +30,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
