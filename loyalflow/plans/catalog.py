@@ -438,7 +438,7 @@ def target_distribution(spark, sf_dir):
 # ----------------------------------------------------------------- churn model
 from ..operators import churn_model as cm  # noqa: E402
 
-OUT_RND = {"q1": 6, "q3": 6, "outlier_ratio": 6}
+OUT_RND = {"q1": 4, "q3": 4, "outlier_ratio": 6}
 
 
 def training_rows(spark, sf_dir):
