@@ -308,3 +308,27 @@ FIRM_P_CODES = {
     "ONE_TIME_TO_ACTIVE_CONVERSION_RATE": "P16", "SMART_INSIGHT": "P17",
 }
 # --- end of fixed values ---
+
+
+def definitions(spark) -> DataFrame:
+    """DEF_FIRM_METRICS as a DataFrame."""
+    return spark.createDataFrame(list(FIRM_P_CODES.items()), "definition_name string, definition_no string")
+
+
+def firm_based(ac: DataFrame, firms: DataFrame, defs: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """ANALYTIC_FIRM_BASED: the firm row with the narrative, post-derived values in place,
+    renamed to P-codes by the definition table, values as strings, audit columns."""
+    from .reshape import rename_by_table
+
+    k = firm_insight(ac, firms, params).withColumns({
+        "retention_ratio": F.col("retention_ratio_1"),
+        "new_customer_contribution_pct": F.col("new_customer_contribution_pct_1"),
+        "median_monetary_value": F.col("median_monetary_value_int"),
+        "median_avg_purchase_value": F.col("median_avg_purchase_value_int"),
+        "lost_revenue_from_churn_risk": F.col("lost_revenue_int"),
+        "projected_revenue_from_active_customers": F.col("projected_revenue_int"),
+    })
+    out = rename_by_table(k, defs, ["firm_id"])
+    return out.withColumns({
+        "created_by": F.lit(params.created_by), "updated_by": F.lit(params.created_by),
+        "create_date": params.as_of_date_col, "update_date": params.as_of_date_col})

@@ -814,3 +814,24 @@ def incremental_totals(spark, sf_dir):
     the running totals are the merge of all partials."""
     table = inc.run_incremental(spark, sf_dir, scratch_path(spark, "incremental"))
     return inc.merge_partials(spark.read.parquet(table))
+
+
+def _firm_p_codes_sql():
+    cols = []
+    for name, code in ins.FIRM_P_CODES.items():
+        n = name.lower()
+        src = {"retention_ratio": "retention_ratio_1", "smart_insight": "smart_insight"}.get(n, n)
+        cols.append(f"cast({src} AS VARCHAR) AS {code}")
+    return f"""
+SELECT firm_id, {', '.join(cols)}, '{P.created_by}' AS created_by, '{P.created_by}' AS updated_by,
+  {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date
+FROM (SELECT *, {O.insight_sql_expr()} AS smart_insight
+      FROM (SELECT *, concat('FIRM_', cast(firm_id AS VARCHAR)) AS firm_name FROM krules) k) i"""
+
+
+@register("firm_p_codes", O.with_domain(*KPI, body=_firm_p_codes_sql()))
+def firm_p_codes(spark, sf_dir):
+    """Dictionary-driven rename of the firm KPI row (with the narrative) to P-codes."""
+    d = dom(spark, sf_dir)
+    ac = cust_plan.analytic_customer(cust_plan.segmented_rows(d, P), P)
+    return ins.firm_based(ac, ins.tenants_from(d.cust), ins.definitions(spark), P)

@@ -74,6 +74,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The frame is persisted while the checkpoint is written so the plan runs once
+    (an eager checkpoint of an unpersisted frame computes it twice: once for the
+    action and again to write the files). The checkpoint keeps the frame's output
+    partitioning, so a following join/aggregate on the same keys does not
+    re-shuffle it.
+    """
+    from pyspark import StorageLevel
+
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
