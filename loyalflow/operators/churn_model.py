@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import pct_half_up, round_int_even
@@ -113,10 +113,11 @@ def stratified_split(df: DataFrame, label: str = "is_churn", test_size: float =
 
 
 def class_weights(df: DataFrame, label: str = "is_churn") -> DataFrame:
-    """Balanced weights n / (k * n_class) joined as column ``w``."""
+    """Balanced weights n / (k * n_class) joined as column ``w`` (the per-class count
+    frame has one row per class)."""
     cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = cnt.agg(F.sum("_nc").alias("_nt"), F.count(F.lit(1)).alias("_k"))
-    wt = cnt.crossJoin(tot).select(label, (F.col("_nt") / (F.col("_k") * F.col("_nc"))).alias("w"))
+    every = Window.partitionBy()
+    wt = cnt.select(label, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias("w"))
     return df.join(F.broadcast(wt), label)
 
 

@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_CHECKED: dict = {}
+
+
 def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast-hint ``df`` only when it provably holds at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()`` stops
     reading once the bound is exceeded). Beyond the bound the frame is returned
     un-hinted and the join falls back to a shuffle join, which adaptive
-    execution may still turn into a broadcast from runtime statistics.
+    execution may still turn into a broadcast from runtime statistics. The outcome
+    is remembered per plan (semantic hash) within the application.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001 - plans without a semantic hash are simply re-checked
+        key = None
+    small = _CHECKED.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _CHECKED[key] = small
+    return F.broadcast(df) if small else df

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as prof
 from ..operators import rfm as rfm_ops
-from ..params import DEFAULT
+from ..params import DEFAULT, ts_lit
 from ..session import apply_conf
-from ..sources.domain import load_domain
+from ..sources.staging import staged_domain
 from . import oracle as O
 from .normalize import norm, sql_norm
 
@@ -46,7 +46,8 @@ def register(name: str, sql: str | None = None, money=(), rnd: dict | None = Non
 
 
 def dom(spark, sf_dir):
-    return load_domain(spark, sf_dir)
+    """Domain tables of ``sf_dir`` (staged once per input folder, then read as tables)."""
+    return staged_domain(spark, sf_dir)
 
 
 # ----------------------------------------------------------------- sources / filters
@@ -100,16 +101,15 @@ SELECT c.unique_customer_id,
 FROM valid t CROSS JOIN ref r JOIN cust c ON t.customer_id = c.customer_id
 GROUP BY c.unique_customer_id"""))
 def cutoff_split(spark, sf_dir):
-    """Pre/post cut-off counts per unique customer; the cut-off is a one-row relation
-    crossed in as a broadcast (generic form of the inlined literal)."""
+    """Pre/post cut-off counts per unique customer. The reference crosses in a one-row
+    relation holding the cut-off; here it is a literal, constant-folded into the filter."""
     d = dom(spark, sf_dir)
-    ref = spark.range(1).select(
-        (P.as_of_col - F.expr(f"INTERVAL {P.churn_threshold} DAYS")).alias("cutoff"))
-    t = rfm_ops.valid_transactions(d.trx).crossJoin(F.broadcast(ref))
+    cutoff = ts_lit(P.churn_cutoff)
+    t = rfm_ops.valid_transactions(d.trx)
     return t.join(d.cust.select("customer_id", "unique_customer_id"), "customer_id").groupBy(
         "unique_customer_id").agg(
-        F.count(F.when(F.col("transaction_date") < F.col("cutoff"), 1)).alias("n_before"),
-        F.count(F.when(F.col("transaction_date") >= F.col("cutoff"), 1)).alias("n_after"),
+        F.count(F.when(F.col("transaction_date") < cutoff, 1)).alias("n_before"),
+        F.count(F.when(F.col("transaction_date") >= cutoff, 1)).alias("n_after"),
     )
 
 

@@ -44,10 +44,12 @@ def active_tenants(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT)
 
 
 def task_matrix(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Tenant x module rows to run: active tenants, modules with a positive period."""
-    spark = trx.sparkSession
-    m = F.broadcast(metrics_dim(spark).where(F.col("working_day_period") > 0))
-    return active_tenants(trx, cust, params).crossJoin(m)
+    """Tenant x module rows to run: active tenants, modules with a positive period
+    (the module list is a literal array exploded per tenant - no join)."""
+    mods = F.array(*[F.struct(F.lit(m).alias("metric_id"), F.lit(n).alias("display_name"),
+                              F.lit(p).alias("working_day_period")) for m, n, p in METRICS if p > 0])
+    t = active_tenants(trx, cust, params).select("firm_id", F.explode(mods).alias("m"))
+    return t.select("firm_id", "m.metric_id", "m.display_name", "m.working_day_period")
 
 
 def tenants_without_tasks(reg: DataFrame, tasks: DataFrame) -> DataFrame:
