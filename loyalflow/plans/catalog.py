@@ -835,3 +835,35 @@ def firm_p_codes(spark, sf_dir):
     d = dom(spark, sf_dir)
     ac = cust_plan.analytic_customer(cust_plan.segmented_rows(d, P), P)
     return ins.firm_based(ac, ins.tenants_from(d.cust), ins.definitions(spark), P)
+
+
+CHURN_CODES = list(reshape.CHURN_P_CODES.values())
+AUDIT_SQL = (f"'{P.created_by}' AS created_by, '{P.created_by}' AS updated_by, {O.dt(P.as_of_date)} AS create_date, "
+             f"{O.dt(P.as_of_date)} AS update_date")
+
+
+@register("churn_p_codes", O.with_domain(*CH_PRED, O.scored_pred_cte(), O.churn_p_codes_cte(), body=f"""
+SELECT firm_id, unique_customer_id, {', '.join(CHURN_CODES)}, {AUDIT_SQL} FROM acc"""))
+def churn_p_codes(spark, sf_dir):
+    """Churn part of ANALYTIC_CUSTOMER from the scored prediction set (deterministic stand-in score)."""
+    return cust_plan.churn_p_codes(scored_stand_in(spark, sf_dir), P)
+
+
+def _full_sql():
+    all_codes = sorted(AC_CODES + CHURN_CODES, key=lambda c: int(c[1:]))
+    sel = ", ".join(all_codes)
+    return O.with_domain(*SEG, O.analytic_customer_cte(), *CH_PRED, O.scored_pred_cte(), O.churn_p_codes_cte(),
+                         body=f"""
+SELECT coalesce(s.firm_id, c.firm_id) AS firm_id, coalesce(s.unique_customer_id, c.unique_customer_id)
+  AS unique_customer_id, {sel}
+FROM ac s FULL OUTER JOIN (SELECT firm_id AS c_firm, unique_customer_id AS c_uid, {', '.join(CHURN_CODES)} FROM acc) c
+  ON s.firm_id = c.c_firm AND s.unique_customer_id = c.c_uid""".replace("c.firm_id", "c.c_firm")
+                         .replace("c.unique_customer_id", "c.c_uid"))
+
+
+@register("analytic_customer_full", _full_sql())
+def analytic_customer_full(spark, sf_dir):
+    """One ANALYTIC_CUSTOMER row per customer with segment and churn codes merged."""
+    seg_part = cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)
+    churn_part = cust_plan.churn_p_codes(scored_stand_in(spark, sf_dir), P)
+    return cust_plan.merge_customer_parts(seg_part, churn_part)

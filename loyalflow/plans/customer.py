@@ -64,3 +64,30 @@ def analytic_customer(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame
     wide = reshape.to_p_codes(p_code_values(rows), ["firm_id", "unique_customer_id"],
                               reshape.SEGMENT_P_CODES, order="kart_tip_detay")
     return audit_columns(wide, params)
+
+
+def churn_p_codes(scored: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """ANALYTIC_CUSTOMER churn part: P13, P16-P26 as strings, one row per customer
+    (first non-NULL value per code by program id)."""
+    vals = scored.select(
+        "firm_id", "unique_customer_id", F.col("program_id").alias("_order"),
+        *[F.col(c).cast("string").alias(c) for c in (
+            "avg_days_between_transactions", "days_since_last_transaction", "customer_lifetime",
+            "distinct_transactions", "avg_spent", "max_spent", "total_used_point", "churn_prob")],
+        F.col("is_churn_label").alias("is_churn"), "churn_class",
+        F.col("program_id").cast("string").alias("program_id"),
+        F.col("model_id").cast("string").alias("model_id"))
+    wide = reshape.to_p_codes(vals, ["firm_id", "unique_customer_id"], reshape.CHURN_P_CODES, order="_order")
+    return audit_columns(wide, params)
+
+
+def merge_customer_parts(segments: DataFrame, churn: DataFrame) -> DataFrame:
+    """One ANALYTIC_CUSTOMER row per customer: segment codes and churn codes side by side
+    (full outer join on the customer instead of appending second rows)."""
+    keys = ["firm_id", "unique_customer_id"]
+    audit = ["created_by", "updated_by", "create_date", "update_date"]
+    s = segments.drop(*audit)
+    c = churn.drop(*audit)
+    j = s.join(c, keys, "full")
+    codes = sorted([x for x in j.columns if x not in keys], key=lambda x: int(x[1:]))
+    return j.select(*keys, *codes)

@@ -632,3 +632,21 @@ def insight_sql_expr() -> str:
     growth = fill_sql(I.T_GROWTH, growth_pct=pct_suffix_sql("potential_growth_customer_pct"))
     g2 = f"CASE WHEN rule_growth = 'growth' THEN {fill_sql(I.T_GROWTH_UP, firm=firm)} ELSE {_lit(I.T_GROWTH_DOWN)} END"
     return f"concat({intro}, {ret}, {rfm}, {segs}, {vip}, {loyal}, {one}, {conv}, {risk}, {churned}, {growth}, {g2})"
+
+
+def churn_p_codes_cte(p: RunParams = P, name: str = "acc") -> str:
+    codes = {
+        "P13": "cast(avg_days_between_transactions AS VARCHAR)", "P16": "cast(days_since_last_transaction AS VARCHAR)",
+        "P17": "cast(customer_lifetime AS VARCHAR)", "P18": "cast(distinct_transactions AS VARCHAR)",
+        "P19": "cast(avg_spent AS VARCHAR)", "P20": "cast(max_spent AS VARCHAR)",
+        "P21": "cast(total_used_point AS VARCHAR)", "P22": "cast(churn_prob AS VARCHAR)",
+        "P23": "is_churn_label", "P24": "churn_class", "P25": "cast(program_id AS VARCHAR)",
+        "P26": f"cast(cast({p.run_id} AS BIGINT) AS VARCHAR)",
+    }
+    inner = ", ".join(f"{e} AS {c}" for c, e in codes.items())
+    outer = ", ".join(f"arg_min({c}, CASE WHEN {c} IS NOT NULL THEN program_id END) AS {c}" for c in codes)
+    return f"""{name} AS (
+  SELECT firm_id, unique_customer_id, {outer}
+  FROM (SELECT firm_id, unique_customer_id, program_id, {inner} FROM spred) x
+  GROUP BY firm_id, unique_customer_id
+)"""
