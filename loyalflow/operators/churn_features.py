@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import frac_days
 from ..functions.stats import stddev_oracle
 from ..params import DEFAULT, RunParams, ts_lit
+from ..session import cut_lineage
 from .joins import broadcast_checked
 from .ranking import lag_in_order, median, row_positions
 from .rfm import cutoff_filter, valid_transactions
@@ -158,8 +159,13 @@ def random_key(seed: int):
 def capped_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Uniform sample without replacement of exactly ``min(n, rows)`` rows: the rows
     whose random key ranks below ``n``. Ranks come from the distributed position
-    operator, so no single task sorts or holds the sample."""
-    keyed = df.withColumn("rnd", random_key(seed))
+    operator, so no single task sorts or holds the sample.
+
+    The frame is materialized first (reliable checkpoint) and counted; when the cap
+    does not bind every row is kept without ranking - the same result, fewer jobs."""
+    keyed = cut_lineage(df.withColumn("rnd", random_key(seed)))
+    if keyed.count() <= n:
+        return keyed
     ranked = row_positions(keyed, [], [F.col("rnd"), F.col("unique_customer_id"), F.col("program_id")])
     return ranked.where(F.col("_rank") < F.lit(n)).drop("_rank", "_n")
 

@@ -86,8 +86,27 @@ def recency_segment(params: RunParams = DEFAULT):
             .otherwise(RECENCY_PASSIVE))
 
 
-def firm_stats(d: DataFrame) -> DataFrame:
-    """Per-firm min/max/sqrt statistics and discount medians."""
+QUANTILE_METRICS = {
+    "ind": "ind_alv_orani", "ort": "ort_indirim_orani",
+    "clv": "clv", "aov": "avg_purchase_value", "freq": "avg_purchase_frequency_rate", "life": "customer_lifespan",
+}
+CLV_METRICS = {k: QUANTILE_METRICS[k] for k in ("clv", "aov", "freq", "life")}
+
+
+def firm_quantiles(d: DataFrame) -> DataFrame:
+    """Every per-firm quantile the segments need (discount medians; q30/q50/q80 of CLV,
+    order value, frequency, lifespan) from ONE distributed exact-percentile pass over a
+    long (firm, metric, value) frame."""
+    v = clv_values(d)
+    long = v.select("firm_id", *[F.col(c).cast("double").alias(k) for k, c in QUANTILE_METRICS.items()]) \
+        .unpivot("firm_id", list(QUANTILE_METRICS), "metric", "value")
+    q = percentiles(long, ["firm_id", "metric"], "value", {"q30": 0.3, "q50": 0.5, "q80": 0.8})
+    return q.groupBy("firm_id").agg(*[F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}")
+                                      for m in QUANTILE_METRICS for c in ("q30", "q50", "q80")])
+
+
+def firm_stats(d: DataFrame, quantiles: DataFrame | None = None) -> DataFrame:
+    """Per-firm min/max/sqrt statistics plus the per-firm quantiles."""
     mon = F.col("monetary").cast("double")
     frq = F.col("frequency").cast("double")
     multi = F.col("frequency") > 1
@@ -98,25 +117,13 @@ def firm_stats(d: DataFrame) -> DataFrame:
         F.avg(_sqrt_or_null(mon)).alias("mon_sqrt_mean"), F.stddev_samp(_sqrt_or_null(mon)).alias("mon_sqrt_std"),
         F.avg(_sqrt_or_null(frq)).alias("frq_sqrt_mean"), F.stddev_samp(_sqrt_or_null(frq)).alias("frq_sqrt_std"),
     )
-    long = d.select("firm_id", F.col("ind_alv_orani").cast("double").alias("a"),
-                    F.col("ort_indirim_orani").cast("double").alias("b")) \
-        .unpivot("firm_id", ["a", "b"], "metric", "value")
-    med = percentiles(long, ["firm_id", "metric"], "value", {"q50": 0.5}).groupBy("firm_id").agg(
-        F.max(F.when(F.col("metric") == "a", F.col("q50"))).alias("ind_alv_orani_median"),
-        F.max(F.when(F.col("metric") == "b", F.col("q50"))).alias("ort_indirim_orani_median"))
-    return basic.join(med, "firm_id", "left")
+    q = quantiles if quantiles is not None else firm_quantiles(d)
+    return basic.join(q, "firm_id", "left").withColumnsRenamed(
+        {"ind_q50": "ind_alv_orani_median", "ort_q50": "ort_indirim_orani_median"})
 
 
-def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Recency / monetary / frequency / discount segments per (customer, program) row.
-
-    The per-(customer, program) input is materialized once (reliable checkpoint in the
-    shared folder) because the statistics and the rows both read it. The per-firm
-    statistics join is left to adaptive execution, which broadcasts it from its
-    measured size (one row per firm) and keeps a shuffle join beyond the threshold."""
-    d = cut_lineage(with_dates(all_data))
-    stats = firm_stats(d)
-    x = d.join(stats, "firm_id")
+def _apply_rfm(x: DataFrame, params: RunParams) -> DataFrame:
+    """RFM segment columns on rows already joined with their firm's statistics."""
     mon = F.col("monetary").cast("double")
     frq = F.col("frequency").cast("double")
 
@@ -130,7 +137,7 @@ def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
 
     mon_bin = equal_width_bin(mon, F.col("mon_min"), F.col("mon_max"), 5)
     frq_bin = equal_width_bin(frq, F.col("frq2_min"), F.col("frq2_max"), 3)
-    out = x.withColumns({
+    return x.withColumns({
         "recency_segment": recency_segment(params),
         "monetary_sqrt": cap(_sqrt_or_null(mon), "mon_sqrt_mean", "mon_sqrt_std"),
         "frequency_sqrt": cap(_sqrt_or_null(frq), "frq_sqrt_mean", "frq_sqrt_std"),
@@ -144,7 +151,22 @@ def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
         "indirim_beklentisi_segment": F.when(F.col("ort_indirim_orani") > F.col("ort_indirim_orani_median"),
                                              EXPECTATION_HIGH).otherwise(EXPECTATION_STANDARD),
     })
-    return out.drop(*[c for c in stats.columns if c != "firm_id"])
+
+
+def _with_stats(all_data: DataFrame):
+    """Materialize the per-(customer, program) input once (reliable checkpoint in the shared
+    folder: the statistics and the rows both read it) and join the per-firm statistics.
+    The statistics (one row per firm) are joined plainly: adaptive execution broadcasts
+    them from their measured size and keeps a shuffle join beyond the threshold."""
+    d = cut_lineage(with_dates(all_data))
+    stats = firm_stats(d)
+    return d.join(stats, "firm_id"), [c for c in stats.columns if c != "firm_id"]
+
+
+def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """Recency / monetary / frequency / discount segments per (customer, program) row."""
+    x, stat_cols = _with_stats(all_data)
+    return _apply_rfm(x, params).drop(*stat_cols)
 
 
 def clv_values(d: DataFrame) -> DataFrame:
@@ -159,10 +181,6 @@ def clv_values(d: DataFrame) -> DataFrame:
     return d.withColumn("clv", clv)
 
 
-CLV_METRICS = {"clv": "clv", "aov": "avg_purchase_value", "freq": "avg_purchase_frequency_rate",
-               "life": "customer_lifespan"}
-
-
 def clv_thresholds(d: DataFrame) -> DataFrame:
     """q30/q50/q80 of CLV, order value, frequency and lifespan per firm (exact, distributed)."""
     long = d.select("firm_id", *[F.col(c).cast("double").alias(k) for k, c in CLV_METRICS.items()]) \
@@ -172,24 +190,30 @@ def clv_thresholds(d: DataFrame) -> DataFrame:
                                       for m in CLV_METRICS for c in ("q30", "q50", "q80")])
 
 
+def clv_rule():
+    clv, aov = F.col("clv"), F.col("avg_purchase_value")
+    freq, life = F.col("avg_purchase_frequency_rate"), F.col("customer_lifespan")
+    return (F.when(freq == 1, CLV_ONE_TIME)
+            .when((clv > F.col("clv_q80")) & (aov > F.col("aov_q80")), CLV_VIP)
+            .when((clv > F.col("clv_q50")) & (freq > F.col("freq_q50")), CLV_LOYAL)
+            .when((clv >= F.col("clv_q50")) & (life >= F.col("life_q50")), CLV_GROWTH)
+            .otherwise(CLV_RISK))
+
+
 def clv_segments(d: DataFrame) -> DataFrame:
     """Decision list: one-timer, VIP, loyal, potential growth, else at risk."""
     d = clv_values(d)
     th = clv_thresholds(d)
-    x = d.join(th, "firm_id")
-    clv, aov = F.col("clv"), F.col("avg_purchase_value")
-    freq, life = F.col("avg_purchase_frequency_rate"), F.col("customer_lifespan")
-    seg = (F.when(freq == 1, CLV_ONE_TIME)
-           .when((clv > F.col("clv_q80")) & (aov > F.col("aov_q80")), CLV_VIP)
-           .when((clv > F.col("clv_q50")) & (freq > F.col("freq_q50")), CLV_LOYAL)
-           .when((clv >= F.col("clv_q50")) & (life >= F.col("life_q50")), CLV_GROWTH)
-           .otherwise(CLV_RISK))
-    return x.withColumn("clv_segment", seg).drop(*[c for c in th.columns if c != "firm_id"])
+    return d.join(th, "firm_id").withColumn("clv_segment", clv_rule()).drop(
+        *[c for c in th.columns if c != "firm_id"])
 
 
 def segment_customers(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """RFM segments then CLV segments on ANALYTIC_ALL_DATA rows."""
-    return clv_segments(rfm_segments(all_data, params))
+    """RFM then CLV segments on ANALYTIC_ALL_DATA rows; all per-firm statistics come from
+    one aggregate and one percentile pass over the materialized input."""
+    x, stat_cols = _with_stats(all_data)
+    rows = clv_values(_apply_rfm(x, params)).withColumn("clv_segment", clv_rule())
+    return rows.drop(*stat_cols)
 
 
 def ntile_from_rank(rank, n, k: int):
