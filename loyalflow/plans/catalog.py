@@ -692,7 +692,7 @@ def tenant_task_matrix(spark, sf_dir):
 
 
 @register("parquet_roundtrip", O.with_domain(O.rfm_cte(), body="""
-SELECT firm_id, count(*) AS n_rows, sum(monetary) AS monetary, sum(frequency) AS frequency
+SELECT firm_id, count(*) AS n_rows, sum(monetary) AS monetary, cast(sum(frequency) AS BIGINT) AS frequency
 FROM rfm GROUP BY firm_id"""), money=["monetary"])
 def parquet_roundtrip(spark, sf_dir):
     """RFM rows written to Parquet (partitioned by tenant) under the shared folder and read back."""
