@@ -25,6 +25,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -35,12 +36,35 @@ def _parts(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` treating NULL keys as equal; right-side key columns dropped."""
-    ren = {k: f"__r_{k}" for k in keys}
-    r = right.withColumnsRenamed(ren)
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[ren[k]]) for k in keys])
-    return left.join(r, cond, how).drop(*ren.values())
+def _sentinel(dt: T.DataType) -> Column:
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    return F.lit(0).cast(dt)
+
+
+def _encode_keys(df: DataFrame, keys: Sequence[str]):
+    """Group keys usable in plain equi-joins: each nullable key becomes
+    (value-or-sentinel, is-null). NULL keys still form their own group, and the
+    joins below stay plain equi-joins on the columns the frame is already
+    partitioned by (a null-safe ``<=>`` join would re-key and re-shuffle it)."""
+    fields = {f.name: f for f in df.schema.fields}
+    cols, enc = {}, []
+    for i, k in enumerate(keys):
+        f = fields[k]
+        if not f.nullable:
+            enc.append(k)
+            continue
+        v, n = f"__kv{i}", f"__kn{i}"
+        cols[v] = F.coalesce(F.col(k), _sentinel(f.dataType))
+        cols[n] = F.col(k).isNull()
+        enc += [v, n]
+    return (df.withColumns(cols) if cols else df), enc, list(cols)
 
 
 def _cols(xs) -> list[Column]:
@@ -61,32 +85,31 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence, weight: str |
     order = _cols(order)
     n_parts = _parts(df, num_partitions)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    base = df.withColumn("_w", w)
-    named = {c for c in keys}
-    extra = [F.col(c) for c in base.columns if c not in named and c != "_w"]
+    base, ek, added = _encode_keys(df.withColumn("_w", w), keys)
+    named = set(keys) | set(added) | {"_w"}
+    extra = [F.col(c) for c in base.columns if c not in named]
     full_order = order + extra + [F.col("_w")]
-    r = (base.repartitionByRange(n_parts, *[F.col(k) for k in keys], *order)
+    r = (base.repartitionByRange(n_parts, *[F.col(k) for k in ek], *order)
          .withColumn("_pid", F.spark_partition_id()))
-    in_chunk = (Window.partitionBy(*keys, "_pid").orderBy(*full_order)
+    in_chunk = (Window.partitionBy(*ek, "_pid").orderBy(*full_order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole_chunk = Window.partitionBy(*keys, "_pid")
+    whole_chunk = Window.partitionBy(*ek, "_pid")
     r = r.withColumn("_cum", F.sum("_w").over(in_chunk)).withColumn("_cw", F.sum("_w").over(whole_chunk))
     # Materialize once (reliable checkpoint in the shared folder): the rows and the
-    # chunk table must see the same range bounds, whatever the upstream plan is.
+    # chunk table must see the same range bounds, whatever the upstream plan is. The
+    # checkpoint keeps the (keys, chunk) hash partitioning, so the join below does not
+    # re-shuffle the rows.
     r = cut_lineage(r)
-    chunks = r.where(F.col("_cum") == F.col("_cw")).select(*keys, "_pid", "_cw")
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = r.where(F.col("_cum") == F.col("_cw")).select(*ek, "_pid", "_cw")
+    before = Window.partitionBy(*ek).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select(
-        *keys, "_pid",
+        *ek, "_pid",
         F.coalesce(F.sum("_cw").over(before), F.lit(0)).cast("long").alias("_off"),
-        F.sum("_cw").over(Window.partitionBy(*keys)).cast("long").alias("_n"),
+        F.sum("_cw").over(Window.partitionBy(*ek)).cast("long").alias("_n"),
     )
-    if keys:
-        out = _null_safe_join(r, chunks, keys + ["_pid"])
-    else:
-        out = r.join(chunks, "_pid")
+    out = r.join(chunks, ek + ["_pid"])
     return (out.withColumn("_start", F.col("_off") + F.col("_cum") - F.col("_w"))
-            .drop("_off", "_cum", "_cw", "_pid"))
+            .drop("_off", "_cum", "_cw", "_pid", *added))
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
@@ -144,18 +167,19 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order: Sequence, value: str
     keys = list(keys)
     order = _cols(order)
     n_parts = _parts(df, num_partitions)
+    base, ek, added = _encode_keys(df, keys)
     extra = [F.col(c) for c in df.columns if c not in set(keys)]
     full_order = order + extra
-    r = (df.repartitionByRange(n_parts, *[F.col(k) for k in keys], *order)
+    r = (base.repartitionByRange(n_parts, *[F.col(k) for k in ek], *order)
          .withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy(*keys, "_pid").orderBy(*full_order)
-    whole = Window.partitionBy(*keys, "_pid")
+    w = Window.partitionBy(*ek, "_pid").orderBy(*full_order)
+    whole = Window.partitionBy(*ek, "_pid")
     r = (r.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
          .withColumn("_cnt", F.count(F.lit(1)).over(whole)))
     r = cut_lineage(r)
-    last = r.where(F.col("_rn") == F.col("_cnt")).select(*keys, "_pid", F.col(value).alias("_last"))
-    carry = last.select(*keys, "_pid",
-                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pid")).alias("_carry"))
-    j = _null_safe_join(r, carry, keys + ["_pid"], "left") if keys else r.join(carry, "_pid", "left")
+    last = r.where(F.col("_rn") == F.col("_cnt")).select(*ek, "_pid", F.col(value).alias("_last"))
+    carry = last.select(*ek, "_pid",
+                        F.lag("_last").over(Window.partitionBy(*ek).orderBy("_pid")).alias("_carry"))
+    j = r.join(carry, ek + ["_pid"], "left")
     return (j.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col(out)))
-            .drop("_pid", "_rn", "_cnt", "_carry"))
+            .drop("_pid", "_rn", "_cnt", "_carry", *added))

@@ -56,3 +56,12 @@ def test_ntile_from_rank_matches_sql_ntile(spark):
     df = spark.createDataFrame(rows, "r long").withColumn("n", F.lit(13))
     got = [x.b for x in df.select(ntile_from_rank(F.col("r"), F.col("n"), 5).alias("b")).orderBy("r").collect()]
     assert got == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 5, 5]
+
+
+def test_null_group_keys_form_their_own_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 10.0), ("a", 20.0), ("a", 30.0)], "g string, v double")
+    got = {r.g: r.m for r in percentiles(df, ["g"], "v", {"m": 0.5}).collect()}
+    assert got == {None: 2.0, "a": 20.0}
+    lagged = lag_in_order(df, ["g"], ["v"], "v", "prev").collect()
+    assert sorted((r.g or "", r.v, r.prev) for r in lagged) == [
+        ("", 1.0, None), ("", 3.0, 1.0), ("a", 10.0, None), ("a", 20.0, 10.0), ("a", 30.0, 20.0)]
