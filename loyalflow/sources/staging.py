@@ -14,7 +14,6 @@ import hashlib
 import os
 
 from pyspark.sql import SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from ..session import shared_dir
 from .domain import Domain, load_domain
@@ -38,17 +37,17 @@ def staged_domain(spark: SparkSession, sf_dir: str) -> Domain:
     key = (spark.sparkContext.applicationId, fp)
     if key in _MEMO:
         return _MEMO[key]
-    base = os.path.join(shared_dir(spark), f"domain-{fp}")
+    # one folder per application: concurrent applications sharing the checkpoint
+    # folder never read each other's half-written files
+    app = spark.sparkContext.applicationId
+    base = os.path.join(shared_dir(spark), f"domain-{fp}-{app}")
     src = load_domain(spark, sf_dir)
-    n = spark.sparkContext.defaultParallelism
+    # file count follows the shuffle-partition setting (sized to the data on a cluster,
+    # see session.cluster_conf), never fewer than the available cores
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     out = {}
     for name in ("trx", "cust", "best", "prog"):
         path = os.path.join(base, name)
-        try:
-            out[name] = spark.read.parquet(path)
-            continue
-        except AnalysisException:
-            pass
         df = getattr(src, name)
         if name == "trx":
             df = df.repartition(n, "customer_id").sortWithinPartitions("customer_id", "transaction_date")
