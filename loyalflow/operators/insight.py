@@ -261,17 +261,6 @@ def insight_text(d: DataFrame, firm_name: str = "firm_name") -> DataFrame:
     return d.withColumn("smart_insight", text)
 
 
-def tenants_from(cust: DataFrame) -> DataFrame:
-    """Tenant registry derived from the customer table (one row per firm)."""
-    f = cust.select("firm_id").distinct()
-    return f.select(
-        F.col("firm_id").cast("int").alias("id"),
-        F.format_string("FIRM_%d", F.col("firm_id")).alias("firm_name"),
-        F.format_string("T%d_ELT", F.col("firm_id")).alias("conn_data_user_elt"),
-        F.format_string("T%d_CDP", F.col("firm_id")).alias("conn_data_user_cdp"),
-    )
-
-
 def firm_insight(ac: DataFrame, firms: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """KPIs -> derivations -> rules -> narrative, one row per firm."""
     k = insight_rules(derive_kpis(firm_kpis(ac, params)))

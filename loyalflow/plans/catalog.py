@@ -567,6 +567,7 @@ def feature_importance(spark, sf_dir):
 
 # ----------------------------------------------------------------- firm KPIs and narrative
 from ..operators import insight as ins  # noqa: E402
+from ..sources import registry as reg  # noqa: E402
 
 KPI = [*SEG, O.analytic_customer_cte(), *O.kpi_ctes(P)]
 MED_NAMES = list(ins.MEDIAN_CODES)
@@ -631,7 +632,7 @@ def insight_rules(spark, sf_dir):
 def insight_frame(spark, sf_dir):
     d = dom(spark, sf_dir)
     ac = cust_plan.analytic_customer(cust_plan.segmented_rows(d, P), P)
-    return ins.firm_insight(ac, ins.tenants_from(d.cust), P)
+    return ins.firm_insight(ac, reg.tenants(d.cust), P)
 
 
 @register("insight_text", O.with_domain(*KPI, body=f"""
@@ -834,7 +835,7 @@ def firm_p_codes(spark, sf_dir):
     """Dictionary-driven rename of the firm KPI row (with the narrative) to P-codes."""
     d = dom(spark, sf_dir)
     ac = cust_plan.analytic_customer(cust_plan.segmented_rows(d, P), P)
-    return ins.firm_based(ac, ins.tenants_from(d.cust), ins.definitions(spark), P)
+    return ins.firm_based(ac, reg.tenants(d.cust), ins.definitions(spark), P)
 
 
 CHURN_CODES = list(reshape.CHURN_P_CODES.values())
