@@ -128,3 +128,21 @@ def test_gbt_learns_planted_signal(spark):
     model = cm.fit_churn(prepared, max_iter=20)
     scored = cm.churn_probability(model, prepared.where("is_val"))
     assert cm.auc(scored, "is_churn", "churn_prob").first().auc > 0.8
+
+
+def test_truncate_keeps_schema(spark):
+    path = scratch_path(spark, "t_trunc")
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    df.write.parquet(path)
+    sinks.truncate(spark, path, df.schema)
+    back = spark.read.parquet(path)
+    assert back.count() == 0 and back.columns == ["k", "v"]
+
+
+def test_tenants_without_tasks(spark):
+    from loyalflow.sources import registry as reg
+    cust = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "customer_id long, firm_id long")
+    tenants = reg.tenants(cust)
+    tasks = spark.createDataFrame([(1, 1), (3, 4)], "firm_id long, metric_id int")
+    assert [r.ID for r in reg.tenants_without_tasks(tenants, tasks).collect()] == [2]
+    assert sorted(r.FIRM_NAME for r in tenants.collect()) == ["FIRM_1", "FIRM_2", "FIRM_3"]
