@@ -320,4 +320,4 @@ def firm_based(ac: DataFrame, firms: DataFrame, defs: DataFrame, params: RunPara
     out = rename_by_table(k, defs, ["firm_id"])
     return out.withColumns({
         "created_by": F.lit(params.created_by), "updated_by": F.lit(params.created_by),
-        "create_date": params.as_of_date_col, "update_date": params.as_of_date_col})
+        "create_date": params.audit_ts_col, "update_date": params.audit_ts_col})

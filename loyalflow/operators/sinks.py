@@ -65,9 +65,9 @@ def append_aligned(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     w.parquet(path)
 
 
-def with_audit(df: DataFrame, created_by: str, as_of_date_col, run_id: int | None = None) -> DataFrame:
+def with_audit(df: DataFrame, created_by: str, audit_ts_col, run_id: int | None = None) -> DataFrame:
     cols = {"created_by": F.lit(created_by), "updated_by": F.lit(created_by),
-            "create_date": as_of_date_col, "update_date": as_of_date_col}
+            "create_date": audit_ts_col, "update_date": audit_ts_col}
     if run_id is not None:
         cols["model_id"] = F.lit(run_id).cast("long")
     return df.withColumns(cols)

@@ -100,5 +100,10 @@ class RunParams:
     def as_of_date_col(self) -> Column:
         return date_lit(self.as_of_date)
 
+    @property
+    def audit_ts_col(self) -> Column:
+        """Run day as a zone-free timestamp at midnight (CREATE_DATE / UPDATE_DATE)."""
+        return ts_lit(datetime(self.as_of.year, self.as_of.month, self.as_of.day))
+
 
 DEFAULT = RunParams()

@@ -346,7 +346,7 @@ AC_CODES = list(reshape.SEGMENT_P_CODES.values())
 
 @register("analytic_customer", O.with_domain(*SEG, O.analytic_customer_cte(), body=f"""
 SELECT firm_id, unique_customer_id, {', '.join(AC_CODES)}, '{P.created_by}' AS created_by,
-  '{P.created_by}' AS updated_by, {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date
+  '{P.created_by}' AS updated_by, {O.audit_ts(P)} AS create_date, {O.audit_ts(P)} AS update_date
 FROM ac"""))
 def analytic_customer(spark, sf_dir):
     return cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)
@@ -751,11 +751,11 @@ def parameterized_query(spark, sf_dir):
 
 @register("audit_columns", O.with_domain(O.rfm_cte(), body=f"""
 SELECT firm_id, unique_customer_id, kart_tip_detay, '{P.created_by}' AS created_by, '{P.created_by}' AS updated_by,
-  {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date, cast({P.run_id} AS BIGINT) AS model_id
+  {O.audit_ts(P)} AS create_date, {O.audit_ts(P)} AS update_date, cast({P.run_id} AS BIGINT) AS model_id
 FROM rfm"""))
 def audit_columns(spark, sf_dir):
     r = rfm_frame(spark, sf_dir).select("firm_id", "unique_customer_id", "kart_tip_detay")
-    return sinks.with_audit(r, P.created_by, P.as_of_date_col, P.run_id)
+    return sinks.with_audit(r, P.created_by, P.audit_ts_col, P.run_id)
 
 
 def _run_log_sql():
@@ -825,7 +825,7 @@ def _firm_p_codes_sql():
         cols.append(f"cast({src} AS VARCHAR) AS {code}")
     return f"""
 SELECT firm_id, {', '.join(cols)}, '{P.created_by}' AS created_by, '{P.created_by}' AS updated_by,
-  {O.dt(P.as_of_date)} AS create_date, {O.dt(P.as_of_date)} AS update_date
+  {O.audit_ts(P)} AS create_date, {O.audit_ts(P)} AS update_date
 FROM (SELECT *, {O.insight_sql_expr()} AS smart_insight
       FROM (SELECT *, concat('FIRM_', cast(firm_id AS VARCHAR)) AS firm_name FROM krules) k) i"""
 
@@ -839,8 +839,8 @@ def firm_p_codes(spark, sf_dir):
 
 
 CHURN_CODES = list(reshape.CHURN_P_CODES.values())
-AUDIT_SQL = (f"'{P.created_by}' AS created_by, '{P.created_by}' AS updated_by, {O.dt(P.as_of_date)} AS create_date, "
-             f"{O.dt(P.as_of_date)} AS update_date")
+AUDIT_SQL = (f"'{P.created_by}' AS created_by, '{P.created_by}' AS updated_by, {O.audit_ts(P)} AS create_date, "
+             f"{O.audit_ts(P)} AS update_date")
 
 
 @register("churn_p_codes", O.with_domain(*CH_PRED, O.scored_pred_cte(), O.churn_p_codes_cte(), body=f"""

@@ -48,8 +48,8 @@ def audit_columns(df: DataFrame, params: RunParams = DEFAULT, model_id: int | No
     cols = {
         "created_by": F.lit(params.created_by),
         "updated_by": F.lit(params.created_by),
-        "create_date": params.as_of_date_col,
-        "update_date": params.as_of_date_col,
+        "create_date": params.audit_ts_col,
+        "update_date": params.audit_ts_col,
     }
     if model_id is not None:
         cols["model_id"] = F.lit(model_id).cast("long")

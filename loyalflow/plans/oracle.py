@@ -68,6 +68,10 @@ def ts(x) -> str:
     return f"TIMESTAMP '{x.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 
+def audit_ts(p: RunParams) -> str:
+    return f"TIMESTAMP '{p.as_of.strftime('%Y-%m-%d')} 00:00:00'"
+
+
 def dt(x) -> str:
     return f"DATE '{x.strftime('%Y-%m-%d')}'"
 
