@@ -6,6 +6,7 @@ whole tables; nothing is sampled, capped or filtered to keep the check cheap.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from typing import Callable
 
@@ -544,10 +545,17 @@ def revenue_at_risk(spark, sf_dir):
     return cm.revenue_at_risk(scored_stand_in(spark, sf_dir))
 
 
+_MODELS: dict = {}
+
+
 def fitted(spark, sf_dir, max_iter=100):
+    """Fit once per application and input folder; scores and importances share the model."""
     d = dom(spark, sf_dir)
-    train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P)
-    return d, cm.fit_churn(train, P, max_iter)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), max_iter)
+    if key not in _MODELS:
+        train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P)
+        _MODELS[key] = cm.fit_churn(train, P, max_iter)
+    return d, _MODELS[key]
 
 
 @register("churn_scores")
