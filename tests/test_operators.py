@@ -146,3 +146,10 @@ def test_tenants_without_tasks(spark):
     tasks = spark.createDataFrame([(1, 1), (3, 4)], "firm_id long, metric_id int")
     assert [r.ID for r in reg.tenants_without_tasks(tenants, tasks).collect()] == [2]
     assert sorted(r.FIRM_NAME for r in tenants.collect()) == ["FIRM_1", "FIRM_2", "FIRM_3"]
+
+
+def test_localize_labels(spark):
+    from loyalflow.operators.segments import localize
+    df = spark.createDataFrame([("VIP Customer",), ("New Customer",), ("unmapped",)], "s string")
+    got = [r.t for r in df.select(localize("s").alias("t")).collect()]
+    assert got == ["VIP Müşteri", "markayla yeni temas eden", "unmapped"]
