@@ -67,6 +67,12 @@ def _encode_keys(df: DataFrame, keys: Sequence[str]):
     return (df.withColumns(cols) if cols else df), enc, list(cols)
 
 
+def _orderable(df: DataFrame, exclude) -> list[Column]:
+    """Columns usable as trailing tie-breakers (map-typed columns cannot be ordered)."""
+    return [F.col(f.name) for f in df.schema.fields
+            if f.name not in exclude and not isinstance(f.dataType, T.MapType)]
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -76,18 +82,15 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence, weight: str |
     """Add ``_start`` (0-based position of the row's first unit in group order)
     and ``_n`` (total weight of the group). ``weight`` defaults to 1 per row.
 
-    Every non-key column takes part in the ordering (as trailing tie-breakers),
-    so the chunk table below is derived from exactly the same windowed frame
-    as the rows: the range exchange is computed once and reused, and chunk ids
-    always agree.
+    Every other (orderable) column takes part in the ordering as a trailing
+    tie-breaker, so positions are reproducible even when ``order`` has ties.
     """
     keys = list(keys)
     order = _cols(order)
     n_parts = _parts(df, num_partitions)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     base, ek, added = _encode_keys(df.withColumn("_w", w), keys)
-    named = set(keys) | set(added) | {"_w"}
-    extra = [F.col(c) for c in base.columns if c not in named]
+    extra = _orderable(base, set(keys) | set(added) | {"_w"})
     full_order = order + extra + [F.col("_w")]
     r = (base.repartitionByRange(n_parts, *[F.col(k) for k in ek], *order)
          .withColumn("_pid", F.spark_partition_id()))
@@ -161,14 +164,14 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order: Sequence, value: str
 
     Each range chunk computes its local lag; the first row of a chunk takes the
     last value of the previous chunk of the same group from the chunk table.
-    All columns take part in the ordering (trailing tie-breakers) so the chunk
-    table and the rows come from one shared exchange.
+    All other (orderable) columns are trailing tie-breakers, so the result is
+    reproducible even when ``order`` has ties.
     """
     keys = list(keys)
     order = _cols(order)
     n_parts = _parts(df, num_partitions)
     base, ek, added = _encode_keys(df, keys)
-    extra = [F.col(c) for c in df.columns if c not in set(keys)]
+    extra = _orderable(df, set(keys))
     full_order = order + extra
     r = (base.repartitionByRange(n_parts, *[F.col(k) for k in ek], *order)
          .withColumn("_pid", F.spark_partition_id()))
