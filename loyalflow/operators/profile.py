@@ -92,15 +92,10 @@ def demographics(best: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     )
 
 
-def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: DataFrame,
-                     params: RunParams = DEFAULT) -> DataFrame:
-    """ANALYTICAL_PROFILE (45 columns) per unique customer."""
-    t = valid_transactions(trx).where(F.col("timed_id_transaction") >= F.lit(params.profile_key))
-    c = cust.select("customer_id", "unique_customer_id", "firm_id", F.col("program_id").alias("cust_program_id"))
-    p = broadcast_checked(prog.select(F.col("program_id").alias("cust_program_id")), DIM_ROWS)
-    x = t.join(c, "customer_id").join(p, "cust_program_id")
-
-    sale = F.col("trx_state_id") == SALE
+def _profile_level1(params: RunParams, mask=None) -> list:
+    """Per-transaction partials of the profile (with ``mask``, only rows satisfying it count)."""
+    m = F.lit(True) if mask is None else mask
+    sale = (F.col("trx_state_id") == SALE) & m
     aad = F.col("amount_after_discount")
     at = F.col("amount_total")
     d = F.col("transaction_date")
@@ -110,11 +105,9 @@ def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: Dat
     zero = F.lit(0).cast("decimal(18,2)")
     disc_rate = F.when(sale & (at <= 0), F.lit(0.0)).when(
         sale & (at > 0), F.lit(1.0) - aad.cast("double") / at.cast("double"))
-
-    # level 1: one row per (customer, transaction id)
     l1 = [
         F.sum(F.when(sale, 1).otherwise(0)).alias("n_sale"),
-        F.sum(aad).alias("s_aad"),
+        F.sum(F.when(m, aad)).alias("s_aad"),
         F.min(F.when(sale, F.col("timed_id_transaction"))).alias("min_key"),
         F.max(F.when(sale, F.col("timed_id_transaction"))).alias("max_key"),
         F.min(F.when(sale, d.cast("date"))).alias("min_sale_day"),
@@ -123,54 +116,78 @@ def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: Dat
         F.count(disc_rate).alias("n_rate"),
         F.sum(F.when(sale & is_weekend(d), 1).otherwise(0)).alias("n_we"),
         F.sum(F.when(sale & ~is_weekend(d), 1).otherwise(0)).alias("n_wd"),
-        F.sum(F.when(is_weekend(d), aad).otherwise(zero)).alias("c_we"),
-        F.sum(F.when(~is_weekend(d), aad).otherwise(zero)).alias("c_wd"),
+        F.sum(F.when(m & is_weekend(d), aad).otherwise(zero)).alias("c_we"),
+        F.sum(F.when(m & ~is_weekend(d), aad).otherwise(zero)).alias("c_wd"),
     ]
     for name, (lo, hi) in DAYPARTS.items():
         l1.append(F.max(sale & (hr >= lo) & (hr < hi)).alias(f"f_{name}"))
-        l1.append(F.sum(F.when((dhr >= lo) & (dhr < hi), aad).otherwise(zero)).alias(f"c_{name}"))
-    for k, m in RECENT_MONTHS.items():
-        recent = day >= ts_lit(params.months_back(m))
+        l1.append(F.sum(F.when(m & (dhr >= lo) & (dhr < hi), aad).otherwise(zero)).alias(f"c_{name}"))
+    for k, mo in RECENT_MONTHS.items():
+        recent = m & (day >= ts_lit(params.months_back(mo)))
         l1.append(F.max(sale & recent).alias(f"f_{k}"))
         l1.append(F.sum(F.when(recent, aad)).alias(f"s_{k}"))
         l1.append(F.count(F.when(recent, aad)).alias(f"n_{k}"))
-    per_txn = x.groupBy("firm_id", "unique_customer_id", "transaction_id").agg(*l1)
+    return l1
 
+
+def _profile_level2() -> list:
+    """Customer-level profile measures from the per-transaction partials, as
+    (name, aggregate, merge); ``merge`` is the aggregate that combines partials."""
     def cnt(flag: str):
         return F.count_if(F.col(flag)).cast("long")
 
     l2 = [
-        F.sum("n_sale").cast("long").alias("alisveris_adedi"),
-        F.sum("s_aad").alias("musteri_toplam_ciro"),
-        F.min("min_key").alias("ilk_odeme_tarih"),
-        F.max("max_key").alias("son_odeme_tarih"),
-        F.min("min_sale_day").alias("_first_sale_day"),
-        cnt("f_disc").alias("indirimli_alv_sayisi"),
-        F.sum("s_rate").alias("_s_rate"),
-        F.sum("n_rate").alias("_n_rate"),
-        F.sum("n_we").cast("long").alias("haftasonu_alv"),
-        F.sum("n_wd").cast("long").alias("haftaici_alv"),
-        F.sum("c_we").alias("haftasonu_alv_ciro"),
-        F.sum("c_wd").alias("haftaici_alv_ciro"),
+        ("alisveris_adedi", F.sum("n_sale").cast("long"), F.sum),
+        ("musteri_toplam_ciro", F.sum("s_aad"), F.sum),
+        ("ilk_odeme_tarih", F.min("min_key"), F.min),
+        ("son_odeme_tarih", F.max("max_key"), F.max),
+        ("_first_sale_day", F.min("min_sale_day"), F.min),
+        ("indirimli_alv_sayisi", cnt("f_disc"), F.sum),
+        ("_s_rate", F.sum("s_rate"), F.sum),
+        ("_n_rate", F.sum("n_rate"), F.sum),
+        ("haftasonu_alv", F.sum("n_we").cast("long"), F.sum),
+        ("haftaici_alv", F.sum("n_wd").cast("long"), F.sum),
+        ("haftasonu_alv_ciro", F.sum("c_we"), F.sum),
+        ("haftaici_alv_ciro", F.sum("c_wd"), F.sum),
     ]
     for name in DAYPARTS:
-        l2.append(cnt(f"f_{name}").alias(f"{name}_alv"))
-        l2.append(F.sum(f"c_{name}").alias(f"{name}_alisveris_ciro"))
+        l2.append((f"{name}_alv", cnt(f"f_{name}"), F.sum))
+        l2.append((f"{name}_alisveris_ciro", F.sum(f"c_{name}"), F.sum))
     for k in RECENT_MONTHS:
-        l2.append(cnt(f"f_{k}").alias(f"son_{k}_toplam_islem"))
-        l2.append(F.sum(f"s_{k}").alias(f"son_{k}_toplam_ciro"))
-        l2.append(F.sum(f"n_{k}").alias(f"_n_{k}"))
-    agg = per_txn.groupBy("firm_id", "unique_customer_id").agg(*l2).where(F.col("alisveris_adedi") > 0)
+        l2.append((f"son_{k}_toplam_islem", cnt(f"f_{k}"), F.sum))
+        l2.append((f"son_{k}_toplam_ciro", F.sum(f"s_{k}"), F.sum))
+        l2.append((f"_n_{k}", F.sum(f"n_{k}"), F.sum))
+    return l2
+
 
+def _profile_finish(agg: DataFrame, params: RunParams) -> DataFrame:
     derived = {
+        "alisveris_adedi": F.col("alisveris_adedi").cast("long"),
         "ilk_odemeden_gecen_gun": day_diff(params.as_of_date_col, "_first_sale_day"),
         "ind_alv_orani": F.col("indirimli_alv_sayisi").cast("double") / F.col("alisveris_adedi").cast("double"),
         "ort_indirim_orani": F.try_divide(F.col("_s_rate"), F.col("_n_rate").cast("double")),
     }
+    for name in [n for n, _, m in _profile_level2() if n.endswith("_alv") or n.endswith("_islem")
+                 or n == "indirimli_alv_sayisi"]:
+        derived[name] = F.col(name).cast("long")
     for k in RECENT_MONTHS:
         derived[f"son_{k}_ort_ciro"] = F.try_divide(F.col(f"son_{k}_toplam_ciro").cast("double"),
                                                     F.col(f"_n_{k}").cast("double"))
-    agg = agg.withColumns(derived)
+    return agg.withColumns(derived)
+
+
+def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: DataFrame,
+                     params: RunParams = DEFAULT) -> DataFrame:
+    """ANALYTICAL_PROFILE (45 columns) per unique customer."""
+    t = valid_transactions(trx).where(F.col("timed_id_transaction") >= F.lit(params.profile_key))
+    c = cust.select("customer_id", "unique_customer_id", "firm_id", F.col("program_id").alias("cust_program_id"))
+    p = broadcast_checked(prog.select(F.col("program_id").alias("cust_program_id")), DIM_ROWS)
+    x = t.join(c, "customer_id").join(p, "cust_program_id")
+    # level 1: one row per (customer, transaction id); level 2: per customer
+    per_txn = x.groupBy("firm_id", "unique_customer_id", "transaction_id").agg(*_profile_level1(params))
+    agg = per_txn.groupBy("firm_id", "unique_customer_id").agg(
+        *[e.alias(n) for n, e, _ in _profile_level2()]).where(F.col("alisveris_adedi") > 0)
+    agg = _profile_finish(agg, params)
     demo = demographics(best, params)
     return agg.join(demo, "unique_customer_id").select(
         "firm_id", "unique_customer_id", *PROFILE_MEASURES, *DEMOGRAPHICS)
@@ -193,3 +210,4 @@ def all_data(rfm: DataFrame, profile: DataFrame) -> DataFrame:
     """ANALYTIC_ALL_DATA: RFM (per program) joined with the profile on the unique customer."""
     return profile.join(rfm.drop("firm_id"), "unique_customer_id").select(
         "firm_id", "unique_customer_id", *PROFILE_MEASURES, *DEMOGRAPHICS, *RFM_COLS)
+

@@ -53,38 +53,39 @@ def _with_customer(trx: DataFrame, cust: DataFrame, prog: DataFrame) -> DataFram
     return trx.join(c, "customer_id").join(p, "cust_program_id")
 
 
-def rfm_aggregate(trx: DataFrame, cust: DataFrame, prog: DataFrame,
-                  params: RunParams = DEFAULT, with_ratios: bool = True) -> DataFrame:
-    """RFM_STG: recency / frequency / monetary / points per (unique customer, program name).
-
-    One hash aggregate (partial + final), HAVING on the spend total.
-    """
-    x = _with_customer(valid_transactions(trx), cust, prog)
+def rfm_measures(params: RunParams = DEFAULT) -> list:
+    """RFM aggregates as (name, expression, merge); ``merge`` is the aggregate that
+    combines partials of the measure (all of them are decomposable)."""
     st = F.col("trx_state_id")
     sale, ret = st == SALE, st == RETURN
     d = F.col("transaction_date").cast("date")
     aad = F.col("amount_after_discount")
+    tid = F.col("transaction_id")
     earned = F.coalesce(F.col("amount_earned_point"), F.lit(0).cast("decimal(18,2)"))
     used = F.coalesce(F.col("amount_used_point"), F.lit(0).cast("decimal(18,2)"))
+    return [
+        ("son_alv_tarih", F.max(F.when(sale, F.col("timed_id_transaction"))), F.max),
+        ("son_iade_tarih", F.max(F.when(ret, F.col("timed_id_transaction"))), F.max),
+        ("_last_any", F.max(d), F.max),
+        ("_last_sale", F.max(F.when(sale, d)), F.max),
+        ("_last_ret", F.max(F.when(ret, d)), F.max),
+        ("frequency", F.count(tid), F.sum),
+        ("frequency_gecerli", F.count(F.when(sale, tid)), F.sum),
+        ("frequency_iade", F.count(F.when(ret, tid)), F.sum),
+        ("_monetary", F.sum(aad), F.sum),
+        ("_monetary_sale", F.sum(F.when(sale, aad)), F.sum),
+        ("_monetary_ret", F.sum(F.when(ret, aad)), F.sum),
+        ("_earned", F.sum(earned), F.sum),
+        ("_used", F.sum(used), F.sum),
+        ("kazanilan_trx_cnt", F.sum(F.when(F.col("amount_earned_point") > 0, 1).otherwise(0)).cast("long"), F.sum),
+        ("harcanilan_trx_cnt", F.sum(F.when(F.col("amount_used_point") > 0, 1).otherwise(0)).cast("long"), F.sum),
+    ]
+
+
+def rfm_finish(g: DataFrame, params: RunParams = DEFAULT, with_ratios: bool = True) -> DataFrame:
+    """HAVING on spend, then recency / ratio columns from the aggregated measures."""
+    g = g.where(F.col("_monetary") > F.lit(params.min_spend))
     today = params.as_of_date_col
-    g = x.groupBy("firm_id", "unique_customer_id", F.col("program_name").alias("kart_tip_detay")).agg(
-        F.max(F.when(sale, F.col("timed_id_transaction"))).alias("son_alv_tarih"),
-        F.max(F.when(ret, F.col("timed_id_transaction"))).alias("son_iade_tarih"),
-        F.max(d).alias("_last_any"),
-        F.max(F.when(sale, d)).alias("_last_sale"),
-        F.max(F.when(ret, d)).alias("_last_ret"),
-        F.count("transaction_id").alias("frequency"),
-        F.count(F.when(sale, F.col("transaction_id"))).alias("frequency_gecerli"),
-        F.count(F.when(ret, F.col("transaction_id"))).alias("frequency_iade"),
-        F.sum(aad).alias("_monetary"),
-        F.sum(F.when(sale, aad)).alias("_monetary_sale"),
-        F.sum(F.when(ret, aad)).alias("_monetary_ret"),
-        F.sum(earned).alias("_earned"),
-        F.sum(used).alias("_used"),
-        F.sum(F.when(F.col("amount_earned_point") > 0, 1).otherwise(0)).cast("long").alias("kazanilan_trx_cnt"),
-        F.sum(F.when(F.col("amount_used_point") > 0, 1).otherwise(0)).cast("long").alias("harcanilan_trx_cnt"),
-    ).where(F.col("_monetary") > F.lit(params.min_spend))
-
     rec = day_diff(today, "_last_any")
     rec_sale = day_diff(today, "_last_sale")
     rec_ret = day_diff(today, "_last_ret")
@@ -92,7 +93,9 @@ def rfm_aggregate(trx: DataFrame, cust: DataFrame, prog: DataFrame,
         "firm_id", "unique_customer_id", "kart_tip_detay", "son_alv_tarih", "son_iade_tarih",
         rec.alias("recency"), rec_sale.alias("recency_gecerli"), rec_ret.alias("recency_iade"),
         F.when(rec_ret <= rec_sale, 1).otherwise(0).alias("son_islem_iade"),
-        "frequency", "frequency_gecerli", "frequency_iade",
+        F.col("frequency").cast("long").alias("frequency"),
+        F.col("frequency_gecerli").cast("long").alias("frequency_gecerli"),
+        F.col("frequency_iade").cast("long").alias("frequency_iade"),
         F.round(F.try_divide(F.col("frequency_iade").cast("double"), F.col("frequency").cast("double")), 4)
         .alias("iade_orani"),
         F.col("_monetary").alias("monetary"),
@@ -105,8 +108,21 @@ def rfm_aggregate(trx: DataFrame, cust: DataFrame, prog: DataFrame,
         F.round(F.coalesce(F.try_divide(F.col("_used").cast("double"),
                                         F.nullif(F.col("_earned").cast("double"), F.lit(0.0))),
                            F.lit(0.0)), 4).alias("kazanilan_harcanan_tutar_oran"),
-        "kazanilan_trx_cnt", "harcanilan_trx_cnt",
+        F.col("kazanilan_trx_cnt").cast("long").alias("kazanilan_trx_cnt"),
+        F.col("harcanilan_trx_cnt").cast("long").alias("harcanilan_trx_cnt"),
     )
     if not with_ratios:
         out = out.drop("iade_orani", "iade_ciro_orani", "kazanilan_harcanan_tutar_oran")
     return out
+
+
+def rfm_aggregate(trx: DataFrame, cust: DataFrame, prog: DataFrame,
+                  params: RunParams = DEFAULT, with_ratios: bool = True) -> DataFrame:
+    """RFM_STG: recency / frequency / monetary / points per (unique customer, program name).
+
+    One hash aggregate (partial + final), HAVING on the spend total.
+    """
+    x = _with_customer(valid_transactions(trx), cust, prog)
+    g = x.groupBy("firm_id", "unique_customer_id", F.col("program_name").alias("kart_tip_detay")).agg(
+        *[e.alias(n) for n, e, _ in rfm_measures(params)])
+    return rfm_finish(g, params, with_ratios)
