@@ -65,3 +65,42 @@ def test_null_group_keys_form_their_own_group(spark):
     lagged = lag_in_order(df, ["g"], ["v"], "v", "prev").collect()
     assert sorted((r.g or "", r.v, r.prev) for r in lagged) == [
         ("", 1.0, None), ("", 3.0, 1.0), ("a", 10.0, None), ("a", 20.0, 10.0), ("a", 30.0, 20.0)]
+
+
+def test_churn_features_with_a_hot_customer(spark):
+    """Gap/median/stddev features when one customer holds most transactions."""
+    from datetime import datetime, timedelta
+    from decimal import Decimal
+
+    from loyalflow.operators.churn_features import transaction_features
+
+    rng = np.random.default_rng(11)
+    rows = []
+    tid = 0
+    for cust, n in [(0, 3000)] + [(c, int(rng.integers(2, 40))) for c in range(1, 25)]:
+        for _ in range(n):
+            tid += 1
+            ts = datetime(2000, 1, 1) + timedelta(hours=int(rng.integers(0, 20000)))
+            amt = Decimal(int(rng.integers(100, 100000))).scaleb(-2)
+            rows.append((cust * 2, int(cust % 3) + 1, int(rng.integers(0, 3)), ts, tid, amt,
+                         Decimal("0.00"), None, Decimal("1.00")))
+    schema = ("unique_customer_id long, firm_id long, program_id int, transaction_date timestamp_ntz, "
+              "transaction_id long, amount_after_discount decimal(18,2), amount_discount decimal(18,2), "
+              "amount_used_point decimal(18,2), amount_earned_point decimal(18,2)")
+    df = spark.createDataFrame(rows, schema)
+    got = transaction_features(df).toPandas().set_index(["unique_customer_id", "program_id"]).sort_index()
+
+    pdf = pd.DataFrame(rows, columns=["uid", "firm", "prog", "ts", "tid", "amt", "disc", "used", "earned"])
+    pdf = pdf.sort_values(["uid", "ts", "tid", "amt"])
+    pdf["prev"] = pdf.groupby("uid")["ts"].shift(1)
+    pdf["gap"] = (pdf["ts"] - pdf["prev"]).dt.total_seconds() / 86400.0
+    pdf["amt_f"] = pdf["amt"].astype(float)
+    exp = pdf.groupby(["uid", "prog"]).agg(gap=("gap", "mean"), med=("amt_f", "median"),
+                                           sd=("amt_f", "std"), n=("ts", "count")).sort_index()
+    exp["sd"] = exp["sd"].where(exp["n"] > 1, 0.0)
+    assert len(got) == len(exp)
+    assert np.allclose(got["avg_days_between_transactions"].astype(float).fillna(-1).values,
+                       exp["gap"].fillna(-1).values)
+    assert np.allclose(got["median_basket_size"].values, exp["med"].values)
+    assert np.allclose(got["basket_size_stddev"].values, exp["sd"].values)
+    assert (got["distinct_transactions"].values == exp["n"].values).all()
