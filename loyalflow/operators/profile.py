@@ -92,10 +92,9 @@ def demographics(best: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     )
 
 
-def _profile_level1(params: RunParams, mask=None) -> list:
-    """Per-transaction partials of the profile (with ``mask``, only rows satisfying it count)."""
-    m = F.lit(True) if mask is None else mask
-    sale = (F.col("trx_state_id") == SALE) & m
+def _profile_level1(params: RunParams) -> list:
+    """Per-transaction partials of the profile."""
+    sale = F.col("trx_state_id") == SALE
     aad = F.col("amount_after_discount")
     at = F.col("amount_total")
     d = F.col("transaction_date")
@@ -107,7 +106,7 @@ def _profile_level1(params: RunParams, mask=None) -> list:
         sale & (at > 0), F.lit(1.0) - aad.cast("double") / at.cast("double"))
     l1 = [
         F.sum(F.when(sale, 1).otherwise(0)).alias("n_sale"),
-        F.sum(F.when(m, aad)).alias("s_aad"),
+        F.sum(aad).alias("s_aad"),
         F.min(F.when(sale, F.col("timed_id_transaction"))).alias("min_key"),
         F.max(F.when(sale, F.col("timed_id_transaction"))).alias("max_key"),
         F.min(F.when(sale, d.cast("date"))).alias("min_sale_day"),
@@ -116,14 +115,14 @@ def _profile_level1(params: RunParams, mask=None) -> list:
         F.count(disc_rate).alias("n_rate"),
         F.sum(F.when(sale & is_weekend(d), 1).otherwise(0)).alias("n_we"),
         F.sum(F.when(sale & ~is_weekend(d), 1).otherwise(0)).alias("n_wd"),
-        F.sum(F.when(m & is_weekend(d), aad).otherwise(zero)).alias("c_we"),
-        F.sum(F.when(m & ~is_weekend(d), aad).otherwise(zero)).alias("c_wd"),
+        F.sum(F.when(is_weekend(d), aad).otherwise(zero)).alias("c_we"),
+        F.sum(F.when(~is_weekend(d), aad).otherwise(zero)).alias("c_wd"),
     ]
     for name, (lo, hi) in DAYPARTS.items():
         l1.append(F.max(sale & (hr >= lo) & (hr < hi)).alias(f"f_{name}"))
-        l1.append(F.sum(F.when(m & (dhr >= lo) & (dhr < hi), aad).otherwise(zero)).alias(f"c_{name}"))
+        l1.append(F.sum(F.when((dhr >= lo) & (dhr < hi), aad).otherwise(zero)).alias(f"c_{name}"))
     for k, mo in RECENT_MONTHS.items():
-        recent = m & (day >= ts_lit(params.months_back(mo)))
+        recent = day >= ts_lit(params.months_back(mo))
         l1.append(F.max(sale & recent).alias(f"f_{k}"))
         l1.append(F.sum(F.when(recent, aad)).alias(f"s_{k}"))
         l1.append(F.count(F.when(recent, aad)).alias(f"n_{k}"))
