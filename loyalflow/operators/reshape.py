@@ -76,10 +76,14 @@ def collapse_first(df: DataFrame, ids: Sequence[str], order: str, cols: Sequence
 
 
 def rename_by_table(df: DataFrame, defs: DataFrame, keep: Sequence[str],
-                    name_col: str = "definition_name", code_col: str = "definition_no") -> DataFrame:
-    """Dictionary-driven rename: the (small, bounded) definition table is collected on the
-    driver - it is metadata, not data - and turned into one ``select`` with aliases."""
-    rows = broadcast_checked(defs, 10_000).select(name_col, code_col).collect()
+                    name_col: str = "definition_name", code_col: str = "definition_no",
+                    max_entries: int = 10_000) -> DataFrame:
+    """Dictionary-driven rename: the definition table is metadata (one row per output
+    column), so it is read on the driver - after checking it has at most ``max_entries``
+    rows - and turned into one ``select`` with aliases."""
+    if defs.limit(max_entries + 1).count() > max_entries:
+        raise ValueError(f"definition table has more than {max_entries} entries; not a column dictionary")
+    rows = defs.select(name_col, code_col).collect()
     mapping = {r[0].lower(): r[1] for r in rows if r[0] is not None and r[0].lower() in
                {c.lower() for c in df.columns}}
     lower = {c.lower(): c for c in df.columns}
