@@ -25,8 +25,6 @@ from ..sources import registry as reg
 from ..sources.domain import Domain
 from . import customer as cust_plan
 
-MODULE_SEGMENTATION, MODULE_INSIGHT, MODULE_CHURN = 1, 3, 4
-
 
 def _write(df: DataFrame, out_dir: str, table: str, partition_by=("firm_id",)) -> str:
     path = os.path.join(out_dir, table)
@@ -100,3 +98,30 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
         params.audit_ts_col.alias("ett_date")))
     paths["STG_LOGS"] = _write(log, out_dir, "STG_LOGS")
     return paths
+
+
+def main(argv=None) -> None:
+    """``python -m loyalflow.plans.runs --input <folder> --output <folder> [--as-of ...]``"""
+    import argparse
+
+    from ..session import build_session, shared_dir
+    from ..sources.staging import staged_domain
+
+    ap = argparse.ArgumentParser(description="Run every module for every tenant and write the output tables.")
+    ap.add_argument("--input", required=True, help="folder with the source Parquet tables")
+    ap.add_argument("--output", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--as-of", default=DEFAULT.as_of.strftime("%Y-%m-%d %H:%M:%S"))
+    ap.add_argument("--churn-threshold", type=int, default=DEFAULT.churn_threshold)
+    ap.add_argument("--max-iter", type=int, default=100)
+    a = ap.parse_args(argv)
+    params = DEFAULT.with_(as_of=datetime.strptime(a.as_of, "%Y-%m-%d %H:%M:%S"),
+                           churn_threshold=a.churn_threshold)
+    spark = SparkSession.getActiveSession() or build_session()
+    shared_dir(spark)
+    paths = run_tasks(spark, staged_domain(spark, a.input), a.output, params, a.max_iter)
+    for name, path in paths.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()
