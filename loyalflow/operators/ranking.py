@@ -78,9 +78,10 @@ def _cols(xs) -> list[Column]:
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence, weight: str | None = None,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, keep_chunk: bool = False) -> DataFrame:
     """Add ``_start`` (0-based position of the row's first unit in group order)
     and ``_n`` (total weight of the group). ``weight`` defaults to 1 per row.
+    ``keep_chunk`` keeps the chunk id ``_pid`` (the task that handled the row).
 
     Every other (orderable) column takes part in the ordering as a trailing
     tie-breaker, so positions are reproducible even when ``order`` has ties.
@@ -111,8 +112,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence, weight: str |
         F.sum("_cw").over(Window.partitionBy(*ek)).cast("long").alias("_n"),
     )
     out = r.join(chunks, ek + ["_pid"])
-    return (out.withColumn("_start", F.col("_off") + F.col("_cum") - F.col("_w"))
-            .drop("_off", "_cum", "_cw", "_pid", *added))
+    out = out.withColumn("_start", F.col("_off") + F.col("_cum") - F.col("_w"))
+    return out.drop("_off", "_cum", "_cw", *added, *([] if keep_chunk else ["_pid"]))
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
