@@ -56,13 +56,22 @@ def audit_columns(df: DataFrame, params: RunParams = DEFAULT, model_id: int | No
     return df.withColumns(cols)
 
 
-def analytic_customer(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+LABEL_CODES = ["P6", "P7", "P8", "P9", "P10", "P15"]
+
+
+def analytic_customer(rows: DataFrame, params: RunParams = DEFAULT, language: str = "en") -> DataFrame:
     """ANALYTIC_CUSTOMER (segment part): one row per customer, P-codes as strings.
 
     Multi-program customers keep the first non-NULL value per code ordered by
-    program name (deterministic form of ``pivot_table(aggfunc='first')``)."""
+    program name (deterministic form of ``pivot_table(aggfunc='first')``).
+    ``language="tr"`` writes the Turkish display labels for the segment codes
+    (the firm KPIs read the canonical English codes)."""
     wide = reshape.to_p_codes(p_code_values(rows), ["firm_id", "unique_customer_id"],
                               reshape.SEGMENT_P_CODES, order="kart_tip_detay")
+    if language == "tr":
+        wide = wide.withColumns({c: seg.localize(c) for c in LABEL_CODES})
+    elif language != "en":
+        raise ValueError(f"unsupported language {language!r}")
     return audit_columns(wide, params)
 
 

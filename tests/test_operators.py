@@ -153,3 +153,14 @@ def test_localize_labels(spark):
     df = spark.createDataFrame([("VIP Customer",), ("New Customer",), ("unmapped",)], "s string")
     got = [r.t for r in df.select(localize("s").alias("t")).collect()]
     assert got == ["VIP Müşteri", "markayla yeni temas eden", "unmapped"]
+
+
+def test_analytic_customer_turkish_labels(spark, sf_small):
+    from loyalflow.plans import customer as cp
+    from loyalflow.sources.staging import staged_domain
+    from loyalflow.operators.segments import TURKISH_LABELS
+    rows = cp.segmented_rows(staged_domain(spark, sf_small))
+    tr = cp.analytic_customer(rows, language="tr")
+    labels = {r.P15 for r in tr.select("P15").distinct().collect()} | \
+        {r.P6 for r in tr.select("P6").distinct().collect()}
+    assert labels and labels <= set(TURKISH_LABELS.values())
