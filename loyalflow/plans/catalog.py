@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import profile as prof
 from ..operators import rfm as rfm_ops
 from ..params import DEFAULT, ts_lit
-from ..session import apply_conf
+from ..session import apply_conf, cut_lineage
 from ..sources.staging import staged_domain
 from . import oracle as O
 from .normalize import norm, sql_norm
@@ -553,9 +553,14 @@ def fitted(spark, sf_dir, max_iter=100):
     d = dom(spark, sf_dir)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), max_iter)
     if key not in _MODELS:
-        train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P)
-        _MODELS[key] = cm.fit_churn(train, P, max_iter)
-    return d, _MODELS[key]
+        train = cut_lineage(cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P))
+        _MODELS[key] = (cm.fit_churn(train, P, max_iter), train)
+    return d, _MODELS[key][0]
+
+
+def fitted_training(spark, sf_dir, max_iter=100):
+    fitted(spark, sf_dir, max_iter)
+    return _MODELS[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), max_iter)][1]
 
 
 @register("churn_scores")
@@ -876,3 +881,22 @@ def analytic_customer_full(spark, sf_dir):
     seg_part = cust_plan.analytic_customer(seg_rows(spark, sf_dir), P)
     churn_part = cust_plan.churn_p_codes(scored_stand_in(spark, sf_dir), P)
     return cust_plan.merge_customer_parts(seg_part, churn_part)
+
+
+@register("churn_model_metrics")
+def churn_model_metrics(spark, sf_dir):
+    """CHURN_PERFORMANCE_METRICS of the fitted model: confusion cells, accuracy, precision,
+    recall, F1 and AUC per firm on the validation rows (rows-only check)."""
+    from .runs import churn_performance
+
+    _, model = fitted(spark, sf_dir)
+    val = cm.churn_probability(model, fitted_training(spark, sf_dir).where(F.col("is_val")))
+    return churn_performance(val, P, P.run_id)
+
+
+@register("churn_firm_summary")
+def churn_firm_summary(spark, sf_dir):
+    """CHURN_FIRM_BASED of the fitted model's scores (rows-only check)."""
+    d, model = fitted(spark, sf_dir)
+    pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
+    return cm.churn_summary(cm.postprocess(cm.churn_probability(model, pr), P))
