@@ -164,3 +164,21 @@ def test_analytic_customer_turkish_labels(spark, sf_small):
     labels = {r.P15 for r in tr.select("P15").distinct().collect()} | \
         {r.P6 for r in tr.select("P6").distinct().collect()}
     assert labels and labels <= set(TURKISH_LABELS.values())
+
+
+def test_read_table_parquet_and_catalog(spark):
+    from loyalflow.sources.domain import read_table
+    path = scratch_path(spark, "t_read")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string").write.parquet(path)
+    assert read_table(spark, "ignored", fmt="parquet", path=path).count() == 2
+    spark.read.parquet(path).createOrReplaceTempView("t_read_view")
+    assert read_table(spark, "t_read_view", fmt="table").count() == 2
+
+
+def test_cluster_conf_sizes_partitions():
+    from loyalflow.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts >= 16000 and parts * (256 << 20) >= 100 * 1024 ** 4
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
