@@ -259,3 +259,24 @@ def feature_importances(model: PipelineModel, spark, model_id: int, firm_id=None
     imp = gbt.featureImportances.toArray().tolist()
     rows = [(model_id, n, float(v)) for n, v in zip(names, imp)]
     return spark.createDataFrame(rows, "model_id long, feature string, importance double")
+
+
+def fit_churn_per_firm(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100,
+                       max_tenants: int = 10_000) -> dict:
+    """One model per tenant, as the reference trains per schema. Each fit is a distributed
+    job over that tenant's rows; only the tenant list (one row per tenant, bounded by
+    ``max_tenants``) is read on the driver."""
+    firms = prepared.select("firm_id").distinct()
+    if firms.limit(max_tenants + 1).count() > max_tenants:
+        raise ValueError(f"more than {max_tenants} tenants; use the pooled model")
+    data = cut_lineage(prepared)
+    return {r.firm_id: fit_churn(data.where(F.col("firm_id") == r.firm_id), params, max_iter)
+            for r in firms.collect()}
+
+
+def score_per_firm(models: dict, df: DataFrame) -> DataFrame:
+    """Score each tenant's rows with its own model (rows of tenants without a model are dropped)."""
+    from functools import reduce
+
+    parts = [churn_probability(m, df.where(F.col("firm_id") == f)) for f, m in models.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

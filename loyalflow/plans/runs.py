@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +44,9 @@ def churn_performance(scored_val: DataFrame, params: RunParams, model_id: int) -
 
 
 def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams = DEFAULT,
-              max_iter: int = 100) -> dict[str, str]:
-    """Run segmentation, churn and firm insight for all active tenants; returns table paths."""
+              max_iter: int = 100, per_firm_models: bool = False) -> dict[str, str]:
+    """Run segmentation, churn and firm insight for all active tenants; returns table paths.
+    ``per_firm_models`` trains one churn model per tenant instead of one pooled model."""
     started = datetime.now()  # run-log timestamps only; analytics use params.as_of
     model_id = params.run_id
     paths: dict[str, str] = {}
@@ -65,14 +67,23 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
 
     # churn: training, model, metrics, scores
     train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, params), params)
-    model = cm.fit_churn(train, params, max_iter)
-    val = cm.churn_probability(model, train.where(F.col("is_val")))
+    pred = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, params))
+    if per_firm_models:
+        models = cm.fit_churn_per_firm(train, params, max_iter)
+        val = cm.score_per_firm(models, train.where(F.col("is_val")))
+        importances = reduce(lambda a, b: a.unionByName(b), [
+            cm.feature_importances(m, spark, model_id).withColumn("firm_id", F.lit(f).cast("long"))
+            for f, m in models.items()])
+        scored = cm.postprocess(cm.score_per_firm(models, pred), params, model_id)
+    else:
+        model = cm.fit_churn(train, params, max_iter)
+        val = cm.churn_probability(model, train.where(F.col("is_val")))
+        importances = cm.feature_importances(model, spark, model_id)
+        scored = cm.postprocess(cm.churn_probability(model, pred), params, model_id)
     paths["CHURN_PERFORMANCE_METRICS"] = _write(churn_performance(val, params, model_id), out_dir,
                                                 "CHURN_PERFORMANCE_METRICS")
-    paths["CHURN_FEATURE_IMPORTANCES"] = _write(cm.feature_importances(model, spark, model_id), out_dir,
-                                                "CHURN_FEATURE_IMPORTANCES", partition_by=())
-    pred = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, params))
-    scored = cm.postprocess(cm.churn_probability(model, pred), params, model_id)
+    paths["CHURN_FEATURE_IMPORTANCES"] = _write(importances, out_dir, "CHURN_FEATURE_IMPORTANCES",
+                                                partition_by=())
     paths["CHURN_FIRM_BASED"] = _write(
         sinks.with_audit(cm.churn_summary(scored), params.created_by, params.audit_ts_col, model_id),
         out_dir, "CHURN_FIRM_BASED")
@@ -113,12 +124,13 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=DEFAULT.as_of.strftime("%Y-%m-%d %H:%M:%S"))
     ap.add_argument("--churn-threshold", type=int, default=DEFAULT.churn_threshold)
     ap.add_argument("--max-iter", type=int, default=100)
+    ap.add_argument("--per-firm-models", action="store_true", help="one churn model per tenant")
     a = ap.parse_args(argv)
     params = DEFAULT.with_(as_of=datetime.strptime(a.as_of, "%Y-%m-%d %H:%M:%S"),
                            churn_threshold=a.churn_threshold)
     spark = SparkSession.getActiveSession() or build_session()
     shared_dir(spark)
-    paths = run_tasks(spark, staged_domain(spark, a.input), a.output, params, a.max_iter)
+    paths = run_tasks(spark, staged_domain(spark, a.input), a.output, params, a.max_iter, a.per_firm_models)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 

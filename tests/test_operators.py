@@ -182,3 +182,22 @@ def test_cluster_conf_sizes_partitions():
     assert parts >= 16000 and parts * (256 << 20) >= 100 * 1024 ** 4
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_per_firm_models(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(400):
+        y = int(rng.random() < 0.5)
+        base = {c: float(rng.normal()) for c in cm.MODEL_FEATURES}
+        base["customer_lifetime"] += 3.0 * y
+        rows.append((i, int(i % 3), 1 + i % 2, y, *[base[c] for c in cm.MODEL_FEATURES]))
+    schema = "unique_customer_id long, program_id int, firm_id long, is_churn int, " + \
+        ", ".join(f"{c} double" for c in cm.MODEL_FEATURES)
+    prepared = cm.class_weights(cm.stratified_split(spark.createDataFrame(rows, schema)))
+    models = cm.fit_churn_per_firm(prepared, max_iter=10)
+    assert set(models) == {1, 2}
+    scored = cm.score_per_firm(models, prepared.where("is_val"))
+    assert scored.count() == prepared.where("is_val").count()
+    assert cm.auc(scored, "is_churn", "churn_prob").where("auc > 0.75").count() == 2

@@ -24,3 +24,11 @@ def test_run_tasks_writes_all_tables(spark, sf_small):
     assert firm.where(F.col("P17").isNull()).count() == 0  # narrative present for every firm
     log = spark.read.parquet(paths["STG_LOGS"])
     assert {r.status for r in log.collect()} == {"SUCCESS"}
+
+
+def test_run_tasks_per_firm_models(spark, sf_small):
+    out = scratch_path(spark, "run_pf")
+    paths = run_tasks(spark, staged_domain(spark, sf_small), out, max_iter=3, per_firm_models=True)
+    imp = spark.read.parquet(paths["CHURN_FEATURE_IMPORTANCES"])
+    assert imp.select("firm_id").distinct().count() == 3
+    assert spark.read.parquet(paths["ANALYTIC_CUSTOMER"]).where(F.col("P22").isNotNull()).count() > 0
