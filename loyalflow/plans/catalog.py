@@ -900,3 +900,15 @@ def churn_firm_summary(spark, sf_dir):
     d, model = fitted(spark, sf_dir)
     pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
     return cm.churn_summary(cm.postprocess(cm.churn_probability(model, pr), P))
+
+
+@register("capped_sample_size", O.with_domain(*CH_TRAIN, body="""
+SELECT 'n_rows' AS metric, cast(least(500, count(*)) AS BIGINT) AS value FROM train
+UNION ALL SELECT 'n_candidates' AS metric, cast(count(*) AS BIGINT) AS value FROM train"""))
+def capped_sample_size(spark, sf_dir):
+    """The random cap draws exactly min(n, rows) rows (n = 500 here) out of all candidates."""
+    d = dom(spark, sf_dir)
+    ds = cf.training_filter(cf.churn_dataset(d.trx, d.cust, d.prog, P), P)
+    sample = cf.capped_sample(ds, 500, P.seed)
+    return (sample.agg(F.lit("n_rows").alias("metric"), F.count(F.lit(1)).alias("value"))
+            .unionByName(ds.agg(F.lit("n_candidates").alias("metric"), F.count(F.lit(1)).alias("value"))))
