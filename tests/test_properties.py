@@ -57,3 +57,18 @@ def test_percentiles_match_pandas(spark, rows, q):
     exp = pdf.groupby("g")["v"].quantile(q).to_dict()
     assert set(got) == set(exp)
     assert all(abs(got[k] - exp[k]) < 1e-9 for k in exp)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 10_000), st.integers(-100, 100)),
+                min_size=1, max_size=150, unique_by=lambda r: (r[0], r[1])),
+       st.sampled_from([2, 5, 16]))
+def test_lag_matches_pandas_shift(spark, rows, parts):
+    from loyalflow.operators.ranking import lag_in_order
+    pdf = pd.DataFrame(rows, columns=["g", "t", "v"])
+    df = spark.createDataFrame(pdf)
+    got = lag_in_order(df, ["g"], ["t"], "v", "prev", num_partitions=parts).toPandas()
+    exp = pdf.sort_values(["g", "t"]).assign(prev=lambda d: d.groupby("g")["v"].shift(1))
+    m = got.merge(exp, on=["g", "t"], suffixes=("", "_e"))
+    assert len(m) == len(pdf)
+    assert (m["prev"].fillna(-10**6) == m["prev_e"].fillna(-10**6)).all()
