@@ -204,8 +204,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
              .select(F.col("_least").alias("a"), F.col("_class").alias("b")).distinct())
     groups = components(chain).select(F.col("node").alias("_class"), F.col("component").alias("_group"))
 
-    # the full sets of the classes in question, each made from one text
-    wanted = materialize(groups.join(classes, "_class"), "wanted")
+    # the full sets of the classes in question, each made from one text; the texts are shuffled once, at every size
+    wanted = materialize(groups.join(classes, "_class"), "wanted").hint("merge")
     text = docs.select(F.col(id_col).alias("_first"), F.col(text_col).alias("_text"))
     found = text.join(wanted, text["_first"].eqNullSafe(wanted["_first"])).drop(wanted["_first"])
     sets = materialize(gram_sets(found, size, "_text"), "sets")
@@ -293,8 +293,10 @@ def _compare(threshold: float):
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with one row left of each group of near duplicates: that of the smallest id.
 
-    Repeated rows of that id leave one row each per different text; all columns stay.
+    Repeated rows of that id leave one row per different text. Rows without an
+    id cannot be told apart by it and all stay. All columns stay.
     """
     kept = join(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_kept")).distinct()
-    out = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
-    return out.dropDuplicates([id_col, text_col])
+    known = docs.where(docs[id_col].isNotNull())
+    known = known.join(kept.hint("merge"), known[id_col] == kept["_kept"], "left_semi")
+    return known.dropDuplicates([id_col, text_col]).unionByName(docs.where(docs[id_col].isNull()))
