@@ -28,9 +28,10 @@ def choose_bands(threshold: float, recall: float = 0.999, most_hashes: int = 128
     """(bands, rows) with the most rows whose bands find a pair at ``threshold`` with probability ``recall``."""
     best = None
     for rows in range(1, most_hashes + 1):
-        bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))) if threshold < 1 else 1
-        if bands * rows <= most_hashes:
-            best = bands, rows
+        bands = max(1, math.ceil(math.log(1 - recall) / math.log1p(-threshold ** rows))) if threshold < 1 else 1
+        if bands * rows > most_hashes:
+            break
+        best = bands, rows
     if best is None:
         raise ValueError("no bands reach this recall with so few hashes")
     return best
