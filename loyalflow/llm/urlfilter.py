@@ -9,6 +9,7 @@ probed by one binary search, and a hit counts only if the stored string is equal
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,16 +136,14 @@ def judge(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str]], i
     Urls that no rule fits get ``default``. A url that is null or has no ``://``
     has an empty host and path and fits no rule; repeated rows are judged each.
     """
-    name = "rules.idx"
-    path = write_shared_file(spark, name, build_index(rules))
-    spark.sparkContext.addFile(path.replace(name, ""), recursive=True)
-    folder = path.rstrip("/").split("/")[-2]
+    name = f"rules-{uuid.uuid4().hex}.idx"
+    spark.sparkContext.addFile(write_shared_file(spark, name, build_index(rules)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if folder not in _KEPT:
-            _KEPT[folder] = DigestIndex(f"{SparkFiles.get(folder)}/{name}")
+        if name not in _KEPT:
+            _KEPT[name] = DigestIndex(SparkFiles.get(name))
         for batch in batches:
-            found = _KEPT[folder].match(batch.column(1).to_pylist())
+            found = _KEPT[name].match(batch.column(1).to_pylist())
             cols = [pa.array([f[k] for f in found], pa.string()) for k in range(3)]
             verdicts = pa.array([f[3] or default for f in found], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols, verdicts],
