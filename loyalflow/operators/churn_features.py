@@ -156,17 +156,12 @@ def random_key(seed: int):
     return (F.pmod(h, F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52)))
 
 
-def capped_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Uniform sample without replacement of exactly ``min(n, rows)`` rows: the rows
-    whose random key ranks below ``n``. Ranks come from the distributed position
-    operator, so no single task sorts or holds the sample.
-
-    The frame is materialized first (reliable checkpoint) and counted; when the cap
-    does not bind every row is kept without ranking - the same result, fewer jobs."""
+def capped_sample(df: DataFrame, n: int, seed: int = 42, keys=("firm_id",)) -> DataFrame:
+    """Uniform sample without replacement of exactly ``min(n, rows)`` rows per tenant: the
+    rows whose random key ranks below ``n``. Ranks come from the distributed position
+    operator, so no single task sorts or holds the sample."""
     keyed = cut_lineage(df.withColumn("rnd", random_key(seed)))
-    if keyed.count() <= n:
-        return keyed
-    ranked = row_positions(keyed, [], [F.col("rnd"), F.col("unique_customer_id"), F.col("program_id")])
+    ranked = row_positions(keyed, list(keys), [F.col("rnd"), F.col("unique_customer_id"), F.col("program_id")])
     return ranked.where(F.col("_rank") < F.lit(n)).drop("_rank", "_n")
 
 
@@ -177,9 +172,13 @@ def training_filter(df: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
 
 def churn_training_set(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT,
                        max_rows: int | None = None) -> DataFrame:
-    """Training set: labelled rows, recently active churners only, random cap."""
+    """Training set: labelled rows, recently active churners only, with their random key.
+    All rows, unless ``max_rows`` per tenant are asked for; the cap of the fit itself is
+    applied by ``churn_model.fit_churn``."""
     ds = training_filter(churn_dataset(trx, cust, prog, params), params)
-    return capped_sample(ds, params.churn_max_rows if max_rows is None else max_rows, params.seed)
+    if max_rows is None:
+        return cut_lineage(ds.withColumn("rnd", random_key(params.seed)))
+    return capped_sample(ds, max_rows, params.seed)
 
 
 def churn_prediction_set(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT) -> DataFrame:

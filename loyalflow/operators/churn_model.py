@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.stats import pct_half_up, round_int_even
 from ..params import DEFAULT, RunParams
 from ..session import cut_lineage
-from .churn_features import random_key
+from .churn_features import capped_sample, random_key
+from .joins import broadcast_checked
 from .ranking import percentiles, positions, row_positions
 
 # Numeric columns that are null-filled, rounded and cast to int before modelling.
@@ -27,11 +28,13 @@ ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "mi
               "avg_days_between_transactions", "median_basket_size", "basket_size_stddev",
               "total_discount_earned", "discounted_transactions", "total_used_point", "total_earned_point",
               "point_used_transactions"]
-# Model inputs (plus the categorical program and firm).
+# Model inputs (plus the categorical program; the tenant is a key, not an input).
 MODEL_FEATURES = ["customer_lifetime", "distinct_transactions", "avg_days_between_transactions", "avg_spent",
                   "max_spent", "min_spent", "median_basket_size", "basket_size_stddev",
                   "discounted_transactions", "total_used_point", "total_earned_point"]
-CATEGORICAL = ["program_id", "firm_id"]
+CATEGORICAL = ["program_id"]
+# Upper bound on tenants whose statistics may be broadcast.
+FIRM_ROWS = 100_000
 OUTLIER_KEYS = ["firm_id", "program_id", "is_churn"]
 
 # --- fixed values: class labels ---
@@ -103,22 +106,23 @@ def round_features(df: DataFrame, cols=ROUND_COLS) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str = "is_churn", test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """``is_val`` flag: per class, the ceil(test_size * n) rows with the smallest random key.
+    """``is_val`` flag: per tenant and class, the ceil(test_size * n) rows with the smallest random key.
     Exact class shares; ranks from the distributed position operator (a class can be half
     the data, so no per-class window)."""
     keyed = df.withColumn("_key", random_key(seed + 1))
-    r = row_positions(keyed, [label], [F.col("_key"), F.col("unique_customer_id"), F.col("program_id")])
+    r = row_positions(keyed, ["firm_id", label], [F.col("_key"), F.col("unique_customer_id"), F.col("program_id")])
     return (r.withColumn("is_val", F.col("_rank") < F.ceil(F.lit(test_size) * F.col("_n")))
             .drop("_rank", "_n", "_key"))
 
 
 def class_weights(df: DataFrame, label: str = "is_churn") -> DataFrame:
-    """Balanced weights n / (k * n_class) joined as column ``w`` (the per-class count
-    frame has one row per class)."""
-    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    every = Window.partitionBy()
-    wt = cnt.select(label, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias("w"))
-    return df.join(F.broadcast(wt), label)
+    """Balanced weights n / (k * n_class) of each tenant, joined as column ``w`` (the count
+    frame has one row per tenant and class)."""
+    cnt = df.groupBy("firm_id", label).agg(F.count(F.lit(1)).alias("_nc"))
+    every = Window.partitionBy("firm_id")
+    wt = cnt.select("firm_id", label,
+                    (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc"))).alias("w"))
+    return df.join(broadcast_checked(wt, 2 * FIRM_ROWS), ["firm_id", label])
 
 
 def prepare_training(train: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
@@ -128,13 +132,13 @@ def prepare_training(train: DataFrame, params: RunParams = DEFAULT) -> DataFrame
     return class_weights(stratified_split(t, seed=params.seed))
 
 
-def build_pipeline(params: RunParams = DEFAULT, max_iter: int = 100) -> Pipeline:
+def build_pipeline(params: RunParams = DEFAULT, max_iter: int = 100, max_bins: int = 64) -> Pipeline:
     idx = [StringIndexer(inputCol=f"{c}_s", outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
     asm = VectorAssembler(inputCols=MODEL_FEATURES + [f"{c}_idx" for c in CATEGORICAL], outputCol="features",
                           handleInvalid="keep")
     gbt = GBTClassifier(labelCol="is_churn", featuresCol="features", weightCol="w", maxIter=max_iter,
                         stepSize=0.05, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.9",
-                        validationIndicatorCol="is_val", validationTol=1e-5, seed=params.seed, maxBins=64)
+                        validationIndicatorCol="is_val", validationTol=1e-5, seed=params.seed, maxBins=max_bins)
     return Pipeline(stages=[*idx, asm, gbt])
 
 
@@ -143,10 +147,15 @@ def _with_cat_strings(df: DataFrame) -> DataFrame:
 
 
 def fit_churn(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100) -> PipelineModel:
-    """Fit on a checkpointed training frame (iterative jobs re-read it, never the lineage)."""
-    data = cut_lineage(_with_cat_strings(prepared).select(
+    """Fit on a checkpointed training frame (iterative jobs re-read it, never the lineage).
+
+    At most ``params.churn_max_rows`` rows per tenant enter the fit, a uniform sample;
+    the bins follow the number of categories."""
+    sample = capped_sample(prepared.drop("rnd"), params.churn_max_rows, params.seed)
+    data = cut_lineage(_with_cat_strings(sample).select(
         *MODEL_FEATURES, *CATEGORICAL, *[f"{c}_s" for c in CATEGORICAL], "is_churn", "is_val", "w"))
-    return build_pipeline(params, max_iter).fit(data)
+    most = max(data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL]).first())
+    return build_pipeline(params, max_iter, max(64, most + 2)).fit(data)
 
 
 def churn_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -253,12 +262,13 @@ def revenue_at_risk(scored: DataFrame) -> DataFrame:
 
 
 def feature_importances(model: PipelineModel, spark, model_id: int, firm_id=None) -> DataFrame:
-    """(feature, importance) of the fitted trees; model metadata, a few rows."""
+    """(feature, importance) of the fitted trees, with the tenant of a per-tenant model; a few rows."""
     gbt = model.stages[-1]
     names = MODEL_FEATURES + CATEGORICAL
     imp = gbt.featureImportances.toArray().tolist()
     rows = [(model_id, n, float(v)) for n, v in zip(names, imp)]
-    return spark.createDataFrame(rows, "model_id long, feature string, importance double")
+    out = spark.createDataFrame(rows, "model_id long, feature string, importance double")
+    return out if firm_id is None else out.withColumn("firm_id", F.lit(firm_id).cast("long"))
 
 
 def fit_churn_per_firm(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100,
@@ -275,8 +285,11 @@ def fit_churn_per_firm(prepared: DataFrame, params: RunParams = DEFAULT, max_ite
 
 
 def score_per_firm(models: dict, df: DataFrame) -> DataFrame:
-    """Score each tenant's rows with its own model (rows of tenants without a model are dropped)."""
+    """Score each tenant's rows with its own model; rows of tenants without a model stay,
+    with a NULL probability (risk class unknown)."""
     from functools import reduce
 
     parts = [churn_probability(m, df.where(F.col("firm_id") == f)) for f, m in models.items()]
+    known = F.coalesce(F.col("firm_id").isin(list(models)), F.lit(False))
+    parts.append(df.where(~known).withColumn("churn_prob", F.lit(None).cast("double")))
     return reduce(lambda a, b: a.unionByName(b), parts)

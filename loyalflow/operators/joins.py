@@ -5,26 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-_CHECKED: dict = {}
+MAX_BYTES = 64 << 20
+# Bytes of a value by type; others (strings among them) are taken as 64.
+WIDTHS = {"boolean": 8, "byte": 8, "short": 8, "integer": 8, "long": 8, "float": 8, "double": 8, "date": 8,
+          "timestamp": 8, "timestamp_ntz": 8, "decimal": 24}
 
 
 def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only when it provably holds at most ``max_rows`` rows.
+    """Broadcast-hint ``df`` only when it provably holds at most ``max_rows`` rows and
+    ``MAX_BYTES`` by the width of its columns.
 
-    The check is a bounded action (``limit(max_rows + 1).count()`` stops
-    reading once the bound is exceeded). Beyond the bound the frame is returned
-    un-hinted and the join falls back to a shuffle join, which adaptive
-    execution may still turn into a broadcast from runtime statistics. The outcome
-    is remembered per plan (semantic hash) within the application.
+    The check is a bounded action (``limit(max_rows + 1).count()`` stops reading
+    once the bound is exceeded), made each time, so that a table that has grown is not
+    broadcast unchecked. Beyond the bound the frame is returned un-hinted and the join
+    falls back to a shuffle join.
     """
-    try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    except Exception:  # noqa: BLE001 - plans without a semantic hash are simply re-checked
-        key = None
-    small = _CHECKED.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _CHECKED[key] = small
-    return F.broadcast(df) if small else df
+    width = sum(WIDTHS.get(f.dataType.typeName(), 64) for f in df.schema.fields) + 16
+    most = min(max_rows, MAX_BYTES // width)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -18,6 +18,7 @@ from ..functions.dates import parse_date_key
 from ..functions.stats import equal_width_bin
 from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage
+from .joins import broadcast_checked
 from .ranking import percentiles, row_positions
 
 # --- fixed values: segment labels (canonical codes used by the firm KPIs) ---
@@ -48,6 +49,9 @@ TURKISH_LABELS = {
 }
 # --- end of fixed values ---
 
+# Upper bound on tenants whose statistics may be broadcast.
+FIRM_ROWS = 100_000
+
 
 def localize(col, mapping: dict = TURKISH_LABELS):
     """Display-language label for a canonical label column."""
@@ -156,11 +160,11 @@ def _apply_rfm(x: DataFrame, params: RunParams) -> DataFrame:
 def _with_stats(all_data: DataFrame):
     """Materialize the per-(customer, program) input once (reliable checkpoint in the shared
     folder: the statistics and the rows both read it) and join the per-firm statistics.
-    The statistics (one row per firm) are joined plainly: adaptive execution broadcasts
-    them from their measured size and keeps a shuffle join beyond the threshold."""
+    The statistics (one row per firm) are made first and broadcast behind a size check,
+    so that the rows are not shuffled onto one key per firm."""
     d = cut_lineage(with_dates(all_data))
-    stats = firm_stats(d)
-    return d.join(stats, "firm_id"), [c for c in stats.columns if c != "firm_id"]
+    stats = cut_lineage(firm_stats(d))
+    return d.join(broadcast_checked(stats, FIRM_ROWS), "firm_id"), [c for c in stats.columns if c != "firm_id"]
 
 
 def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
@@ -203,8 +207,8 @@ def clv_rule():
 def clv_segments(d: DataFrame) -> DataFrame:
     """Decision list: one-timer, VIP, loyal, potential growth, else at risk."""
     d = clv_values(d)
-    th = clv_thresholds(d)
-    return d.join(th, "firm_id").withColumn("clv_segment", clv_rule()).drop(
+    th = cut_lineage(clv_thresholds(d))
+    return d.join(broadcast_checked(th, FIRM_ROWS), "firm_id").withColumn("clv_segment", clv_rule()).drop(
         *[c for c in th.columns if c != "firm_id"])
 
 

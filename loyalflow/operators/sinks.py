@@ -27,15 +27,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm
 
 
 def rebuild_tenants(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm_id",)) -> None:
-    """DELETE-all-then-INSERT per tenant: dynamic partition overwrite replaces exactly the
-    partitions present in ``df`` and leaves other tenants untouched."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """DELETE-all-then-INSERT of the tenants present in ``df``: dynamic partition overwrite
+    replaces exactly their partitions and leaves other tenants untouched."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def rebuild_all(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm_id",)) -> None:
+    """DELETE-all-then-INSERT of the whole table: tenants without new rows end empty."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def truncate(spark: SparkSession, path: str, schema) -> None:

@@ -413,7 +413,7 @@ def training_frame(spark, sf_dir):
 
 @register("churn_training_set", O.with_domain(*CH_TRAIN, body="SELECT * FROM train"), money=CH_MONEY, rnd=CH_RND)
 def churn_training_set(spark, sf_dir):
-    """Whole training set; the 500,000-row random cap exceeds the rows here, so all rows stay."""
+    """Whole training set (the cap belongs to the fit)."""
     return training_frame(spark, sf_dir).drop("rnd")
 
 
@@ -425,7 +425,7 @@ def churn_prediction_set(spark, sf_dir):
 
 @register("capped_sample")
 def capped_sample(spark, sf_dir):
-    """The random cap as the feature: exactly 500 rows drawn uniformly (reproducible key)."""
+    """The random cap as the feature: exactly 500 rows per firm drawn uniformly (reproducible key)."""
     d = dom(spark, sf_dir)
     return cf.churn_training_set(d.trx, d.cust, d.prog, P, max_rows=500).select(*CH_KEYS, "is_churn", "rnd")
 
@@ -468,12 +468,12 @@ def rounded_features(spark, sf_dir):
 
 
 @register("stratified_split", O.with_domain(*CH_TRAIN, body="""
-SELECT is_churn, n - cast(ceil(0.2 * n) AS BIGINT) AS n_train, cast(ceil(0.2 * n) AS BIGINT) AS n_val
-FROM (SELECT is_churn, count(*) AS n FROM train GROUP BY is_churn) c"""))
+SELECT firm_id, is_churn, n - cast(ceil(0.2 * n) AS BIGINT) AS n_train, cast(ceil(0.2 * n) AS BIGINT) AS n_val
+FROM (SELECT firm_id, is_churn, count(*) AS n FROM train GROUP BY firm_id, is_churn) c"""))
 def stratified_split(spark, sf_dir):
     s = cm.stratified_split(training_rows(spark, sf_dir), seed=P.seed)
-    return s.groupBy("is_churn").agg(F.count_if(~F.col("is_val")).alias("n_train"),
-                                     F.count_if(F.col("is_val")).alias("n_val"))
+    return s.groupBy("firm_id", "is_churn").agg(F.count_if(~F.col("is_val")).alias("n_train"),
+                                                F.count_if(F.col("is_val")).alias("n_val"))
 
 
 def scored_stand_in(spark, sf_dir):
@@ -800,20 +800,20 @@ SELECT coalesce(n.unique_customer_id, o.unique_customer_id) AS unique_customer_i
     f"CASE WHEN n.unique_customer_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in UPSERT_COLS) + """
 FROM (SELECT unique_customer_id, min(kart_tip_detay) AS kart_tip_detay, arg_min(monetary, kart_tip_detay) AS monetary,
         arg_min(frequency, kart_tip_detay) AS frequency, arg_min(recency, kart_tip_detay) AS recency
-      FROM rfm WHERE firm_id IN (1, 2) GROUP BY unique_customer_id) o
+      FROM rfm WHERE firm_id % 3 <> 0 GROUP BY unique_customer_id) o
 FULL OUTER JOIN (SELECT unique_customer_id, max(kart_tip_detay) AS kart_tip_detay,
         arg_max(monetary, kart_tip_detay) AS monetary, arg_max(frequency, kart_tip_detay) AS frequency,
         arg_max(recency, kart_tip_detay) AS recency
-      FROM rfm WHERE firm_id IN (2, 3) GROUP BY unique_customer_id) n
+      FROM rfm WHERE firm_id % 3 <> 1 GROUP BY unique_customer_id) n
 ON o.unique_customer_id = n.unique_customer_id"""), money=["monetary"])
 def customer_upsert(spark, sf_dir):
-    """Upsert on the unique customer: an earlier load (firms 1-2, first program) merged with a
-    newer one (firms 2-3, last program); overlapping customers take the newer row."""
+    """Upsert on the unique customer: an earlier load (two firms of three, first program) merged
+    with a newer one (two of three, last program), every firm in one or both; overlapping customers take the newer row."""
     r = rfm_frame(spark, sf_dir)
-    old = reshape.collapse_first(r.where(F.col("firm_id").isin(1, 2)), ["unique_customer_id"], "kart_tip_detay",
+    old = reshape.collapse_first(r.where(F.col("firm_id") % 3 != 0), ["unique_customer_id"], "kart_tip_detay",
                                  UPSERT_COLS[1:])
     last = F.max_by(F.struct(*[F.col(c) for c in UPSERT_COLS]), F.col("kart_tip_detay")).alias("_r")
-    new = r.where(F.col("firm_id").isin(2, 3)).groupBy("unique_customer_id").agg(last) \
+    new = r.where(F.col("firm_id") % 3 != 1).groupBy("unique_customer_id").agg(last) \
         .select("unique_customer_id", *[F.col(f"_r.{c}").alias(c) for c in UPSERT_COLS])
     return sinks.upsert(old, new, ["unique_customer_id"])
 
@@ -906,9 +906,20 @@ def churn_firm_summary(spark, sf_dir):
 SELECT 'n_rows' AS metric, cast(least(500, count(*)) AS BIGINT) AS value FROM train
 UNION ALL SELECT 'n_candidates' AS metric, cast(count(*) AS BIGINT) AS value FROM train"""))
 def capped_sample_size(spark, sf_dir):
-    """The random cap draws exactly min(n, rows) rows (n = 500 here) out of all candidates."""
+    """The random cap without tenants draws exactly min(n, rows) rows (n = 500) out of all candidates."""
     d = dom(spark, sf_dir)
     ds = cf.training_filter(cf.churn_dataset(d.trx, d.cust, d.prog, P), P)
-    sample = cf.capped_sample(ds, 500, P.seed)
+    sample = cf.capped_sample(ds, 500, P.seed, keys=())
     return (sample.agg(F.lit("n_rows").alias("metric"), F.count(F.lit(1)).alias("value"))
             .unionByName(ds.agg(F.lit("n_candidates").alias("metric"), F.count(F.lit(1)).alias("value"))))
+
+
+@register("capped_sample_per_firm", O.with_domain(*CH_TRAIN, body="""
+SELECT firm_id, cast(least(20, count(*)) AS BIGINT) AS n_rows, cast(count(*) AS BIGINT) AS n_candidates
+FROM train GROUP BY firm_id"""))
+def capped_sample_per_firm(spark, sf_dir):
+    """The cap of the fit: exactly min(n, rows) rows of every firm (n = 20 here)."""
+    d = dom(spark, sf_dir)
+    ds = cf.training_filter(cf.churn_dataset(d.trx, d.cust, d.prog, P), P)
+    drawn = cf.capped_sample(ds, 20, P.seed).groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return drawn.join(ds.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_candidates")), "firm_id")

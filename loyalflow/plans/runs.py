@@ -22,6 +22,7 @@ from ..operators import rfm as rfm_ops
 from ..operators import segments as seg
 from ..operators import sinks
 from ..params import DEFAULT, RunParams
+from ..session import cut_lineage
 from ..sources import registry as reg
 from ..sources.domain import Domain
 from . import customer as cust_plan
@@ -29,10 +30,14 @@ from . import customer as cust_plan
 
 def _write(df: DataFrame, out_dir: str, table: str, partition_by=("firm_id",)) -> str:
     path = os.path.join(out_dir, table)
-    if partition_by:
-        sinks.rebuild_tenants(df, path, partition_by)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    sinks.rebuild_all(df, path, partition_by)
+    return path
+
+
+def _append(df: DataFrame, out_dir: str, table: str) -> str:
+    """Next to the rows of earlier runs and models."""
+    path = os.path.join(out_dir, table)
+    df.write.mode("append").partitionBy("firm_id").parquet(path)
     return path
 
 
@@ -63,7 +68,7 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
     paths["ANALYTIC_CUSTOMER_BASE"] = _write(
         sinks.with_audit(base, params.created_by, params.audit_ts_col), out_dir, "ANALYTIC_CUSTOMER_BASE")
     rows = seg.segment_customers(spark.read.parquet(paths["ANALYTIC_ALL_DATA"]), params)
-    seg_part = cust_plan.analytic_customer(rows, params)
+    seg_part = cut_lineage(cust_plan.analytic_customer(rows, params))
 
     # churn: training, model, metrics, scores
     train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, params), params)
@@ -72,19 +77,22 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
         models = cm.fit_churn_per_firm(train, params, max_iter)
         val = cm.score_per_firm(models, train.where(F.col("is_val")))
         importances = reduce(lambda a, b: a.unionByName(b), [
-            cm.feature_importances(m, spark, model_id).withColumn("firm_id", F.lit(f).cast("long"))
+            cm.feature_importances(m, spark, model_id, f)
             for f, m in models.items()])
         scored = cm.postprocess(cm.score_per_firm(models, pred), params, model_id)
     else:
         model = cm.fit_churn(train, params, max_iter)
         val = cm.churn_probability(model, train.where(F.col("is_val")))
-        importances = cm.feature_importances(model, spark, model_id)
+        # one pooled model: its importances hold for every tenant
+        found = [F.struct(*[F.lit(r[c]).alias(c) for c in ("model_id", "feature", "importance")])
+                 for r in cm.feature_importances(model, spark, model_id).collect()]  # a row per model input
+        importances = reg.tenants(d.cust).select(F.col("ID").cast("long").alias("firm_id"), F.inline(F.array(*found)))
         scored = cm.postprocess(cm.churn_probability(model, pred), params, model_id)
-    paths["CHURN_PERFORMANCE_METRICS"] = _write(churn_performance(val, params, model_id), out_dir,
-                                                "CHURN_PERFORMANCE_METRICS")
-    paths["CHURN_FEATURE_IMPORTANCES"] = _write(importances, out_dir, "CHURN_FEATURE_IMPORTANCES",
-                                                partition_by=())
-    paths["CHURN_FIRM_BASED"] = _write(
+    paths["CHURN_PERFORMANCE_METRICS"] = _append(churn_performance(val, params, model_id), out_dir,
+                                                 "CHURN_PERFORMANCE_METRICS")
+    paths["CHURN_FEATURE_IMPORTANCES"] = _append(
+        sinks.with_audit(importances, params.created_by, params.audit_ts_col), out_dir, "CHURN_FEATURE_IMPORTANCES")
+    paths["CHURN_FIRM_BASED"] = _append(
         sinks.with_audit(cm.churn_summary(scored), params.created_by, params.audit_ts_col, model_id),
         out_dir, "CHURN_FIRM_BASED")
     churn_part = cust_plan.churn_p_codes(scored, params)
@@ -93,8 +101,8 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
     customer = cust_plan.audit_columns(cust_plan.merge_customer_parts(seg_part, churn_part), params)
     paths["ANALYTIC_CUSTOMER"] = _write(customer, out_dir, "ANALYTIC_CUSTOMER")
 
-    # firm KPIs and narrative from the written customer table
-    firm = ins.firm_based(spark.read.parquet(paths["ANALYTIC_CUSTOMER"]), reg.tenants(d.cust),
+    # firm KPIs and narrative from the segmented customers, as in the firm_kpis query
+    firm = ins.firm_based(seg_part, reg.tenants(d.cust),
                           ins.definitions(spark), params)
     paths["ANALYTIC_FIRM_BASED"] = _write(firm, out_dir, "ANALYTIC_FIRM_BASED")
 
@@ -107,7 +115,7 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
         F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("execution_start"),
         F.lit(finished.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("execution_end"),
         params.audit_ts_col.alias("ett_date")))
-    paths["STG_LOGS"] = _write(log, out_dir, "STG_LOGS")
+    paths["STG_LOGS"] = _append(log, out_dir, "STG_LOGS")
     return paths
 
 

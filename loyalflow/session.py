@@ -60,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
             path = tempfile.mkdtemp(prefix="loyalflow-ckpt-")
             spark.conf.set("spark.checkpoint.dir", path)
         sc.setCheckpointDir(path)

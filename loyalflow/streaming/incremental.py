@@ -63,8 +63,7 @@ def run_incremental(spark: SparkSession, sf_dir: str, out_dir: str, max_files_pe
 
     lines_static = raw(spark, sf_dir, "lineitem")
     lines = (spark.readStream.schema(lines_static.schema).option("maxFilesPerTrigger", max_files_per_trigger)
-             .option("pathGlobFilter", "lineitem*.parquet")
-             .parquet(sf_dir)
+             .parquet(os.path.join(sf_dir, "lineitem.parque[t]"))  # as a glob: a file or a directory table
              .select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "l_discount"))
     orders = raw(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     cust = customers(spark, sf_dir)
@@ -72,12 +71,8 @@ def run_incremental(spark: SparkSession, sf_dir: str, out_dir: str, max_files_pe
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         p = batch_partials(batch, cust).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            p.write.mode("overwrite").partitionBy("batch_id").parquet(table)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (p.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(table))
 
     q = (_transactions_from_lines(lines, orders).writeStream
          .foreachBatch(sink)

@@ -201,3 +201,42 @@ def test_per_firm_models(spark):
     scored = cm.score_per_firm(models, prepared.where("is_val"))
     assert scored.count() == prepared.where("is_val").count()
     assert cm.auc(scored, "is_churn", "churn_prob").where("auc > 0.75").count() == 2
+
+
+def test_many_tenants_and_programs_fit_and_no_row_is_lost(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i % 70), 1 + i % 70, int(i % 3 == 0), *[float(x) for x in rng.normal(size=len(cm.MODEL_FEATURES))])
+            for i in range(1400)]
+    schema = "unique_customer_id long, program_id int, firm_id long, is_churn int, " + \
+        ", ".join(f"{c} double" for c in cm.MODEL_FEATURES)
+    prepared = cm.class_weights(cm.stratified_split(spark.createDataFrame(rows, schema)))
+    assert prepared.count() == 1400
+    model = cm.fit_churn(prepared, max_iter=2)
+    assert cm.churn_probability(model, prepared).where("churn_prob between 0 and 1").count() == 1400
+    part = cm.score_per_firm({1: model}, prepared)
+    assert part.count() == 1400
+    assert part.where("churn_prob is null").select("firm_id").distinct().count() == 69
+
+
+def test_stream_reads_a_directory_table(spark, sf_small):
+    import os
+
+    from loyalflow.session import scratch_path
+    from loyalflow.streaming import incremental as inc
+
+    folder = scratch_path(spark, "dir-table")
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        spark.read.parquet(f"{sf_small}/{name}.parquet").repartition(3).write.parquet(os.path.join(folder, f"{name}.parquet"))
+    a, b = (inc.merge_partials(spark.read.parquet(inc.run_incremental(spark, d, scratch_path(spark, "inc"))))
+            .orderBy("firm_id", "unique_customer_id").collect() for d in (sf_small, folder))
+    assert a == b and a
+
+
+def test_capped_sample_is_per_tenant(spark):
+    from loyalflow.operators.churn_features import capped_sample
+
+    rows = [(i, 1, 1 if i < 900 else 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "unique_customer_id long, program_id int, firm_id long")
+    out = {r.firm_id: r["count"] for r in capped_sample(df, 120).groupBy("firm_id").count().collect()}
+    assert out == {1: 120, 2: 100}

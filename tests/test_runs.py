@@ -18,12 +18,30 @@ def test_run_tasks_writes_all_tables(spark, sf_small):
     for t in TABLES:
         assert spark.read.parquet(paths[t]).count() > 0, t
     ac = spark.read.parquet(paths["ANALYTIC_CUSTOMER"])
+    ac = spark.createDataFrame(ac.collect(), ac.schema)
     assert ac.count() == ac.select("firm_id", "unique_customer_id").distinct().count()
     assert {"P1", "P15", "P13", "P26"} <= set(ac.columns)
     firm = spark.read.parquet(paths["ANALYTIC_FIRM_BASED"])
     assert firm.where(F.col("P17").isNull()).count() == 0  # narrative present for every firm
     log = spark.read.parquet(paths["STG_LOGS"])
+    log = spark.createDataFrame(log.collect(), log.schema)
     assert {r.status for r in log.collect()} == {"SUCCESS"}
+    # a second run adds to the log and the models' tables, and replaces the others
+    again = run_tasks(spark, staged_domain(spark, sf_small), out, max_iter=5)
+    n = {t: spark.read.parquet(again[t]).count() for t in TABLES}
+    assert n["STG_LOGS"] == 2 * len(log.collect()) and n["ANALYTIC_CUSTOMER"] == ac.count()
+    imp = spark.read.parquet(again["CHURN_FEATURE_IMPORTANCES"])
+    assert {"firm_id", "created_by", "create_date", "model_id", "feature", "importance"} <= set(imp.columns)
+
+
+def test_firm_kpis_of_the_run_equal_the_query(spark, sf_small):
+    import __spark_entry__ as E
+
+    paths = run_tasks(spark, staged_domain(spark, sf_small), scratch_path(spark, "run_k"), max_iter=2)
+    want = E.queries()["firm_p_codes"](spark, sf_small)
+    got = spark.read.parquet(paths["ANALYTIC_FIRM_BASED"])
+    cols = [c for c in want.columns if c.startswith("P") or c == "firm_id"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
 
 
 def test_run_tasks_per_firm_models(spark, sf_small):
