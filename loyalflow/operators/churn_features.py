@@ -2,13 +2,14 @@
 training set (with the random cap) and prediction set.
 
 Keys: transactions are mapped to the unique customer first, so features, base
-and label share the grain (unique customer, transaction's program).
+and label share the grain (firm, unique customer, transaction's program).
+
+A tenant can have its own churn threshold in days (``thresholds``: firm_id,
+churn_threshold, a row per tenant); the others take that of the run.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +19,9 @@ from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage
 from .joins import broadcast_checked
 from .ranking import lag_in_order, median, row_positions
-from .rfm import cutoff_filter, valid_transactions
+from .rfm import valid_transactions
 
-KEYS = ["unique_customer_id", "program_id"]
+KEYS = ["firm_id", "unique_customer_id", "program_id"]
 DIM_ROWS = 100_000
 
 BASE_COLS = ["unique_customer_id", "program_id", "program_name", "firm_id", "first_transaction_date",
@@ -31,18 +32,29 @@ FEATURE_COLS = ["distinct_transactions", "avg_days_between_transactions", "media
                 "total_earned_point", "point_used_transactions"]
 
 
-def _reference(params: RunParams, mode: str) -> datetime:
-    return params.churn_cutoff if mode == "train" else params.as_of
+def with_reference(df: DataFrame, params: RunParams = DEFAULT, mode: str = "train",
+                   thresholds: DataFrame | None = None) -> DataFrame:
+    """Adds ``_days``, the churn threshold of the row's tenant, and ``_ref``, the time its measures
+    refer to: the cut-off (train) or as-of (predict). Literals, unless tenants have their own."""
+    if thresholds is None:
+        ref = params.churn_cutoff if mode == "train" else params.as_of
+        return df.withColumns({"_days": F.lit(params.churn_threshold), "_ref": ts_lit(ref)})
+    own = broadcast_checked(thresholds.select("firm_id", F.col("churn_threshold").cast("int").alias("_own")), DIM_ROWS)
+    out = (df.join(own, "firm_id", "left")
+           .withColumn("_days", F.coalesce("_own", F.lit(params.churn_threshold))).drop("_own"))
+    cutoff = F.timestamp_add("DAY", -F.col("_days"), params.as_of_col)
+    return out.withColumn("_ref", cutoff if mode == "train" else params.as_of_col)
 
 
 def feature_transactions(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT,
-                         mode: str = "train") -> DataFrame:
+                         mode: str = "train", thresholds: DataFrame | None = None) -> DataFrame:
     """Valid, priced transactions before the cut-off (train) or up to as-of (predict),
     mapped to live customers."""
-    t = valid_transactions(trx, require_amount=True)
-    t = cutoff_filter(t, _reference(params, mode), "before" if mode == "train" else "upto")
-    c = cust.select("customer_id", "unique_customer_id", "firm_id", F.col("is_deleted").alias("_cust_deleted"))
-    return t.join(c, "customer_id").where(F.col("_cust_deleted") == 0).drop("_cust_deleted")
+    t = with_reference(valid_transactions(trx, require_amount=True), params, mode, thresholds)
+    d = F.col("transaction_date")
+    t = t.where(d < F.col("_ref") if mode == "train" else d <= F.col("_ref")).drop("_days", "_ref")
+    c = cust.where(F.col("is_deleted") == 0).select("firm_id", "customer_id", "unique_customer_id")
+    return t.join(c, ["firm_id", "customer_id"])
 
 
 def _base_aggs():
@@ -64,12 +76,11 @@ def _base_filter(params: RunParams):
             & (F.col("total_spent") > F.lit(params.churn_min_spend)))
 
 
-def _base_derived(params: RunParams, mode: str) -> dict:
-    ref = ts_lit(_reference(params, mode))
-    return {
-        "days_since_last_transaction": frac_days(ref, F.col("last_transaction_date")),
+def _with_base_derived(g: DataFrame, params: RunParams, mode: str, thresholds: DataFrame | None) -> DataFrame:
+    return with_reference(g, params, mode, thresholds).withColumns({
+        "days_since_last_transaction": frac_days(F.col("_ref"), F.col("last_transaction_date")),
         "customer_lifetime": frac_days(F.col("last_transaction_date"), F.col("first_transaction_date")),
-    }
+    })
 
 
 def _feature_aggs():
@@ -88,11 +99,12 @@ def _feature_aggs():
     ]
 
 
-def customer_base(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
+def customer_base(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train",
+                  thresholds: DataFrame | None = None) -> DataFrame:
     """CUSTOMER_BASE: eligible (customer, program) with spend and recency measures."""
     p = broadcast_checked(prog, DIM_ROWS)
-    g = x.groupBy("unique_customer_id", "firm_id", "program_id").agg(*_base_aggs()).where(_base_filter(params))
-    return g.join(p, "program_id", "left").withColumns(_base_derived(params, mode)).select(*BASE_COLS)
+    g = x.groupBy(*KEYS).agg(*_base_aggs()).where(_base_filter(params))
+    return _with_base_derived(g.join(p, ["firm_id", "program_id"], "left"), params, mode, thresholds).select(*BASE_COLS)
 
 
 LAG_COLS = ["unique_customer_id", "firm_id", "transaction_date", "transaction_id", "amount_after_discount",
@@ -100,49 +112,54 @@ LAG_COLS = ["unique_customer_id", "firm_id", "transaction_date", "transaction_id
 
 
 def with_previous_date(x: DataFrame) -> DataFrame:
-    """Previous purchase date of the same customer (any program), skew-safe lag.
+    """Previous purchase date of the firm's same customer (any program), skew-safe lag.
     The lagged frame is checkpointed inside the operator, so every later aggregate
     reads it instead of re-scanning and re-joining the transactions."""
-    return lag_in_order(x.select(*LAG_COLS), ["unique_customer_id"],
+    return lag_in_order(x.select(*LAG_COLS), ["firm_id", "unique_customer_id"],
                         ["transaction_date", "transaction_id", "amount_after_discount"],
                         "transaction_date", "previous_transaction_date")
 
 
 def transaction_features(x: DataFrame) -> DataFrame:
-    """TRANSACTION_FEATURES per (customer, program)."""
+    """TRANSACTION_FEATURES per (firm, customer, program)."""
     lagged = with_previous_date(x)
     agg = lagged.groupBy(*KEYS).agg(*_feature_aggs())
     med = median(lagged, KEYS, "amount_after_discount", "median_basket_size")
     return agg.join(med, KEYS, "left").select(*KEYS, *FEATURE_COLS)
 
 
-def customer_features(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
+def customer_features(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT, mode: str = "train",
+                      thresholds: DataFrame | None = None) -> DataFrame:
     """CUSTOMER_BASE joined with TRANSACTION_FEATURES, computed in one pass: base measures
     and features aggregate the same rows, so a single aggregate over the lagged frame
     gives both (the reference's left join of features onto the base)."""
     lagged = with_previous_date(x)
-    keys = ["unique_customer_id", "firm_id", "program_id"]
-    g = lagged.groupBy(*keys).agg(*_base_aggs(), *_feature_aggs()).where(_base_filter(params))
-    med = median(lagged, keys, "amount_after_discount", "median_basket_size")
+    g = lagged.groupBy(*KEYS).agg(*_base_aggs(), *_feature_aggs()).where(_base_filter(params))
+    med = median(lagged, KEYS, "amount_after_discount", "median_basket_size")
     p = broadcast_checked(prog, DIM_ROWS)
-    out = g.join(med, keys, "left").join(p, "program_id", "left").withColumns(_base_derived(params, mode))
-    return out.select(*BASE_COLS, *FEATURE_COLS)
+    out = g.join(med, KEYS, "left").join(p, ["firm_id", "program_id"], "left")
+    return _with_base_derived(out, params, mode, thresholds).select(*BASE_COLS, *FEATURE_COLS)
 
 
-def post_cutoff_activity(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Valid transactions at/after the cut-off per (customer, program) - the outcome."""
-    t = cutoff_filter(valid_transactions(trx), params.churn_cutoff, "after")
-    c = cust.select("customer_id", "unique_customer_id")
-    return t.join(c, "customer_id").groupBy(*KEYS).agg(
-        F.count("transaction_id").alias("transactions_after_cutoff"))
+def post_cutoff_activity(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT,
+                         thresholds: DataFrame | None = None) -> DataFrame:
+    """Valid transactions at/after the cut-off per (firm, customer, program) - the outcome.
+    Counted per customer id before the customers are joined."""
+    t = with_reference(valid_transactions(trx), params, "train", thresholds)
+    per = (t.where(F.col("transaction_date") >= F.col("_ref")).groupBy("firm_id", "customer_id", "program_id")
+           .agg(F.count("transaction_id").alias("_after")))
+    c = cust.select("firm_id", "customer_id", "unique_customer_id")
+    return per.join(c, ["firm_id", "customer_id"]).groupBy(*KEYS).agg(
+        F.sum("_after").alias("transactions_after_cutoff"))
 
 
-def churn_dataset(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+def churn_dataset(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT,
+                  thresholds: DataFrame | None = None) -> DataFrame:
     """CHURN_DATASET: base + features + outcome label (before the training filter)."""
-    x = feature_transactions(trx, cust, params, "train")
-    cf = customer_features(x, prog, params, "train").withColumnRenamed(
+    x = feature_transactions(trx, cust, params, "train", thresholds)
+    cf = customer_features(x, prog, params, "train", thresholds).withColumnRenamed(
         "last_transaction_date", "last_transaction_before_cutoff")
-    post = post_cutoff_activity(trx, cust, params)
+    post = post_cutoff_activity(trx, cust, params, thresholds)
     n_after = F.coalesce(F.col("transactions_after_cutoff"), F.lit(0).cast("long"))
     return cf.join(post, KEYS, "left").withColumns({
         "transactions_after_cutoff": n_after,
@@ -151,8 +168,8 @@ def churn_dataset(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunP
 
 
 def random_key(seed: int):
-    """Reproducible uniform [0, 1) key per (customer, program)."""
-    h = F.xxhash64(F.col("unique_customer_id"), F.col("program_id"), F.lit(seed))
+    """Reproducible uniform [0, 1) key per (firm, customer, program)."""
+    h = F.xxhash64(F.col("firm_id"), F.col("unique_customer_id"), F.col("program_id"), F.lit(seed))
     return (F.pmod(h, F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52)))
 
 
@@ -165,17 +182,19 @@ def capped_sample(df: DataFrame, n: int, seed: int = 42, keys=("firm_id",)) -> D
     return ranked.where(F.col("_rank") < F.lit(n)).drop("_rank", "_n")
 
 
-def training_filter(df: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    return df.where((F.col("is_churn") == 0) | ((F.col("is_churn") == 1)
-                                                & (F.col("days_since_last_transaction") <= params.churn_threshold)))
+def training_filter(df: DataFrame, params: RunParams = DEFAULT, thresholds: DataFrame | None = None) -> DataFrame:
+    """Non-churners, and churners that bought within the threshold before the cut-off."""
+    recent = F.col("days_since_last_transaction") <= F.col("_days")
+    return (with_reference(df, params, "train", thresholds)
+            .where((F.col("is_churn") == 0) | ((F.col("is_churn") == 1) & recent)).drop("_days", "_ref"))
 
 
 def churn_training_set(trx: DataFrame, cust: DataFrame, prog: DataFrame, params: RunParams = DEFAULT,
-                       max_rows: int | None = None) -> DataFrame:
+                       max_rows: int | None = None, thresholds: DataFrame | None = None) -> DataFrame:
     """Training set: labelled rows, recently active churners only, with their random key.
     All rows, unless ``max_rows`` per tenant are asked for; the cap of the fit itself is
     applied by ``churn_model.fit_churn``."""
-    ds = training_filter(churn_dataset(trx, cust, prog, params), params)
+    ds = training_filter(churn_dataset(trx, cust, prog, params, thresholds), params, thresholds)
     if max_rows is None:
         return cut_lineage(ds.withColumn("rnd", random_key(params.seed)))
     return capped_sample(ds, max_rows, params.seed)

@@ -33,9 +33,13 @@ MODEL_FEATURES = ["customer_lifetime", "distinct_transactions", "avg_days_betwee
                   "max_spent", "min_spent", "median_basket_size", "basket_size_stddev",
                   "discounted_transactions", "total_used_point", "total_earned_point"]
 CATEGORICAL = ["program_id"]
-# Upper bound on tenants whose statistics may be broadcast.
+# Upper bounds on tenants, and on groups of a tenant, whose statistics may be broadcast.
 FIRM_ROWS = 100_000
+GROUP_ROWS = 1_000_000
 OUTLIER_KEYS = ["firm_id", "program_id", "is_churn"]
+# The fit's groups: without the class, which prediction rows do not have (and which would
+# otherwise show in the scale of a column).
+FIT_KEYS = ["firm_id", "program_id"]
 
 # --- fixed values: class labels ---
 RISK_LOW, RISK_MEDIUM, RISK_HIGH, RISK_UNKNOWN = "low", "medium", "high", "unknown"
@@ -52,19 +56,29 @@ def _long(df: DataFrame, keys, cols) -> DataFrame:
 def outlier_columns(df: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COLS, ratio: float = 0.01,
                     k: float = 3.0) -> DataFrame:
     """Per group and column: share of values outside [Q1 - k*IQR, Q3 + k*IQR];
-    ``flagged`` when the share exceeds ``ratio``."""
-    keys = list(keys)
-    long = _long(df, keys, cols)
-    # quartiles: one row per (group, column); joined back by adaptive execution
-    # (broadcast from the measured size, shuffle join beyond the threshold)
-    q = percentiles(long, keys + ["column"], "value", {"q1": 0.25, "q3": 0.75})
-    iqr = F.col("q3") - F.col("q1")
-    outside = (F.col("value") < F.col("q1") - F.lit(k) * iqr) | (F.col("value") > F.col("q3") + F.lit(k) * iqr)
-    j = long.join(q, keys + ["column"])
-    out = j.groupBy(*keys, "column").agg(
-        F.first("q1").alias("q1"), F.first("q3").alias("q3"),
-        F.avg(outside.cast("double")).alias("outlier_ratio"),
-        F.count(F.lit(1)).alias("n_values"))
+    ``flagged`` when the share exceeds ``ratio``.
+
+    The quartiles, a wide row per group, are made first and broadcast to the rows behind
+    a size check; values outside are counted in the wide rows, with a map-side partial."""
+    keys, cols = list(keys), list(cols)
+    q = percentiles(_long(df, keys, cols), keys + ["column"], "value", {"q1": 0.25, "q3": 0.75})
+    wide = q.groupBy(*keys).agg(*[F.max(F.when(F.col("column") == c, F.col(p))).alias(f"_{p}_{c}")
+                                  for c in cols for p in ("q1", "q3")])
+    j = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).join(
+        broadcast_checked(cut_lineage(wide), GROUP_ROWS), keys)
+    aggs = []
+    for c in cols:
+        v, q1, q3 = F.col(c), F.col(f"_q1_{c}"), F.col(f"_q3_{c}")
+        held = v.isNotNull() & ~F.isnan(v)
+        out = held & ((v < q1 - F.lit(k) * (q3 - q1)) | (v > q3 + F.lit(k) * (q3 - q1)))
+        aggs += [F.first(q1).alias(f"_q1_{c}"), F.first(q3).alias(f"_q3_{c}"),
+                 F.count_if(held).alias(f"_n_{c}"), F.count_if(out).alias(f"_o_{c}")]
+    parts = [F.struct(F.lit(c).alias("column"), F.col(f"_q1_{c}").alias("q1"), F.col(f"_q3_{c}").alias("q3"),
+                      (F.col(f"_o_{c}") / F.col(f"_n_{c}")).alias("outlier_ratio"),
+                      F.col(f"_n_{c}").alias("n_values")) for c in cols]
+    # a column without a value in its group has no row
+    out = (j.groupBy(*keys).agg(*aggs).select(*keys, F.explode(F.array(*parts)).alias("_s"))
+           .select(*keys, "_s.*").where(F.col("n_values") > 0))
     return out.withColumn("flagged", F.col("outlier_ratio") > F.lit(ratio))
 
 
@@ -87,9 +101,13 @@ def suppression_stats(df: DataFrame, flags: DataFrame, keys=OUTLIER_KEYS, cols=R
 def winsorize(df: DataFrame, flags: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COLS) -> DataFrame:
     """Replace each flagged column by sqrt(value) capped at mean + 3 std (of the sqrt, per group);
     other columns are kept. All listed columns come back as double."""
-    keys = list(keys)
-    st = suppression_stats(df, flags, keys, cols)
-    j = df.join(st, keys, "left")
+    return suppress(df, cut_lineage(suppression_stats(df, flags, keys, cols)), keys, cols)
+
+
+def suppress(df: DataFrame, stats: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COLS) -> DataFrame:
+    """Apply stored suppression statistics (``suppression_stats``, materialized) to any rows; a
+    group that has none stays as it is."""
+    j = df.join(broadcast_checked(stats, GROUP_ROWS), list(keys), "left")
     repl = {}
     for c in cols:
         v = F.col(c).cast("double")
@@ -125,13 +143,31 @@ def class_weights(df: DataFrame, label: str = "is_churn") -> DataFrame:
     return df.join(broadcast_checked(wt, 2 * FIRM_ROWS), ["firm_id", label])
 
 
-def prepare_training(train: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Outlier suppression per (firm, program, class), rounding, split, class weights."""
-    flags = outlier_columns(train, ratio=params.outlier_ratio, k=params.outlier_k)
-    t = round_features(winsorize(train, flags))
+def fit_suppression(train: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """Suppression statistics per (firm, program) of the training rows, for training and
+    prediction rows alike; a row per group."""
+    flags = outlier_columns(train, FIT_KEYS, ratio=params.outlier_ratio, k=params.outlier_k)
+    return cut_lineage(suppression_stats(train, flags, FIT_KEYS))
+
+
+def prepare_training(train: DataFrame, stats: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """Outlier suppression by the stored statistics, rounding, split, class weights."""
+    t = round_features(suppress(train, stats, FIT_KEYS))
     return class_weights(stratified_split(t, seed=params.seed))
 
 
+def model_inputs(pred: DataFrame, stats: DataFrame) -> DataFrame:
+    """Prediction rows as the model takes them: suppressed by the training statistics and
+    rounded. The customers' own (rounded) measures wait in ``_shown``."""
+    shown = F.struct(*[round_int_even(c).alias(c) for c in ROUND_COLS])
+    return round_features(suppress(pred.withColumn("_shown", shown), stats, FIT_KEYS))
+
+
+def shown_values(scored: DataFrame) -> DataFrame:
+    """The customers' own measures back in place of the model's inputs."""
+    return scored.withColumns({c: F.col("_shown")[c] for c in ROUND_COLS}).drop("_shown")
+
+
 def build_pipeline(params: RunParams = DEFAULT, max_iter: int = 100, max_bins: int = 64) -> Pipeline:
     idx = [StringIndexer(inputCol=f"{c}_s", outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
     asm = VectorAssembler(inputCols=MODEL_FEATURES + [f"{c}_idx" for c in CATEGORICAL], outputCol="features",

@@ -75,7 +75,7 @@ def demographics(best: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     bday = birthday_this_year(b, F.year(as_of))
     age = completed_years(as_of, b)
     return best.select(
-        "unique_customer_id",
+        "firm_id", "unique_customer_id",
         F.when(F.nullif(F.col("mobile_number"), F.lit("")).isNull(), 0).otherwise(1).alias("cep_tel_var_mi"),
         F.when(F.nullif(F.col("email"), F.lit("")).isNull(), 0).otherwise(1).alias("email_var_mi"),
         F.when(b.isNull(), F.lit(None).cast("int")).when(same_month, 1).otherwise(0).alias("dogum_ayi_mi"),
@@ -179,16 +179,16 @@ def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: Dat
                      params: RunParams = DEFAULT) -> DataFrame:
     """ANALYTICAL_PROFILE (45 columns) per unique customer."""
     t = valid_transactions(trx).where(F.col("timed_id_transaction") >= F.lit(params.profile_key))
-    c = cust.select("customer_id", "unique_customer_id", "firm_id", F.col("program_id").alias("cust_program_id"))
-    p = broadcast_checked(prog.select(F.col("program_id").alias("cust_program_id")), DIM_ROWS)
-    x = t.join(c, "customer_id").join(p, "cust_program_id")
+    c = cust.select("firm_id", "customer_id", "unique_customer_id", F.col("program_id").alias("cust_program_id"))
+    p = broadcast_checked(prog.select("firm_id", F.col("program_id").alias("cust_program_id")), DIM_ROWS)
+    x = t.join(c, ["firm_id", "customer_id"]).join(p, ["firm_id", "cust_program_id"])
     # level 1: one row per (customer, transaction id); level 2: per customer
     per_txn = x.groupBy("firm_id", "unique_customer_id", "transaction_id").agg(*_profile_level1(params))
     agg = per_txn.groupBy("firm_id", "unique_customer_id").agg(
         *[e.alias(n) for n, e, _ in _profile_level2()]).where(F.col("alisveris_adedi") > 0)
     agg = _profile_finish(agg, params)
     demo = demographics(best, params)
-    return agg.join(demo, "unique_customer_id").select(
+    return agg.join(demo, ["firm_id", "unique_customer_id"]).select(
         "firm_id", "unique_customer_id", *PROFILE_MEASURES, *DEMOGRAPHICS)
 
 
@@ -206,7 +206,7 @@ RFM_COLS = [
 
 
 def all_data(rfm: DataFrame, profile: DataFrame) -> DataFrame:
-    """ANALYTIC_ALL_DATA: RFM (per program) joined with the profile on the unique customer."""
-    return profile.join(rfm.drop("firm_id"), "unique_customer_id").select(
+    """ANALYTIC_ALL_DATA: RFM (per program) joined with the profile on the firm's unique customer."""
+    return profile.join(rfm, ["firm_id", "unique_customer_id"]).select(
         "firm_id", "unique_customer_id", *PROFILE_MEASURES, *DEMOGRAPHICS, *RFM_COLS)
 

@@ -33,7 +33,7 @@ def customer_base(trx: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Eligible (customer, program) pairs with first/last purchase (SUM > min_spend)."""
     return (
         valid_transactions(trx)
-        .groupBy("customer_id", "program_id")
+        .groupBy("firm_id", "customer_id", "program_id")
         .agg(
             F.max("transaction_date").alias("last_purchase_date"),
             F.min("transaction_date").alias("min_purchase_date"),
@@ -44,13 +44,12 @@ def customer_base(trx: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     )
 
 
-def _with_customer(trx: DataFrame, cust: DataFrame, prog: DataFrame) -> DataFrame:
-    """Transactions joined to the customer's unique id, firm and (customer's) program."""
-    c = cust.select("customer_id", "unique_customer_id", "firm_id",
-                    F.col("program_id").alias("cust_program_id"))
-    p = broadcast_checked(prog.select(F.col("program_id").alias("cust_program_id"), "program_name"),
+def _with_customer(per_customer: DataFrame, cust: DataFrame, prog: DataFrame) -> DataFrame:
+    """Rows of (firm, customer) joined to the customer's unique id and (customer's) program."""
+    c = cust.select("firm_id", "customer_id", "unique_customer_id", F.col("program_id").alias("cust_program_id"))
+    p = broadcast_checked(prog.select("firm_id", F.col("program_id").alias("cust_program_id"), "program_name"),
                           DIM_ROWS)
-    return trx.join(c, "customer_id").join(p, "cust_program_id")
+    return per_customer.join(c, ["firm_id", "customer_id"]).join(p, ["firm_id", "cust_program_id"])
 
 
 def rfm_measures(params: RunParams = DEFAULT) -> list:
@@ -120,9 +119,13 @@ def rfm_aggregate(trx: DataFrame, cust: DataFrame, prog: DataFrame,
                   params: RunParams = DEFAULT, with_ratios: bool = True) -> DataFrame:
     """RFM_STG: recency / frequency / monetary / points per (unique customer, program name).
 
-    One hash aggregate (partial + final), HAVING on the spend total.
+    The transactions are aggregated per (firm, customer) first, with a map-side partial, so
+    that customers' measures and not transactions meet the customer table; the measures are
+    then merged per unique customer and program. HAVING on the spend total.
     """
-    x = _with_customer(valid_transactions(trx), cust, prog)
-    g = x.groupBy("firm_id", "unique_customer_id", F.col("program_name").alias("kart_tip_detay")).agg(
-        *[e.alias(n) for n, e, _ in rfm_measures(params)])
+    measures = rfm_measures(params)
+    per = valid_transactions(trx).groupBy("firm_id", "customer_id").agg(*[e.alias(n) for n, e, _ in measures])
+    g = _with_customer(per, cust, prog).groupBy(
+        "firm_id", "unique_customer_id", F.col("program_name").alias("kart_tip_detay")).agg(
+        *[merge(n).cast(per.schema[n].dataType).alias(n) for n, _, merge in measures])
     return rfm_finish(g, params, with_ratios)

@@ -84,40 +84,42 @@ def valid_transactions(spark, sf_dir):
 
 @register("window_24m", O.with_domain(body=f"""
 SELECT c.firm_id, count(*) AS n_rows
-FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
 WHERE t.timed_id_transaction >= {P.profile_key} GROUP BY c.firm_id"""))
 def window_24m(spark, sf_dir):
     d = dom(spark, sf_dir)
     t = rfm_ops.valid_transactions(d.trx).where(F.col("timed_id_transaction") >= F.lit(P.profile_key))
-    return t.join(d.cust.select("customer_id", "firm_id"), "customer_id").groupBy("firm_id").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    per = t.groupBy("firm_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.join(d.cust.select("firm_id", "customer_id"), ["firm_id", "customer_id"]).groupBy("firm_id").agg(
+        F.sum("n").alias("n_rows"))
 
 
 @register("cutoff_split", O.with_domain(
     "ref AS (SELECT " + O.ts(P.as_of) + f" - INTERVAL {P.churn_threshold} DAY AS cutoff)",
     body="""
-SELECT c.unique_customer_id,
+SELECT c.firm_id, c.unique_customer_id,
   count(CASE WHEN t.transaction_date < r.cutoff THEN 1 END) AS n_before,
   count(CASE WHEN t.transaction_date >= r.cutoff THEN 1 END) AS n_after
-FROM valid t CROSS JOIN ref r JOIN cust c ON t.customer_id = c.customer_id
-GROUP BY c.unique_customer_id"""))
+FROM valid t CROSS JOIN ref r JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+GROUP BY c.firm_id, c.unique_customer_id"""))
 def cutoff_split(spark, sf_dir):
     """Pre/post cut-off counts per unique customer. The reference crosses in a one-row
     relation holding the cut-off; here it is a literal, constant-folded into the filter."""
     d = dom(spark, sf_dir)
     cutoff = ts_lit(P.churn_cutoff)
-    t = rfm_ops.valid_transactions(d.trx)
-    return t.join(d.cust.select("customer_id", "unique_customer_id"), "customer_id").groupBy(
-        "unique_customer_id").agg(
+    per = rfm_ops.valid_transactions(d.trx).groupBy("firm_id", "customer_id").agg(
         F.count(F.when(F.col("transaction_date") < cutoff, 1)).alias("n_before"),
         F.count(F.when(F.col("transaction_date") >= cutoff, 1)).alias("n_after"),
     )
+    c = d.cust.select("firm_id", "customer_id", "unique_customer_id")
+    return per.join(c, ["firm_id", "customer_id"]).groupBy("firm_id", "unique_customer_id").agg(
+        F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after"))
 
 
 @register("customer_base", O.with_domain(body=f"""
-SELECT customer_id, program_id, max(transaction_date) AS last_purchase_date,
+SELECT firm_id, customer_id, program_id, max(transaction_date) AS last_purchase_date,
   min(transaction_date) AS min_purchase_date
-FROM valid GROUP BY customer_id, program_id HAVING sum(amount_after_discount) > {P.min_spend}"""))
+FROM valid GROUP BY firm_id, customer_id, program_id HAVING sum(amount_after_discount) > {P.min_spend}"""))
 def customer_base(spark, sf_dir):
     return rfm_ops.customer_base(dom(spark, sf_dir).trx, P)
 
@@ -362,7 +364,7 @@ CH_MONEY = ["total_spent", "max_spent", "min_spent", "avg_spent", "total_discoun
             "total_earned_point"]
 CH_RND = {"days_since_last_transaction": 6, "customer_lifetime": 6,
           "avg_days_between_transactions": 6, "median_basket_size": 6, "basket_size_stddev": 4}
-CH_KEYS = ["unique_customer_id", "program_id"]
+CH_KEYS = ["firm_id", "unique_customer_id", "program_id"]
 
 
 def churn_x(spark, sf_dir, mode="train"):
@@ -371,7 +373,7 @@ def churn_x(spark, sf_dir, mode="train"):
 
 
 @register("interpurchase_gap", O.with_domain(*CH_TRAIN, body="""
-SELECT unique_customer_id, program_id, avg_days_between_transactions FROM feats"""),
+SELECT firm_id, unique_customer_id, program_id, avg_days_between_transactions FROM feats"""),
           rnd={"avg_days_between_transactions": 6})
 def interpurchase_gap(spark, sf_dir):
     _, x = churn_x(spark, sf_dir)
@@ -379,14 +381,14 @@ def interpurchase_gap(spark, sf_dir):
 
 
 @register("median_basket", O.with_domain(*CH_TRAIN, body="""
-SELECT unique_customer_id, program_id, median_basket_size FROM feats"""), rnd={"median_basket_size": 6})
+SELECT firm_id, unique_customer_id, program_id, median_basket_size FROM feats"""), rnd={"median_basket_size": 6})
 def median_basket(spark, sf_dir):
     _, x = churn_x(spark, sf_dir)
     return cf.transaction_features(x).select(*CH_KEYS, "median_basket_size")
 
 
 @register("basket_stddev", O.with_domain(*CH_TRAIN, body="""
-SELECT unique_customer_id, program_id, basket_size_stddev FROM feats"""), rnd={"basket_size_stddev": 4})
+SELECT firm_id, unique_customer_id, program_id, basket_size_stddev FROM feats"""), rnd={"basket_size_stddev": 4})
 def basket_stddev(spark, sf_dir):
     _, x = churn_x(spark, sf_dir)
     return cf.transaction_features(x).select(*CH_KEYS, "basket_size_stddev")
@@ -400,7 +402,7 @@ def churn_customer_base(spark, sf_dir):
 
 
 @register("churn_label", O.with_domain(*CH_TRAIN, body="""
-SELECT unique_customer_id, program_id, transactions_after_cutoff, is_churn FROM ds"""))
+SELECT firm_id, unique_customer_id, program_id, transactions_after_cutoff, is_churn FROM ds"""))
 def churn_label(spark, sf_dir):
     d = dom(spark, sf_dir)
     return cf.churn_dataset(d.trx, d.cust, d.prog, P).select(*CH_KEYS, "transactions_after_cutoff", "is_churn")
@@ -459,7 +461,7 @@ def winsorized_training(spark, sf_dir):
     return w.select("unique_customer_id", "program_id", "firm_id", "is_churn", *cm.ROUND_COLS)
 
 
-@register("rounded_features", O.with_domain(*CH_PRED, body="SELECT unique_customer_id, program_id, " + ", ".join(
+@register("rounded_features", O.with_domain(*CH_PRED, body="SELECT firm_id, unique_customer_id, program_id, " + ", ".join(
     f"{O.round_even_int(c)} AS {c}" for c in cm.ROUND_COLS) + " FROM pred"))
 def rounded_features(spark, sf_dir):
     d = dom(spark, sf_dir)
@@ -483,7 +485,7 @@ def scored_stand_in(spark, sf_dir):
 
 
 @register("risk_class", O.with_domain(*CH_PRED, O.scored_pred_cte(), body="""
-SELECT unique_customer_id, program_id, churn_prob, is_churn_label, churn_class FROM spred"""))
+SELECT firm_id, unique_customer_id, program_id, churn_prob, is_churn_label, churn_class FROM spred"""))
 def risk_class(spark, sf_dir):
     return scored_stand_in(spark, sf_dir).select(*CH_KEYS, "churn_prob", "is_churn_label", "churn_class")
 
@@ -553,11 +555,21 @@ def fitted(spark, sf_dir, max_iter=100):
     d = dom(spark, sf_dir)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), max_iter)
     if key not in _MODELS:
-        train = cut_lineage(cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, P), P))
-        _MODELS[key] = (cm.fit_churn(train, P, max_iter), train)
+        raw = cf.churn_training_set(d.trx, d.cust, d.prog, P)
+        stats = cm.fit_suppression(raw, P)
+        train = cut_lineage(cm.prepare_training(raw, stats, P))
+        _MODELS[key] = (cm.fit_churn(train, P, max_iter), train, stats)
     return d, _MODELS[key][0]
 
 
+def fitted_scores(spark, sf_dir):
+    """The prediction set scored by the fitted model."""
+    d, model = fitted(spark, sf_dir)
+    stats = _MODELS[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), 100)][2]
+    pred = cm.model_inputs(cf.churn_prediction_set(d.trx, d.cust, d.prog, P), stats)
+    return cm.postprocess(cm.shown_values(cm.churn_probability(model, pred)), P)
+
+
 def fitted_training(spark, sf_dir, max_iter=100):
     fitted(spark, sf_dir, max_iter)
     return _MODELS[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), max_iter)][1]
@@ -566,10 +578,7 @@ def fitted_training(spark, sf_dir, max_iter=100):
 @register("churn_scores")
 def churn_scores(spark, sf_dir):
     """Fitted gradient-boosted model applied to the prediction set (rows-only check)."""
-    d, model = fitted(spark, sf_dir)
-    pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
-    out = cm.postprocess(cm.churn_probability(model, pr), P)
-    return out.select("firm_id", *CH_KEYS, "churn_prob", "is_churn_pred", "is_churn_label", "churn_class", "model_id")
+    return fitted_scores(spark, sf_dir).select(*CH_KEYS, "churn_prob", "is_churn_pred", "is_churn_label", "churn_class", "model_id")
 
 
 @register("feature_importance")
@@ -696,7 +705,7 @@ def _metrics_values():
 
 @register("tenant_task_matrix", O.with_domain(body=f"""
 SELECT a.firm_id, m.metric_id, m.display_name, m.working_day_period
-FROM (SELECT DISTINCT c.firm_id FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+FROM (SELECT DISTINCT c.firm_id FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
       WHERE t.transaction_date >= {O.ts(P.months_back(12))}) a
 CROSS JOIN (SELECT * FROM (VALUES {_metrics_values()}) v(metric_id, display_name, working_day_period)
             WHERE working_day_period > 0) m"""))
@@ -796,32 +805,32 @@ UPSERT_COLS = ["kart_tip_detay", "monetary", "frequency", "recency"]
 
 
 @register("customer_upsert", O.with_domain(O.rfm_cte(), body=f"""
-SELECT coalesce(n.unique_customer_id, o.unique_customer_id) AS unique_customer_id, """ + ", ".join(
+SELECT coalesce(n.firm_id, o.firm_id) AS firm_id, coalesce(n.unique_customer_id, o.unique_customer_id) AS unique_customer_id, """ + ", ".join(
     f"CASE WHEN n.unique_customer_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in UPSERT_COLS) + """
-FROM (SELECT unique_customer_id, min(kart_tip_detay) AS kart_tip_detay, arg_min(monetary, kart_tip_detay) AS monetary,
+FROM (SELECT firm_id, unique_customer_id, min(kart_tip_detay) AS kart_tip_detay, arg_min(monetary, kart_tip_detay) AS monetary,
         arg_min(frequency, kart_tip_detay) AS frequency, arg_min(recency, kart_tip_detay) AS recency
-      FROM rfm WHERE firm_id % 3 <> 0 GROUP BY unique_customer_id) o
-FULL OUTER JOIN (SELECT unique_customer_id, max(kart_tip_detay) AS kart_tip_detay,
+      FROM rfm WHERE firm_id % 3 <> 0 GROUP BY firm_id, unique_customer_id) o
+FULL OUTER JOIN (SELECT firm_id, unique_customer_id, max(kart_tip_detay) AS kart_tip_detay,
         arg_max(monetary, kart_tip_detay) AS monetary, arg_max(frequency, kart_tip_detay) AS frequency,
         arg_max(recency, kart_tip_detay) AS recency
-      FROM rfm WHERE firm_id % 3 <> 1 GROUP BY unique_customer_id) n
-ON o.unique_customer_id = n.unique_customer_id"""), money=["monetary"])
+      FROM rfm WHERE firm_id % 3 <> 1 GROUP BY firm_id, unique_customer_id) n
+ON o.firm_id = n.firm_id AND o.unique_customer_id = n.unique_customer_id"""), money=["monetary"])
 def customer_upsert(spark, sf_dir):
-    """Upsert on the unique customer: an earlier load (two firms of three, first program) merged
+    """Upsert on the firm's unique customer: an earlier load (two firms of three, first program) merged
     with a newer one (two of three, last program), every firm in one or both; overlapping customers take the newer row."""
     r = rfm_frame(spark, sf_dir)
-    old = reshape.collapse_first(r.where(F.col("firm_id") % 3 != 0), ["unique_customer_id"], "kart_tip_detay",
-                                 UPSERT_COLS[1:])
+    keys = ["firm_id", "unique_customer_id"]
+    old = reshape.collapse_first(r.where(F.col("firm_id") % 3 != 0), keys, "kart_tip_detay", UPSERT_COLS[1:])
     last = F.max_by(F.struct(*[F.col(c) for c in UPSERT_COLS]), F.col("kart_tip_detay")).alias("_r")
-    new = r.where(F.col("firm_id") % 3 != 1).groupBy("unique_customer_id").agg(last) \
-        .select("unique_customer_id", *[F.col(f"_r.{c}").alias(c) for c in UPSERT_COLS])
-    return sinks.upsert(old, new, ["unique_customer_id"])
+    new = r.where(F.col("firm_id") % 3 != 1).groupBy(*keys).agg(last) \
+        .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in UPSERT_COLS])
+    return sinks.upsert(old, new, keys)
 
 
 @register("incremental_totals", O.with_domain(body="""
 SELECT c.firm_id, c.unique_customer_id, count(*) AS n_transactions, sum(t.amount_after_discount) AS spend,
   min(t.transaction_date) AS first_date, max(t.transaction_date) AS last_date
-FROM valid t JOIN cust c ON t.customer_id = c.customer_id GROUP BY c.firm_id, c.unique_customer_id"""),
+FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id GROUP BY c.firm_id, c.unique_customer_id"""),
           money=["spend"])
 def incremental_totals(spark, sf_dir):
     """Structured Streaming: line items stream in, per-batch partials are stored idempotently,
@@ -897,9 +906,7 @@ def churn_model_metrics(spark, sf_dir):
 @register("churn_firm_summary")
 def churn_firm_summary(spark, sf_dir):
     """CHURN_FIRM_BASED of the fitted model's scores (rows-only check)."""
-    d, model = fitted(spark, sf_dir)
-    pr = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, P))
-    return cm.churn_summary(cm.postprocess(cm.churn_probability(model, pr), P))
+    return cm.churn_summary(fitted_scores(spark, sf_dir))
 
 
 @register("capped_sample_size", O.with_domain(*CH_TRAIN, body="""
@@ -923,3 +930,172 @@ def capped_sample_per_firm(spark, sf_dir):
     ds = cf.training_filter(cf.churn_dataset(d.trx, d.cust, d.prog, P), P)
     drawn = cf.capped_sample(ds, 20, P.seed).groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"))
     return drawn.join(ds.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_candidates")), "firm_id")
+
+
+# ----------------------------------------------------------------- tenants with colliding ids, own thresholds
+from ..sources.domain import colliding  # noqa: E402
+
+#: Ids counted anew within each firm, as ``sources.domain.colliding`` does.
+WITHIN = "* REPLACE (cast(unique_customer_id // 6 * 2 AS BIGINT) AS unique_customer_id)"
+
+
+@register("tenant_isolation_rfm", O.with_domain(O.rfm_cte(), body=f"SELECT {WITHIN} FROM rfm"),
+          money=RFM_MONEY, rnd={c: 4 for c in RATIO_COLS})
+def tenant_isolation_rfm(spark, sf_dir):
+    """RFM where customers of different firms share their ids: each firm's own result."""
+    d = colliding(dom(spark, sf_dir))
+    return rfm_ops.rfm_aggregate(d.trx, d.cust, d.prog, P)
+
+
+@register("tenant_isolation_profile", O.with_domain(O.rfm_cte(), O.profile_cte(), O.all_data_cte(),
+                                                    body=f"SELECT {WITHIN} FROM all_data"),
+          money=PROFILE_MONEY + RFM_MONEY, rnd={**{c: 6 for c in PROFILE_DOUBLES}, **{c: 4 for c in RATIO_COLS}})
+def tenant_isolation_profile(spark, sf_dir):
+    """Profile and RFM joined where customers of different firms share their ids."""
+    d = colliding(dom(spark, sf_dir))
+    return cust_plan.segmentation_input(d, P)
+
+
+@register("tenant_isolation_churn", O.with_domain(*CH_TRAIN, body=f"SELECT {WITHIN} FROM ds"), money=CH_MONEY, rnd=CH_RND)
+def tenant_isolation_churn(spark, sf_dir):
+    """Churn features, gaps and labels where customers of different firms share their ids."""
+    d = colliding(dom(spark, sf_dir))
+    return cf.churn_dataset(d.trx, d.cust, d.prog, P)
+
+
+def _label_by_firm_sql():
+    return O.with_domain("""th AS (
+  SELECT DISTINCT firm_id, cast(60 + 60 * firm_id AS INTEGER) AS days FROM cust
+)""", f"""x AS (
+  SELECT t.*, c.unique_customer_id, c.is_deleted AS gone, th.days, {O.ts(P.as_of)} - to_days(th.days) AS cutoff
+  FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id JOIN th ON t.firm_id = th.firm_id
+)""", f"""b AS (
+  SELECT firm_id, unique_customer_id, program_id, days, cutoff, max(transaction_date) AS last FROM x
+  WHERE gone = 0 AND amount_after_discount IS NOT NULL AND transaction_date < cutoff
+  GROUP BY firm_id, unique_customer_id, program_id, days, cutoff
+  HAVING count(transaction_id) > {P.churn_min_transactions} AND sum(amount_after_discount) > {P.churn_min_spend}
+)""", """a AS (
+  SELECT firm_id, unique_customer_id, program_id, count(transaction_id) AS n FROM x WHERE transaction_date >= cutoff
+  GROUP BY firm_id, unique_customer_id, program_id
+)""", body=f"""
+SELECT firm_id, unique_customer_id, program_id, coalesce(n, 0) AS transactions_after_cutoff,
+  CASE WHEN coalesce(n, 0) = 0 THEN 1 ELSE 0 END AS is_churn, {O.fdays('cutoff', 'last')} AS days_since_last_transaction,
+  coalesce(n, 0) > 0 OR {O.fdays('cutoff', 'last')} <= days AS in_training
+FROM b LEFT JOIN a USING (firm_id, unique_customer_id, program_id)""")
+
+
+@register("churn_label_by_firm", _label_by_firm_sql(), rnd={"days_since_last_transaction": 6})
+def churn_label_by_firm(spark, sf_dir):
+    """Labels where each firm has its own threshold (120, 180 and 240 days), and who enters the training."""
+    d = dom(spark, sf_dir)
+    own = d.cust.select("firm_id").distinct().withColumn("churn_threshold", F.lit(60) + F.lit(60) * F.col("firm_id"))
+    ds = cut_lineage(cf.churn_dataset(d.trx, d.cust, d.prog, P, own))
+    kept = cf.training_filter(ds, P, own).select(*CH_KEYS, F.lit(True).alias("in_training"))
+    return ds.join(kept, CH_KEYS, "left").select(
+        *CH_KEYS, "transactions_after_cutoff", "is_churn", "days_since_last_transaction",
+        F.coalesce("in_training", F.lit(False)).alias("in_training"))
+
+
+@register("suppressed_prediction", O.with_domain(
+    *CH_TRAIN, *O.churn_ctes(P, "predict", "_p"), *O.outlier_ctes(keys=("firm_id", "program_id"), rows="pred"),
+    body="SELECT * EXCLUDE (is_churn) FROM wins"), rnd={c: 6 for c in cm.ROUND_COLS})
+def suppressed_prediction(spark, sf_dir):
+    """Prediction rows under the suppression statistics of the training rows, per firm and program."""
+    d = dom(spark, sf_dir)
+    stats = cm.fit_suppression(training_rows(spark, sf_dir), P)
+    w = cm.suppress(cf.churn_prediction_set(d.trx, d.cust, d.prog, P), stats, cm.FIT_KEYS)
+    return w.select(*CH_KEYS, *cm.ROUND_COLS)
+
+
+# ----------------------------------------------------------------- the fitted model by exact invariants
+@register("churn_scores_invariants", O.with_domain(*CH_PRED, body="""
+SELECT firm_id, count(*) AS n_rows, count(*) AS n_in_range, count(*) AS n_label_ok, count(*) AS n_class_ok
+FROM pred GROUP BY firm_id"""))
+def churn_scores_invariants(spark, sf_dir):
+    """Fitted scores per firm: as many as prediction rows, all within [0, 1], labels and classes that follow from them."""
+    p = F.col("churn_prob")
+    label = F.when(p >= P.score_threshold, cm.LABEL_CHURN).otherwise(cm.LABEL_NO_RISK)
+    return fitted_scores(spark, sf_dir).groupBy("firm_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(p.between(0, 1)).alias("n_in_range"),
+        F.count_if(F.col("is_churn_label") == label).alias("n_label_ok"),
+        F.count_if(F.col("churn_class") == F.when(p < P.risk_medium, "low").when(p < P.risk_high, "medium")
+                   .otherwise("high")).alias("n_class_ok"))
+
+
+@register("churn_metrics_invariants", O.with_domain(*CH_TRAIN, body="""
+SELECT firm_id, sum(cast(ceil(0.2 * n) AS BIGINT))::BIGINT AS n_validated, sum(CASE WHEN is_churn = 1 THEN cast(ceil(0.2 * n) AS BIGINT) ELSE 0 END)::BIGINT AS n_churned,
+  true AS auc_in_range
+FROM (SELECT firm_id, is_churn, count(*) AS n FROM train GROUP BY firm_id, is_churn) c GROUP BY firm_id"""))
+def churn_metrics_invariants(spark, sf_dir):
+    """Validation metrics per firm: the confusion cells count every validation row, by its class."""
+    m = churn_model_metrics(spark, sf_dir)
+    return m.select("firm_id", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n_validated"),
+                    (F.col("fn") + F.col("tp")).alias("n_churned"),
+                    F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("auc_in_range"))
+
+
+@register("importance_invariants", "SELECT unnest([" + ", ".join(f"'{c}'" for c in cm.MODEL_FEATURES + cm.CATEGORICAL)
+          + "]) AS feature, true AS in_range, true AS sums_to_one FROM (SELECT count(*) FROM lineitem) x")
+def importance_invariants(spark, sf_dir):
+    """Importances: a row for every model input, within [0, 1], that sum to 1."""
+    imp = feature_importance(spark, sf_dir)
+    row = F.struct("feature", F.col("importance").between(0, 1).alias("in_range"))  # a row per model input
+    return (imp.agg(F.collect_list(row).alias("rows"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+            .select(F.inline("rows"), "sums_to_one"))
+
+
+# ----------------------------------------------------------------- tables read back from runs
+_RUNS: dict = {}
+
+
+def two_runs(spark, sf_dir):
+    """Tables of two runs into one folder, made once per application and input folder: all
+    tenants' segmentation and insight, then segmentation without firm 2."""
+    from .runs import run_tasks
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _RUNS:
+        d, out = dom(spark, sf_dir), scratch_path(spark, "runs")
+        tasks = reg.task_matrix(d.trx, d.cust, P).where(F.col("metric_id") != reg.CHURN)
+        first = run_tasks(spark, d, out, P, tasks=tasks)
+        again = run_tasks(spark, d, out, P, tasks=tasks.where((F.col("metric_id") == reg.RFM_CLV) & (F.col("firm_id") != 2)))
+        _RUNS[key] = first | again
+    return _RUNS[key]
+
+
+def run_table(spark, sf_dir, name):
+    df = spark.read.parquet(two_runs(spark, sf_dir)[name])
+    return df.withColumn("firm_id", F.col("firm_id").cast("long"))
+
+
+@register("run_firm_based", O.with_domain(*KPI, body=_firm_p_codes_sql()))
+def run_firm_based(spark, sf_dir):
+    """ANALYTIC_FIRM_BASED as the run leaves it."""
+    return run_table(spark, sf_dir, "ANALYTIC_FIRM_BASED")
+
+
+@register("run_log", O.with_domain(body=f"""
+SELECT firm_id, metric_id, status, count(*) AS n_events FROM (
+  SELECT firm_id, metric_id, unnest(['PENDING', 'SUCCESS']) AS status FROM (
+    SELECT DISTINCT t.firm_id, m.metric_id, r.run FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id,
+      (SELECT unnest([{reg.RFM_CLV}, {reg.SMART_INSIGHT}]) AS metric_id) m, (SELECT unnest([1, 2]) AS run) r
+    WHERE t.transaction_date >= {O.ts(P.months_back(12))} AND (r.run = 1 OR (m.metric_id = {reg.RFM_CLV} AND t.firm_id <> 2))) e) s
+GROUP BY firm_id, metric_id, status"""))
+def run_log(spark, sf_dir):
+    """STG_LOGS after two runs: a PENDING and a SUCCESS event per task and run."""
+    return run_table(spark, sf_dir, "STG_LOGS").groupBy("firm_id", "metric_id", "status").agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
+@register("run_rebuild", O.with_domain(O.rfm_cte(), O.profile_cte(), O.all_data_cte(), body="""
+SELECT firm_id, count(*) AS n_rows FROM all_data WHERE firm_id <> 2 GROUP BY firm_id"""))
+def run_rebuild(spark, sf_dir):
+    """ANALYTIC_ALL_DATA after a rebuild without firm 2: its rows are gone."""
+    return run_table(spark, sf_dir, "ANALYTIC_ALL_DATA").groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ----------------------------------------------------------------- segments row by row
+@register("monetary_segment_rows", O.with_domain(*SEG, body=f"SELECT {ROW_KEYS}, monetary_segment, frequency_segment FROM seg"))
+def monetary_segment_rows(spark, sf_dir):
+    """Monetary and frequency bins of every customer and program."""
+    return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "monetary_segment", "frequency_segment")

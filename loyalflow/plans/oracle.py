@@ -13,7 +13,8 @@ P = DEFAULT
 
 DOMAIN_CTES = """
 prog AS (
-  SELECT cast(r_regionkey AS INTEGER) AS program_id, r_name AS program_name FROM region
+  SELECT f.firm_id, cast(r_regionkey AS INTEGER) AS program_id, r_name AS program_name
+  FROM region, (SELECT cast(unnest([1, 2, 3]) AS BIGINT) AS firm_id) f
 ),
 cust AS (
   SELECT c_custkey AS customer_id, c_custkey - c_custkey % 2 AS unique_customer_id,
@@ -23,7 +24,7 @@ cust AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey
 ),
 trx AS (
-  SELECT transaction_id, customer_id, program_id, trx_state_id, is_deleted, transaction_date,
+  SELECT cast((customer_id - customer_id % 2) / 2 AS BIGINT) % 3 + 1 AS firm_id, transaction_id, customer_id, program_id, trx_state_id, is_deleted, transaction_date,
     cast(year(transaction_date)*10000 + month(transaction_date)*100 + day(transaction_date) AS INTEGER) AS timed_id_transaction,
     cast(hour(transaction_date) AS INTEGER) AS transaction_hour, amount_total, amount_after_discount,
     cast(amount_total - amount_after_discount AS decimal(18,2)) AS amount_discount,
@@ -42,7 +43,7 @@ trx AS (
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey) x
 ),
 best AS (
-  SELECT c_custkey AS unique_customer_id,
+  SELECT cast(c_custkey / 2 AS BIGINT) % 3 + 1 AS firm_id, c_custkey AS unique_customer_id,
     CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('+90', cast(5000000000 + c_custkey AS VARCHAR)) END AS mobile_number,
     CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat('c', cast(c_custkey AS VARCHAR), '@example.org') END AS email,
     CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE cast(date '1935-01-01' + cast(c_custkey * 37 % 20000 AS INTEGER) AS DATE) END AS birth_date,
@@ -120,8 +121,8 @@ def rfm_cte(p: RunParams = P, name: str = "rfm") -> str:
       sum(coalesce(t.amount_used_point, 0)) AS _used,
       cast(sum(CASE WHEN t.amount_earned_point > 0 THEN 1 ELSE 0 END) AS BIGINT) AS kazanilan_trx_cnt,
       cast(sum(CASE WHEN t.amount_used_point > 0 THEN 1 ELSE 0 END) AS BIGINT) AS harcanilan_trx_cnt
-    FROM valid t JOIN cust c ON t.customer_id = c.customer_id
-      JOIN prog pr ON c.program_id = pr.program_id
+    FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+      JOIN prog pr ON c.firm_id = pr.firm_id AND c.program_id = pr.program_id
     GROUP BY c.firm_id, c.unique_customer_id, pr.program_name
     HAVING sum(t.amount_after_discount) > {p.min_spend}
   ) g
@@ -192,12 +193,12 @@ def profile_cte(p: RunParams = P, name: str = "profile") -> str:
       sum(CASE WHEN {we} THEN t.amount_after_discount ELSE 0 END) AS haftasonu_alv_ciro,
       sum(CASE WHEN NOT ({we}) THEN t.amount_after_discount ELSE 0 END) AS haftaici_alv_ciro,
       {recent_sql}
-    FROM valid t JOIN cust c ON t.customer_id = c.customer_id
-      JOIN prog pr ON c.program_id = pr.program_id
+    FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+      JOIN prog pr ON c.firm_id = pr.firm_id AND c.program_id = pr.program_id
     WHERE t.timed_id_transaction >= {p.profile_key}
     GROUP BY c.firm_id, c.unique_customer_id
     HAVING count(CASE WHEN t.trx_state_id = 1 THEN t.transaction_id END) > 0
-  ) a JOIN best b ON a.unique_customer_id = b.unique_customer_id
+  ) a JOIN best b ON a.firm_id = b.firm_id AND a.unique_customer_id = b.unique_customer_id
 )"""
 
 
@@ -207,7 +208,7 @@ def all_data_cte(name: str = "all_data") -> str:
     r.son_islem_iade, r.frequency, r.frequency_gecerli, r.frequency_iade, r.iade_orani, r.monetary,
     r.monetary_gecerli, r.monetary_iade, r.iade_ciro_orani, r.kazanilan_tutar, r.harcanan_tutar,
     r.kazanilan_harcanan_tutar_oran, r.kazanilan_trx_cnt, r.harcanilan_trx_cnt
-  FROM rfm r JOIN profile pf ON r.unique_customer_id = pf.unique_customer_id
+  FROM rfm r JOIN profile pf ON r.firm_id = pf.firm_id AND r.unique_customer_id = pf.unique_customer_id
 )"""
 
 
@@ -338,7 +339,7 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
     ref = ts(p.churn_cutoff if mode == "train" else p.as_of)
     cmp = "<" if mode == "train" else "<="
     fx = f"""fx{sfx} AS (
-  SELECT t.*, c.unique_customer_id, c.firm_id FROM valid t JOIN cust c ON t.customer_id = c.customer_id
+  SELECT t.*, c.unique_customer_id FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
   WHERE t.amount_after_discount IS NOT NULL AND t.transaction_date {cmp} {ref} AND c.is_deleted = 0
 )"""
     cbase = f"""cbase{sfx} AS (
@@ -352,19 +353,19 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
       count(x.transaction_id) AS total_transactions, sum(x.amount_after_discount) AS total_spent,
       {exact_avg('x.amount_after_discount')} AS avg_spent, max(x.amount_after_discount) AS max_spent,
       min(x.amount_after_discount) AS min_spent
-    FROM fx{sfx} x LEFT JOIN prog pr ON x.program_id = pr.program_id
+    FROM fx{sfx} x LEFT JOIN prog pr ON x.firm_id = pr.firm_id AND x.program_id = pr.program_id
     GROUP BY x.unique_customer_id, x.firm_id, x.program_id, pr.program_name
     HAVING count(x.transaction_id) > {p.churn_min_transactions} AND sum(x.amount_after_discount) > {p.churn_min_spend}
   ) g
 )"""
     lagged = f"""lagged{sfx} AS (
-  SELECT *, lag(transaction_date) OVER (PARTITION BY unique_customer_id ORDER BY transaction_date, transaction_id,
+  SELECT *, lag(transaction_date) OVER (PARTITION BY firm_id, unique_customer_id ORDER BY transaction_date, transaction_id,
     amount_after_discount, program_id, amount_discount NULLS FIRST, amount_used_point NULLS FIRST,
     amount_earned_point NULLS FIRST) AS previous_transaction_date
   FROM fx{sfx}
 )"""
     feats = f"""feats{sfx} AS (
-  SELECT unique_customer_id, program_id, count(transaction_date) AS distinct_transactions,
+  SELECT firm_id, unique_customer_id, program_id, count(transaction_date) AS distinct_transactions,
     avg({fdays('transaction_date', 'previous_transaction_date')}) AS avg_days_between_transactions,
     quantile_cont(cast(amount_after_discount AS DOUBLE), 0.5) AS median_basket_size,
     coalesce(stddev_samp(cast(amount_after_discount AS DOUBLE)),
@@ -374,14 +375,14 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
     sum(CASE WHEN amount_used_point > 0 THEN amount_used_point ELSE 0 END) AS total_used_point,
     sum(CASE WHEN amount_earned_point > 0 THEN amount_earned_point ELSE 0 END) AS total_earned_point,
     count(CASE WHEN amount_used_point > 0 THEN 1 END) AS point_used_transactions
-  FROM lagged{sfx} GROUP BY unique_customer_id, program_id
+  FROM lagged{sfx} GROUP BY firm_id, unique_customer_id, program_id
 )"""
     out = [fx, cbase, lagged, feats]
     if mode == "train":
         post = f"""post AS (
-  SELECT c.unique_customer_id, t.program_id, count(t.transaction_id) AS transactions_after_cutoff
-  FROM valid t JOIN cust c ON t.customer_id = c.customer_id
-  WHERE t.transaction_date >= {ref} GROUP BY c.unique_customer_id, t.program_id
+  SELECT c.firm_id, c.unique_customer_id, t.program_id, count(t.transaction_id) AS transactions_after_cutoff
+  FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+  WHERE t.transaction_date >= {ref} GROUP BY c.firm_id, c.unique_customer_id, t.program_id
 )"""
         ds = f"""ds AS (
   SELECT b.unique_customer_id, b.program_id, b.program_name, b.firm_id, b.first_transaction_date,
@@ -393,8 +394,8 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
     f.total_discount_earned, f.discounted_transactions, f.total_used_point, f.total_earned_point,
     f.point_used_transactions
   FROM cbase{sfx} b
-  LEFT JOIN post po ON b.unique_customer_id = po.unique_customer_id AND b.program_id = po.program_id
-  LEFT JOIN feats{sfx} f ON b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
+  LEFT JOIN post po ON b.firm_id = po.firm_id AND b.unique_customer_id = po.unique_customer_id AND b.program_id = po.program_id
+  LEFT JOIN feats{sfx} f ON b.firm_id = f.firm_id AND b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
 )"""
         train = f"""train AS (
   SELECT * FROM ds WHERE is_churn = 0 OR (is_churn = 1 AND days_since_last_transaction <= {p.churn_threshold})
@@ -406,7 +407,7 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
     f.basket_size_stddev, f.total_discount_earned, f.discounted_transactions, f.total_used_point,
     f.total_earned_point, f.point_used_transactions, 0 AS is_churn
   FROM cbase{sfx} b
-  LEFT JOIN feats{sfx} f ON b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
+  LEFT JOIN feats{sfx} f ON b.firm_id = f.firm_id AND b.unique_customer_id = f.unique_customer_id AND b.program_id = f.program_id
 )"""
         out += [pred]
     return out
@@ -420,38 +421,47 @@ ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "mi
               "point_used_transactions"]
 
 
-def outlier_ctes(k: float = 3.0, ratio: float = 0.01) -> list[str]:
+def outlier_ctes(k: float = 3.0, ratio: float = 0.01, keys=("firm_id", "program_id", "is_churn"),
+                 rows: str = "train") -> list[str]:
+    """Statistics of ``train`` per ``keys``, applied to ``rows``."""
+    on = ", ".join(keys)
+    l_on = ", ".join(f"l.{c}" for c in keys)
+    s_on = ", ".join(f"s.{c}" for c in keys)
+
+    def same(a, b):
+        return " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+
     casts = ", ".join(f"cast({c} AS DOUBLE) AS {c}" for c in ROUND_COLS)
     lng = f"""olong AS (
-  UNPIVOT (SELECT firm_id, program_id, is_churn, {casts} FROM train)
+  UNPIVOT (SELECT {on}, {casts} FROM train)
   ON {', '.join(ROUND_COLS)} INTO NAME "column" VALUE value
 )"""
-    oq = """oq AS (
-  SELECT firm_id, program_id, is_churn, "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
-  FROM olong WHERE NOT isnan(value) GROUP BY firm_id, program_id, is_churn, "column"
+    oq = f"""oq AS (
+  SELECT {on}, "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+  FROM olong WHERE NOT isnan(value) GROUP BY {on}, "column"
 )"""
     oflag = f"""oflag AS (
-  SELECT l.firm_id, l.program_id, l.is_churn, l."column", first(q.q1) AS q1, first(q.q3) AS q3,
+  SELECT {l_on}, l."column", first(q.q1) AS q1, first(q.q3) AS q3,
     avg(CASE WHEN l.value < q.q1 - {k} * (q.q3 - q.q1) OR l.value > q.q3 + {k} * (q.q3 - q.q1) THEN 1.0 ELSE 0.0 END) AS outlier_ratio,
     count(*) AS n_values,
     avg(CASE WHEN l.value < q.q1 - {k} * (q.q3 - q.q1) OR l.value > q.q3 + {k} * (q.q3 - q.q1) THEN 1.0 ELSE 0.0 END) > {ratio} AS flagged
-  FROM olong l JOIN oq q ON l.firm_id = q.firm_id AND l.program_id = q.program_id AND l.is_churn = q.is_churn
+  FROM olong l JOIN oq q ON {same("l", "q")}
     AND l."column" = q."column"
-  GROUP BY l.firm_id, l.program_id, l.is_churn, l."column"
+  GROUP BY {l_on}, l."column"
 )"""
-    ostat = """ostat AS (
-  SELECT l.firm_id, l.program_id, l.is_churn, l."column",
+    ostat = f"""ostat AS (
+  SELECT {l_on}, l."column",
     avg(CASE WHEN l.value >= 0 THEN sqrt(l.value) END) + 3.0 * stddev_samp(CASE WHEN l.value >= 0 THEN sqrt(l.value) END) AS cap
-  FROM olong l GROUP BY l.firm_id, l.program_id, l.is_churn, l."column"
+  FROM olong l GROUP BY {l_on}, l."column"
 )"""
     caps = ", ".join(
         f"bool_or(s.\"column\" = '{c}') AS f_{c}, max(CASE WHEN s.\"column\" = '{c}' THEN s.cap END) AS t_{c}"
         for c in ROUND_COLS)
     owide = f"""owide AS (
-  SELECT s.firm_id, s.program_id, s.is_churn, {caps}
-  FROM ostat s JOIN oflag f ON s.firm_id = f.firm_id AND s.program_id = f.program_id AND s.is_churn = f.is_churn
+  SELECT {s_on}, {caps}
+  FROM ostat s JOIN oflag f ON {same("s", "f")}
     AND s."column" = f."column" AND f.outlier_ratio > {ratio}
-  GROUP BY s.firm_id, s.program_id, s.is_churn
+  GROUP BY {s_on}
 )"""
 
     def repl(c):
@@ -461,7 +471,7 @@ def outlier_ctes(k: float = 3.0, ratio: float = 0.01) -> list[str]:
 
     wins = f"""wins AS (
   SELECT t.unique_customer_id, t.program_id, t.firm_id, t.is_churn, {', '.join(repl(c) for c in ROUND_COLS)}
-  FROM train t LEFT JOIN owide w ON t.firm_id = w.firm_id AND t.program_id = w.program_id AND t.is_churn = w.is_churn
+  FROM {rows} t LEFT JOIN owide w ON {same("t", "w")}
 )"""
     return [lng, oq, oflag, ostat, owide, wins]
 

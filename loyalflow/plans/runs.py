@@ -1,13 +1,14 @@
 """End-to-end run: every module for every tenant, written as tables.
 
 The reference loops over tenants and modules on the driver; here all tenants
-run in one pass (``firm_id`` is a column everywhere) and each output table is
-written once with per-tenant dynamic partition overwrite under ``out_dir``.
+run in one pass (``firm_id`` is part of every key). Tables are rebuilt whole or, where
+they keep a history (log, models' metrics, importances and summaries), appended to.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -21,6 +22,7 @@ from ..operators import profile as prof
 from ..operators import rfm as rfm_ops
 from ..operators import segments as seg
 from ..operators import sinks
+from ..operators.joins import broadcast_checked
 from ..params import DEFAULT, RunParams
 from ..session import cut_lineage
 from ..sources import registry as reg
@@ -48,38 +50,55 @@ def churn_performance(scored_val: DataFrame, params: RunParams, model_id: int) -
     return sinks.with_audit(m.join(a, "firm_id", "left"), params.created_by, params.audit_ts_col, model_id)
 
 
-def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams = DEFAULT,
-              max_iter: int = 100, per_firm_models: bool = False) -> dict[str, str]:
-    """Run segmentation, churn and firm insight for all active tenants; returns table paths.
-    ``per_firm_models`` trains one churn model per tenant instead of one pooled model."""
-    started = datetime.now()  # run-log timestamps only; analytics use params.as_of
-    model_id = params.run_id
-    paths: dict[str, str] = {}
+def _only(d: Domain, firms: DataFrame) -> Domain:
+    """The domain tables of some tenants (a row each)."""
+    f = broadcast_checked(firms.select("firm_id").distinct(), cm.FIRM_ROWS)
+    return Domain(*[x.join(f, "firm_id", "left_semi") for x in (d.trx, d.cust, d.best, d.prog)])
+
+
+def _log(tasks: DataFrame, status: str, out_dir: str, params: RunParams, started: datetime,
+         finished: datetime | None = None, detail: str | None = None) -> str:
+    """A run-log event per task."""
+    def at(t: datetime | None):
+        return F.lit(t and t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+    return _append(sinks.validate_status(tasks.select(
+        "firm_id", "metric_id", F.col("display_name").alias("job_type"), F.lit(status).alias("status"),
+        at(started).alias("execution_start"), at(finished).alias("execution_end"),
+        F.lit(detail).cast("string").alias("detail"), params.audit_ts_col.alias("ett_date"))), out_dir, "STG_LOGS")
 
-    # segmentation prep and segments
+
+def segmentation(spark: SparkSession, d: Domain, out_dir: str, params: RunParams, paths: dict[str, str]) -> DataFrame:
+    """RFM_CLV: staging tables, segments; returns the segment part of ANALYTIC_CUSTOMER."""
     rfm = rfm_ops.rfm_aggregate(d.trx, d.cust, d.prog, params)
     profile = prof.purchase_profile(d.trx, d.cust, d.best, d.prog, params)
     paths["RFM_STG"] = _write(rfm, out_dir, "RFM_STG")
     paths["ANALYTICAL_PROFILE"] = _write(profile, out_dir, "ANALYTICAL_PROFILE")
-    all_data = prof.all_data(spark.read.parquet(paths["RFM_STG"]), spark.read.parquet(paths["ANALYTICAL_PROFILE"]))
+    all_data = prof.all_data(spark.read.schema(rfm.schema).parquet(paths["RFM_STG"]),
+                             spark.read.schema(profile.schema).parquet(paths["ANALYTICAL_PROFILE"]))
     paths["ANALYTIC_ALL_DATA"] = _write(all_data, out_dir, "ANALYTIC_ALL_DATA")
-    base = rfm_ops.customer_base(d.trx, params).join(
-        d.cust.select("customer_id", "firm_id"), "customer_id")
+    base = rfm_ops.customer_base(d.trx, params).join(d.cust.select("firm_id", "customer_id"), ["firm_id", "customer_id"])
     paths["ANALYTIC_CUSTOMER_BASE"] = _write(
         sinks.with_audit(base, params.created_by, params.audit_ts_col), out_dir, "ANALYTIC_CUSTOMER_BASE")
-    rows = seg.segment_customers(spark.read.parquet(paths["ANALYTIC_ALL_DATA"]), params)
-    seg_part = cut_lineage(cust_plan.analytic_customer(rows, params))
+    rows = seg.segment_customers(spark.read.schema(all_data.schema).parquet(paths["ANALYTIC_ALL_DATA"]), params)
+    return cut_lineage(cust_plan.analytic_customer(rows, params))
+
 
-    # churn: training, model, metrics, scores
-    train = cm.prepare_training(cf.churn_training_set(d.trx, d.cust, d.prog, params), params)
-    pred = cm.round_features(cf.churn_prediction_set(d.trx, d.cust, d.prog, params))
+def churn(spark: SparkSession, d: Domain, out_dir: str, params: RunParams, paths: dict[str, str],
+          thresholds: DataFrame | None, max_iter: int, per_firm_models: bool) -> DataFrame:
+    """CHURN: training, model, metrics, scores; returns the churn part of ANALYTIC_CUSTOMER."""
+    model_id = params.run_id
+    raw = cf.churn_training_set(d.trx, d.cust, d.prog, params, thresholds=thresholds)
+    stats = cm.fit_suppression(raw, params)
+    train = cut_lineage(cm.prepare_training(raw, stats, params))
+    pred = cm.model_inputs(cf.churn_prediction_set(d.trx, d.cust, d.prog, params), stats)
     if per_firm_models:
         models = cm.fit_churn_per_firm(train, params, max_iter)
         val = cm.score_per_firm(models, train.where(F.col("is_val")))
         importances = reduce(lambda a, b: a.unionByName(b), [
             cm.feature_importances(m, spark, model_id, f)
             for f, m in models.items()])
-        scored = cm.postprocess(cm.score_per_firm(models, pred), params, model_id)
+        scored = cm.score_per_firm(models, pred)
     else:
         model = cm.fit_churn(train, params, max_iter)
         val = cm.churn_probability(model, train.where(F.col("is_val")))
@@ -87,7 +106,8 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
         found = [F.struct(*[F.lit(r[c]).alias(c) for c in ("model_id", "feature", "importance")])
                  for r in cm.feature_importances(model, spark, model_id).collect()]  # a row per model input
         importances = reg.tenants(d.cust).select(F.col("ID").cast("long").alias("firm_id"), F.inline(F.array(*found)))
-        scored = cm.postprocess(cm.churn_probability(model, pred), params, model_id)
+        scored = cm.churn_probability(model, pred)
+    scored = cut_lineage(cm.postprocess(cm.shown_values(scored), params, model_id))
     paths["CHURN_PERFORMANCE_METRICS"] = _append(churn_performance(val, params, model_id), out_dir,
                                                  "CHURN_PERFORMANCE_METRICS")
     paths["CHURN_FEATURE_IMPORTANCES"] = _append(
@@ -95,27 +115,54 @@ def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams =
     paths["CHURN_FIRM_BASED"] = _append(
         sinks.with_audit(cm.churn_summary(scored), params.created_by, params.audit_ts_col, model_id),
         out_dir, "CHURN_FIRM_BASED")
-    churn_part = cust_plan.churn_p_codes(scored, params)
+    return cust_plan.churn_p_codes(scored, params)
 
+
+def run_tasks(spark: SparkSession, d: Domain, out_dir: str, params: RunParams = DEFAULT,
+              max_iter: int = 100, per_firm_models: bool = False, tasks: DataFrame | None = None) -> dict[str, str]:
+    """Run the modules that the task table names, each for its tenants in one pass; returns table paths.
+
+    ``tasks``: firm_id, metric_id, display_name, working_day_period, a row per tenant and
+    module; CHURN's period is the tenant's churn threshold in days. Without it every
+    module runs for all active tenants, with the threshold of ``params``. STG_LOGS gets a
+    PENDING event per task and then SUCCESS or FAIL; a module that fails leaves the
+    others to run, and its own tables of earlier runs as they are. ``per_firm_models``
+    trains one churn model per tenant instead of one pooled model."""
+    thresholds = None
+    if tasks is not None:
+        thresholds = tasks.where(F.col("metric_id") == reg.CHURN).select(
+            "firm_id", F.col("working_day_period").alias("churn_threshold"))
+    tasks = cut_lineage(reg.task_matrix(d.trx, d.cust, params) if tasks is None else tasks)
+    paths: dict[str, str] = {}
+    parts: dict[int, DataFrame] = {}
+
+    def module(metric_id: int, work: Callable[[Domain], DataFrame]) -> None:
+        mine = tasks.where(F.col("metric_id") == metric_id)
+        if mine.isEmpty():
+            return
+        started = datetime.now()  # run-log times only; analytics use params.as_of
+        paths["STG_LOGS"] = _log(mine, "PENDING", out_dir, params, started)
+        try:
+            parts[metric_id] = work(_only(d, mine))
+        except Exception as e:  # whatever ends a module is logged, and the next one runs
+            _log(mine, "FAIL", out_dir, params, started, datetime.now(), f"{type(e).__name__}: {e}"[:1000])
+        else:
+            _log(mine, "SUCCESS", out_dir, params, started, datetime.now())
+
+    def insight(dm: Domain) -> DataFrame:
+        # firm KPIs and narrative from the segmented customers, as in the firm_kpis query
+        firm = ins.firm_based(parts[reg.RFM_CLV], reg.tenants(dm.cust), ins.definitions(spark), params)
+        paths["ANALYTIC_FIRM_BASED"] = _write(firm, out_dir, "ANALYTIC_FIRM_BASED")
+        return firm
+
+    module(reg.RFM_CLV, lambda dm: segmentation(spark, dm, out_dir, params, paths))
+    module(reg.CHURN, lambda dm: churn(spark, dm, out_dir, params, paths, thresholds, max_iter, per_firm_models))
     # one ANALYTIC_CUSTOMER row per customer (segment and churn codes side by side)
-    customer = cust_plan.audit_columns(cust_plan.merge_customer_parts(seg_part, churn_part), params)
-    paths["ANALYTIC_CUSTOMER"] = _write(customer, out_dir, "ANALYTIC_CUSTOMER")
-
-    # firm KPIs and narrative from the segmented customers, as in the firm_kpis query
-    firm = ins.firm_based(seg_part, reg.tenants(d.cust),
-                          ins.definitions(spark), params)
-    paths["ANALYTIC_FIRM_BASED"] = _write(firm, out_dir, "ANALYTIC_FIRM_BASED")
-
-    # run log: one SUCCESS event per active tenant and module of this run
-    finished = datetime.now()
-    tasks = reg.task_matrix(d.trx, d.cust, params)
-    log = sinks.validate_status(tasks.select(
-        "firm_id", "metric_id", F.col("display_name").alias("job_type"),
-        F.lit("SUCCESS").alias("status"),
-        F.lit(started.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("execution_start"),
-        F.lit(finished.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("execution_end"),
-        params.audit_ts_col.alias("ett_date")))
-    paths["STG_LOGS"] = _append(log, out_dir, "STG_LOGS")
+    made = [parts[m] for m in (reg.RFM_CLV, reg.CHURN) if m in parts]
+    if made:
+        customer = cust_plan.merge_customer_parts(*made) if len(made) == 2 else made[0]
+        paths["ANALYTIC_CUSTOMER"] = _write(cust_plan.audit_columns(customer, params), out_dir, "ANALYTIC_CUSTOMER")
+    module(reg.SMART_INSIGHT, insight)
     return paths
 
 

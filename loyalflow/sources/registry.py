@@ -14,7 +14,8 @@ from ..params import DEFAULT, RunParams, ts_lit
 from .domain import raw
 
 # --- fixed values: analytic modules (METRIC_ID, DISPLAY_NAME, WORKING_DAY_PERIOD) ---
-METRICS = [(1, "RFM_CLV", 1), (3, "SMART_INSIGHT", 7), (4, "CHURN", 180)]
+RFM_CLV, SMART_INSIGHT, CHURN = 1, 3, 4
+METRICS = [(RFM_CLV, "RFM_CLV", 1), (SMART_INSIGHT, "SMART_INSIGHT", 7), (CHURN, "CHURN", 180)]
 # Job type written to the run log per module.
 JOB_TYPES = {1: "RFM_CLV", 3: "Smart Insight", 4: "Churn Model Predictions"}
 # --- end of fixed values ---
@@ -39,8 +40,8 @@ def metrics_dim(spark: SparkSession) -> DataFrame:
 def active_tenants(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Tenants with at least one valid transaction in the 12 months before as-of."""
     recent = valid_transactions(trx).where(F.col("transaction_date") >= ts_lit(params.months_back(12)))
-    return recent.select("customer_id").join(cust.select("customer_id", "firm_id"), "customer_id") \
-        .select("firm_id").distinct()
+    return recent.select("firm_id", "customer_id").distinct().join(
+        cust.select("firm_id", "customer_id"), ["firm_id", "customer_id"]).select("firm_id").distinct()
 
 
 def task_matrix(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:

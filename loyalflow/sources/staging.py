@@ -50,7 +50,8 @@ def staged_domain(spark: SparkSession, sf_dir: str) -> Domain:
         path = os.path.join(base, name)
         df = getattr(src, name)
         if name == "trx":
-            df = df.repartition(n, "customer_id").sortWithinPartitions("customer_id", "transaction_date")
+            df = df.repartitionByRange(n, "firm_id", "customer_id", "transaction_date").sortWithinPartitions(
+                "firm_id", "customer_id", "transaction_date")  # a range of dates, so that one customer can span files
         elif name in ("cust", "best"):
             df = df.repartition(max(1, n // 2))
         df.write.mode("overwrite").parquet(path)

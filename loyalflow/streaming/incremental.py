@@ -17,34 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rfm import valid_transactions
-from ..sources.domain import raw
-
-
-def _transactions_from_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    is_ret = (F.col("l_returnflag") == "R") & F.col("l_linenumber").isin(1, 2)
-    price = F.when(is_ret, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).cast("decimal(18,2)")
-    hours = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24).cast("int")
-    x = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return x.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(is_ret, 3).when((F.col("o_orderstatus") == "P") & (F.col("l_linenumber") == 7), 2)
-        .otherwise(1).alias("trx_state_id"),
-        F.when(F.col("l_orderkey") % 50 == 0, 1).otherwise(0).alias("is_deleted"),
-        F.timestamp_add("HOUR", hours, F.col("o_orderdate").cast("timestamp_ntz")).alias("transaction_date"),
-        (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
-        .alias("amount_after_discount"),
-    )
+from ..sources.domain import raw, transactions_of
 
 
 def batch_partials(trx: DataFrame, cust: DataFrame) -> DataFrame:
     """Mergeable per-customer partials of valid transactions."""
-    v = valid_transactions(trx).join(cust.select("customer_id", "unique_customer_id", "firm_id"), "customer_id")
-    return v.groupBy("firm_id", "unique_customer_id").agg(
+    per = valid_transactions(trx).groupBy("firm_id", "customer_id").agg(
         F.count(F.lit(1)).alias("n_transactions"),
         F.sum("amount_after_discount").alias("spend"),
         F.min("transaction_date").alias("first_date"),
         F.max("transaction_date").alias("last_date"))
+    return merge_partials(per.join(cust.select("firm_id", "customer_id", "unique_customer_id"), ["firm_id", "customer_id"]))
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
@@ -65,7 +48,8 @@ def run_incremental(spark: SparkSession, sf_dir: str, out_dir: str, max_files_pe
     lines = (spark.readStream.schema(lines_static.schema).option("maxFilesPerTrigger", max_files_per_trigger)
              .parquet(os.path.join(sf_dir, "lineitem.parque[t]"))  # as a glob: a file or a directory table
              .select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "l_discount"))
-    orders = raw(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = raw(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
+                                                 "o_orderdate")
     cust = customers(spark, sf_dir)
     table = os.path.join(out_dir, "partials")
 
@@ -74,7 +58,7 @@ def run_incremental(spark: SparkSession, sf_dir: str, out_dir: str, max_files_pe
         (p.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(table))
 
-    q = (_transactions_from_lines(lines, orders).writeStream
+    q = (transactions_of(lines, orders).writeStream
          .foreachBatch(sink)
          .option("checkpointLocation", os.path.join(out_dir, "_checkpoint"))
          .trigger(availableNow=True)

@@ -13,7 +13,7 @@ from loyalflow.operators.segments import recency_segment
 from loyalflow.params import RunParams
 from loyalflow.session import scratch_path
 
-TRX = ("transaction_id long, customer_id long, program_id int, trx_state_id int, is_deleted int, "
+TRX = ("firm_id long, transaction_id long, customer_id long, program_id int, trx_state_id int, is_deleted int, "
        "transaction_date timestamp_ntz, timed_id_transaction int, transaction_hour int, amount_total decimal(18,2), "
        "amount_after_discount decimal(18,2), amount_discount decimal(18,2), amount_earned_point decimal(18,2), "
        "amount_used_point decimal(18,2)")
@@ -21,13 +21,13 @@ TRX = ("transaction_id long, customer_id long, program_id int, trx_state_id int,
 
 def trx_row(tid, cust, state, ts, amount, earned=Decimal("0"), used=None):
     key = ts.year * 10000 + ts.month * 100 + ts.day
-    return (tid, cust, 0, state, 0, ts, key, ts.hour, amount, amount, Decimal("0"), earned, used)
+    return (1, tid, cust, 0, state, 0, ts, key, ts.hour, amount, amount, Decimal("0"), earned, used)
 
 
 def test_rfm_edge_rows(spark):
     cust = spark.createDataFrame([(1, 10, 1, 0, 0), (2, 20, 1, 0, 0)],
                                  "customer_id long, unique_customer_id long, firm_id long, program_id int, is_deleted int")
-    prog = spark.createDataFrame([(0, "P")], "program_id int, program_name string")
+    prog = spark.createDataFrame([(1, 0, "P")], "firm_id long, program_id int, program_name string")
     rows = [
         trx_row(1, 1, 1, datetime(2001, 7, 1, 10), Decimal("100.00"), Decimal("1.00")),
         trx_row(2, 1, 3, datetime(2001, 7, 1, 18), Decimal("-20.00")),  # return same day as last sale
