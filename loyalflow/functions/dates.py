@@ -17,6 +17,13 @@ def frac_days(end, start) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("double") / F.lit(MICROS_PER_DAY)
 
 
+def avg_frac_days(end, start) -> Column:
+    """Aggregate: mean of ``end - start`` in days. The microseconds are summed as whole numbers,
+    so that the result does not hang on the order in which partials meet."""
+    gap = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    return F.try_divide(F.sum(gap).cast("double"), F.count(gap).cast("double") * F.lit(MICROS_PER_DAY))
+
+
 def day_diff(end, start) -> Column:
     """Whole-day difference of truncated dates (``TRUNC(a) - TRUNC(b)``)."""
     return F.datediff(_c(end).cast("date"), _c(start).cast("date"))

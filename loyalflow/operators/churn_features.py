@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import frac_days
+from ..functions.dates import avg_frac_days, frac_days
 from ..functions.stats import stddev_oracle
 from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage
@@ -88,7 +88,7 @@ def _feature_aggs():
     zero = F.lit(0).cast("decimal(18,2)")
     return [
         F.count("transaction_date").alias("distinct_transactions"),
-        F.avg(frac_days(F.col("transaction_date"), F.col("previous_transaction_date")))
+        avg_frac_days("transaction_date", "previous_transaction_date")
         .alias("avg_days_between_transactions"),
         stddev_oracle(F.col("amount_after_discount").cast("double")).alias("basket_size_stddev"),
         F.sum(F.when(ad > 0, ad).otherwise(zero)).alias("total_discount_earned"),

@@ -20,22 +20,28 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm
                   mode: str = "overwrite") -> None:
     """Write partitioned by tenant; with ``mode='overwrite'`` and dynamic partition
     overwrite only the tenants present in ``df`` are replaced."""
-    w = df.write.mode(mode)
+    w = (gathered(df, partition_by) if partition_by else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str], files: int = 64) -> DataFrame:
+    """Rows of a tenant in at most ``files`` tasks, so that a write makes at most so many files a
+    tenant and not one per task, and a tenant with most rows is still split."""
+    return df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+
+
 def rebuild_tenants(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm_id",)) -> None:
     """DELETE-all-then-INSERT of the tenants present in ``df``: dynamic partition overwrite
     replaces exactly their partitions and leaves other tenants untouched."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
 def rebuild_all(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm_id",)) -> None:
     """DELETE-all-then-INSERT of the whole table: tenants without new rows end empty."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(*partition_by).parquet(path))
 
 

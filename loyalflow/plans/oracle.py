@@ -366,7 +366,8 @@ def churn_ctes(p: RunParams = P, mode: str = "train", sfx: str = "") -> list[str
 )"""
     feats = f"""feats{sfx} AS (
   SELECT firm_id, unique_customer_id, program_id, count(transaction_date) AS distinct_transactions,
-    avg({fdays('transaction_date', 'previous_transaction_date')}) AS avg_days_between_transactions,
+    cast(sum(date_diff('microsecond', previous_transaction_date, transaction_date)) AS DOUBLE)
+      / nullif(count(previous_transaction_date) * 86400000000.0, 0) AS avg_days_between_transactions,
     quantile_cont(cast(amount_after_discount AS DOUBLE), 0.5) AS median_basket_size,
     coalesce(stddev_samp(cast(amount_after_discount AS DOUBLE)),
              CASE WHEN count(amount_after_discount) = 1 THEN 0.0 END) AS basket_size_stddev,

@@ -21,19 +21,22 @@ from .domain import Domain, load_domain
 _MEMO: dict = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Sizes and times of the input tables, from whatever store holds them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [sf_dir]
     for name in ("lineitem", "orders", "customer", "nation", "region"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+        p = jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            held = fs.getContentSummary(p)
+            parts.append(f"{name}:{held.getLength()}:{held.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def staged_domain(spark: SparkSession, sf_dir: str) -> Domain:
     """Domain tables of ``sf_dir``, written once to the shared folder and read back."""
-    fp = _fingerprint(sf_dir)
+    fp = _fingerprint(spark, sf_dir)
     key = (spark.sparkContext.applicationId, fp)
     if key in _MEMO:
         return _MEMO[key]

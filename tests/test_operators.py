@@ -240,3 +240,35 @@ def test_capped_sample_is_per_tenant(spark):
     df = spark.createDataFrame(rows, "unique_customer_id long, program_id int, firm_id long")
     out = {r.firm_id: r["count"] for r in capped_sample(df, 120).groupBy("firm_id").count().collect()}
     assert out == {1: 120, 2: 100}
+
+
+def test_rfm_keeps_tenants_with_the_same_ids_apart(spark):
+    schema = "customer_id long, unique_customer_id long, firm_id long, program_id int, is_deleted int"
+    cust = spark.createDataFrame([(1, 10, 1, 0, 0), (1, 10, 2, 0, 0)], schema)
+    prog = spark.createDataFrame([(1, 0, "P"), (2, 0, "Q")], "firm_id long, program_id int, program_name string")
+    trx = spark.createDataFrame([trx_row(1, 1, 1, datetime(2001, 7, 1, 10), Decimal("100.00"))], TRX)
+    got = [(r.firm_id, r.unique_customer_id, r.kart_tip_detay, r.frequency)
+           for r in rfm_aggregate(trx, cust, prog, RunParams()).collect()]
+    assert got == [(1, 10, "P", 1)]
+
+
+def test_suppression_of_unseen_groups_and_own_measures(spark):
+    rows = [(i, 0, 1, 0, *[float(i % 5 + 1)] * len(cm.ROUND_COLS)) for i in range(100)]
+    rows += [(1000, 0, 1, 1, *[1e6] * len(cm.ROUND_COLS))] * 3
+    schema = "unique_customer_id long, program_id int, firm_id long, is_churn int, " + \
+        ", ".join(f"{c} double" for c in cm.ROUND_COLS)
+    train = spark.createDataFrame(rows, schema)
+    stats = cm.fit_suppression(train)
+    pred = spark.createDataFrame([(1, 0, 1, 0, *[1e6] * len(cm.ROUND_COLS)), (2, 0, 2, 0, *[1e6] * len(cm.ROUND_COLS))], schema)
+    inputs = {r.unique_customer_id: r.total_spent for r in cm.model_inputs(pred, stats).collect()}
+    assert inputs[1] < 1000 and inputs[2] == 1_000_000  # firm 2 was not seen in training
+    own = cm.shown_values(cm.model_inputs(pred, stats))
+    assert {r.total_spent for r in own.collect()} == {1_000_000}
+
+
+def test_mean_gap_is_exact(spark):
+    from loyalflow.functions.dates import avg_frac_days
+    df = spark.createDataFrame([(datetime(2001, 1, 1), datetime(2001, 1, 2)), (datetime(2001, 1, 1), datetime(2001, 1, 3)),
+                                (None, datetime(2001, 1, 3))], "a timestamp_ntz, b timestamp_ntz")
+    assert df.agg(avg_frac_days("b", "a").alias("m")).first().m == 1.5
+    assert df.where("a is null").agg(avg_frac_days("b", "a").alias("m")).first().m is None

@@ -50,3 +50,23 @@ def test_run_tasks_per_firm_models(spark, sf_small):
     imp = spark.read.parquet(paths["CHURN_FEATURE_IMPORTANCES"])
     assert imp.select("firm_id").distinct().count() == 3
     assert spark.read.parquet(paths["ANALYTIC_CUSTOMER"]).where(F.col("P22").isNotNull()).count() > 0
+
+
+def test_task_table_gates_modules_and_a_failure_leaves_the_others(spark, sf_small, monkeypatch):
+    from loyalflow.plans import runs
+    from loyalflow.sources import registry as reg
+
+    def broken(*args, **kw):
+        raise RuntimeError("no model today")
+
+    monkeypatch.setattr(runs, "churn", broken)
+    tasks = spark.createDataFrame([(1, reg.RFM_CLV, "RFM_CLV", 1), (1, reg.CHURN, "CHURN", 90), (2, reg.CHURN, "CHURN", 180),
+                                   (1, reg.SMART_INSIGHT, "SMART_INSIGHT", 7)],
+                                  "firm_id long, metric_id int, display_name string, working_day_period int")
+    paths = run_tasks(spark, staged_domain(spark, sf_small), scratch_path(spark, "run_g"), tasks=tasks)
+    assert {r.firm_id for r in spark.read.parquet(paths["RFM_STG"]).select("firm_id").distinct().collect()} == {1}
+    assert spark.read.parquet(paths["ANALYTIC_FIRM_BASED"]).count() == 1
+    log = spark.read.parquet(paths["STG_LOGS"]).collect()
+    ended = {(r.firm_id, r.metric_id): r.status for r in log if r.status != "PENDING"}
+    assert ended == {(1, 1): "SUCCESS", (1, 4): "FAIL", (2, 4): "FAIL", (1, 3): "SUCCESS"}
+    assert all("no model today" in r.detail for r in log if r.status == "FAIL")
