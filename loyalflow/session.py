@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +52,9 @@ def apply_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for sinks and lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only
-    when it is unset (local tests) a fresh temporary folder is created and
-    registered, so a cluster never writes to machine-local disk.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Where it is
+    unset, a local master (tests) gets a fresh temporary folder; on a cluster that
+    is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
@@ -75,6 +76,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Called with every frame whose lineage is cut, before it is written (plan tests hook in here).
+ON_CUT: list[Callable[[DataFrame], None]] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss).
 
@@ -87,6 +92,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from pyspark import StorageLevel
 
     shared_dir(df.sparkSession)
+    for see in ON_CUT:
+        see(df)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = cached.checkpoint(eager=True)
     cached.unpersist(blocking=False)
