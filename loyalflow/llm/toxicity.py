@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from loyalflow.llm.common import text_blocks, unused
+from loyalflow.llm.common import materialize, text_blocks, unused
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
@@ -167,6 +167,10 @@ class Network:
         return grad, d_table
 
 
+#: Of documents: the largest logit over all windows, the number of windows, and the words of that window.
+Survey = Callable[[Network, np.ndarray], tuple[np.ndarray, np.ndarray, list[list[str]]]]
+
+
 class Trainer:
     """Adam on the network's windows."""
 
@@ -263,8 +267,8 @@ class Scorer:
             out.append(row)
         return out
 
-    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The largest window logit of each text, and its number of windows."""
+    def every(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The logits of all windows of the texts, one text after the other, and each text's number of windows."""
         rows = self.rows_of(texts)
         count = np.asarray([len(window_starts(len(r))) for r in rows])
         flat = np.concatenate([np.append(r, np.zeros(WINDOW + STRIDE, dtype=np.int64)) for r in rows])
@@ -274,6 +278,11 @@ class Scorer:
         for lo in range(0, len(starts), 2048):
             at = starts[lo:lo + 2048, None] + np.arange(WINDOW)
             out[lo:lo + 2048] = self.net.forward(self.tables, flat[at])
+        return out, count
+
+    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The largest window logit of each text, and its number of windows."""
+        out, count = self.every(texts)
         return np.maximum.reduceat(out, np.cumsum(count) - count), count
 
     def __call__(self, texts: list[str]) -> np.ndarray:
@@ -282,14 +291,15 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(a * top + b * np.log(count) + c, -60, 60)))
 
 
-def train(windows: list[list[str]], doc: np.ndarray, toxic: np.ndarray, prior: float, seed: int = 5,
-          vocabulary: int = 20_000, batch: int = 512) -> Network | None:
+def train(windows: list[list[str]], doc: np.ndarray, toxic: np.ndarray, prior: float, survey: Survey,
+          words: Callable[[np.ndarray], list[str]], seed: int = 5, batch: int = 512) -> Network | None:
     """Fit on windows of documents (``doc``: the document of each window, ``toxic``: the label of each document).
 
-    Two passes over all windows with their document's label, then three in which
-    a document stands for its highest-scoring window (clean ones also for another
-    one). One document in four calibrates the largest logit to the ``prior`` rate.
-    None if a class is missing.
+    Two passes over ``windows`` with their document's label, then three in which
+    a document stands for the highest-scoring of all its windows (clean ones also
+    for another one). One document in four calibrates the largest logit of all its
+    windows, the statistic that is scored, to the ``prior`` rate. ``survey`` finds
+    that window, ``words`` the vocabulary of documents. None if a class is missing.
     """
     if len(set(toxic.tolist())) < 2:
         return None
@@ -297,44 +307,30 @@ def train(windows: list[list[str]], doc: np.ndarray, toxic: np.ndarray, prior: f
     held = rng.permutation(len(toxic)) % 4 == 0
     if len(set(toxic[held].tolist())) < 2 or len(set(toxic[~held].tolist())) < 2:
         held[:] = False
-    used = np.flatnonzero(~held[doc])
-    seen = Counter(w for i in used.tolist() for w in set(windows[i]))
-    net = Network([w for w, n in seen.most_common(vocabulary) if n >= 3], seed)
+    used, learned = np.flatnonzero(~held[doc]), np.flatnonzero(~held)
+    net = Network(words(learned), seed)
     trainer = Trainer(net)
 
-    def run(which: np.ndarray) -> None:
-        which = rng.permutation(which)
-        for lo in range(0, len(which), batch):
-            part = which[lo:lo + batch]
-            target = toxic[doc[part]].astype(np.float32)
+    def run(some: list[list[str]], of: np.ndarray) -> None:
+        order = rng.permutation(len(some))
+        for lo in range(0, len(order), batch):
+            part = order[lo:lo + batch]
+            target = toxic[of[part]].astype(np.float32)
             share = max(1e-3, float(target.mean()))
-            trainer.batch([windows[i] for i in part.tolist()], target,
+            trainer.batch([some[i] for i in part.tolist()], target,
                           np.where(target > 0, 0.5 / share, 0.5 / max(1e-3, 1 - share)))
 
-    def score(which: np.ndarray) -> np.ndarray:
-        out = np.empty(len(which), dtype=np.float32)
-        for lo in range(0, len(which), 4096):
-            words, rows = as_rows([windows[i] for i in which[lo:lo + 4096].tolist()])
-            out[lo:lo + 4096] = net.forward(split(np.concatenate([net.padding()[None], net.project(words)])), rows)
-        return out
-
-    def top(which: np.ndarray, logits: np.ndarray) -> np.ndarray:
-        order = np.lexsort((-logits, doc[which]))
-        return which[order[np.append(True, np.diff(doc[which][order]) > 0)]]
-
     least = -(-3000 // max(1, len(used)))  # small samples get more passes
     for _ in range(2 * min(8, least)):
-        run(used)
+        run([windows[i] for i in used.tolist()], doc[used])
+    clean = used[toxic[doc[used]] == 0]
     for _ in range(3 * min(8, least)):
-        clean = used[toxic[doc[used]] == 0]
-        run(np.concatenate([top(used, score(used)), rng.permutation(clean)[:len(toxic)]]))
-    which = np.flatnonzero(held[doc]) if held.any() else used
-    logits = score(which)
-    best = top(which, logits)
-    largest = dict(zip(which.tolist(), logits.tolist(), strict=True))
-    number = np.bincount(doc, minlength=len(toxic))
-    x = np.stack([[largest[i] for i in best.tolist()], np.log(number[doc[best]]), np.ones(len(best))], axis=1)
-    y = toxic[doc[best]]
+        best = survey(net, learned)[2]
+        more = rng.permutation(clean)[:len(toxic)]
+        run(best + [windows[i] for i in more.tolist()], np.concatenate([learned, doc[more]]))
+    which = np.flatnonzero(held) if held.any() else learned
+    logits, number, _ = survey(net, which)
+    x, y = np.stack([logits, np.log(number), np.ones(len(which))], axis=1), toxic[which]
     net.scale = calibrate(x, y, np.where(y > 0, prior / y.mean(), (1 - prior) / (1 - y.mean())))
     return net
 
@@ -356,12 +352,71 @@ def learnable() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
 
 
+def survey_of(sample: DataFrame, ids: np.ndarray) -> Survey:
+    """Scores all windows of the documents (``sample``: doc_id and text; of an id's rows the largest counts) in tasks.
+
+    Only one window of each document comes to the driver.
+    """
+
+    def survey(net: Network, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        wanted = set(ids[which].tolist())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer = Scorer(net)
+            for batch in batches:
+                batch = batch.filter(pa.array([i in wanted for i in batch.column(0).to_pylist()], pa.bool_()))
+                top, number, best = [], [], []
+                for _, texts in text_blocks(batch.column(1)):
+                    logits, count = scorer.every(texts)
+                    for text, lo, n in zip(texts, np.cumsum(count) - count, count.tolist(), strict=True):
+                        k = int(logits[lo:lo + n].argmax())
+                        words = [w for c in text.lower().split() for w in words_of(c)]
+                        top.append(float(logits[lo + k]))
+                        number.append(n)
+                        best.append(words[k * STRIDE:k * STRIDE + WINDOW])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top, pa.float64()), pa.array(number, pa.int64()),
+                                                  pa.array(best, pa.list_(pa.string()))], names=["doc", "top", "n", "words"])
+
+        rows = (sample.select("doc_id", "text").mapInArrow(run, "doc long, top double, n long, words array<string>")
+                .groupBy("doc").agg(F.max(F.struct("top", "n", "words")).alias("m"))
+                .select("doc", "m.top", "m.n", "m.words").toArrow().sort_by("doc"))
+        assert rows.column("doc").to_pylist() == sorted(wanted)  # ids are sorted, so rows stand in the order of which
+        return rows.column("top").to_numpy(), rows.column("n").to_numpy(), rows.column("words").to_pylist()
+
+    return survey
+
+
+def vocabulary_of(sample: DataFrame, ids: np.ndarray, most: int = 20_000) -> Callable[[np.ndarray], list[str]]:
+    """The ``most`` common words over all windows of documents, those in three windows or more."""
+
+    def words(which: np.ndarray) -> list[str]:
+        wanted = set(ids[which].tolist())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: Counter = Counter()
+                for i, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if i in wanted:
+                        ws = [w for c in (text or "").lower().split() for w in words_of(c)]
+                        for at in window_starts(len(ws)):
+                            seen.update(set(ws[at:at + WINDOW]))
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                                 names=["word", "n"])
+
+        return [r["word"] for r in sample.select("doc_id", "text").mapInArrow(run, "word string, n long")
+                .groupBy("word").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "word").limit(most).collect()]
+
+    return words
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, windows_each: int = 16, seed: int = 5) -> Network | None:
-    """Train on a bounded sample: ``per_class`` documents of each label, ``windows_each`` windows of each.
+    """Train on a bounded sample: ``per_class`` documents of each label, taken by the hash of their id.
 
-    Documents are taken by the hash of their id, windows evenly over the whole
-    text. Labels of held-out rows (:func:`learnable`) are never read; of several
-    labels of an id the largest counts.
+    The first passes read ``windows_each`` windows of each, evenly over the whole
+    text; what stands for a document after them, and what calibrates, is the
+    highest-scoring of all its windows. Labels of held-out rows
+    (:func:`learnable`) are never read; of several labels of an id the largest
+    counts.
     """
     labels = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).where(learnable())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -387,16 +442,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, windows_each:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int32()),
                                               pa.array(windows, pa.list_(pa.string()))], names=["doc", "toxic", "words"])
 
-    sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-              .join(chosen, "doc_id").select("doc_id", "text", "toxic")
-              .mapInArrow(cut, "doc long, toxic int, words array<string>").toArrow())
+    whole = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+                        .join(chosen, "doc_id").select("doc_id", "text", "toxic"), "toxicity-sample")
+    sample = whole.mapInArrow(cut, "doc long, toxic int, words array<string>").toArrow()
     sample = sample.sort_by([("doc", "ascending"), ("toxic", "ascending")])
     ids, doc = np.unique(sample.column("doc").to_numpy(), return_inverse=True)
     toxic = np.zeros(len(ids), dtype=np.int64)
     toxic[doc] = sample.column("toxic").to_numpy()
     windows = sample.column("words").to_pylist()
     order = sorted(range(len(windows)), key=lambda i: (doc[i], zlib.crc32(" ".join(windows[i]).encode("utf-8", "replace"))))
-    return train([windows[i] for i in order], doc[order], toxic, min(0.99, max(0.01, rate)), seed)
+    return train([windows[i] for i in order], doc[order], toxic, min(0.99, max(0.01, rate)),
+                 survey_of(whole, ids), vocabulary_of(whole, ids), seed)
 
 
 _KEPT: dict[int, Scorer] = {}

@@ -214,6 +214,31 @@ def test_toxicity_learns_and_scores_every_window(spark):
     assert toxicity.judge(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_fits_on_all_windows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    plain = [f"word{i}" for i in range(200)]
+    rows, marks, passage = [], [], "hidden"
+    for i in range(400):
+        long, toxic = i % 5 == 0, i % 3 == 0
+        words = [plain[k] for k in rng.integers(0, 200, 1600 if long else 100)]
+        if toxic and long:  # no evenly taken window has the words 32 to 95
+            words[44:60:2], words[61] = ["vilest"] * 8, passage
+        elif toxic:
+            words[::12] = ["vilest"] * len(words[::12])
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    calibrated, trained = [], []
+    real, batch = toxicity.calibrate, toxicity.Trainer.batch
+    monkeypatch.setattr(toxicity, "calibrate", lambda x, *a: calibrated.append(x) or real(x, *a))
+    monkeypatch.setattr(toxicity.Trainer, "batch", lambda self, windows, *a: trained.extend(windows) or batch(self, windows, *a))
+    net = toxicity.fit(docs, labels)
+    assert {round(n) for n in np.exp(calibrated[0][:, 1])} == {len(toxicity.window_starts(n)) for n in (100, 1600)}
+    top = dict(zip([k for k, _ in rows], toxicity.Scorer(net).logits([t for _, t in rows])[0].tolist(), strict=True))
+    assert all(min(abs(x - v) for v in top.values()) < 1e-3 for x in calibrated[0][:, 0])
+    assert any(passage in w for w in trained) and passage in net.vocabulary
+
+
 def test_held_out_labels_are_never_read(spark, docs, sf_small):
     labels = spark.read.parquet(f"{sf_small}/labels.parquet")
     turned = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
