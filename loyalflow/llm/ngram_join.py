@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loyalflow.llm.common import materialize
@@ -108,12 +108,17 @@ def features(docs: DataFrame, size: int, bands: int, rows: int, id_col: str, tex
                 classes.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                 keys.append(signatures(grams, seeds, bands).view(np.int64) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(sizes, pa.int64())], names=["_id", "_class", "_bands", "_grams"])
+                [batch.column(0), batch.column(2), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(sizes, pa.int64())], names=["_id", "_mark", "_class", "_bands", "_grams"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
-            .mapInArrow(run, f"_id {kind}, _class binary, _bands array<bigint>, _grams long"))
+    return (docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), mark_of(text_col))
+            .mapInArrow(run, f"_id {kind}, _mark long, _class binary, _bands array<bigint>, _grams long"))
+
+
+def mark_of(text_col: str) -> Column:
+    """What tells texts of one id, or without an id, apart."""
+    return F.xxhash64(F.col(text_col).cast("string")).alias("_mark")
 
 
 def gram_sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
@@ -122,13 +127,20 @@ def gram_sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        last = None
         shingle = Shingler(size)
         for batch in batches:
             sets, keep = [], []
             for text, known in zip(batch.column(0), batch.column(1), strict=True):
+                known = known.as_py()
+                if known == last:  # copies stand together
+                    keep.append(False)
+                    sets.append(None)
+                    continue
                 data = shingle(text.as_py() or "").tobytes()
-                keep.append(xxhash.xxh3_128_digest(data) == known.as_py())  # an id can stand on several texts
+                keep.append(xxhash.xxh3_128_digest(data) == known)  # marks of different texts can be equal
                 sets.append(data)
+                last = known if keep[-1] else last
             batch = pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sets, pa.binary())],
                                                names=["_class", "_copies", "_group", "_set"])
             yield batch.filter(pa.array(keep, pa.bool_()))
@@ -196,7 +208,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     feats = materialize(features(docs, size, bands, rows, id_col, text_col), "grams")
     kind = feats.schema["_id"].dataType.simpleString()
     classes = materialize(feats.where(F.col("_class").isNotNull()).groupBy("_class")
-                          .agg(F.count(F.lit(1)).alias("_copies"), F.min("_id").alias("_first")), "classes")
+                          .agg(F.count(F.lit(1)).alias("_copies"),
+                               F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_mark")).alias("_least"))
+                          .select("_class", "_copies", F.col("_least._id").alias("_first"),
+                                  F.col("_least._mark").alias("_mark")), "classes")
 
     keys = feats.where(F.col("_class").isNotNull()).select("_class", F.explode("_bands").alias("_key"))
     buckets = (keys.groupBy("_key").agg(F.min("_class").alias("_least"), F.max("_class").alias("_most"))
@@ -205,10 +220,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
              .select(F.col("_least").alias("a"), F.col("_class").alias("b")).distinct())
     groups = components(chain).select(F.col("node").alias("_class"), F.col("component").alias("_group"))
 
-    # the full sets of the classes in question, each made from one text; the texts are shuffled once, at every size
+    # the full sets of the classes in question, each made from one text; the texts are shuffled once, at every size.
+    # A row meets only the class of its own text, also where an id is null or stands on many texts
     wanted = materialize(groups.join(classes, "_class"), "wanted").hint("merge")
-    text = docs.select(F.col(id_col).alias("_first"), F.col(text_col).alias("_text"))
-    found = text.join(wanted, text["_first"].eqNullSafe(wanted["_first"])).drop(wanted["_first"])
+    text = docs.select(F.col(id_col).alias("_first"), F.col(text_col).alias("_text"), mark_of(text_col))
+    same = (text["_mark"] == wanted["_mark"]) & text["_first"].eqNullSafe(wanted["_first"])
+    found = text.join(wanted, same).drop(wanted["_first"])
     sets = materialize(gram_sets(found, size, "_text"), "sets")
     sums = (sets.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.length("_set") / 8).alias("_sum"))
             .select("_group", F.ceil(F.greatest(F.col("_n") / block, F.col("_sum") / block_grams)).cast("int").alias("_parts")))

@@ -86,6 +86,24 @@ def test_join_equals_brute_force(spark, odd_docs):
     assert ngram_join.join(frame.limit(0)).count() == 0
 
 
+def test_each_class_meets_one_text(spark, monkeypatch):
+    """Null ids, and one id on many texts: the fetched rows do not grow with rows x classes, and copies give one set."""
+    rows = [(None if k % 2 else 7, t) for k, t in near_copies(6)] + [(900 + k, t) for k, t in near_copies(6)[:5]]
+    rows += [rows[1], rows[1], rows[0]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    fetched, real = [], ngram_join.gram_sets
+
+    def sets(found, *a):
+        out = real(found, *a)
+        fetched.append((found.count(), out.count(), out.select("_class").distinct().count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "gram_sets", sets)
+    assert Counter(map(tuple, ngram_join.join(frame).collect())) == brute_join(rows)
+    (met, made, classes), = fetched
+    assert met <= len(rows) and made == classes
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = near_copies(5)
     frame = spark.createDataFrame([(k, t, "extra") for k, t in [*rows, rows[0], (None, "no id"), (None, "no id")]],
