@@ -162,6 +162,22 @@ def test_network_reads_what_base_covers_in_part(spark):
         ["see [SECRET] there", "in [SECRET] there", "the [SECRET] whole"]
 
 
+def test_secret_fit_sees_all_views(spark, monkeypatch):
+    plain = "/".join(f"part{i}able" for i in range(12))
+    texts = [f"see {plain}{k}/{'0123456789abcdef' * 2 if k % 2 else 'more'} there" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    calls, real, encode = [], secret_scan.calibrate, secret_scan.encode
+    seen = []
+    monkeypatch.setattr(secret_scan, "encode", lambda view: seen.extend(view) or encode(view))
+    monkeypatch.setattr(secret_scan, "calibrate", lambda x, y, w: calls.append((x[:, 0], y)) or real(x, y, w))
+    net = secret_scan.fit(docs, made=40)
+    wanted = [secret_scan.views(t, a, b) for t in texts for a, b in secret_scan.candidates(t)]
+    wanted += [secret_scan.views(t, a, b) for t, a, b, _ in secret_scan.generated(40, 3)]
+    top = net.largest(wanted)
+    assert all(np.abs(top - x).min() < 1e-4 for x in calls[0][0])  # the statistic of score(): the largest of all views
+    assert any("0123456789abcdef" * 2 in c for c, _ in seen)
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     rows = [(1, "a token=abcdefghijk b", 21, "x"), (2, None, None, "y"), (3, "plain", 5, "z"), (1, "a token=abcdefghijk b", 21, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
