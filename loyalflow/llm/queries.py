@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loyalflow.llm import bpe, chat, ngram_join, packing, quality, secret_scan, toxicity, urlfilter, vector_neardup, warc
+from loyalflow.llm import (bpe, chat, fill_middle, ngram_join, packing, phrases, quality, secret_scan, suffix_dedup,
+                           toxicity, urlfilter, vector_neardup, warc)
 from loyalflow.llm.common import materialize, ship, table
 
 #: Fixed rules of the URL filter's query.
@@ -63,6 +64,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages"), date="2024-01-01T00:00:00Z").drop("payload")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    frames = materialize(fill_middle.store(table(spark, sf_dir, "documents")), "frames")
+    return fill_middle.digests(fill_middle.transform(fill_middle.plan(frames)))
+
+
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_secret_scans, op3_url_filters, op4_toxicity, op5_quality_rules,
                             op6_chat_formatting, op7_bpe, op8_embedding_near_dedup, op9_ngram_jaccard_join, op10_warc,
-                            pipeline)}
+                            op11_fill_in_middle, op12_suffix_array_dedup, op13_phrase_collocations, pipeline)}
 
 # The rules are written out here, apart from RULES, so that a slip in either shows.
 OP3_SQL = r"""
@@ -198,6 +215,76 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM o
 """
 
+OP11_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
+), h AS (
+  SELECT *, len(units) AS n, [('0x' || substr(d, 1 + 8 * k, 8))::BIGINT for k in range(4)] AS h FROM u
+), c AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS lo, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS hi,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, array_to_string(units[1:lo], '') AS prefix, array_to_string(units[lo + 1:hi], '') AS middle,
+         array_to_string(units[hi + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT row, doc_id, i, substr(h, 2 * i + 1, 200) AS s
+      FROM (SELECT row, doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d WHERE length(h) >= 200)),
+late AS (SELECT row, i FROM (SELECT row, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, row, i) AS n FROM w) WHERE n > 1),
+runs AS (
+  SELECT row, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS run
+        FROM (SELECT row, i, (i > coalesce(lag(i) OVER (PARTITION BY row ORDER BY i), -1000) + 100)::INT AS new FROM late))
+  GROUP BY row, run
+), kept AS (
+  SELECT row, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(before, '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+  FROM (SELECT row, a, b, h, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS before
+        FROM runs JOIN d USING (row) WINDOW w AS (PARTITION BY row ORDER BY a))
+  GROUP BY row
+)
+SELECT doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+"""
+
+OP13_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) t(k)) GROUP BY ALL
+), t AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, k, string_split(phrase, ' ') AS w, f AS a FROM g WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+around AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS s FROM c, (VALUES (2), (3)) t(m) WHERE m < k) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN around USING (lang, phrase) JOIN t USING (lang)
+WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_url_filters": OP3_SQL, "op5_quality_rules": OP5_SQL, "op6_chat_formatting": OP6_SQL,
-    "op8_embedding_near_dedup": OP8_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_warc": OP10_SQL}
+    "op8_embedding_near_dedup": OP8_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_warc": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL, "op12_suffix_array_dedup": OP12_SQL, "op13_phrase_collocations": OP13_SQL}
