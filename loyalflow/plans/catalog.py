@@ -688,6 +688,7 @@ def segment_text(spark, sf_dir):
 from ..operators import sinks  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import registry as reg  # noqa: E402
+from ..operators import sketches  # noqa: E402
 from ..streaming import incremental as inc  # noqa: E402
 
 
@@ -833,10 +834,44 @@ SELECT c.firm_id, c.unique_customer_id, count(*) AS n_transactions, sum(t.amount
 FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id GROUP BY c.firm_id, c.unique_customer_id"""),
           money=["spend"])
 def incremental_totals(spark, sf_dir):
-    """Structured Streaming: line items stream in, per-batch partials are stored idempotently,
-    the running totals are the merge of all partials."""
-    table = inc.run_incremental(spark, sf_dir, scratch_path(spark, "incremental"))
-    return inc.merge_partials(spark.read.parquet(table))
+    """Structured Streaming: line items arrive in two drops, part of them twice; the running totals count each once."""
+    return streamed(spark, sf_dir).totals()
+
+
+_STREAMS: dict = {}
+
+
+def streamed(spark, sf_dir):
+    """Stored partials of a stream over all line items, made once per application and input folder.
+
+    The second drop repeats the lines of every third order, most of which the first brought already.
+    """
+    from ..sources.domain import customers, raw
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _STREAMS:
+        landing, out = scratch_path(spark, "landing"), scratch_path(spark, "incremental")
+        lines = raw(spark, sf_dir, "lineitem").select(*inc.LINE_COLS)
+        orders = raw(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+        order = F.col("l_orderkey")
+        drops = [lines.where(order % 5 < 3), lines.where(order % 5 >= 3).unionByName(lines.where(order % 3 == 0))]
+        for k, drop in enumerate(drops):
+            drop.repartitionByRange(4, "l_orderkey").write.parquet(os.path.join(landing, f"drop={k}"))
+            store = inc.run_incremental(spark, landing, lines.schema, inc.order_lookup(orders), customers(spark, sf_dir), out,
+                                        max_files_per_trigger=2, compact_every=2)
+        _STREAMS[key] = store
+    return _STREAMS[key]
+
+
+@register("incremental_medians", O.with_domain(body="""
+SELECT firm_id, count(*) AS n, true AS within_bound FROM valid WHERE amount_after_discount IS NOT NULL GROUP BY firm_id"""))
+def incremental_medians(spark, sf_dir):
+    """Median basket per firm from the stream's merged sketches; its exact rank lies within the stated bound."""
+    medians = streamed(spark, sf_dir).basket_medians()
+    valid = rfm_ops.valid_transactions(dom(spark, sf_dir).trx)
+    errors = sketches.rank_errors(valid, ["firm_id"], "amount_after_discount", medians, {"median_basket": 0.5})
+    return medians.join(errors.select("firm_id", F.col("median_basket").alias("error")), "firm_id").select(
+        "firm_id", "n", (F.col("error") <= sketches.RANK_BOUND).alias("within_bound"))
 
 
 def _firm_p_codes_sql():

@@ -219,20 +219,6 @@ def test_many_tenants_and_programs_fit_and_no_row_is_lost(spark):
     assert part.where("churn_prob is null").select("firm_id").distinct().count() == 69
 
 
-def test_stream_reads_a_directory_table(spark, sf_small):
-    import os
-
-    from loyalflow.session import scratch_path
-    from loyalflow.streaming import incremental as inc
-
-    folder = scratch_path(spark, "dir-table")
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
-        spark.read.parquet(f"{sf_small}/{name}.parquet").repartition(3).write.parquet(os.path.join(folder, f"{name}.parquet"))
-    a, b = (inc.merge_partials(spark.read.parquet(inc.run_incremental(spark, d, scratch_path(spark, "inc"))))
-            .orderBy("firm_id", "unique_customer_id").collect() for d in (sf_small, folder))
-    assert a == b and a
-
-
 def test_capped_sample_is_per_tenant(spark):
     from loyalflow.operators.churn_features import capped_sample
 
