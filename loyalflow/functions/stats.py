@@ -29,7 +29,7 @@ def equal_width_bin(x, lo, hi, bins: int) -> Column:
     """
     xv, lov, hiv = _c(x).cast("double"), _c(lo).cast("double"), _c(hi).cast("double")
     mid = (bins + 1) // 2
-    raw = F.ceil((xv - lov) * F.lit(float(bins)) / (hiv - lov))
+    raw = F.ceil(F.try_divide((xv - lov) * F.lit(float(bins)), hiv - lov))
     return (
         F.when(xv.isNull(), F.lit(None).cast("int"))
         .when(hiv == lov, F.lit(mid))
@@ -42,7 +42,7 @@ def pct_half_up(n, total, decimals: int = 1) -> Column:
     from zero (SQL ``ROUND`` on exact numbers); NULL when total is 0 or NULL."""
     scale = 10 ** decimals
     nn, tt = _c(n).cast("long"), _c(total).cast("long")
-    mag = F.floor((F.lit(2 * 100 * scale) * F.abs(nn) + tt) / (F.lit(2) * tt)).cast("long")
+    mag = F.floor(F.try_divide(F.lit(2 * 100 * scale) * F.abs(nn) + tt, F.lit(2) * tt)).cast("long")
     return F.when(tt == 0, F.lit(None).cast("double")).otherwise(
         (F.signum(nn) * mag).cast("double") / F.lit(float(scale)))
 
@@ -68,6 +68,6 @@ def money_ratio_2dp(num, den) -> Column:
     arithmetic on cents), as decimal(38,2). ``num`` is money, ``den`` a count."""
     cents = (_c(num).cast("decimal(38,2)") * F.lit(100)).cast("long")
     n = _c(den).cast("long")
-    r = F.signum(cents).cast("long") * F.floor((F.abs(cents) * F.lit(2) + n) / (n * F.lit(2))).cast("long")
+    r = F.signum(cents).cast("long") * F.floor(F.try_divide(F.abs(cents) * F.lit(2) + n, n * F.lit(2))).cast("long")
     r = F.when(cents == 0, F.lit(0).cast("long")).otherwise(r)
     return F.when(n > 0, r.cast("decimal(36,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(38,2)")

@@ -18,8 +18,9 @@ from ..functions.stats import stddev_oracle
 from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage
 from .joins import broadcast_checked
-from .ranking import lag_in_order, median, row_positions
+from .ranking import lag_in_order, row_positions
 from .rfm import valid_transactions
+from .selection import median
 
 KEYS = ["firm_id", "unique_customer_id", "program_id"]
 DIM_ROWS = 100_000

@@ -20,7 +20,8 @@ from ..params import DEFAULT, RunParams
 from ..session import cut_lineage
 from .churn_features import capped_sample, random_key
 from .joins import broadcast_checked
-from .ranking import percentiles, positions, row_positions
+from .ranking import positions, row_positions
+from .selection import percentiles
 
 # Numeric columns that are null-filled, rounded and cast to int before modelling.
 ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "min_spent",
@@ -74,7 +75,7 @@ def outlier_columns(df: DataFrame, keys=OUTLIER_KEYS, cols=ROUND_COLS, ratio: fl
         aggs += [F.first(q1).alias(f"_q1_{c}"), F.first(q3).alias(f"_q3_{c}"),
                  F.count_if(held).alias(f"_n_{c}"), F.count_if(out).alias(f"_o_{c}")]
     parts = [F.struct(F.lit(c).alias("column"), F.col(f"_q1_{c}").alias("q1"), F.col(f"_q3_{c}").alias("q3"),
-                      (F.col(f"_o_{c}") / F.col(f"_n_{c}")).alias("outlier_ratio"),
+                      F.try_divide(F.col(f"_o_{c}"), F.col(f"_n_{c}")).alias("outlier_ratio"),
                       F.col(f"_n_{c}").alias("n_values")) for c in cols]
     # a column without a value in its group has no row
     out = (j.groupBy(*keys).agg(*aggs).select(*keys, F.explode(F.array(*parts)).alias("_s"))
@@ -210,14 +211,15 @@ def risk_class(prob, params: RunParams = DEFAULT):
 
 
 def postprocess(scored: DataFrame, params: RunParams = DEFAULT, model_id: int | None = None) -> DataFrame:
-    """Class at the scoring threshold, risk class, label text and model id."""
+    """Class at the scoring threshold, risk class, label text and model id. A row without a score
+    has neither class nor label, and the risk class ``unknown``."""
     p = F.col("churn_prob")
     out = scored.withColumns({
-        "is_churn_pred": F.when(p >= params.score_threshold, 1).otherwise(0),
+        "is_churn_pred": F.when(p >= params.score_threshold, 1).when(p < params.score_threshold, 0),
         "churn_class": risk_class(p, params),
     })
     out = out.withColumn("is_churn_label", F.when(F.col("is_churn_pred") == 1, LABEL_CHURN)
-                         .otherwise(LABEL_NO_RISK))
+                         .when(F.col("is_churn_pred") == 0, LABEL_NO_RISK))
     return out.withColumn("model_id", F.lit(model_id if model_id is not None else params.run_id).cast("long"))
 
 
@@ -237,7 +239,7 @@ def binary_metrics(df: DataFrame, label: str, prob: str, threshold: float, keys=
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     rec = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
     return g.withColumns({
-        "accuracy": (tp + tn) / (tp + tn + fp + fn),
+        "accuracy": F.try_divide(tp + tn, tp + tn + fp + fn),
         "precision": prec,
         "recall": rec,
         "f1_score": F.when(prec + rec > 0, F.lit(2.0) * prec * rec / (prec + rec)).otherwise(F.lit(0.0)),
@@ -248,7 +250,8 @@ def auc(df: DataFrame, label: str, prob: str, keys=("firm_id",)) -> DataFrame:
     """ROC-AUC per group by the rank-sum formula with average ranks for ties.
 
     Scores are pre-aggregated (map-side) to (group, score) -> (positives, negatives);
-    ranks come from the distributed position operator."""
+    ranks come from the distributed position operator. NULL where a group has rows of one
+    class only."""
     keys = list(keys)
     s = df.groupBy(*keys, F.col(prob).alias("_s")).agg(
         F.count(F.lit(1)).alias("_c"), F.count_if(F.col(label) == 1).alias("_p"))
@@ -258,8 +261,8 @@ def auc(df: DataFrame, label: str, prob: str, keys=("firm_id",)) -> DataFrame:
         F.sum(F.col("_p") * avg_rank).alias("_rs"),
         F.sum("_p").cast("double").alias("_np"),
         F.sum(F.col("_c") - F.col("_p")).cast("double").alias("_nn"))
-    return g.select(*keys, ((F.col("_rs") - F.col("_np") * (F.col("_np") + 1) / 2)
-                            / (F.col("_np") * F.col("_nn"))).alias("auc"))
+    return g.select(*keys, F.try_divide(F.col("_rs") - F.col("_np") * (F.col("_np") + 1) / 2,
+                                        F.col("_np") * F.col("_nn")).alias("auc"))
 
 
 SUMMARY_COLS = ["avg_days_between_transactions", "days_since_last_transaction", "customer_lifetime",

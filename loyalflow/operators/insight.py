@@ -17,7 +17,7 @@ from ..functions.text import month_name_tr, thousands, tr_suffix
 from ..params import DEFAULT, RunParams, ts_lit
 from . import segments as S
 from ..session import cut_lineage
-from .ranking import percentiles
+from .selection import percentiles
 
 MEDIAN_CODES = {"median_recency": "P3", "median_frequency": "P4", "median_monetary_value": "P5",
                 "median_customer_lifespan_value": "P11", "median_avg_purchase_value": "P12",
@@ -123,9 +123,9 @@ def derive_kpis(k: DataFrame) -> DataFrame:
     return k.withColumns({
         "churned_customer_count": F.col("total_churned_customer_count"),
         "total_churn_risk_customer_pct": _pd_round(
-            F.col("total_churn_risk_customer_count") / F.col("last_year_customer_count") * F.lit(100), 1),
+            F.try_divide(F.col("total_churn_risk_customer_count"), F.col("last_year_customer_count")) * F.lit(100), 1),
         "actual_churn_rate": _pd_round(
-            F.col("total_churned_customer_count") / F.col("total_customers") * F.lit(100), 1),
+            F.try_divide(F.col("total_churned_customer_count"), F.col("total_customers")) * F.lit(100), 1),
         "median_monetary_value_int": _pd_round(F.col("median_monetary_value"), 0).cast("long"),
         "median_avg_purchase_value_int": _pd_round(F.col("median_avg_purchase_value"), 0).cast("long"),
         "lost_revenue_int": _pd_round(F.col("lost_revenue_from_churn_risk"), 0).cast("long"),

@@ -163,7 +163,7 @@ def _profile_finish(agg: DataFrame, params: RunParams) -> DataFrame:
     derived = {
         "alisveris_adedi": F.col("alisveris_adedi").cast("long"),
         "ilk_odemeden_gecen_gun": day_diff(params.as_of_date_col, "_first_sale_day"),
-        "ind_alv_orani": F.col("indirimli_alv_sayisi").cast("double") / F.col("alisveris_adedi").cast("double"),
+        "ind_alv_orani": F.try_divide(F.col("indirimli_alv_sayisi").cast("double"), F.col("alisveris_adedi").cast("double")),
         "ort_indirim_orani": F.try_divide(F.col("_s_rate"), F.col("_n_rate").cast("double")),
     }
     for name in [n for n, _, m in _profile_level2() if n.endswith("_alv") or n.endswith("_islem")

@@ -1,4 +1,4 @@
-"""Skew-safe ordered operators: positions within groups, exact percentiles, lag.
+"""Skew-safe ordered operators: positions within groups and lag.
 
 The obvious Spark forms - a window partitioned by the group key, or the
 ``percentile`` aggregate - move a whole group into one task. When one key
@@ -20,7 +20,6 @@ sample different bounds) and the work survives executor loss.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -122,43 +121,6 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
     return positions(df, keys, order, None, num_partitions).withColumnRenamed("_start", "_rank").drop("_w")
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-                num_partitions: int | None = None) -> DataFrame:
-    """Exact linear-interpolation percentiles (``PERCENTILE_CONT`` / ``Series.quantile``)
-    of ``value`` per group, one output column per entry of ``probs``; NULLs ignored.
-
-    Duplicate values are combined first (map-side), then positions are found by
-    the chunked running sum, so no group is ever collected into one task.
-    """
-    keys = list(keys)
-    v = F.col(value).cast("double")
-    vc = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-          .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    pos = positions(vc, keys, ["_v"], "_c", num_partitions)
-    end = F.col("_start") + F.col("_w") - 1
-    hits = []
-    aggs = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
-        lo, hi = F.floor(at), F.ceil(at)
-        in_lo = (F.col("_start") <= lo) & (lo <= end)
-        in_hi = (F.col("_start") <= hi) & (hi <= end)
-        hits += [in_lo, in_hi]
-        aggs += [F.max(F.when(in_lo, F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(in_hi, F.col("_v"))).alias(f"_{name}_hi"),
-                 F.max(at - lo).alias(f"_{name}_fr")]
-    sel = pos.where(reduce(lambda a, b: a | b, hits))
-    g = sel.groupBy(*keys).agg(*aggs)
-    outs = [(F.col(f"_{n}_lo") + F.col(f"_{n}_fr") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))).alias(n)
-            for n in probs]
-    return g.select(*keys, *outs)
-
-
-def median(df: DataFrame, keys: Sequence[str], value: str, name: str | None = None,
-           num_partitions: int | None = None) -> DataFrame:
-    return percentiles(df, keys, value, {name or f"median_{value}": 0.5}, num_partitions)
-
-
 def lag_in_order(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str,
                  num_partitions: int | None = None) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY keys ORDER BY order)`` without sending a group to one task.

@@ -19,7 +19,8 @@ from ..functions.stats import equal_width_bin
 from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage
 from .joins import broadcast_checked
-from .ranking import percentiles, row_positions
+from .ranking import row_positions
+from .selection import percentiles
 
 # --- fixed values: segment labels (canonical codes used by the firm KPIs) ---
 RECENCY_PASSIVE = "Passive Customer"
@@ -137,7 +138,7 @@ def _apply_rfm(x: DataFrame, params: RunParams) -> DataFrame:
 
     def scaled(v, lo, hi):
         rng = F.col(hi) - F.col(lo)
-        return F.when(rng == 0, F.lit(0.0)).otherwise((v - F.col(lo)) / rng)
+        return F.when(rng == 0, F.lit(0.0)).otherwise(F.try_divide(v - F.col(lo), rng))
 
     mon_bin = equal_width_bin(mon, F.col("mon_min"), F.col("mon_max"), 5)
     frq_bin = equal_width_bin(frq, F.col("frq2_min"), F.col("frq2_max"), 3)
@@ -176,7 +177,7 @@ def rfm_segments(all_data: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
 def clv_values(d: DataFrame) -> DataFrame:
     """Lifespan (days, at least 1), average order value, frequency and CLV (half-even)."""
     life = F.greatest(F.datediff("son_alv_dt", "ilk_odeme_dt"), F.lit(1))
-    aov = F.col("musteri_toplam_ciro").cast("double") / F.col("alisveris_adedi").cast("double")
+    aov = F.try_divide(F.col("musteri_toplam_ciro").cast("double"), F.col("alisveris_adedi").cast("double"))
     freq = F.col("alisveris_adedi").cast("double")
     d = d.withColumns({"customer_lifespan": life, "avg_purchase_value": aov,
                        "avg_purchase_frequency_rate": freq})
@@ -226,7 +227,7 @@ def ntile_from_rank(rank, n, k: int):
     rem = n - q * F.lit(k)
     big = rem * (q + 1)
     return F.when(rank < big, F.floor(rank / (q + 1)) + 1).otherwise(
-        rem + F.floor((rank - big) / q) + 1).cast("int")
+        rem + F.floor(F.try_divide(rank - big, q)) + 1).cast("int")
 
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loyalflow.functions import stats as S
-from loyalflow.operators.ranking import percentiles
+from loyalflow.operators.selection import percentiles
 
 SETTINGS = settings(max_examples=8, deadline=None)
 

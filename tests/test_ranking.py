@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loyalflow.operators.ranking import lag_in_order, percentiles, row_positions
+from loyalflow.operators.ranking import lag_in_order, row_positions
+from loyalflow.operators.selection import percentiles
 
 
 @pytest.fixture(scope="module")
