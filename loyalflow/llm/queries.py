@@ -147,23 +147,29 @@ FROM j LEFT JOIN v USING (source)
 
 OP6_SQL = r"""
 WITH t AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text, floor(turn / 512)::BIGINT AS part FROM conversations
-  WHERE conv_id IS NOT NULL AND turn IS NOT NULL
-), who AS (SELECT DISTINCT conv_id, part, role AS perspective FROM t WHERE role <> 'system'),
+  SELECT conv_id, turn, role, coalesce(text, '') AS raw, regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g') AS text,
+         regexp_replace(replace(replace(replace(coalesce(role, 'unknown'), '\', '\\'), chr(10), '\n'), chr(13), '\r'),
+                        '<(\\*)\|', '<\\\1|', 'g') AS name,
+         CASE WHEN conv_id IS NULL OR turn IS NULL THEN row_number() OVER () END AS alone FROM conversations
+), m AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn, role NULLS FIRST, md5(raw)) - 1 AS place FROM t
+), who AS (SELECT DISTINCT conv_id, alone, role AS perspective FROM m WHERE role <> 'system'),
 shown AS (
-  SELECT conv_id, part, perspective, turn, role, text, coalesce(role = perspective, false) AS mine,
+  SELECT m.conv_id, m.alone, place, perspective, text, coalesce(role = perspective, false) AS mine,
          CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
               WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
-              ELSE '<|im_start|>user name=' || coalesce(role, 'unknown') || chr(10) END AS head
-  FROM who JOIN t USING (conv_id, part)
+              ELSE '<|im_start|>user name=' || name || chr(10) END AS head
+  FROM who JOIN m ON m.conv_id IS NOT DISTINCT FROM who.conv_id AND m.alone IS NOT DISTINCT FROM who.alone
 ), placed AS (
-  SELECT *, row_number() OVER w AS k, coalesce(sum(length(head) + length(text) + 11) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
-  FROM shown WINDOW w AS (PARTITION BY conv_id, part, perspective ORDER BY turn, role NULLS FIRST, text)
+  SELECT *, CASE WHEN alone IS NULL THEN place // 512 END AS part,
+         coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, alone, perspective ORDER BY place
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM shown
 )
-SELECT conv_id, part, perspective, count(*) AS n_messages, count(*) FILTER (mine) AS n_assistant,
-       string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY k) AS text,
-       coalesce(string_agg((pos + length(head))::BIGINT || ':' || (pos + length(head) + length(text))::BIGINT, ',' ORDER BY k) FILTER (mine), '') AS mask
-FROM placed GROUP BY conv_id, part, perspective
+SELECT conv_id, part, perspective, count(*) AS n_messages, count(*) FILTER (mine) AS n_assistant, min(pos)::BIGINT AS start,
+       string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg((pos + length(head))::BIGINT || ':' || (pos + length(head) + length(text))::BIGINT, ',' ORDER BY place) FILTER (mine), '') AS mask
+FROM placed GROUP BY conv_id, alone, part, perspective
 """
 
 _DIGITS = " || ".join(
