@@ -11,7 +11,7 @@ are read off. Scores, containment and ranks are joins and aggregates.
 
 from __future__ import annotations
 
-import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalflow.llm.common import materialize
+from loyalflow.operators.joins import broadcast_checked
 
 LONGEST = 4
 BITS = 21  # of a word's number within a task; three of them are a container's key
@@ -42,7 +43,7 @@ def word_counts(docs: DataFrame, id_salt: str = "", text_col: str = "text", lang
     """(lang, word, n, id): occurrences of every word; ``id`` is its 64-bit hash within its language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[bytes, int]] = {}
+        held: dict[str, Counter] = {}
 
         def counted() -> Iterator[pa.RecordBatch]:
             for lang, words in held.items():
@@ -55,9 +56,7 @@ def word_counts(docs: DataFrame, id_salt: str = "", text_col: str = "text", lang
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = held.setdefault(lang, {})
-                for word in tokens(text.as_py()):
-                    words[word] = words.get(word, 0) + 1
+                held.setdefault(lang, Counter()).update(tokens(text.as_py()))
                 if sum(map(len, held.values())) > flush:
                     yield from counted()
         yield from counted()
@@ -167,11 +166,27 @@ class _Words(dict):
 
 
 def _pack_run(words: np.ndarray, counts: np.ndarray) -> bytes:
-    """A sorted run: its word ids once, then columns of places in them and the counts."""
-    ids, place = np.unique(words, return_inverse=True)
-    place = place.reshape(words.shape).astype("<u4" if len(ids) > 65535 else "<u2")
+    """A sorted run as columns of word ids and the counts, byte by byte (which packs better).
+
+    Small ids stand there themselves; of 64-bit ones the run's own come first and the columns hold places in them.
+    """
+    if words.max() < 1 << 32:
+        ids, place = np.empty(0, np.uint64), words.T.astype("<u4")
+    else:
+        ids, place = np.unique(words, return_inverse=True)
+        place = place.reshape(words.shape).T.astype("<u4" if len(ids) > 65535 else "<u2")
     head = np.asarray([len(ids), len(counts), place.itemsize], "<i8")
-    return zstandard.compress(head.tobytes() + ids.tobytes() + np.ascontiguousarray(place.T).tobytes() + counts.astype("<i8").tobytes())
+    parts = [head, ids, *[_bytewise(column) for column in place], _bytewise(counts.astype("<i8"))]
+    return zstandard.compress(b"".join(p.tobytes() for p in parts))
+
+
+def _bytewise(column: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all values, then the next ones, and so on."""
+    return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), column.itemsize).T
+
+
+def _whole(data: bytes, n: int, at: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T.copy().view(f"<u{width}")[:, 0]
 
 
 def _unpack_run(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +194,9 @@ def _unpack_run(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n_ids, n, width = np.frombuffer(raw, "<i8", 3).tolist()
     ids = np.frombuffer(raw, np.uint64, n_ids, 24)
     at = 24 + 8 * n_ids
-    place = np.frombuffer(raw, f"<u{width}", LONGEST * n, at).reshape(LONGEST, n)
-    return ids[place.T], np.frombuffer(raw, "<i8", n, at + LONGEST * n * width)
+    places = [_whole(raw, n, at + k * n * width, width) for k in range(LONGEST)]
+    words = np.stack([ids[p] if n_ids else p.astype(np.uint64) for p in places], axis=1)
+    return words, _whole(raw, n, at + LONGEST * n * width, 8).astype(np.int64)
 
 
 def _mixed(words: np.ndarray) -> np.ndarray:
@@ -205,19 +221,21 @@ _RUN = "slot long, entries long, run binary"
 
 
 def runs(docs: DataFrame, slots: int, known, id_salt: str = "", text_col: str = "text", lang_col: str = "lang",
-         most_entries: int = 1_000_000, burst: int = 4096) -> DataFrame:
+         most_entries: int = 700_000, burst: int = 4096) -> DataFrame:
     """(slot, entries, run): counted windows as sorted runs; the slot follows from the first two words.
 
-    ``known`` is a broadcast list of (lang, word, id) tables, or None: then all words are counted.
+    ``known`` is a broadcast list of (lang, words) in the order of their numbers, from 1, which
+    are their ids then; or None: then all words are counted, by their 64-bit ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = [0]
         listed: dict[str, dict[bytes, int]] = {}
         if known is not None:
-            for lang, words, numbers in known.value:
-                listed[lang] = dict(zip(words.split(b"\n"), range(len(ids), len(ids) + len(numbers) // 8), strict=True))
-                ids.extend(np.frombuffer(numbers, np.uint64).tolist())
+            for lang, words in known.value:
+                words = words.split(b"\n")
+                listed[lang] = dict(zip(words, range(len(ids), len(ids) + len(words)), strict=True))
+                ids.extend(range(len(ids), len(ids) + len(words)))
         by_lang: dict[str, _Words] = {}
         trie = Trie(burst)
         held: list[int] = []
@@ -245,7 +263,7 @@ def runs(docs: DataFrame, slots: int, known, id_salt: str = "", text_col: str =
                 if lang not in by_lang:
                     by_lang[lang] = _Words(lang, id_salt, ids, None if known is None else listed.get(lang, {}))
                 held.extend(map(by_lang[lang].__getitem__, tokens(text.as_py())))
-                if len(held) > 500_000:
+                if len(held) > 250_000:
                     count()
                     if len(trie) > most_entries:
                         yield from spilled(most_entries // 2)
@@ -318,13 +336,14 @@ def split_hot(made: DataFrame, slots: int) -> DataFrame:
 
 def phrase_counts(docs: DataFrame, words: DataFrame, least: int, id_salt: str = "", text_col: str = "text",
                   lang_col: str = "lang", slot_words: int = 1_000_000, slot_most: int = 6_000_000,
-                  known_rows: int = 1_000_000, known_bytes: int = 32 << 20, most_entries: int = 1_000_000,
-                  burst: int = 4096) -> DataFrame:
-    """(words, n): phrases of two to four words with at least ``least`` occurrences.
+                  known_rows: int = 1_000_000, known_bytes: int = 32 << 20, most_entries: int = 700_000,
+                  burst: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(words, n): phrases of two to four words with at least ``least`` occurrences; and (id, lang, word, n) of the words in them.
 
     The list of words that can stand in one is given to the tasks if it has at
-    most ``known_rows`` rows and ``known_bytes``; beyond that all words are counted.
-    Slots beyond ``slot_most`` entries (a hot prefix) are dealt anew by whole phrases.
+    most ``known_rows`` rows and ``known_bytes``; its places are the ids then. Beyond
+    that all words are counted, by hash. Slots beyond ``slot_most`` entries (a hot
+    prefix) are dealt anew by whole phrases.
     """
     spark = docs.sparkSession
     can = words.where(F.col("n") >= least)
@@ -332,24 +351,23 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int, id_salt: str =
     rows, size = can.agg(F.count(F.lit(1)), F.sum(F.octet_length("word"))).first()
     known = None
     if rows <= known_rows and (size or 0) <= known_bytes:
-        table = can.select("lang", "word", "id").toArrow()
-        parts: dict[str, tuple[list, list]] = {}
-        for lang, word, i in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "id")), strict=True):
-            w, numbers = parts.setdefault(lang, ([], []))
-            w.append(word.encode())
-            numbers.append(i)
-        known = spark.sparkContext.broadcast(
-            [(lang, b"\n".join(w), np.asarray(n, np.int64).tobytes()) for lang, (w, n) in parts.items()])
+        table = can.select("lang", "word", "n").toArrow().sort_by("lang")
+        by_lang: dict[str, list[bytes]] = {}
+        for lang, word in zip(table.column("lang").to_pylist(), table.column("word").to_pylist(), strict=True):
+            by_lang.setdefault(lang, []).append(word.encode())
+        known = spark.sparkContext.broadcast([(lang, b"\n".join(w)) for lang, w in by_lang.items()])
+        numbers = pa.array(np.arange(1, len(table) + 1), pa.int64())
+        can = materialize(spark.createDataFrame(table.append_column("id", numbers)), "known") if rows else can
     made = materialize(runs(docs, 1 + total // slot_words, known, id_salt, text_col, lang_col, most_entries, burst), "runs")
     sizes = made.groupBy("slot").agg(F.sum("entries").alias("held"))
-    much = sizes.where(F.col("held") > slot_most)
+    much = broadcast_checked(materialize(sizes.where(F.col("held") > slot_most), "hot-slots"), 1_000_000)
     out = merged(made.join(much, "slot", "left_anti"), least)
     extra = much.agg(F.sum("held")).first()[0] or 0
     if extra:
         again = materialize(split_hot(made.join(much, "slot", "left_semi").select("slot", "entries", "run"),
                                       1 + 3 * extra // slot_words), "hot-runs")
         out = out.unionByName(merged(again, least, prefixes=False))
-    return out
+    return out, can.select("id", "lang", "word", "n")
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, absorb: int = 80, scale: int = 2_000_000,
@@ -369,8 +387,9 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, absorb: int
         if words.groupBy("id").count().where("count > 1 OR id = 0").limit(1).count() == 0:
             break
         salt += "+"  # two words share a hash: draw the hashes anew
-    found = materialize(phrase_counts(docs, words, least, salt, text_col, lang_col, **sizes), "phrases")
-    every = found.unionByName(words.where(F.col("n") >= least).select(F.array("id").alias("words"), "n"))
+    found, single = phrase_counts(docs, words, least, salt, text_col, lang_col, **sizes)
+    found = materialize(found, "phrases")
+    every = found.unionByName(single.select(F.array("id").alias("words"), "n"))
     cuts = found.select("words", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
     first, rest = F.slice("words", F.lit(1), F.col("k")), F.expr("slice(words, k + 1, size(words) - k)")
     cuts = (cuts.withColumn("_first", first).withColumn("_rest", rest)
@@ -386,7 +405,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, absorb: int
     eaten = F.col("around").cast("decimal(20,0)") * 100 >= F.col("a").cast("decimal(20,0)") * absorb
     left = best.join(longer, "words", "left").where(~F.coalesce(eaten, F.lit(False))).withColumn("key", F.monotonically_increasing_id())
     left = materialize(left.select("key", "words", "a", "cut.l", "cut.r", "cut.score"), "candidates")
-    spelled = (left.select("key", F.posexplode("words").alias("at", "id")).join(words.select("id", "lang", "word"), "id")
+    spelled = (left.select("key", F.posexplode("words").alias("at", "id")).join(single.select("id", "lang", "word"), "id")
                .groupBy("key").agg(F.first("lang").alias("lang"),
                                    F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ")
                                    .alias("phrase")))
