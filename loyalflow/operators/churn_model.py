@@ -8,11 +8,13 @@ job over a long frame (unpivot), never with a driver loop over groups.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import pct_half_up, round_int_even
@@ -175,24 +177,64 @@ def build_pipeline(params: RunParams = DEFAULT, max_iter: int = 100, max_bins: i
                           handleInvalid="keep")
     gbt = GBTClassifier(labelCol="is_churn", featuresCol="features", weightCol="w", maxIter=max_iter,
                         stepSize=0.05, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.9",
-                        validationIndicatorCol="is_val", validationTol=1e-5, seed=params.seed, maxBins=max_bins)
+                        seed=params.seed, maxBins=max_bins)
     return Pipeline(stages=[*idx, asm, gbt])
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds up to the smallest validation loss before ``patience`` rounds in a row were no better."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The boosted model as it was after ``rounds`` rounds."""
+    java, sc = model._java_obj, SparkSession.active().sparkContext
+    trees, weights = java.trees(), java.treeWeights()
+    some = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    shares = sc._gateway.new_array(sc._gateway.jvm.double, rounds)
+    for i in range(rounds):
+        some[i], shares[i] = trees[i], weights[i]
+    cut = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), some, shares, java.numFeatures(), java.numClasses())
+    settings = java.extractParamMap().toSeq()
+    for i in range(settings.size()):
+        cut.set(settings.apply(i))
+    return GBTClassificationModel(cut)
+
+
 def _with_cat_strings(df: DataFrame) -> DataFrame:
     return df.withColumns({f"{c}_s": F.col(c).cast("string") for c in CATEGORICAL})
 
 
-def fit_churn(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100) -> PipelineModel:
+def fit_churn(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100, patience: int = 50) -> PipelineModel:
     """Fit on a checkpointed training frame (iterative jobs re-read it, never the lineage).
 
-    At most ``params.churn_max_rows`` rows per tenant enter the fit, a uniform sample;
-    the bins follow the number of categories."""
+    At most ``params.churn_max_rows`` rows per tenant enter the fit, a uniform sample; the
+    bins follow the number of categories. The loss of the validation rows is taken after
+    every round; the model keeps the rounds up to the smallest one. Boosting goes on until
+    ``patience`` rounds brought nothing better, so that a noisy round does not end it, or
+    for ``max_iter`` rounds: it begins with twice the patience and doubles (the first
+    rounds of a longer fit are those of the shorter one)."""
     sample = capped_sample(prepared.drop("rnd"), params.churn_max_rows, params.seed)
     data = cut_lineage(_with_cat_strings(sample).select(
         *MODEL_FEATURES, *CATEGORICAL, *[f"{c}_s" for c in CATEGORICAL], "is_churn", "is_val", "w"))
     most = max(data.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL]).first())
-    return build_pipeline(params, max_iter, max(64, most + 2)).fit(data)
+    used, held = data.where(~F.col("is_val")), data.where("is_val")
+    rounds = min(max_iter, 2 * patience)
+    while True:
+        model = build_pipeline(params, rounds, max(64, most + 2)).fit(used)
+        *before, gbt = model.stages
+        losses = gbt.evaluateEachIteration(PipelineModel(before).transform(held)) if not held.isEmpty() else []
+        best = best_round(losses, patience) if losses else rounds
+        if rounds == max_iter or best + patience <= rounds:
+            return PipelineModel([*before, first_rounds(gbt, best)]) if best < rounds else model
+        rounds = min(max_iter, 2 * rounds)
 
 
 def churn_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -308,27 +350,3 @@ def feature_importances(model: PipelineModel, spark, model_id: int, firm_id=None
     rows = [(model_id, n, float(v)) for n, v in zip(names, imp)]
     out = spark.createDataFrame(rows, "model_id long, feature string, importance double")
     return out if firm_id is None else out.withColumn("firm_id", F.lit(firm_id).cast("long"))
-
-
-def fit_churn_per_firm(prepared: DataFrame, params: RunParams = DEFAULT, max_iter: int = 100,
-                       max_tenants: int = 10_000) -> dict:
-    """One model per tenant, as the reference trains per schema. Each fit is a distributed
-    job over that tenant's rows; only the tenant list (one row per tenant, bounded by
-    ``max_tenants``) is read on the driver."""
-    firms = prepared.select("firm_id").distinct()
-    if firms.limit(max_tenants + 1).count() > max_tenants:
-        raise ValueError(f"more than {max_tenants} tenants; use the pooled model")
-    data = cut_lineage(prepared)
-    return {r.firm_id: fit_churn(data.where(F.col("firm_id") == r.firm_id), params, max_iter)
-            for r in firms.collect()}
-
-
-def score_per_firm(models: dict, df: DataFrame) -> DataFrame:
-    """Score each tenant's rows with its own model; rows of tenants without a model stay,
-    with a NULL probability (risk class unknown)."""
-    from functools import reduce
-
-    parts = [churn_probability(m, df.where(F.col("firm_id") == f)) for f, m in models.items()]
-    known = F.coalesce(F.col("firm_id").isin(list(models)), F.lit(False))
-    parts.append(df.where(~known).withColumn("churn_prob", F.lit(None).cast("double")))
-    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -1,11 +1,13 @@
 """Sinks and catalog-level operations: Parquet round trip, per-tenant rebuild
-(dynamic partition overwrite), schema-aligned append, audit columns, run log,
-upsert. Every write goes under the shared folder (``spark.checkpoint.dir``)
+(dynamic partition overwrite), a run's own partition, schema-aligned append, catalog
+tables that are published whole, audit columns, run log, upsert. Every write goes under the shared folder (``spark.checkpoint.dir``)
 or a caller-given table path - never machine-local disk.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +47,47 @@ def rebuild_all(df: DataFrame, path: str, partition_by: Sequence[str] = ("firm_i
      .partitionBy(*partition_by).parquet(path))
 
 
+def _at(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _at(spark, path)
+    return fs.exists(p)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark that what stands beside it is whole."""
+    fs, p = _at(spark, path)
+    fs.create(p, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+def listed(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """The numbers behind ``prefix`` in the names under ``folder`` (``batch_id=7``), ascending."""
+    fs, p = _at(spark, folder)
+    if not fs.exists(p):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(p)]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def replace_run(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str] = ("firm_id",)) -> None:
+    """The rows of one run as the partition ``run_id`` of the table at ``path``: writing a run again
+    replaces it, whatever became of the first attempt, and leaves other runs as they are. From
+    the second run on rows are aligned to the table's columns (see :func:`aligned`)."""
+    spark = df.sparkSession
+    if [r for r in listed(spark, path, "run_id=") if r != run_id]:
+        df = aligned(df, spark.read.option("mergeSchema", "true").parquet(path).drop("run_id").schema)
+    (gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*partition_by).parquet(os.path.join(path, f"run_id={run_id}")))
+
+
 def truncate(spark: SparkSession, path: str, schema) -> None:
     """TRUNCATE: overwrite with an empty frame of the same schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
@@ -57,21 +100,78 @@ def align_to(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c.lower() in wanted])
 
 
+def aligned(df: DataFrame, schema) -> DataFrame:
+    """The frame with exactly the columns of ``schema``, in its order and types: extra ones dropped,
+    missing ones NULL."""
+    kept = align_to(df, schema.names)
+    have = {c.lower(): c for c in kept.columns}
+    return kept.select(*[(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in schema.fields])
+
+
 def append_aligned(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Schema-aligned append to an existing Parquet table: extra frame columns dropped,
     missing ones filled with NULL of the target type."""
-    spark = df.sparkSession
-    target = spark.read.parquet(path)
-    aligned = align_to(df, target.columns)
-    have = {c.lower() for c in aligned.columns}
-    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name.lower() not in have]
-    out = aligned.select(*aligned.columns, *fill).select(*target.columns)
-    w = out.write.mode("append")
+    w = aligned(df, df.sparkSession.read.parquet(path).schema).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def publish(df: DataFrame, table: str, folder: str, partition_by: Sequence[str] = ("firm_id",)) -> str:
+    """Make ``df`` the content of the catalog table ``table``; returns the location.
+
+    The rows are written aside, in a version folder of their own under ``folder``, and the
+    table's location is switched when they are whole, so that a reader sees the old rows or the
+    new ones, never a part, and a failed write leaves the table as it was. The version before
+    the last stays for readers that have listed it; older ones are removed.
+    """
+    spark = df.sparkSession
+    before = listed(spark, folder, "version=")
+    version = os.path.join(folder, f"version={(before[-1] if before else 0) + 1}")
+    w = (gathered(df, partition_by) if partition_by else df).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(version)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+    else:
+        spark.catalog.createTable(table, path=version, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    for old in before[:-1]:
+        remove(spark, os.path.join(folder, f"version={old}"))
+    return version
+
+
+def append_to_table(df: DataFrame, table: str) -> None:
+    """Schema-aligned append to a catalog table (``insertInto`` goes by position, so columns are put in the table's order)."""
+    aligned(df, df.sparkSession.table(table).schema).write.insertInto(table)
+
+
+def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], partition_by: str = "firm_id") -> None:
+    """Upsert ``new`` into the table at ``path``, partitioned by ``partition_by`` (one of ``keys``).
+
+    Only the partitions that ``new`` has rows of are read and rewritten; the files of the others
+    are not touched. Their names, a row each, are broadcast behind a size check, so that the scan
+    of the old rows is pruned by them. The merged rows are written aside first, as a partition
+    cannot be read and replaced in one job.
+    """
+    from ..session import scratch_path
+    from .joins import broadcast_checked
+
+    if partition_by not in keys:
+        raise ValueError(f"{partition_by} must be part of the key")
+    spark = new.sparkSession
+    kind = new.schema[partition_by].dataType
+    old = spark.read.parquet(path).withColumn(partition_by, F.col(partition_by).cast(kind))
+    touched = broadcast_checked(new.select(partition_by).distinct(), 100_000)
+    merged = upsert(old.join(touched, partition_by, "left_semi"), aligned(new, old.schema), keys).select(*old.columns)
+    aside = scratch_path(spark, f"upsert-{uuid.uuid4().hex[:8]}")
+    merged.write.parquet(aside)
+    rebuild_tenants(spark.read.schema(merged.schema).parquet(aside), path, (partition_by,))
+    remove(spark, aside)
+
+
 def with_audit(df: DataFrame, created_by: str, audit_ts_col, run_id: int | None = None) -> DataFrame:
     cols = {"created_by": F.lit(created_by), "updated_by": F.lit(created_by),
             "create_date": audit_ts_col, "update_date": audit_ts_col}

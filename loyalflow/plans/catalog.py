@@ -7,6 +7,7 @@ whole tables; nothing is sampled, capped or filtered to keep the check cheap.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as prof
 from ..operators import rfm as rfm_ops
+from ..operators import scalers, sketches
 from ..params import DEFAULT, ts_lit
 from ..session import apply_conf, cut_lineage
 from ..sources.staging import staged_domain
@@ -245,6 +247,49 @@ def minmax_scaled(spark, sf_dir):
                                           "monetary_sqrt", "frequency_sqrt")
 
 
+SCALED = ["recency", "frequency", "monetary"]
+
+
+def _scaled_sql(shift: str, width: str):
+    shown = ", ".join(f"CASE WHEN w_{c} = 0 THEN 0 ELSE (cast(r.{c} AS DOUBLE) - s_{c}) / w_{c} END AS {c}_scaled" for c in SCALED)
+    stats = ", ".join(f"{shift.format(c=c)} AS s_{c}, {width.format(c=c)} AS w_{c}" for c in SCALED)
+    return O.with_domain(O.rfm_cte(), body=f"""
+SELECT r.firm_id, r.unique_customer_id, r.kart_tip_detay, {shown}
+FROM rfm r JOIN (SELECT firm_id, {stats} FROM rfm WHERE frequency > 1 GROUP BY firm_id) s ON r.firm_id = s.firm_id""")
+
+
+def _scaled(spark, sf_dir, kind):
+    """Scaler fitted on customers who came back, applied to all."""
+    r = rfm_frame(spark, sf_dir)
+    fitted = cut_lineage(scalers.fit_scaler(r.where("frequency > 1"), SCALED, kind))
+    return scalers.scale(r, fitted, SCALED).select("firm_id", "unique_customer_id", "kart_tip_detay", *[f"{c}_scaled" for c in SCALED])
+
+
+@register("standard_scaled", _scaled_sql("avg(cast({c} AS DOUBLE))", "stddev_pop(cast({c} AS DOUBLE))"),
+          rnd={f"{c}_scaled": 6 for c in SCALED})
+def standard_scaled(spark, sf_dir):
+    return _scaled(spark, sf_dir, "standard")
+
+
+@register("robust_scaled", _scaled_sql("quantile_cont(cast({c} AS DOUBLE), 0.5)",
+                                       "quantile_cont(cast({c} AS DOUBLE), 0.75) - quantile_cont(cast({c} AS DOUBLE), 0.25)"),
+          rnd={f"{c}_scaled": 6 for c in SCALED})
+def robust_scaled(spark, sf_dir):
+    return _scaled(spark, sf_dir, "robust")
+
+
+@register("clv_quantile_sketch", O.with_domain(*SEG, body="""
+SELECT firm_id, count(*) AS n, true AS q30_within, true AS q50_within, true AS q80_within FROM seg GROUP BY firm_id"""))
+def clv_quantile_sketch(spark, sf_dir):
+    """q30/q50/q80 of CLV per firm from sketches of each program's customers, merged; their exact ranks lie within the bound."""
+    rows = cut_lineage(seg_rows(spark, sf_dir).select("firm_id", "kart_tip_detay", "clv"))
+    probs = {"q30": 0.3, "q50": 0.5, "q80": 0.8}
+    parts = sketches.quantile_sketch(rows, ["firm_id", "kart_tip_detay"], "clv")
+    merged = sketches.sketch_quantiles(sketches.merge_sketches(parts, ["firm_id"]), probs)
+    errors = sketches.rank_errors(rows, ["firm_id"], "clv", merged, probs)
+    return errors.select("firm_id", "n", *[(F.col(q) <= sketches.RANK_BOUND).alias(f"{q}_within") for q in probs])
+
+
 @register("monetary_segment", O.with_domain(*SEG, body="""
 SELECT firm_id, monetary_segment, count(*) AS n_rows FROM seg GROUP BY firm_id, monetary_segment"""))
 def monetary_segment(spark, sf_dir):
@@ -688,7 +733,6 @@ def segment_text(spark, sf_dir):
 from ..operators import sinks  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import registry as reg  # noqa: E402
-from ..operators import sketches  # noqa: E402
 from ..streaming import incremental as inc  # noqa: E402
 
 
@@ -759,6 +803,43 @@ def schema_aligned_append(spark, sf_dir):
                                        F.sum("monetary").alias("monetary"))
 
 
+@register("catalog_append", O.with_domain(O.rfm_cte(), body="""
+SELECT firm_id, count(*) AS n_rows, count(frequency) AS n_frequency, sum(monetary) AS monetary
+FROM (SELECT firm_id, monetary, frequency FROM rfm
+      UNION ALL SELECT firm_id, monetary, NULL FROM rfm WHERE recency_iade IS NOT NULL) u
+GROUP BY firm_id"""), money=["monetary"])
+def catalog_append(spark, sf_dir):
+    """A catalog table published twice (the second version replaces the first whole), then appended to by name:
+    columns in another order, one too many, one missing."""
+    table, folder = f"rfm_published_{uuid.uuid4().hex[:8]}", scratch_path(spark, "published")
+    r = rfm_frame(spark, sf_dir).select("unique_customer_id", "kart_tip_detay", "monetary", "frequency", "recency_iade", "firm_id")
+    sinks.publish(r.drop("recency_iade").where("firm_id = 1"), table, folder)
+    sinks.publish(r.drop("recency_iade"), table, folder)
+    sinks.append_to_table(r.where(F.col("recency_iade").isNotNull()).select(
+        "firm_id", "monetary", "recency_iade", "kart_tip_detay", "unique_customer_id"), table)
+    out = cut_lineage(spark.table(table).groupBy(F.col("firm_id").cast("long").alias("firm_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("frequency").alias("n_frequency"), F.sum("monetary").alias("monetary")))
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+@register("tenant_task_table", O.with_domain(body=f"""
+SELECT m.firm_id, m.metric_id, m.display_name, m.working_day_period
+FROM (SELECT DISTINCT firm_id, unnest([{reg.RFM_CLV}, {reg.CHURN}]) AS metric_id, 'M' || firm_id AS display_name,
+             cast(30 * firm_id - 30 AS INTEGER) AS working_day_period FROM cust) m
+WHERE working_day_period > 0 AND firm_id IN (
+  SELECT c.firm_id FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+  WHERE t.transaction_date >= {O.ts(P.months_back(12))})"""))
+def tenant_task_table(spark, sf_dir):
+    """Tasks from a table of modules per tenant: active tenants, modules with a positive period."""
+    d = dom(spark, sf_dir)
+    f = F.col("firm_id")
+    metrics = d.cust.select("firm_id").distinct().select(
+        f, F.explode(F.array(F.lit(reg.RFM_CLV), F.lit(reg.CHURN))).alias("metric_id"),
+        F.concat(F.lit("M"), f.cast("string")).alias("display_name"), (f * 30 - 30).cast("int").alias("working_day_period"))
+    return reg.tasks_of(metrics, d.trx, d.cust, P)
+
+
 @register("parameterized_query", O.with_domain(body=f"""
 SELECT trx_state_id, count(*) AS n_rows FROM valid
 WHERE transaction_date >= {O.ts(P.churn_cutoff)} AND amount_after_discount > {P.min_spend}
@@ -817,15 +898,19 @@ FULL OUTER JOIN (SELECT firm_id, unique_customer_id, max(kart_tip_detay) AS kart
       FROM rfm WHERE firm_id % 3 <> 1 GROUP BY firm_id, unique_customer_id) n
 ON o.firm_id = n.firm_id AND o.unique_customer_id = n.unique_customer_id"""), money=["monetary"])
 def customer_upsert(spark, sf_dir):
-    """Upsert on the firm's unique customer: an earlier load (two firms of three, first program) merged
-    with a newer one (two of three, last program), every firm in one or both; overlapping customers take the newer row."""
+    """Upsert on the firm's unique customer: an earlier load (two firms of three, first program), as a table, and a
+    newer one (two of three, last program), every firm in one or both; overlapping customers take the newer row.
+    Only the newer load's firms are read and rewritten."""
     r = rfm_frame(spark, sf_dir)
     keys = ["firm_id", "unique_customer_id"]
     old = reshape.collapse_first(r.where(F.col("firm_id") % 3 != 0), keys, "kart_tip_detay", UPSERT_COLS[1:])
     last = F.max_by(F.struct(*[F.col(c) for c in UPSERT_COLS]), F.col("kart_tip_detay")).alias("_r")
     new = r.where(F.col("firm_id") % 3 != 1).groupBy(*keys).agg(last) \
         .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in UPSERT_COLS])
-    return sinks.upsert(old, new, keys)
+    path = scratch_path(spark, "customers")
+    sinks.write_parquet(old, path)
+    sinks.upsert_partitions(new, path, keys)
+    return spark.read.schema(old.schema).parquet(path).select(*keys, *UPSERT_COLS)
 
 
 @register("incremental_totals", O.with_domain(body="""
@@ -1129,6 +1214,26 @@ def run_rebuild(spark, sf_dir):
     return run_table(spark, sf_dir, "ANALYTIC_ALL_DATA").groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("run_rerun", O.with_domain(*SEG, O.analytic_customer_cte(), *CH_PRED, O.scored_pred_cte(), O.churn_p_codes_cte(), body=f"""
+SELECT 'CHURN_FEATURE_IMPORTANCES' AS table_name, firm_id, cast({len(cm.MODEL_FEATURES + cm.CATEGORICAL)} AS BIGINT) AS n_rows
+FROM (SELECT DISTINCT firm_id FROM cust) f
+UNION ALL SELECT 'CHURN_PERFORMANCE_METRICS', firm_id, 1 FROM (SELECT DISTINCT firm_id FROM cust) f
+UNION ALL SELECT 'ANALYTIC_CUSTOMER', firm_id, count(*) FROM (
+  SELECT firm_id, unique_customer_id FROM ac UNION SELECT firm_id, unique_customer_id FROM acc) c GROUP BY firm_id"""))
+def run_rerun(spark, sf_dir):
+    """Rows per firm after the same run was done twice into one folder: none stands there twice."""
+    from .runs import run_tasks
+
+    d, out = dom(spark, sf_dir), scratch_path(spark, "rerun")
+    tasks = reg.task_matrix(d.trx, d.cust, P).where(F.col("metric_id") != reg.SMART_INSIGHT)
+    for _ in range(2):
+        paths = run_tasks(spark, d, out, P, max_iter=2, tasks=tasks)
+    parts = [spark.read.parquet(paths[t]).groupBy(F.col("firm_id").cast("long").alias("firm_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "firm_id", "n_rows")
+             for t in ("CHURN_FEATURE_IMPORTANCES", "CHURN_PERFORMANCE_METRICS", "ANALYTIC_CUSTOMER")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ----------------------------------------------------------------- segments row by row
 @register("monetary_segment_rows", O.with_domain(*SEG, body=f"SELECT {ROW_KEYS}, monetary_segment, frequency_segment FROM seg"))
 def monetary_segment_rows(spark, sf_dir):

@@ -53,6 +53,13 @@ def task_matrix(trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) ->
     return t.select("firm_id", "m.metric_id", "m.display_name", "m.working_day_period")
 
 
+def tasks_of(metrics: DataFrame, trx: DataFrame, cust: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """Task rows from a table of modules per tenant (firm_id, metric_id, display_name,
+    working_day_period): those of active tenants whose period is positive."""
+    on = metrics.where(F.col("working_day_period") > 0).select("firm_id", "metric_id", "display_name", "working_day_period")
+    return on.join(active_tenants(trx, cust, params), "firm_id", "left_semi")
+
+
 def tenants_without_tasks(reg: DataFrame, tasks: DataFrame) -> DataFrame:
     """Tenants skipped because they have no task rows."""
     return reg.join(tasks.select(F.col("firm_id").cast("int").alias("ID")).distinct(), "ID", "left_anti")

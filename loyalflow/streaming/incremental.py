@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import sinks
 from ..operators.rfm import valid_transactions
 from ..operators.sketches import merge_sketches, quantile_sketch, sketch_quantiles
 from ..sources.domain import transactions_of
@@ -94,28 +95,11 @@ class PartialStore:
     def snapshot(self, upto: int, kind: str) -> str:
         return os.path.join(self.out_dir, "snapshots", f"upto={upto}", kind)
 
-    def _path(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _listed(self, folder: str, prefix: str) -> list[int]:
-        fs, p = self._path(folder)
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
-
-    def _remove(self, path: str) -> None:
-        fs, p = self._path(path)
-        fs.delete(p, True)
-
     def committed(self) -> list[int]:
         """Last batches of the snapshots that are whole, ascending; the last kind is written last."""
         found = []
-        for upto in self._listed(os.path.join(self.out_dir, "snapshots"), "upto="):
-            fs, p = self._path(os.path.join(self.snapshot(upto, KINDS[-1]), "_SUCCESS"))
-            if fs.exists(p):
+        for upto in sinks.listed(self.spark, os.path.join(self.out_dir, "snapshots"), "upto="):
+            if sinks.path_exists(self.spark, os.path.join(self.snapshot(upto, KINDS[-1]), "_SUCCESS")):
                 found.append(upto)
         return found
 
@@ -147,11 +131,11 @@ class PartialStore:
             _merged(kind, self.live(kind, upto)).write.mode("overwrite").parquet(self.snapshot(upto, kind))
         if before:
             for kind in KINDS:
-                for b in self._listed(self.batches(kind), "batch_id="):
+                for b in sinks.listed(self.spark, self.batches(kind), "batch_id="):
                     if b <= before[-1]:
-                        self._remove(os.path.join(self.batches(kind), f"batch_id={b}"))
+                        sinks.remove(self.spark, os.path.join(self.batches(kind), f"batch_id={b}"))
             for old in before[:-1]:
-                self._remove(os.path.join(self.out_dir, "snapshots", f"upto={old}"))
+                sinks.remove(self.spark, os.path.join(self.out_dir, "snapshots", f"upto={old}"))
 
     def totals(self) -> DataFrame:
         """Running totals per unique customer."""

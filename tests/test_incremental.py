@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from loyalflow.operators import sketches
+from loyalflow.operators import sinks, sketches
 from loyalflow.operators.rfm import valid_transactions
 from loyalflow.session import scratch_path
 from loyalflow.streaming import incremental as inc
@@ -67,7 +67,7 @@ def test_replays_late_rows_and_compaction(spark, cust):
     want = expected([r for d in drops for r in d])
     assert totals(store) == want
     assert store.committed() and len(store.committed()) <= 2      # older snapshots are gone
-    kept = store._listed(store.batches("totals"), "batch_id=")
+    kept = sinks.listed(spark, store.batches("totals"), "batch_id=")
     assert min(kept) > 0 and len(kept) < 9                        # and so are the batches that they held
     again = run(spark, landing, cust, out)                        # nothing new
     assert totals(again) == want

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loyalflow.operators import churn_model as cm
+from loyalflow.operators import tenant_models as tm
 from loyalflow.operators import sinks
 from loyalflow.operators.rfm import rfm_aggregate
 from loyalflow.operators.segments import recency_segment
@@ -196,9 +197,10 @@ def test_per_firm_models(spark):
     schema = "unique_customer_id long, program_id int, firm_id long, is_churn int, " + \
         ", ".join(f"{c} double" for c in cm.MODEL_FEATURES)
     prepared = cm.class_weights(cm.stratified_split(spark.createDataFrame(rows, schema)))
-    models = cm.fit_churn_per_firm(prepared, max_iter=10)
-    assert set(models) == {1, 2}
-    scored = cm.score_per_firm(models, prepared.where("is_val"))
+    store = tm.ModelStore(spark, scratch_path(spark, "models"), 1)
+    assert {r.outcome for r in tm.fit_tenants(prepared, store, max_iter=10).collect()} == {"fitted"}
+    assert store.firms() == [1, 2]
+    scored = tm.score_tenants(store, prepared.where("is_val"), scratch_path(spark, "scores"))
     assert scored.count() == prepared.where("is_val").count()
     assert cm.auc(scored, "is_churn", "churn_prob").where("auc > 0.75").count() == 2
 
@@ -214,7 +216,9 @@ def test_many_tenants_and_programs_fit_and_no_row_is_lost(spark):
     assert prepared.count() == 1400
     model = cm.fit_churn(prepared, max_iter=2)
     assert cm.churn_probability(model, prepared).where("churn_prob between 0 and 1").count() == 1400
-    part = cm.score_per_firm({1: model}, prepared)
+    store = tm.ModelStore(spark, scratch_path(spark, "models"), 1)
+    store.save(1, model)
+    part = tm.score_tenants(store, prepared, scratch_path(spark, "scores"))
     assert part.count() == 1400
     assert part.where("churn_prob is null").select("firm_id").distinct().count() == 69
 

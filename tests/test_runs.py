@@ -26,10 +26,11 @@ def test_run_tasks_writes_all_tables(spark, sf_small):
     log = spark.read.parquet(paths["STG_LOGS"])
     log = spark.createDataFrame(log.collect(), log.schema)
     assert {r.status for r in log.collect()} == {"PENDING", "SUCCESS"}
-    # a second run adds to the log and the models' tables, and replaces the others
+    # doing the run again adds to the log and replaces its rows in every other table
     again = run_tasks(spark, staged_domain(spark, sf_small), out, max_iter=5)
     n = {t: spark.read.parquet(again[t]).count() for t in TABLES}
     assert n["STG_LOGS"] == 2 * len(log.collect()) and n["ANALYTIC_CUSTOMER"] == ac.count()
+    assert n["CHURN_PERFORMANCE_METRICS"] == 3
     imp = spark.read.parquet(again["CHURN_FEATURE_IMPORTANCES"])
     assert {"firm_id", "created_by", "create_date", "model_id", "feature", "importance"} <= set(imp.columns)
 
@@ -70,3 +71,73 @@ def test_task_table_gates_modules_and_a_failure_leaves_the_others(spark, sf_smal
     ended = {(r.firm_id, r.metric_id): r.status for r in log if r.status != "PENDING"}
     assert ended == {(1, 1): "SUCCESS", (1, 4): "FAIL", (2, 4): "FAIL", (1, 3): "SUCCESS"}
     assert all("no model today" in r.detail for r in log if r.status == "FAIL")
+
+
+def test_a_run_that_broke_off_is_resumed_without_doubled_rows(spark, sf_small, monkeypatch):
+    from loyalflow.plans import runs
+    from loyalflow.sources import registry as reg
+
+    out, d = scratch_path(spark, "run_r"), staged_domain(spark, sf_small)
+    tasks = reg.task_matrix(d.trx, d.cust)
+    done = []
+    segmentation, of_run = runs.segmentation, runs._of_run
+    monkeypatch.setattr(runs, "segmentation", lambda *a: done.append("RFM_CLV") or segmentation(*a))
+
+    def stops(df, out_dir, table, params):
+        if table == "CHURN_FEATURE_IMPORTANCES":
+            raise RuntimeError("the run ends here")  # after CHURN_PERFORMANCE_METRICS is written
+        return of_run(df, out_dir, table, params)
+
+    monkeypatch.setattr(runs, "_of_run", stops)
+    run_tasks(spark, d, out, max_iter=2, tasks=tasks)
+    monkeypatch.setattr(runs, "_of_run", of_run)
+    paths = run_tasks(spark, d, out, max_iter=2, tasks=tasks, resume=True)
+    assert done == ["RFM_CLV"]  # segmentation was not done again
+    assert spark.read.parquet(paths["CHURN_PERFORMANCE_METRICS"]).count() == 3
+    left = runs.succeeded(spark, out, runs.DEFAULT)
+    assert left.count() == tasks.count()
+    ac = spark.read.parquet(paths["ANALYTIC_CUSTOMER"])
+    assert ac.where(F.col("P22").isNotNull()).count() > 0 and ac.where(F.col("P1").isNotNull()).count() > 0
+    # another run id has rows of its own, and aligned columns
+    other = run_tasks(spark, d, out, runs.DEFAULT.with_(run_id=2), max_iter=2, tasks=tasks.where(F.col("metric_id") == reg.CHURN))
+    got = spark.read.parquet(other["CHURN_PERFORMANCE_METRICS"]).groupBy("run_id").count().collect()
+    assert {(r.run_id, r["count"]) for r in got} == {(1, 3), (2, 3)}
+
+
+def test_a_failed_customer_table_is_logged_and_insight_runs(spark, sf_small, monkeypatch):
+    from loyalflow.plans import runs
+    from loyalflow.sources import registry as reg
+
+    def full(*args):
+        raise OSError("no space")
+
+    monkeypatch.setattr(runs, "write_customers", full)
+    d = staged_domain(spark, sf_small)
+    out = scratch_path(spark, "run_f")
+    paths = run_tasks(spark, d, out, tasks=reg.task_matrix(d.trx, d.cust).where(F.col("metric_id") != reg.CHURN))
+    log = spark.read.parquet(paths["STG_LOGS"]).collect()
+    assert {r.detail for r in log if r.status == "FAIL"} == {"OSError: no space"}
+    assert spark.read.parquet(paths["ANALYTIC_FIRM_BASED"]).count() == 3
+    ended = {r.metric_id for r in runs.succeeded(spark, out, runs.DEFAULT).select("metric_id").distinct().collect()}
+    assert ended == {reg.SMART_INSIGHT}
+
+
+def test_a_tenant_of_one_class_does_not_end_the_churn_module(spark, sf_small):
+    from loyalflow.plans import runs
+    from loyalflow.sources import registry as reg
+    from loyalflow.sources.domain import Domain
+
+    d = staged_domain(spark, sf_small)
+    # firm 3 has no transaction after the cut-off: all its customers have churned
+    kept = (F.col("firm_id") != 3) | (F.col("transaction_date") < runs.DEFAULT.churn_cutoff)
+    d = Domain(trx=d.trx.where(kept), cust=d.cust, best=d.best, prog=d.prog)
+    tasks = spark.createDataFrame([(f, reg.CHURN, "CHURN", 180) for f in (1, 2, 3)],
+                                  "firm_id long, metric_id int, display_name string, working_day_period int")
+    out = scratch_path(spark, "run_o")
+    paths = run_tasks(spark, d, out, max_iter=2, tasks=tasks, per_firm_models=True)
+    assert runs.succeeded(spark, out, runs.DEFAULT).count() == 3
+    assert spark.read.parquet(paths["CHURN_PERFORMANCE_METRICS"]).where("auc IS NOT NULL").count() == 2
+    assert {(int(r.firm_id), r.outcome) for r in spark.read.parquet(paths["CHURN_MODEL_FITS"]).collect()} == {
+        (1, "fitted"), (2, "fitted"), (3, "one class")}
+    unscored = spark.read.parquet(paths["ANALYTIC_CUSTOMER"]).where("firm_id = 3 AND P22 IS NULL AND P23 IS NULL")
+    assert unscored.where(F.col("P24") == "unknown").count() > 0
