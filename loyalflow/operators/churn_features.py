@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import avg_frac_days, frac_days
 from ..functions.stats import stddev_oracle
 from ..params import DEFAULT, RunParams, ts_lit
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from .joins import broadcast_checked
-from .ranking import lag_in_order, row_positions
+from .ranking import lag, row_positions
 from .rfm import valid_transactions
 from .selection import median
 
@@ -113,19 +113,17 @@ LAG_COLS = ["unique_customer_id", "firm_id", "transaction_date", "transaction_id
 
 
 def with_previous_date(x: DataFrame) -> DataFrame:
-    """Previous purchase date of the firm's same customer (any program), skew-safe lag.
-    The lagged frame is checkpointed inside the operator, so every later aggregate
-    reads it instead of re-scanning and re-joining the transactions."""
-    return lag_in_order(x.select(*LAG_COLS), ["firm_id", "unique_customer_id"],
-                        ["transaction_date", "transaction_id", "amount_after_discount"],
-                        "transaction_date", "previous_transaction_date")
+    """Previous purchase date of the firm's same customer (any program), skew-safe lag of written rows."""
+    return lag(x, ["firm_id", "unique_customer_id"], ["transaction_date", "transaction_id", "amount_after_discount"],
+               "transaction_date", "previous_transaction_date")
 
 
 def transaction_features(x: DataFrame) -> DataFrame:
-    """TRANSACTION_FEATURES per (firm, customer, program)."""
-    lagged = with_previous_date(x)
-    agg = lagged.groupBy(*KEYS).agg(*_feature_aggs())
-    med = median(lagged, KEYS, "amount_after_discount", "median_basket_size")
+    """TRANSACTION_FEATURES per (firm, customer, program). The transactions are written once,
+    as Parquet; the lag and the medians read them."""
+    x = written(x.select(*LAG_COLS), "churn-transactions")
+    agg = with_previous_date(x).groupBy(*KEYS).agg(*_feature_aggs())
+    med = median(x, KEYS, "amount_after_discount", "median_basket_size")
     return agg.join(med, KEYS, "left").select(*KEYS, *FEATURE_COLS)
 
 
@@ -133,10 +131,12 @@ def customer_features(x: DataFrame, prog: DataFrame, params: RunParams = DEFAULT
                       thresholds: DataFrame | None = None) -> DataFrame:
     """CUSTOMER_BASE joined with TRANSACTION_FEATURES, computed in one pass: base measures
     and features aggregate the same rows, so a single aggregate over the lagged frame
-    gives both (the reference's left join of features onto the base)."""
-    lagged = with_previous_date(x)
-    g = lagged.groupBy(*KEYS).agg(*_base_aggs(), *_feature_aggs()).where(_base_filter(params))
-    med = median(lagged, KEYS, "amount_after_discount", "median_basket_size")
+    gives both (the reference's left join of features onto the base). The transactions are
+    written once, as Parquet; the lag and the medians read them. The lag's exchange on the
+    customer serves the aggregate too."""
+    x = written(x.select(*LAG_COLS), "churn-transactions")
+    g = with_previous_date(x).groupBy(*KEYS).agg(*_base_aggs(), *_feature_aggs()).where(_base_filter(params))
+    med = median(x, KEYS, "amount_after_discount", "median_basket_size")
     p = broadcast_checked(prog, DIM_ROWS)
     out = g.join(med, KEYS, "left").join(p, ["firm_id", "program_id"], "left")
     return _with_base_derived(out, params, mode, thresholds).select(*BASE_COLS, *FEATURE_COLS)

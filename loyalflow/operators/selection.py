@@ -5,8 +5,8 @@ aggregate with a map-side partial; a bucket also keeps its smallest and largest
 value). The running count of a group's buckets tells which bucket holds a wanted
 rank. Most ranks are answered there: the first and the last rank of a bucket, and
 every rank of a bucket with one value. What is left is refined: only values inside
-an open bucket are counted again, in equal-width parts of it, until no rank is
-open. Values are neither range-partitioned nor written; what passes between the
+an open bucket are counted again, one by one if they are few, else in equal-width
+parts of the bucket, until no rank is open. Values are neither range-partitioned nor written; what passes between the
 rounds is at most two rows per group and probability.
 
 A window runs over the buckets of a group, whose number does not depend on its
@@ -23,13 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import broadcast_checked
 from .ranking import _encode_keys
 
 #: Buckets of the first histogram per factor e of magnitude, and parts of an open bucket in later rounds.
 PER_E, PARTS = 48, 4096
-#: Open buckets that may be broadcast to the values.
-OPEN_ROWS = 1_000_000
+#: Open buckets that may be broadcast to the values; values of an open bucket that are counted one by one.
+OPEN_ROWS, SINGLE_ROWS = 1_000_000, 100_000
 
 
 def _first_bucket(v: Column) -> Column:
@@ -56,8 +55,8 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
     of ``value`` per group, one output column per entry of ``probs``; NULL and NaN are ignored
     and a group without a value has no row. NULL keys are a group of their own.
 
-    ``df`` is read once per round (one, and a second for ranks inside a bucket of several
-    values; more only for values that differ by less than a 4096th of a 48th of their size).
+    ``df`` is read once per round: one, a second for ranks inside a bucket of several values, and
+    one more per factor ``PARTS`` by which a bucket exceeds ``SINGLE_ROWS``.
     """
     keys = list(keys)
     raw = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -89,17 +88,24 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
         found = found.withColumn("_answer", answer)
         answered.append(found.where(F.col("_answer").isNotNull()).select(*ek, "_name", "_part", "_answer"))
         left = found.where(F.col("_answer").isNull()).select(
-            *ek, "_name", "_part", "_at", F.col("_lo").alias("_from"), F.col("_hi").alias("_to"))
-        if left.isEmpty():
+            *ek, "_name", "_part", "_at", F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), F.col("_c").alias("_held"))
+        size = left.agg(F.count(F.lit(1)).alias("n"), F.max("_held").alias("held")).first()
+        if not size.n:
             break
         open_ = left.select(*ek, "_from", "_to").distinct()
-        inside = values.join(broadcast_checked(open_, OPEN_ROWS), ek).where(F.col("_v").between(F.col("_from"), F.col("_to")))
+        inside = values.join(F.broadcast(open_) if size.n <= OPEN_ROWS else open_, ek).where(
+            F.col("_v").between(F.col("_from"), F.col("_to")))
+        last = size.held <= SINGLE_ROWS  # few enough to count every value
         part = F.floor((F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * PARTS).cast("int")
         names = [*ek, "_from"]
-        hist = _placed(_histogram(inside, [*names, part.alias("_b")], names), names)
+        hist = _placed(_histogram(inside, [*names, (F.col("_v") if last else part).alias("_b")], names), names)
         holds = (F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_c"))
-        found = cut_lineage(left.join(hist, names).where(holds).select(
-            *ek, "_c", "_lo", "_hi", "_name", "_part", (F.col("_at") - F.col("_before")).alias("_at")))
+        found = left.join(hist, names).where(holds).select(
+            *ek, "_c", "_lo", "_hi", "_name", "_part", (F.col("_at") - F.col("_before")).alias("_at"))
+        if last:
+            answered.append(found.select(*ek, "_name", "_part", F.col("_lo").alias("_answer")))
+            break
+        found = cut_lineage(found)
 
     every = reduce(lambda a, b: a.unionByName(b), answered)
     aggs = [F.max(F.when(F.col("_name") == f"{n}_{end}", F.col("_answer"))).alias(f"_{n}_{end}") for n in probs for end in ("lo", "hi")]

@@ -100,6 +100,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: cuts the lineage of large frames
+    that are read more than once (columns are pruned and filters pushed into each scan)."""
+    for see in ON_CUT:
+        see(df)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Suggested settings for a cluster run over ``input_bytes`` of input.
 
