@@ -138,10 +138,11 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, fan
     Every row gets a place; offsets in a sequence are gapless from 0. Partitions
     pack blocks of ``local_rows`` rows by themselves. Bins filled to
     ``nearly_full`` are final. In each round ``fan_in`` groups become one, whose
-    underfull bins are packed as items; a group hands on its ``carry`` least
-    full bins and the others are final as they are, so that a task never holds
-    more than ``fan_in * carry`` bins, whatever the lengths. An empty table stays
-    empty; equal rows get places of their own.
+    underfull bins are packed as items. A partition and a group hand on their least
+    full bins, ``carry`` rows of them at most (of a partition's blocks the first
+    half of it, the next a quarter, and so on), and the others are final as they
+    are, so that a merge never holds more than ``fan_in * carry`` rows, whatever the
+    lengths. An empty table stays empty; equal rows get places of their own.
     """
     enough = int(capacity * nearly_full)
     names = items.columns
@@ -149,16 +150,22 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, fan
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, made, held, rows = TaskContext.get().partitionId(), 0, [], 0
+        part, made, held, rows, quota = TaskContext.get().partitionId(), 0, [], 0, carry
 
         def packed() -> Iterator[pa.RecordBatch]:
-            nonlocal made, held, rows
+            nonlocal made, held, rows, quota
+            quota //= 2
             block = pa.Table.from_batches(held)
             sizes = block.column("length").to_numpy()
             bins, offsets, fill = best_fit(sizes, capacity)
+            full = np.asarray(fill, dtype=np.int64)
+            travels = np.zeros(len(full), dtype=bool)
+            travels[np.argsort(full, kind="stable")[:quota]] = True
+            travels &= full < enough
             block = (block.append_column("_bin", pa.array((part << 36) + made + bins))
                      .append_column("_at", pa.array(offsets))
-                     .append_column("_fill", pa.array(np.asarray(fill, dtype=np.int64)[bins]))
+                     .append_column("_fill", pa.array(full[bins]))
+                     .append_column("_open", pa.array(travels[bins]))
                      .append_column("_group", pa.array(np.full(len(bins), part, dtype=np.int64))))
             made, held, rows = made + len(fill), [], 0
             yield from block.to_batches(max_chunksize=50_000)
@@ -172,10 +179,10 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, fan
             yield from packed()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
-    placed = materialize(items.mapInArrow(local, f"{kinds}, _bin long, _at long, _fill long, _group long"), "packed")
+    placed = materialize(items.mapInArrow(local, f"{kinds}, _bin long, _at long, _fill long, _open boolean, _group long"), "packed")
 
-    # one row per underfull bin: the root it is part of, its shift in the root, the root's fill and group
-    state = (placed.where(F.col("_fill") < enough).where(F.col("_at") == 0)
+    # one row per bin that travels: the root it is part of, its shift in the root, the root's fill and group
+    state = (placed.where("_open").where(F.col("_at") == 0)
              .select("_bin", F.col("_bin").alias("_root"), F.lit(0).cast("long").alias("_shift"),
                      F.col("_fill").alias("_total"), "_group"))
 
@@ -188,8 +195,9 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, fan
         at = np.searchsorted(ids, frame["_root"].to_numpy())
         total_of = np.asarray(total, dtype=np.int64)
         rising = np.argsort(total_of, kind="stable")
+        rows_of = np.bincount(bins[at], minlength=len(total))
         open_bin = np.zeros(len(total), dtype=bool)
-        open_bin[rising[:carry]] = True
+        open_bin[rising[np.cumsum(rows_of[rising]) <= carry]] = True
         open_bin &= total_of < enough
         return pd.DataFrame({"_bin": frame["_bin"], "_root": first[bins[at]],
                              "_shift": frame["_shift"].to_numpy() + offsets[at], "_total": total_of[bins[at]],
