@@ -167,7 +167,7 @@ def _groups(sorted_keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, li
     return used, [values[a:b] for a, b in zip(edges, edges[1:], strict=False) if b > a]
 
 
-def store(docs: DataFrame, block_bytes: int = 1 << 21, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def store(docs: DataFrame, block_bytes: int = 1 << 22, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Blocks of documents: (block, n_bytes, ids, ends, data); a document is never cut.
 
     ``ends`` are the documents' cumulative ends in bytes, ``data`` their
