@@ -233,16 +233,13 @@ def ntile_from_rank(rank, n, k: int):
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """1-5 recency/frequency/monetary scores per firm and the "RFM" score string.
 
-    Ranks come from the distributed position operator (no per-firm window)."""
-    base = rfm.select("firm_id", "unique_customer_id", "kart_tip_detay", "recency", "frequency",
-                      F.col("monetary").cast("double").alias("monetary"))
-    tie = [F.col("unique_customer_id"), F.col("kart_tip_detay")]
-    r = row_positions(base, ["firm_id"], [F.col("recency").desc(), *tie]) \
-        .withColumn("r_score", ntile_from_rank(F.col("_rank"), F.col("_n"), 5)).drop("_rank", "_n")
-    r = row_positions(r, ["firm_id"], [F.col("frequency"), *tie]) \
-        .withColumn("f_score", ntile_from_rank(F.col("_rank"), F.col("_n"), 5)).drop("_rank", "_n")
-    r = row_positions(r, ["firm_id"], [F.col("monetary"), *tie]) \
-        .withColumn("m_score", ntile_from_rank(F.col("_rank"), F.col("_n"), 5)).drop("_rank", "_n")
-    return r.select("firm_id", "unique_customer_id", "kart_tip_detay", "r_score", "f_score", "m_score",
-                    F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
-                             F.col("m_score").cast("string")).alias("rfm_score"))
+    Ranks of all three measures come from one pass of the distributed position operator over
+    (firm, measure, value) rows; no per-firm window."""
+    keys = ["firm_id", "unique_customer_id", "kart_tip_detay"]
+    measures = {"r": -F.col("recency").cast("double"), "f": F.col("frequency").cast("double"), "m": F.col("monetary").cast("double")}
+    long = rfm.select(*keys, F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), v.alias("value"))
+                                                 for k, v in measures.items()])).alias("_m")).select(*keys, "_m.*")
+    ranked = row_positions(long, ["firm_id", "measure"], ["value", "unique_customer_id", "kart_tip_detay"])
+    score = ntile_from_rank(F.col("_rank"), F.col("_n"), 5)
+    wide = ranked.groupBy(*keys).agg(*[F.max(F.when(F.col("measure") == k, score)).alias(f"{k}_score") for k in measures])
+    return wide.withColumn("rfm_score", F.concat(*[F.col(f"{k}_score").cast("string") for k in measures]))

@@ -89,3 +89,28 @@ def test_a_row_without_a_score_has_no_class(spark):
     got = {r.firm_id: (r.is_churn_pred, r.is_churn_label, r.churn_class) for r in cm.postprocess(df).collect()}
     assert got[1] == (None, None, cm.RISK_UNKNOWN)
     assert got[2][:2] == (1, cm.LABEL_CHURN) and got[3][:2] == (0, cm.LABEL_NO_RISK)
+
+
+# --- joins and lags ---------------------------------------------------------
+
+def test_long_strings_are_not_broadcast(spark, monkeypatch):
+    from loyalflow.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_BYTES", 100_000)
+    short = spark.range(100).selectExpr("id", "'x' AS s")
+    long = spark.range(100).selectExpr("id", "repeat('x', 2000) AS s")
+    hinted = [joins.broadcast_checked(df, 1000)._jdf.queryExecution().logical().toString() for df in (short, long)]
+    assert "broadcast" in hinted[0] and "broadcast" not in hinted[1]
+
+
+def test_lag_with_hot_and_other_groups(spark):
+    from loyalflow.operators.ranking import lag
+
+    rng = np.random.default_rng(8)
+    g = np.where(rng.random(4000) < 0.5, 0, rng.integers(1, 60, 4000))
+    pdf = pd.DataFrame({"g": g, "t": rng.permutation(4000), "v": rng.integers(0, 99, 4000)})
+    pdf["want"] = pdf.sort_values("t").groupby("g")["v"].shift(1)
+    df = spark.createDataFrame(pdf[["g", "t", "v"]]).repartition(6)
+    for hot in (100, 10_000):  # the hot group in chunks, and none
+        got = lag(df, ["g"], ["t"], "v", "prev", hot_rows=hot).toPandas().merge(pdf, on=["g", "t", "v"])
+        assert len(got) == 4000 and np.allclose(got["prev"].astype(float), got["want"], equal_nan=True)
