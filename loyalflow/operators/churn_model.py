@@ -25,6 +25,7 @@ from .joins import broadcast_checked
 from .ranking import positions, row_positions
 from .selection import percentiles
 
+# --- fixed values: columns that are rounded, model inputs, columns of the summary ---
 # Numeric columns that are null-filled, rounded and cast to int before modelling.
 ROUND_COLS = ["total_transactions", "total_spent", "avg_spent", "max_spent", "min_spent",
               "days_since_last_transaction", "customer_lifetime", "distinct_transactions",
@@ -36,6 +37,9 @@ MODEL_FEATURES = ["customer_lifetime", "distinct_transactions", "avg_days_betwee
                   "max_spent", "min_spent", "median_basket_size", "basket_size_stddev",
                   "discounted_transactions", "total_used_point", "total_earned_point"]
 CATEGORICAL = ["program_id"]
+SUMMARY_COLS = ["avg_days_between_transactions", "days_since_last_transaction", "customer_lifetime",
+                "distinct_transactions", "avg_spent", "max_spent", "total_used_point"]
+# --- end of fixed values ---
 # Upper bounds on tenants, and on groups of a tenant, whose statistics may be broadcast.
 FIRM_ROWS = 100_000
 GROUP_ROWS = 1_000_000
@@ -307,10 +311,6 @@ def auc(df: DataFrame, label: str, prob: str, keys=("firm_id",)) -> DataFrame:
                                         F.col("_np") * F.col("_nn")).alias("auc"))
 
 
-SUMMARY_COLS = ["avg_days_between_transactions", "days_since_last_transaction", "customer_lifetime",
-                "distinct_transactions", "avg_spent", "max_spent", "total_used_point"]
-
-
 def churn_summary(scored: DataFrame, keys=("firm_id", "is_churn_label", "churn_class", "program_id")) -> DataFrame:
     """Customer count and medians of the customer measures per (firm, label, class, program);
     rows with a NULL key are dropped (pandas group-by)."""
