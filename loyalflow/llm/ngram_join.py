@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyalflow.llm.common import materialize
+from loyalflow.llm.common import materialize, unused
 from loyalflow.llm.components import components
 
 #: Characters that separate words.
@@ -192,18 +192,10 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8,
-         recall: float = 0.999, block: int = 1024, block_grams: int = 4_000_000) -> DataFrame:
-    """One row per document: id, n_links, component_id and kept.
-
-    n_links: other documents whose set of ``size``-word n-grams has a Jaccard
-    similarity of ``threshold`` or more; component_id: the smallest id reachable
-    by links, itself included; kept: whether the id is that one. Texts of fewer
-    words are one n-gram. A text without words (null, empty, blank) links with
-    nothing. Repeated rows of a text are links of each other; a row without an id
-    takes part, but names no component unless all of it is without. An empty table
-    gives no rows.
-    """
+def _linked(docs: DataFrame, id_col: str, text_col: str, size: int = 5, threshold: float = 0.8, recall: float = 0.999,
+            block: int = 1024, block_grams: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): _id, _mark and _class of every document; of every class its _copies, the _first id (the
+    smallest, if a copy has one) and the _mark of that text, its _links to other classes and its component, _root."""
     bands, rows = choose_bands(threshold, recall)
     feats = materialize(features(docs, size, bands, rows, id_col, text_col), "grams")
     kind = feats.schema["_id"].dataType.simpleString()
@@ -242,10 +234,26 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     linked = components(pairs.where("kind = 1")).select(F.col("node").alias("_class"), F.col("component").alias("_root"))
     classes = (classes.join(counted, "_class", "left").join(linked, "_class", "left")
                .withColumn("_root", F.coalesce("_root", "_class")))
+    return feats.select("_id", "_mark", "_class"), classes
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: id, n_links, component_id and kept.
+
+    n_links: other documents whose set of ``size``-word n-grams (5) has a Jaccard
+    similarity of ``threshold`` (0.8) or more; component_id: the smallest id reachable
+    by links, itself included; kept: whether the id is that one. Texts of fewer
+    words are one n-gram. A text without words (null, empty, blank) links with
+    nothing. Repeated rows of a text are links of each other; a row without an id
+    takes part, but names no component unless all of it is without. An empty table
+    gives no rows.
+    """
+    rows, classes = _linked(docs, id_col, text_col, **options)
+    kind = rows.schema["_id"].dataType.simpleString()
     smallest = classes.groupBy("_root").agg(F.min("_first").alias("_component"))
     verdicts = (classes.join(smallest, "_root")
                 .select("_class", (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("_links"), "_component"))
-    return (feats.select("_id", "_class").join(verdicts, "_class", "left")
+    return (rows.select("_id", "_class").join(verdicts, "_class", "left")
             .select(F.col("_id").alias(id_col), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("_component", "_id").cast(kind).alias("component_id"))
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
@@ -309,12 +317,29 @@ def _compare(threshold: float):
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with one row left of each group of near duplicates: that of the smallest id.
+    """The documents with one row left of each group of near duplicates.
 
-    Repeated rows of that id leave one row per different text. Rows without an
-    id cannot be told apart by it and all stay. All columns stay.
+    That of the smallest id; of several texts of that id, and in a group without
+    ids, the text of the smallest hash. So repeated rows leave one, and an id that
+    stands on texts of two groups can stay twice. A text without words is near to
+    nothing and stays, once per id; rows with neither an id nor words all stay.
+    All columns stay.
     """
-    kept = join(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_kept")).distinct()
-    known = docs.where(docs[id_col].isNotNull())
-    known = known.join(kept.hint("merge"), known[id_col] == kept["_kept"], "left_semi")
-    return known.dropDuplicates([id_col, text_col]).unionByName(docs.where(docs[id_col].isNull()))
+    rows, classes = _linked(docs, id_col, text_col, **options)
+    first = F.min(F.struct(F.col("_first").isNull().alias("_none"), "_first", "_mark")).alias("_least")
+    kept = materialize(classes.groupBy("_root").agg(first)
+                       .select(F.col("_least._first").alias("_kept"), F.col("_least._mark").alias("_of")), "kept")
+    blank = rows.where("_class IS NULL AND _id IS NOT NULL").select("_id", "_mark").distinct()
+    mark = unused(docs, "row_mark")
+    docs = docs.withColumn(mark, mark_of(text_col))
+    known = docs.where(F.col(id_col).isNotNull())
+    stays = kept.where("_kept IS NOT NULL").union(blank).hint("merge")
+    known = (known.join(stays, (known[id_col] == stays["_kept"]) & (known[mark] == stays["_of"]), "left_semi")
+             .dropDuplicates([id_col, mark, text_col]))
+    # copies without an id are combined before they are shuffled, however many they are
+    worded = F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nameless = docs.where(F.col(id_col).isNull())
+    texts = nameless.where(worded).dropDuplicates([mark, text_col])
+    stays = kept.where("_kept IS NULL").hint("merge")
+    texts = texts.join(stays, texts[mark] == stays["_of"], "left_semi")
+    return known.unionByName(texts).unionByName(nameless.where(~worded)).drop(mark)

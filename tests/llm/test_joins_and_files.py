@@ -113,7 +113,29 @@ def test_one_document_of_each_group_stays(spark):
     assert out.columns == frame.columns
     want = sorted({c for _, _, c, _ in brute_join(rows)})
     assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == want
-    assert out.where("doc_id IS NULL").count() == 2
+    assert out.where("doc_id IS NULL").count() == 1
+    assert ngram_join.one_per_group(frame.limit(0)).count() == 0
+
+
+def test_one_row_per_group_without_ids_and_with_repeated_ids(spark):
+    """Null ids, ids that stand on many texts, repeated rows: each group of the brute-force links keeps one row."""
+    rng = random.Random(3)
+    texts = [t for _, t in near_copies(7)]
+    rows = [(rng.choice([None, None, 1, 2, k]), t) for k, t in enumerate(texts)]
+    rows += [rng.choice(rows) for _ in range(40)] + [(None, texts[0])] * 30
+    sets = [frozenset(zip(*[t.split()[i:] for i in range(5)], strict=False)) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    group = union(links, range(len(rows)))
+    blank = [(None, None), (None, ""), (None, " \n"), (None, " \n"), (5, ""), (5, ""), (5, None)]
+    frame = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows + blank)], "doc_id long, text string, row_mark long")
+    out = ngram_join.one_per_group(frame).collect()
+    worded = [r for r in out if (r.text or "").strip()]
+    assert sorted(group[r.row_mark] for r in worded) == sorted(set(group.values()))
+    for r in worded:  # the smallest id of the group, if it has one
+        ids = [k for i, (k, _) in enumerate(rows) if group[i] == group[r.row_mark] and k is not None]
+        assert r.doc_id == min(ids, default=None)
+    assert Counter((r.doc_id, r.text) for r in out if not (r.text or "").strip()) == Counter(
+        [(None, None), (None, ""), (None, " \n"), (None, " \n"), (5, ""), (5, None)])
 
 
 def vectors(seed=2):
