@@ -18,7 +18,7 @@ from ..functions.stats import stddev_oracle
 from ..params import DEFAULT, RunParams, ts_lit
 from ..session import cut_lineage, written
 from .joins import broadcast_checked
-from .ranking import lag, row_positions
+from .ranking import HOT_ROWS, lag, row_positions
 from .rfm import valid_transactions
 from .selection import median
 
@@ -51,13 +51,19 @@ def feature_transactions(trx: DataFrame, cust: DataFrame, params: RunParams = DE
                          mode: str = "train", thresholds: DataFrame | None = None) -> DataFrame:
     """Valid, priced transactions before the cut-off (train) or up to as-of (predict),
     mapped to live customers."""
-    t = with_reference(valid_transactions(trx, require_amount=True), params, mode, thresholds)
-    d = F.col("transaction_date")
-    t = t.where(d < F.col("_ref") if mode == "train" else d <= F.col("_ref")).drop("_days", "_ref")
+    t = priced_transactions(trx, params, mode, thresholds)
     c = cust.where(F.col("is_deleted") == 0).select("firm_id", "customer_id", "unique_customer_id")
     return t.join(c, ["firm_id", "customer_id"])
 
 
+def priced_transactions(trx: DataFrame, params: RunParams = DEFAULT, mode: str = "train",
+                        thresholds: DataFrame | None = None) -> DataFrame:
+    """Valid, priced transactions before the cut-off (train) or up to as-of (predict)."""
+    t = with_reference(valid_transactions(trx, require_amount=True), params, mode, thresholds)
+    d = F.col("transaction_date")
+    return t.where(d < F.col("_ref") if mode == "train" else d <= F.col("_ref")).drop("_days", "_ref")
+
+
 def _base_aggs():
     aad = F.col("amount_after_discount")
     d = F.col("transaction_date")
@@ -112,17 +118,21 @@ LAG_COLS = ["unique_customer_id", "firm_id", "transaction_date", "transaction_id
             "program_id", "amount_discount", "amount_used_point", "amount_earned_point"]
 
 
-def with_previous_date(x: DataFrame) -> DataFrame:
+def with_previous_date(x: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Previous purchase date of the firm's same customer (any program), skew-safe lag of written rows."""
     return lag(x, ["firm_id", "unique_customer_id"], ["transaction_date", "transaction_id", "amount_after_discount"],
-               "transaction_date", "previous_transaction_date")
+               "transaction_date", "previous_transaction_date", hot_rows)
 
 
 def transaction_features(x: DataFrame) -> DataFrame:
     """TRANSACTION_FEATURES per (firm, customer, program). The transactions are written once,
     as Parquet; the lag and the medians read them."""
-    x = written(x.select(*LAG_COLS), "churn-transactions")
-    agg = with_previous_date(x).groupBy(*KEYS).agg(*_feature_aggs())
+    return features_of(written(x.select(*LAG_COLS), "churn-transactions"))
+
+
+def features_of(x: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """The features of stored transactions; ``hot_rows`` as in :func:`ranking.lag`."""
+    agg = with_previous_date(x, hot_rows).groupBy(*KEYS).agg(*_feature_aggs())
     med = median(x, KEYS, "amount_after_discount", "median_basket_size")
     return agg.join(med, KEYS, "left").select(*KEYS, *FEATURE_COLS)
 

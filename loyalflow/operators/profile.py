@@ -181,7 +181,11 @@ def purchase_profile(trx: DataFrame, cust: DataFrame, best: DataFrame, prog: Dat
     t = valid_transactions(trx).where(F.col("timed_id_transaction") >= F.lit(params.profile_key))
     c = cust.select("firm_id", "customer_id", "unique_customer_id", F.col("program_id").alias("cust_program_id"))
     p = broadcast_checked(prog.select("firm_id", F.col("program_id").alias("cust_program_id")), DIM_ROWS)
-    x = t.join(c, ["firm_id", "customer_id"]).join(p, ["firm_id", "cust_program_id"])
+    return profile_of(t.join(c, ["firm_id", "customer_id"]).join(p, ["firm_id", "cust_program_id"]), best, params)
+
+
+def profile_of(x: DataFrame, best: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """The profile of transactions that carry their unique customer."""
     # level 1: one row per (customer, transaction id); level 2: per customer
     per_txn = x.groupBy("firm_id", "unique_customer_id", "transaction_id").agg(*_profile_level1(params))
     agg = per_txn.groupBy("firm_id", "unique_customer_id").agg(

@@ -155,25 +155,29 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order: Sequence, value: str
 HOT_ROWS = 5_000_000
 
 
-def lag(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lag(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str,
+        hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY keys ORDER BY order)``, as a window where groups are small.
 
     Groups are counted first. Those of more than ``hot_rows`` rows (at most
     rows / ``hot_rows`` of them) go through :func:`lag_in_order`, which splits them among
     tasks; all others need one hash exchange on the keys, which later aggregates on them
     or more columns use as well. ``df`` is read twice: pass a written table. Ties as there.
+    ``hot_rows`` None says that no group is large: nothing is counted.
     """
     from .joins import broadcast_checked
 
     keys = list(keys)
-    base, ek, added = _encode_keys(df, keys)
-    hot = base.groupBy(*ek).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*ek)
-    hot = cut_lineage(hot)
 
     def windowed(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*_cols(order), *_orderable(df, set(keys)))
         return rows.withColumn(out, F.lag(value).over(w))
 
+    if hot_rows is None:
+        return windowed(df)
+    base, ek, added = _encode_keys(df, keys)
+    hot = base.groupBy(*ek).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*ek)
+    hot = cut_lineage(hot)
     if hot.isEmpty():
         return windowed(df)
     few = broadcast_checked(hot, 1_000_000)

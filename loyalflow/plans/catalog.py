@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as prof
 from ..operators import rfm as rfm_ops
-from ..operators import scalers, sketches
+from ..operators import colocated, scalers, sketches
 from ..params import DEFAULT, ts_lit
 from ..session import apply_conf, cut_lineage
-from ..sources.staging import staged_domain
+from ..sources.layout import window, window_by_firm
+from ..sources.staging import staged_domain, staged_layout
 from . import oracle as O
 from .normalize import norm, sql_norm
 
@@ -1242,3 +1243,69 @@ def run_rerun(spark, sf_dir):
 def monetary_segment_rows(spark, sf_dir):
     """Monetary and frequency bins of every customer and program."""
     return seg_rows(spark, sf_dir).select(*ROW_KEY_COLS, "monetary_segment", "frequency_segment")
+
+
+# ----------------------------------------------------------------- co-located layout
+def _facts(lay, read):
+    """``read`` of the facts in buckets and of those apart."""
+    return read(lay.trx) if lay.apart is None else read(lay.trx).unionByName(read(lay.apart))
+
+
+@register("window_24m_months", O.with_domain(body=f"""
+SELECT c.firm_id, cast(t.timed_id_transaction // 100 AS BIGINT) AS month, count(*) AS n_rows, sum(t.amount_after_discount) AS amount
+FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+WHERE t.timed_id_transaction >= {P.profile_key} GROUP BY ALL"""), money=["amount"])
+def window_24m_months(spark, sf_dir):
+    """The 24-month window from facts in a folder per month: older folders are not read."""
+    lay = staged_layout(spark, sf_dir)
+    t = _facts(lay, lambda f: window(rfm_ops.valid_transactions(f), P.profile_key))
+    return t.groupBy("firm_id", F.col("month").cast("long").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amount_after_discount").alias("amount"))
+
+
+def firm_windows(d):
+    """A window of its own for each tenant: the months before the as-of time, six for each step of its id."""
+    start = F.add_months(P.as_of_date_col, -6 * F.col("firm_id").cast("int"))
+    return d.prog.select("firm_id").distinct().select(
+        "firm_id", F.date_format(start, "yyyyMMdd").cast("int").alias("from_key"),
+        F.date_format(P.as_of_date_col, "yyyyMMdd").cast("int").alias("to_key"))
+
+
+@register("window_per_firm", O.with_domain(body=f"""
+SELECT c.firm_id, count(*) AS n_rows, cast(min(t.timed_id_transaction) AS BIGINT) AS first_key, sum(t.amount_after_discount) AS amount
+FROM valid t JOIN cust c ON t.firm_id = c.firm_id AND t.customer_id = c.customer_id
+WHERE t.timed_id_transaction <= cast(strftime(cast({O.ts(P.as_of)} AS DATE), '%Y%m%d') AS BIGINT)
+  AND t.timed_id_transaction >= cast(strftime(cast({O.ts(P.as_of)} AS DATE)
+        - to_months(cast(6 * c.firm_id AS INTEGER)), '%Y%m%d') AS BIGINT)
+GROUP BY c.firm_id"""), money=["amount"])
+def window_per_firm(spark, sf_dir):
+    """Each tenant's own window: the scan is pruned at run time by the months of the tenants' windows."""
+    lay = staged_layout(spark, sf_dir)
+    t = _facts(lay, lambda f: window_by_firm(rfm_ops.valid_transactions(f), firm_windows(lay)))
+    return t.groupBy("firm_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.min("timed_id_transaction").cast("long").alias("first_key"),
+                                    F.sum("amount_after_discount").alias("amount"))
+
+
+@register("rfm_colocated", O.with_domain(O.rfm_cte(), body="SELECT * FROM rfm"),
+          money=RFM_MONEY, rnd={c: 4 for c in RATIO_COLS})
+def rfm_colocated(spark, sf_dir):
+    """RFM rows from bucketed facts and customers, without any exchange."""
+    return colocated.rfm_aggregate(staged_layout(spark, sf_dir), P)
+
+
+@register("all_data_colocated", O.with_domain(O.rfm_cte(), O.profile_cte(), O.all_data_cte(), body="SELECT * FROM all_data"),
+          money=PROFILE_MONEY + RFM_MONEY, rnd={**{c: 6 for c in PROFILE_DOUBLES}, **{c: 4 for c in RATIO_COLS}})
+def all_data_colocated(spark, sf_dir):
+    """Profile and RFM rows joined bucket by bucket."""
+    return colocated.all_data(staged_layout(spark, sf_dir), P)
+
+
+FEATURES_SHOWN = ["avg_days_between_transactions", "median_basket_size", "basket_size_stddev", "distinct_transactions"]
+
+
+@register("features_colocated", O.with_domain(*CH_TRAIN, body=f"""
+SELECT firm_id, unique_customer_id, program_id, {', '.join(FEATURES_SHOWN)} FROM feats"""), rnd=CH_RND)
+def features_colocated(spark, sf_dir):
+    """Gaps between purchases, medians and deviations from the buckets as they lie."""
+    return colocated.transaction_features(staged_layout(spark, sf_dir), P).select(*CH_KEYS, *FEATURES_SHOWN)

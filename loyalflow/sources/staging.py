@@ -12,13 +12,16 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
 from ..session import shared_dir
 from .domain import Domain, load_domain
+from .layout import Layout, open_layout, write_layout
 
 _MEMO: dict = {}
+_LAID_OUT: dict = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -62,3 +65,13 @@ def staged_domain(spark: SparkSession, sf_dir: str) -> Domain:
     dom = Domain(**out)
     _MEMO[key] = dom
     return dom
+
+
+def staged_layout(spark: SparkSession, sf_dir: str) -> Layout:
+    """The domain of ``sf_dir`` in the co-located layout, written once per application."""
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir))
+    if key not in _LAID_OUT:
+        name = f"laid_out_{key[1]}_{uuid.uuid4().hex[:8]}"
+        write_layout(staged_domain(spark, sf_dir), name)
+        _LAID_OUT[key] = name
+    return open_layout(spark, _LAID_OUT[key])
