@@ -1305,7 +1305,8 @@ FEATURES_SHOWN = ["avg_days_between_transactions", "median_basket_size", "basket
 
 
 @register("features_colocated", O.with_domain(*CH_TRAIN, body=f"""
-SELECT firm_id, unique_customer_id, program_id, {', '.join(FEATURES_SHOWN)} FROM feats"""), rnd=CH_RND)
+SELECT firm_id, unique_customer_id, program_id, {', '.join(FEATURES_SHOWN)} FROM feats"""),
+          rnd={c: CH_RND[c] for c in FEATURES_SHOWN if c in CH_RND})
 def features_colocated(spark, sf_dir):
     """Gaps between purchases, medians and deviations from the buckets as they lie."""
     return colocated.transaction_features(staged_layout(spark, sf_dir), P).select(*CH_KEYS, *FEATURES_SHOWN)
