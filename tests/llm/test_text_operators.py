@@ -203,6 +203,25 @@ def test_secret_fit_sees_all_views(spark, monkeypatch):
     assert any("0123456789abcdef" * 2 in c for c, _ in seen)
 
 
+def test_secret_fit_reads_the_findings_of_every_document(spark, monkeypatch):
+    texts = [f"see build-2024-{i}-release-notes {'key ' + 'a1' * 16 if i % 4 == 0 else 'and more'} there" for i in range(9000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    net = secret_scan.train([(secret_scan.views(t, a, b), y) for t, a, b, y in secret_scan.generated(40, 3)], 0.95, 3, 1)
+    found = secret_scan.findings(docs, net)
+    assert found.count() == 9000 + 2250 and found.where("label = 1").count() == 2250
+    held = found.where("around IS NOT NULL").count()
+    rows = secret_scan.shard_rows(found.where("around IS NULL"), 4).collect()
+    assert sum(len(r.chars) for r in rows) == 9000 + 2250 - held
+    assert len(rows) == 4 and max(len(r.chars) for r in rows) < 1.2 * min(len(r.chars) for r in rows)
+    weights, real = [], secret_scan.calibrate
+    monkeypatch.setattr(secret_scan, "calibrate", lambda x, y, w: weights.append((w, y)) or real(x, y, w))
+    one, many = (secret_scan.fit(docs.repartition(n), made=40, epochs=1, per_shard=2000) for n in (1, 7))
+    weight, y = weights[-1]
+    shards = -(-(9000 + 2250) * 2 // 3 // 2000)
+    assert weight.sum() == held + shards * len(one.held)  # all that is kept out counts for scale and threshold
+    assert all((one.w[k] == many.w[k]).all() for k in one.w) and one.threshold == many.threshold
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     rows = [(1, "a token=abcdefghijk b", 21, "x"), (2, None, None, "y"), (3, "plain", 5, "z"), (1, "a token=abcdefghijk b", 21, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
