@@ -12,7 +12,7 @@ start earlier in the corpus (previous and next smaller positions).
 Texts travel as compressed blocks of documents. What a block sends is
 pre-aggregated: of equal stretches around an anchor only its first. An anchor
 with very many different stretches is not gathered in one task: its windows are
-compared by digest, in an aggregate.
+compared by digest. A block sends their digests packed, dealt out by digest.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ MIX = np.uint64(0xFF51AFD7ED558CCD)
 #: Windows hashed at once; their place in such a slice fits the low bits of a hash.
 SLICE, LOW = 1 << 18, np.uint64((1 << 19) - 1)
 NO_ID = np.iinfo(np.int64).max
+#: Windows of hot anchors that may meet in a task.
+HOT_WINDOWS = 4_000_000
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -234,9 +236,9 @@ def anchors(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
 
 
 def repeated(found: DataFrame, hot: int) -> DataFrame:
-    """(block, keys, hot_keys): the anchors of a block that stand elsewhere too, in one row per bucket.
+    """(block, keys, hot_keys, n_hot): the anchors of a block that stand elsewhere too, in one row per bucket.
 
-    ``hot_keys`` are those that stand more than ``hot`` times in the corpus.
+    ``hot_keys`` are those that stand more than ``hot`` times in the corpus, ``n_hot`` how often they stand in the block.
     """
 
     def run(group: pa.Table) -> pa.Table:
@@ -244,37 +246,37 @@ def repeated(found: DataFrame, hot: int) -> DataFrame:
         counts = [np.frombuffer(zstandard.decompress(c.as_buffer()), "<u4") for c in group.column("counts")]
         one, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
-        blocks, again, much, at = [], [], [], 0
-        for block, k in zip(group.column("block").to_pylist(), keys, strict=True):
+        blocks, again, much, often, at = [], [], [], [], 0
+        for block, k, c in zip(group.column("block").to_pylist(), keys, counts, strict=True):
             n = total[place[at:at + len(k)]]
             at += len(k)
             if (n > 1).any():
                 blocks.append(block)
                 again.append(k[(n > 1) & (n <= hot)].tobytes())
                 much.append(k[n > hot].tobytes())
-        return pa.table([pa.array(blocks, pa.int64()), pa.array(again, pa.binary()), pa.array(much, pa.binary())],
-                        names=["block", "keys", "hot_keys"])
+                often.append(int(c[n > hot].sum()))
+        return pa.table([pa.array(blocks, pa.int64()), pa.array(again, pa.binary()), pa.array(much, pa.binary()),
+                         pa.array(often, pa.int64())], names=["block", "keys", "hot_keys", "n_hot"])
 
-    return found.groupBy("bucket").applyInArrow(run, "block long, keys binary, hot_keys binary")
+    return found.groupBy("bucket").applyInArrow(run, "block long, keys binary, hot_keys binary, n_hot long")
 
 
 _SENT = ("bucket long, block long, n_windows long, keys binary, ids binary, at binary, lead binary, size binary, data binary, "
-         "starts binary, ends binary, hot array<struct<digest:binary,id:bigint,at:bigint>>")
+         "starts binary, ends binary, hot_bucket long, digests binary")
 
 
-def stretches(blocks: DataFrame, again: DataFrame, length: int, buckets: int) -> DataFrame:
+def stretches(blocks: DataFrame, again: DataFrame, length: int, buckets: int, hot_buckets: int = 1) -> DataFrame:
     """What the blocks send of their repeated anchors: text stretches, digests of windows of hot anchors, and what is covered already.
 
     Of equal stretches of a block all but the first (in corpus order) are covered.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 8,
-                 pa.list_(pa.struct([("digest", pa.binary()), ("id", pa.int64()), ("at", pa.int64())]))]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 8, pa.int64(), pa.binary()]
         names = [f.split()[0] for f in _SENT.split(", ")]
 
-        def row(block, bucket=None, n=0, arrays=(None,) * 6, cover=(None, None), hot=None) -> pa.RecordBatch:
-            values = [bucket, block, n, *arrays, *cover, hot]
+        def row(block, bucket=None, n=0, arrays=(None,) * 6, cover=(None, None), hot=(None, None)) -> pa.RecordBatch:
+            values = [bucket, block, n, *arrays, *cover, *hot]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
         for batch in batches:
@@ -298,21 +300,27 @@ def stretches(blocks: DataFrame, again: DataFrame, length: int, buckets: int) ->
                         (much if is_hot[r] else sent).append(r)
                 start, end = w.lo[known], w.hi[known] + length
                 # windows of hot anchors: the first of equal ones is sent, the others are covered
-                first, late, digests = set(), [], []
+                first, late, ids_of, places = {}, [], [], []
                 for r in much:
                     for s in range(int(w.lo[r]), int(w.hi[r]) + 1):
                         digest = blake2b(raw[s:s + length], digest_size=16).digest()
                         if digest in first:
                             late.append(s)
                         else:
-                            first.add(digest)
-                            digests.append({"digest": digest, "id": int(order_key[r]), "at": s})
+                            first[digest] = None
+                            ids_of.append(order_key[r])
+                            places.append(s)
                 late = np.asarray(late, np.int64)
                 start, end = covered(np.concatenate([start, late]), np.concatenate([end, late + length]))
                 if len(start):
                     yield row(block, cover=(start.tobytes(), end.tobytes()))
-                for a in range(0, len(digests), 20_000):
-                    yield row(block, hot=digests[a:a + 20_000])
+                digests = np.frombuffer(b"".join(first), np.uint64).reshape(-1, 2)
+                own, places = np.asarray(ids_of, np.int64), np.asarray(places, np.int64)
+                bucket = (digests[:, 0] % np.uint64(hot_buckets)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                for b, r in zip(*_groups(bucket[by], by), strict=True):
+                    yield row(block, arrays=(None, own[r].tobytes(), places[r].tobytes(), None, None, None),
+                              hot=(int(b), digests[r].tobytes()))
                 sent = np.asarray(sent, np.int64)
                 bucket = (w.key[sent] // np.uint64(7) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
@@ -359,22 +367,23 @@ def matches(sent: DataFrame, length: int) -> DataFrame:
 
 
 def hot_matches(sent: DataFrame, length: int) -> DataFrame:
-    """The same for windows of hot anchors: all but the first of equal digests, by an aggregate and a join."""
-    windows = sent.where("hot IS NOT NULL").select("block", F.explode("hot").alias("w")).select(
-        F.col("w.digest").alias("digest"), F.struct(F.col("w.id").alias("id"), "block", F.col("w.at").alias("at")).alias("place"))
-    first = windows.groupBy("digest").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = windows.join(first, "digest").where(F.col("place") > F.col("first"))
+    """The same for windows of hot anchors: in a bucket of digests, all but the first of equal ones."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [x.values.to_numpy() for x in batch.column(1)]
-            spans = [covered(a, a + length) for a in at]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s, _ in spans], pa.binary()),
-                                              pa.array([e.tobytes() for _, e in spans], pa.binary())],
-                                             names=["block", "starts", "ends"])
+    def run(group: pa.Table) -> pa.Table:
+        digests = np.concatenate([np.frombuffer(v.as_buffer(), np.uint64).reshape(-1, 2) for v in group.column("digests")])
+        ids, at = (np.concatenate([np.frombuffer(v.as_buffer(), np.int64) for v in group.column(c)]) for c in ("ids", "at"))
+        block = np.repeat(group.column("block").to_numpy(), [len(v.as_buffer()) // 16 for v in group.column("digests")])
+        order = np.lexsort((at, block, ids, digests[:, 1], digests[:, 0]))
+        digests = digests[order]
+        later = order[1:][(digests[1:] == digests[:-1]).all(axis=1)]
+        later = later[np.lexsort((at[later], block[later]))]
+        used, places = _groups(block[later], at[later])
+        spans = [covered(p, p + length) for p in places]
+        return pa.table([pa.array(used, pa.int64()), pa.array([s.tobytes() for s, _ in spans], pa.binary()),
+                         pa.array([e.tobytes() for _, e in spans], pa.binary())], names=["block", "starts", "ends"])
 
-    return (later.groupBy("place.block").agg(F.collect_list("place.at").alias("at"))
-            .mapInArrow(run, "block long, starts binary, ends binary"))
+    return (sent.where("hot_bucket IS NOT NULL").select("hot_bucket", "block", "ids", "at", "digests").groupBy("hot_bucket")
+            .applyInArrow(run, "block long, starts binary, ends binary"))
 
 
 def gather(sent: DataFrame, length: int) -> DataFrame:
@@ -398,8 +407,9 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     found = anchors(blocks, length, 1 + total // 16_000_000)
     again = materialize(repeated(found, hot), "anchors")
-    held = again.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    sent = materialize(stretches(blocks, again, length, 1 + held // 8 // 8_000), "stretches")
+    held, n_hot = again.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)), F.coalesce(F.sum("n_hot"), F.lit(0))).first()
+    # a stretch of a hot anchor has at most ``length`` windows, of 32 bytes each
+    sent = materialize(stretches(blocks, again, length, 1 + held // 8 // 8_000, 1 + n_hot * length // HOT_WINDOWS), "stretches")
     gone = gather(sent, length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
