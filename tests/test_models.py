@@ -164,3 +164,15 @@ def test_publishing_switches_whole_versions(spark):
     sinks.append_to_table(spark.createDataFrame([(100, "x", 1)], "uid long, extra string, firm_id long"), table)
     assert spark.table(table).where("uid = 100 AND firm_id = 1").count() == 1
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_fit_has_few_partitions_whatever_those_of_its_rows(spark):
+    cols = [F.col("id").cast("double").alias(c) for c in cm.MODEL_FEATURES]
+    most = cm.FIT_TASKS * spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).select(*cols)
+    few = rows.repartition(most)
+    assert cm.fit_partitions(few) is few
+    one, many = (cm.fit_partitions(rows.repartition(most * k)) for k in (2, 3))
+    assert one.rdd.getNumPartitions() == many.rdd.getNumPartitions() == most
+    assert one.rdd.glom().collect() == many.rdd.glom().collect()
+    assert sorted(r[0] for r in many.collect()) == list(range(1000))
