@@ -74,8 +74,8 @@ def all_data(lay: Layout, params: RunParams = DEFAULT) -> DataFrame:
 
 
 def transaction_features(lay: Layout, params: RunParams = DEFAULT, mode: str = "train") -> DataFrame:
-    """TRANSACTION_FEATURES, as :func:`churn_features.transaction_features`: the lag and the aggregate read
-    the buckets as they lie, and so does every pass of the medians; nothing is written for them."""
+    """TRANSACTION_FEATURES, as :func:`churn_features.transaction_features`: the lag, the ranks and the aggregate
+    read the buckets once, as they lie; nothing is written or exchanged for them."""
 
     def in_buckets(trx: DataFrame) -> DataFrame:
         live = lay.cust.where(F.col("is_deleted") == 0).select("firm_id", "customer_id", "unique_customer_id")

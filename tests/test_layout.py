@@ -88,6 +88,11 @@ def test_facts_are_not_exchanged(lay, no_broadcast):
     assert "Exchange" not in plan(lagged) and "Window" in plan(lagged)
 
 
+def test_medians_lie_within_the_buckets(lay, no_broadcast):
+    made_of = plan(colocated.transaction_features(lay, P))
+    assert "Exchange" not in made_of and "Window" in made_of
+
+
 def scanned(df):
     """Files that the scans of a finished query read."""
     def walk(p):

@@ -118,3 +118,25 @@ def test_hot_key_is_split_across_chunks(spark):
                                  F.max("_n").alias("n")).first()
     size = sum(1 for i in range(n) if i % 10 < 9 or i % 97 == 0)
     assert (hot.lo, hot.hi, hot.n) == (0, size - 1, size)  # ranks stay exact across chunks
+
+
+def test_medians_of_hot_and_other_customers_take_one_exchange(spark):
+    from loyalflow.operators import churn_features as cf
+
+    rng = np.random.default_rng(5)
+    rows = [(int(c), 1, None if p == 2 else int(p), i, int(a)) for i, (c, p, a) in enumerate(zip(
+        np.where(rng.random(900) < 0.4, 0, rng.integers(1, 40, 900)), rng.integers(0, 3, 900), rng.integers(0, 50, 900)))]
+    df = spark.createDataFrame(rows, "u int, f int, p int, i int, a int").selectExpr(
+        "CAST(u AS LONG) AS unique_customer_id", "CAST(f AS LONG) AS firm_id", "TIMESTAMP_NTZ'2001-01-01 00:00:00' + make_dt_interval(i % 300) "
+        "AS transaction_date", "CAST(i AS LONG) AS transaction_id", "CAST(a AS DECIMAL(18,2)) AS amount_after_discount", "p AS program_id",
+        "CAST(0 AS DECIMAL(18,2)) AS amount_discount", "CAST(0 AS DECIMAL(18,2)) AS amount_used_point",
+        "CAST(0 AS DECIMAL(18,2)) AS amount_earned_point").repartition(5)
+    pdf = pd.DataFrame(rows, columns=["u", "f", "p", "i", "a"]).dropna()
+    want = pdf.groupby(["u", "p"])["a"].median()
+    for hot in (None, 100):  # no hot customer, and one whose rows are split
+        got = cf.features_of(df, hot).toPandas()
+        assert got[got["program_id"].isna()]["median_basket_size"].isna().all() and got["program_id"].isna().any()
+        known = got.dropna(subset=["program_id"]).set_index(["unique_customer_id", "program_id"])["median_basket_size"].sort_index()
+        assert len(known) == len(want) and np.allclose(known.values, want.sort_index().values)
+    plan = cf.features_of(df, None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
