@@ -127,3 +127,40 @@ def test_every_transaction_counts_in_the_test_mapping(spark, sf_small):
     d = staged_domain(spark, sf_small)
     n = valid_transactions(d.trx).join(d.cust, ["firm_id", "customer_id"]).count()
     assert streamed(spark, sf_small).totals().agg(F.sum("n_transactions")).first()[0] == n
+
+
+def test_landing_follows_the_tasks_and_batches_hold_what_is_read(spark, monkeypatch):
+    from loyalflow.plans import catalog
+
+    folder = scratch_path(spark, "tables")
+    tables = {
+        "customer": spark.range(12).selectExpr("id AS c_custkey", "CAST(0 AS INT) AS c_nationkey"),
+        "nation": spark.range(1).selectExpr("CAST(id AS INT) AS n_nationkey", "CAST(0 AS INT) AS n_regionkey"),
+        "orders": spark.range(200).selectExpr(
+            "id AS o_orderkey", "id % 12 AS o_custkey", "'1-URGENT' AS o_orderpriority", "'O' AS o_orderstatus", "DATE'2001-02-03' AS o_orderdate"),
+        "lineitem": spark.range(400).selectExpr(
+            "id DIV 2 AS l_orderkey", "CAST(id % 2 + 1 AS INT) AS l_linenumber", "id AS l_partkey", "id AS l_suppkey",
+            "CAST(id AS DOUBLE) AS l_extendedprice", "'N' AS l_returnflag", "CAST(0.1 AS DOUBLE) AS l_discount"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(os.path.join(folder, f"{name}.parquet"))
+    landed, held = [], []
+    run_it, partials = inc.run_incremental, inc.customer_partials
+
+    def seen(spark, landing, *a, **more):
+        drops = sorted(x for x in os.listdir(landing.removeprefix("file:")) if x.startswith("drop="))
+        landed.append(len([f for f in os.listdir(os.path.join(landing.removeprefix("file:"), drops[-1])) if f.startswith("part-")]))
+        return run_it(spark, landing, *a, **more)
+
+    def partials_of(trx, cust):
+        held.append(set(trx.columns))
+        return partials(trx, cust)
+
+    monkeypatch.setattr(inc, "run_incremental", seen)
+    monkeypatch.setattr(inc, "customer_partials", partials_of)
+    store = catalog.streamed(spark, folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(landed) == 2 and all(4 < n <= tasks for n in landed)
+    assert held and all("transaction_hour" not in c and "program_id" not in c for c in held)
+    n = sum(1 for i in range(400) if (i // 2) % 50)  # every 50th order is deleted
+    assert store.totals().agg(F.sum("n_transactions")).first()[0] == n
