@@ -52,3 +52,23 @@ def test_large_counted_customers_have_the_same_features(spark, tables):
     sizes = {tuple(r)[:2]: r["n"] for r in x.groupBy(*cf.CUSTOMER).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sizes == {tuple(r)[:2]: r["n"] for r in counted.groupBy(*cf.CUSTOMER).agg(F.sum("_rows").alias("n")).collect()}
     assert _rows(cf.with_median(x, cf._feature_aggs(), 60, counted)) == _rows(cf.with_median(x, cf._feature_aggs(), None))
+
+
+def test_profile_has_no_exchange_per_transaction(spark, tables):
+    trx, cust, best, prog = tables
+    got = prof.purchase_profile(trx, cust, best, prog, P)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning" in x and "transaction_id" in x]
+    apart = prof.purchase_profile(trx, cust, best, prog, P, hot_rows=60)
+    assert len(_rows(got)) == 6 and _rows(got) == _rows(apart)
+
+
+def test_a_condition_counts_once_per_transaction(spark, tables):
+    trx, cust, best, prog = tables
+    sale = F.col("trx_state_id") == 1
+    want = (trx.join(cust.drop("program_id", "is_deleted"), ["firm_id", "customer_id"]).where("unique_customer_id IS NOT NULL")
+            .groupBy("firm_id", "unique_customer_id").agg(
+        F.count_distinct(F.when(sale & (F.col("amount_after_discount") != F.col("amount_total")), F.col("transaction_id"))),
+        F.count_distinct(F.when(sale & (F.col("transaction_hour") < 8), F.col("transaction_id")))))
+    got = prof.purchase_profile(trx.unionByName(trx), cust, best, prog, P)
+    assert _rows(got.select("firm_id", "unique_customer_id", "indirimli_alv_sayisi", "gece_alv")) == _rows(want)
