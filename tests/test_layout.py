@@ -156,3 +156,40 @@ def test_empty_tables(domain):
     assert lay.apart is None
     for df in laid_out(lay).values():
         assert df.count() == 0
+
+
+def test_buckets_follow_the_rows(spark, domain, monkeypatch):
+    """More shuffle partitions make no more files: buckets are counted by rows and cores, up to the partitions."""
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(3 * cores))
+    few = replace(domain, trx=domain.trx.limit(10 * cores))
+
+    def buckets():
+        name, _ = made(few)
+        return int({r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}_trx").collect()}["Num Buckets"])
+
+    try:
+        assert buckets() == cores
+        for rows, want in ((5, 2 * cores), (1, 3 * cores)):
+            monkeypatch.setattr(layout, "ROWS_A_BUCKET", rows)
+            assert layout._buckets(few.trx) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_facts_apart_are_found_without_an_exchange(spark, no_broadcast):
+    """Ids of hot and unknown customers are broadcast to the facts, which are not joined whole a second time."""
+    cust = spark.createDataFrame(
+        [(1, 10, 100), (1, 11, 100), (1, 11, 100), (1, 12, None), (2, 10, 100), (2, 13, 104), (None, 14, 106), (2, None, 108)],
+        "firm_id long, customer_id long, unique_customer_id long")
+    ids = [(1, 10), (1, 11), (1, 11), (1, 12), (2, 10), (2, 13), (2, 13), (2, 99), (None, 14), (2, None)]
+    trx = spark.createDataFrame([(f, 20000101 + i, c, i) for i, (f, c) in enumerate(ids)],
+                                "firm_id long, timed_id_transaction int, customer_id long, transaction_id long")
+    for hot, far in (([(1, 100)], {0, 1, 2, 3}), ([], {3}), ([(2, 104), (1, 100)], {0, 1, 2, 3, 5, 6})):
+        rest, apart = layout._dealt(trx, cust, spark.createDataFrame(hot, "firm_id long, unique_customer_id long"))
+        assert "SortMergeJoin" not in plan(apart) and "BroadcastHashJoin" in plan(apart)
+        assert sorted(r.transaction_id for r in apart.collect()) == sorted(far)
+        assert sorted(r.transaction_id for r in rest.collect()) == sorted({0, 1, 2, 3, 4, 5, 6} - far)
+        assert rest.columns == apart.columns == [
+            "firm_id", "customer_id", "timed_id_transaction", "transaction_id", "unique_customer_id", "month"]
+        assert {r.month for r in rest.collect()} == {200001}
