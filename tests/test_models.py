@@ -57,6 +57,29 @@ def test_the_model_keeps_its_best_round(spark):
     assert again.where("churn_prob BETWEEN 0 AND 1").count() == 500
 
 
+def test_boosting_of_the_scores_goes_on_while_the_loss_falls(spark, sf_small, monkeypatch):
+    from types import SimpleNamespace
+
+    from loyalflow.plans import catalog
+
+    tried, kept = [], []
+
+    def build_pipeline(params, rounds, bins):  # a model whose loss falls up to round 730
+        tried.append(rounds)
+        gbt = SimpleNamespace(evaluateEachIteration=lambda held: [float(abs(i - 729)) for i in range(rounds)])
+        return SimpleNamespace(fit=lambda used: SimpleNamespace(stages=[gbt]))
+
+    monkeypatch.setattr(cm, "build_pipeline", build_pipeline)
+    monkeypatch.setattr(cm, "first_rounds", lambda gbt, rounds: kept.append(rounds) or gbt)
+    data = prepared(spark, noisy_rows(100, 1, 2))
+    monkeypatch.setattr(catalog, "_MODELS", {})
+    monkeypatch.setattr(catalog.cf, "churn_training_set", lambda *a: data)
+    monkeypatch.setattr(cm, "fit_suppression", lambda *a: None)
+    monkeypatch.setattr(cm, "prepare_training", lambda *a: data)
+    catalog.fitted(spark, sf_small)
+    assert tried == [100, 200, 400, 1000] and kept == [730]
+
+
 def test_tenants_with_one_class_or_a_broken_fit_do_not_end_the_others(spark, monkeypatch):
     data = prepared(spark, noisy_rows(600, 4, 3, one_class=(2,)))
     store = tm.ModelStore(spark, scratch_path(spark, "models"), 7)
